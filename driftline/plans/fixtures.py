@@ -38,3 +38,42 @@ SHIFTED_W_SQL = (f"SELECT w, l_quantity, CASE WHEN w = 2 THEN l_extendedprice *
                  "l_discount, CASE WHEN w = 2 THEN l_tax / 20 ELSE l_tax END AS l_tax, "
                  "CASE WHEN w = 2 AND l_returnflag = 'R' THEN NULL ELSE l_returnflag END AS l_returnflag, l_linestatus "
                  f"FROM ({LINEITEM_W_SQL})")
+
+
+# Deterministic nulls (the driver tables hold none): fixed rules on l_orderkey.
+def lineitem_nulls(t: Tables) -> DataFrame:
+    li = t.lineitem
+    k = F.col("l_orderkey")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+                     F.when(k % 10 != 0, F.col("l_discount")).alias("l_discount"),
+                     F.when(k % 7 != 0, F.col("l_tax")).alias("l_tax"),
+                     F.when(k % 11 != 0, F.col("l_returnflag")).alias("l_returnflag"),
+                     "l_linestatus")
+
+
+LINEITEM_NULLS_SQL = ("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, "
+                      "CASE WHEN l_orderkey % 10 <> 0 THEN l_discount END AS l_discount, "
+                      "CASE WHEN l_orderkey % 7 <> 0 THEN l_tax END AS l_tax, "
+                      "CASE WHEN l_orderkey % 11 <> 0 THEN l_returnflag END AS l_returnflag, l_linestatus FROM lineitem")
+
+
+def people(t: Tables) -> DataFrame:
+    """People with duplicates: every customer, plus a re-formatted copy (upper-cased name, ssn
+    without hyphens) of every third one."""
+    c = t.customer
+    digits = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    ssn = F.concat_ws("-", F.substring(digits, 1, 3), F.substring(digits, 4, 2), F.substring(digits, 6, 4))
+    base = c.select(F.col("c_custkey").alias("src_id"), F.col("c_name").alias("name"), ssn.alias("ssn"),
+                    F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("salary"))
+    dup = (base.filter(F.col("src_id") % 3 == 0)
+           .select("src_id", F.upper("name").alias("name"), F.regexp_replace("ssn", "-", "").alias("ssn"),
+                   "segment", "salary"))
+    return base.unionByName(dup)
+
+
+PEOPLE_SQL = """(WITH b AS (SELECT c_custkey AS src_id, c_name AS name,
+       substr(lpad(CAST(c_custkey AS VARCHAR), 9, '0'), 1, 3) || '-' || substr(lpad(CAST(c_custkey AS VARCHAR), 9, '0'), 4, 2)
+       || '-' || substr(lpad(CAST(c_custkey AS VARCHAR), 9, '0'), 6, 4) AS ssn,
+       c_mktsegment AS segment, c_acctbal AS salary FROM customer)
+SELECT * FROM b UNION ALL
+SELECT src_id, upper(name) AS name, replace(ssn, '-', '') AS ssn, segment, salary FROM b WHERE src_id % 3 = 0)"""
