@@ -1,6 +1,6 @@
 """Registered queries (name -> callable) and their DuckDB oracles."""
 
-from driftline.plans import drift_plans, ml_plans, relational_plans, table_plans  # noqa: F401  (registers on import)
+from driftline.plans import drift_plans, ml_plans, relational_plans, table_plans, udf_plans  # noqa: F401  (registers on import)
 from driftline.plans.registry import FAMILY, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "FAMILY"]
