@@ -90,3 +90,24 @@ def exact_quantiles(ranked: DataFrame, keys: list[str], value_col: str, count_co
         lo, hi, fr = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_frac")
         out.append((lo + fr * (hi - lo)).alias(name))
     return g.select(*out)
+
+
+def prefix_min(df: DataFrame, keys: list[str], order_col: str, min_col: str, out: str,
+               segments: int | None = None) -> DataFrame:
+    """Running minimum of ``min_col`` (any orderable type, e.g. a struct; nulls ignored) in
+    ``order_col`` order within ``keys`` -- the same two-level scheme as :func:`prefix_sums`:
+    per-segment minima, a small window over segments, then a window inside each segment."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    nseg = segments or _num_segments(df)
+    tagged = (df.repartitionByRange(nseg, *keys, order_col).checkpoint(eager=True)
+              .withColumn("_seg", F.spark_partition_id()))
+    seg = tagged.groupBy(*keys, "_seg").agg(F.min(min_col).alias("_segmin"))
+    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = seg.select(*keys, "_seg", F.min("_segmin").over(before).alias("_prevmin"))
+    j = tagged.join(F.broadcast(offsets), [*keys, "_seg"])
+    w = Window.partitionBy(*keys, "_seg").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = F.min(min_col).over(w)
+    best = F.when(F.col("_prevmin").isNull(), run).when(run.isNull(), F.col("_prevmin")).otherwise(
+        F.least(run, F.col("_prevmin")))
+    return j.select(*[F.col(c) for c in df.columns], best.alias(out))

@@ -148,10 +148,12 @@ def regression_metrics(df: DataFrame, label: str, pred: str, group_cols: list[st
                     (1 - F.col("_sse") / (F.col("_vy") * F.col("n"))).alias("r2"))
 
 
-def smape(df: DataFrame, label: str, pred: str) -> DataFrame:
+def smape(df: DataFrame, label: str, pred: str, digits: int | None = None) -> DataFrame:
+    """Symmetric MAPE: mean of 2|y - p| / (|y| + |p|), 0 where both are 0; with the row count."""
     y, p = F.col(label), F.col(pred)
     term = F.when((F.abs(y) + F.abs(p)) == 0, F.lit(0.0)).otherwise(2 * F.abs(y - p) / (F.abs(y) + F.abs(p)))
-    return df.agg(F.avg(term).alias("smape"))
+    val = F.avg(term) if digits is None else F.round(F.avg(term), digits)
+    return df.agg(F.count(F.lit(1)).alias("n_days"), val.alias("smape"))
 
 
 def confusion_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
