@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.stats import chi2_sf, ks_pvalue_sql, xlogy_ratio
 from driftline.operators.ecdf import exact_quantiles, prefix_sums
+from driftline.operators.joins import join_bounded
 
 W = "_w"
 
@@ -42,18 +43,18 @@ def _n(w: int) -> F.Column:
 
 
 # ---------------------------------------------------------------- Jensen-Shannon / histograms
-def histogram_counts(long: DataFrame, keys: list[str], bins: int = 20) -> DataFrame:
+def histogram_counts(long: DataFrame, keys: list[str], bins: int = 20, n_tests: int | None = None) -> DataFrame:
     """Fixed-width histogram of both windows over their joint [lo, hi], last bin closed.
 
     Returns keys, bin, c1, c2, n1, n2, lo, hi (every bin 0..bins-1 present, zero-filled).
-    The per-key range table has one row per test, so broadcasting it is size-bounded.
+    The per-key range table has one row per test: broadcast when ``n_tests`` bounds it.
     """
     rng = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
                                   _n(1).alias("n1"), _n(2).alias("n2"))
     b = (F.when(F.col("hi") == F.col("lo"), F.lit(0))
          .otherwise(F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
                             F.lit(bins - 1))).cast("int"))
-    counts = (long.join(F.broadcast(rng.select(*keys, "lo", "hi")), keys)
+    counts = (join_bounded(long, rng.select(*keys, "lo", "hi"), keys, max_rows=n_tests)
               .groupBy(*keys, b.alias("bin")).agg(_n(1).alias("c1"), _n(2).alias("c2")))
     grid = rng.select(*keys, "lo", "hi", "n1", "n2",
                       F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -62,9 +63,9 @@ def histogram_counts(long: DataFrame, keys: list[str], bins: int = 20) -> DataFr
                     F.coalesce("c2", F.lit(0)).alias("c2"), "n1", "n2", "lo", "hi"))
 
 
-def js_distance(long: DataFrame, keys: list[str], bins: int = 20) -> DataFrame:
+def js_distance(long: DataFrame, keys: list[str], bins: int = 20, n_tests: int | None = None) -> DataFrame:
     """Jensen-Shannon distance (base 2) of the two windows' histograms: keys, n1, n2, js_distance."""
-    h = histogram_counts(long, keys, bins)
+    h = histogram_counts(long, keys, bins, n_tests)
     p = F.try_divide(F.col("c1"), F.col("n1"))
     q = F.try_divide(F.col("c2"), F.col("n2"))
     m = (p + q) / 2
@@ -74,9 +75,9 @@ def js_distance(long: DataFrame, keys: list[str], bins: int = 20) -> DataFrame:
     return g.select(*keys, "n1", "n2", js.alias("js_distance"))
 
 
-def kl_divergence(long: DataFrame, keys: list[str], bins: int = 20) -> DataFrame:
+def kl_divergence(long: DataFrame, keys: list[str], bins: int = 20, n_tests: int | None = None) -> DataFrame:
     """KL(baseline || current) in nats over the shared histogram; null where it is infinite."""
-    h = histogram_counts(long, keys, bins)
+    h = histogram_counts(long, keys, bins, n_tests)
     p = F.try_divide(F.col("c1"), F.col("n1"))
     q = F.try_divide(F.col("c2"), F.col("n2"))
     g = h.groupBy(*keys).agg(
@@ -93,16 +94,16 @@ def value_counts_by_window(long: DataFrame, keys: list[str]) -> DataFrame:
             .withColumn("c", F.col("c1") + F.col("c2")))
 
 
-def ranked(long: DataFrame, keys: list[str], with_next: bool = False) -> DataFrame:
+def ranked(long: DataFrame, keys: list[str], with_next: bool = False, n_tests: int | None = None) -> DataFrame:
     """Distinct values with running counts per window (two-level prefix sums)."""
     return prefix_sums(value_counts_by_window(long, keys), keys, "value", ["c1", "c2", "c"],
-                       with_next=with_next)
+                       with_next=with_next, n_keys=n_tests)
 
 
 def ks_test(long: DataFrame, keys: list[str], alpha: float = 0.05,
             n_tests: int | None = None) -> DataFrame:
     """Two-sample KS: D = max |F1 - F2|, asymptotic p; drift when p <= alpha / #tests."""
-    r = ranked(long, keys)
+    r = ranked(long, keys, n_tests=n_tests)
     d = F.abs(F.try_divide(F.col("cum_c1"), F.col("total_c1")) - F.try_divide(F.col("cum_c2"), F.col("total_c2")))
     g = r.groupBy(*keys).agg(F.first("total_c1").alias("n1"), F.first("total_c2").alias("n2"),
                              F.max(d).alias("ks_stat"))
@@ -115,18 +116,18 @@ def ks_test(long: DataFrame, keys: list[str], alpha: float = 0.05,
     return out.withColumn("alpha_corrected", a).withColumn("drift", F.col("p_value") <= F.col("alpha_corrected"))
 
 
-def wasserstein1(long: DataFrame, keys: list[str]) -> DataFrame:
+def wasserstein1(long: DataFrame, keys: list[str], n_tests: int | None = None) -> DataFrame:
     """Wasserstein-1 distance = integral of |F1 - F2| over the value axis."""
-    r = ranked(long, keys, with_next=True)
+    r = ranked(long, keys, with_next=True, n_tests=n_tests)
     d = F.abs(F.try_divide(F.col("cum_c1"), F.col("total_c1")) - F.try_divide(F.col("cum_c2"), F.col("total_c2")))
     gap = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     return r.groupBy(*keys).agg(F.sum(d * gap).alias("wasserstein1"))
 
 
-def mann_whitney(long: DataFrame, keys: list[str]) -> DataFrame:
+def mann_whitney(long: DataFrame, keys: list[str], n_tests: int | None = None) -> DataFrame:
     """Mann-Whitney U of the baseline sample (= Wilcoxon rank-sum), average ranks for ties,
     plus the tie-corrected normal score with continuity correction."""
-    r = ranked(long, keys)
+    r = ranked(long, keys, n_tests=n_tests)
     avg_rank = F.col("cum_c") - F.col("c") + (F.col("c") + 1) / 2.0
     g = r.groupBy(*keys).agg(F.first("total_c1").alias("n1"), F.first("total_c2").alias("n2"),
                              F.sum(F.col("c1") * avg_rank).alias("r1"),
@@ -155,7 +156,7 @@ def chi2_test(counts: DataFrame, keys: list[str], alpha: float = 0.05,
     """Two-way chi-squared contingency test per key (Yates correction when dof = 1)."""
     tot = counts.groupBy(*keys).agg(F.sum("o1").alias("n1"), F.sum("o2").alias("n2"),
                                     F.count(F.lit(1)).alias("k"))
-    j = counts.join(F.broadcast(tot), keys)
+    j = join_bounded(counts, tot, keys, max_rows=n_tests)
     big_n = (F.col("n1") + F.col("n2")).cast("double")
     row = (F.col("o1") + F.col("o2")).cast("double")
     dof = F.col("k") - 1
@@ -178,11 +179,11 @@ def chi2_test(counts: DataFrame, keys: list[str], alpha: float = 0.05,
     return out.withColumn("alpha_corrected", a).withColumn("drift", F.col("p_value") < F.col("alpha_corrected"))
 
 
-def chi2_goodness(counts: DataFrame, keys: list[str]) -> DataFrame:
+def chi2_goodness(counts: DataFrame, keys: list[str], n_tests: int | None = None) -> DataFrame:
     """One-way chi-squared: current counts against baseline proportions (scaled to n2)."""
     tot = counts.groupBy(*keys).agg(F.sum("o1").alias("n1"), F.sum("o2").alias("n2"),
                                     F.count(F.lit(1)).alias("k"))
-    j = counts.join(F.broadcast(tot), keys)
+    j = join_bounded(counts, tot, keys, max_rows=n_tests)
     e = F.col("o1") * F.col("n2") / F.col("n1")
     g = j.groupBy(*keys).agg(
         F.sum(F.when(e > 0, (F.col("o2") - e) * (F.col("o2") - e) / e).otherwise(0.0)).alias("chi2"),
@@ -210,13 +211,13 @@ def null_rates(base: DataFrame, current: DataFrame, cols: list[str]) -> DataFram
 SUMMARY_STATS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
-def summary_long(long: DataFrame, keys: list[str]) -> DataFrame:
+def summary_long(long: DataFrame, keys: list[str], n_tests: int | None = None) -> DataFrame:
     """count, mean, sample std, min, exact quartiles (linear interpolation), max per key."""
     basic = long.groupBy(*keys).agg(F.count("value").cast("double").alias("count"),
                                     F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
                                     F.min("value").alias("min"), F.max("value").alias("max"))
     vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c"))
-    r = prefix_sums(vc, keys, "value", ["c"])
+    r = prefix_sums(vc, keys, "value", ["c"], n_keys=n_tests)
     q = exact_quantiles(r, keys, "value", "c", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return basic.join(q, keys)
 
@@ -224,7 +225,7 @@ def summary_long(long: DataFrame, keys: list[str]) -> DataFrame:
 def summary_pct_change(base: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
     """100 * |(s1 - s2) / (s1 + 1e-100)| for each summary statistic and column."""
     long = to_long(stack(base.select(*cols), current.select(*cols)), cols)
-    s = summary_long(long, ["feature", W])
+    s = summary_long(long, ["feature", W], n_tests=2 * len(cols))
     stats = s.unpivot(["feature", W], SUMMARY_STATS, "stat", "v")
     g = stats.groupBy("feature", "stat").agg(F.sum(F.when(F.col(W) == 1, F.col("v"))).alias("s1"),
                                              F.sum(F.when(F.col(W) == 2, F.col("v"))).alias("s2"))
@@ -245,7 +246,7 @@ def drift_report(base: DataFrame, current: DataFrame, cat_cols: list[str], num_c
     st = stack(base.select(*cols), current.select(*cols))
     parts = []
     if num_cols:
-        js = js_distance(to_long(st, num_cols), ["feature"])
+        js = js_distance(to_long(st, num_cols), ["feature"], n_tests=len(num_cols))
         parts.append(js.select("feature", F.lit("js_distance").alias("test"),
                                F.col("js_distance").alias("statistic"),
                                F.lit(None).cast("double").alias("p_value"),

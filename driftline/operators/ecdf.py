@@ -9,7 +9,9 @@ to one task. Instead we use a two-level prefix sum:
 2. The segments are checkpointed (reliable checkpoint under ``spark.checkpoint.dir``) so the
    segment ids are stable across the two passes and across executor loss.
 3. Per-(key, segment) totals form a table bounded by ``#segments + #keys`` rows; a window over
-   it gives each segment's offset. It is broadcast (that bound, not the data, sets its size).
+   it gives each segment's offset. It is broadcast only when the caller can bound ``#keys``
+   (features of a schema, say); otherwise the join is left to AQE, which broadcasts it at run
+   time only if its measured size is under the threshold and sort-merges it beyond.
 4. Inside each (key, segment) a window running sum adds the offset.
 """
 
@@ -18,16 +20,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.operators.joins import join_bounded
 from driftline.session import ensure_checkpoint_dir
 
 
+def _bound(nseg: int, keys: list[str], n_keys: int | None) -> int | None:
+    """Rows of the per-(key, segment) table: at most #segments + #keys - 1."""
+    if not keys:
+        return nseg
+    return None if n_keys is None else nseg + n_keys
+
+
 def _num_segments(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(n, 1)
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order_col: str, sum_cols: list[str],
-                with_next: bool = False, segments: int | None = None) -> DataFrame:
+                with_next: bool = False, segments: int | None = None, n_keys: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum ordered by ``order_col`` within ``keys``) and
     ``total_<c>`` for each column ``c`` in ``sum_cols``; optionally ``next_<order_col>``, the
     next larger ``order_col`` within the key (null for the last one).
@@ -54,7 +64,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order_col: str, sum_cols: list[s
         seg_cols.append(F.lead("_seg_lo").over(wseg).alias("_next_seg_lo"))
     offsets = seg.select(*seg_cols)
 
-    out = tagged.join(F.broadcast(offsets), [*keys, "_seg"])
+    out = join_bounded(tagged, offsets, [*keys, "_seg"], max_rows=_bound(nseg, keys, n_keys))
     w = Window.partitionBy(*keys, "_seg").orderBy(order_col)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.col(c) for c in df.columns]
@@ -93,7 +103,7 @@ def exact_quantiles(ranked: DataFrame, keys: list[str], value_col: str, count_co
 
 
 def prefix_min(df: DataFrame, keys: list[str], order_col: str, min_col: str, out: str,
-               segments: int | None = None) -> DataFrame:
+               segments: int | None = None, n_keys: int | None = None) -> DataFrame:
     """Running minimum of ``min_col`` (any orderable type, e.g. a struct; nulls ignored) in
     ``order_col`` order within ``keys`` -- the same two-level scheme as :func:`prefix_sums`:
     per-segment minima, a small window over segments, then a window inside each segment."""
@@ -105,7 +115,7 @@ def prefix_min(df: DataFrame, keys: list[str], order_col: str, min_col: str, out
     seg = tagged.groupBy(*keys, "_seg").agg(F.min(min_col).alias("_segmin"))
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = seg.select(*keys, "_seg", F.min("_segmin").over(before).alias("_prevmin"))
-    j = tagged.join(F.broadcast(offsets), [*keys, "_seg"])
+    j = join_bounded(tagged, offsets, [*keys, "_seg"], max_rows=_bound(nseg, keys, n_keys))
     w = Window.partitionBy(*keys, "_seg").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = F.min(min_col).over(w)
     best = F.when(F.col("_prevmin").isNull(), run).when(run.isNull(), F.col("_prevmin")).otherwise(

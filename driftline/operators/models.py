@@ -176,7 +176,7 @@ def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
     one task is needed."""
     vc = (df.select(F.col(score).cast("double").alias("value"), (F.col(label) == 1).alias("_pos"))
           .groupBy("value").agg(F.count_if("_pos").alias("cp"), F.count(F.lit(1)).alias("c")))
-    r = prefix_sums(vc.withColumn("_k", F.lit(0)), ["_k"], "value", ["c", "cp"])
+    r = prefix_sums(vc.withColumn("_k", F.lit(0)), ["_k"], "value", ["c", "cp"], n_keys=1)
     avg_rank = F.col("cum_c") - F.col("c") + (F.col("c") + 1) / 2.0
     g = r.agg(F.sum(F.col("cp") * avg_rank).alias("rsum"), F.first("total_cp").alias("npos"),
               F.first("total_c").alias("n"))

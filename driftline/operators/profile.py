@@ -30,7 +30,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], names: list[str]) -> DataFrame:
     """Exact linear-interpolated quantiles per column (distributed)."""
     vc = long_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
-    r = prefix_sums(vc, ["feature"], "value", ["c"])
+    r = prefix_sums(vc, ["feature"], "value", ["c"], n_keys=len(cols))
     return exact_quantiles(r, ["feature"], "value", "c", probs, names)
 
 
@@ -61,7 +61,7 @@ def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     per = vc.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n_distinct"),
         F.min(F.struct((-F.col("c")).alias("neg"), F.col("value").alias("v"))).alias("_m"))
-    r = prefix_sums(vc, ["feature"], "value", ["c"])
+    r = prefix_sums(vc, ["feature"], "value", ["c"], n_keys=len(cols))
     q = exact_quantiles(r, ["feature"], "value", "c", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return (base.join(per, "feature").join(q, "feature")
             .select("feature", "n_rows", "n_missing", "n_distinct", "min", "max", "mean", "std",

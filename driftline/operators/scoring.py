@@ -96,7 +96,6 @@ def bundle_udf(spark: SparkSession, bundle: ModelBundle):
     @F.pandas_udf(DoubleType())
     def predict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         b = bc.value
-        keys = list(b.models)
         icpt = pd.Series({k: v[0] for k, v in b.models.items()})
         coefs = pd.DataFrame({k: v[1] for k, v in b.models.items()}, index=b.features).T
         for key, *cols in batches:
@@ -104,7 +103,6 @@ def bundle_udf(spark: SparkSession, bundle: ModelBundle):
             w = coefs.reindex(key.to_numpy()).to_numpy()
             c0 = icpt.reindex(key.to_numpy()).to_numpy()
             yield pd.Series((x * w).sum(axis=1) + c0)
-        _ = keys
     return predict
 
 

@@ -50,13 +50,13 @@ FROM t GROUP BY feature, n1, n2
 @query("js_distance", JS_SQL_TMPL.format(long=_long_sql(LINEITEM_W_SQL, NUM_LIST)), "drift")
 def js_distance(spark, sf_dir):
     _, _, st = _stacked(spark, sf_dir)
-    return round_doubles(drift.js_distance(drift.to_long(st, LI_NUM), ["feature"]), 8)
+    return round_doubles(drift.js_distance(drift.to_long(st, LI_NUM), ["feature"], n_tests=len(LI_NUM)), 8)
 
 
 @query("js_distance_shifted", JS_SQL_TMPL.format(long=_long_sql(SHIFTED_W_SQL, NUM_LIST)), "drift")
 def js_distance_shifted(spark, sf_dir):
     _, _, st = _stacked(spark, sf_dir, shifted=True)
-    return round_doubles(drift.js_distance(drift.to_long(st, LI_NUM), ["feature"]), 8)
+    return round_doubles(drift.js_distance(drift.to_long(st, LI_NUM), ["feature"], n_tests=len(LI_NUM)), 8)
 
 
 HIST_SQL = f"""
@@ -74,7 +74,7 @@ FROM g LEFT JOIN h ON g.feature = h.feature AND g.bin = h.bin
 @query("histogram20", HIST_SQL, "profile")
 def histogram20(spark, sf_dir):
     _, _, st = _stacked(spark, sf_dir)
-    h = drift.histogram_counts(drift.to_long(st, LI_NUM), ["feature"], 20)
+    h = drift.histogram_counts(drift.to_long(st, LI_NUM), ["feature"], 20, n_tests=len(LI_NUM))
     return round_doubles(h.select("feature", "bin", "c1", "c2", "lo", "hi"), 6)
 
 
@@ -92,7 +92,7 @@ def log_histogram(spark, sf_dir):
     t = Tables(spark, sf_dir)
     li = t.lineitem.filter(F.col("l_extendedprice") > 0).select(F.log10("l_extendedprice").alias("log10_price"))
     st = li.withColumn("_w", F.lit(1))
-    h = drift.histogram_counts(drift.to_long(st, ["log10_price"]), ["feature"], 20)
+    h = drift.histogram_counts(drift.to_long(st, ["log10_price"]), ["feature"], 20, n_tests=1)
     return h.filter(F.col("c1") > 0).select("feature", "bin", "c1")
 
 
@@ -141,7 +141,7 @@ FROM e GROUP BY feature
 @query("wasserstein1", W1_SQL, "drift")
 def wasserstein1(spark, sf_dir):
     _, _, st = _stacked(spark, sf_dir, shifted=True)
-    return round_doubles(drift.wasserstein1(drift.to_long(st, LI_NUM), ["feature"]), 6)
+    return round_doubles(drift.wasserstein1(drift.to_long(st, LI_NUM), ["feature"], n_tests=len(LI_NUM)), 6)
 
 
 MWU_SQL = _ecdf_sql(_long_sql(LINEITEM_W_SQL, NUM_LIST)) + """
@@ -159,7 +159,7 @@ FROM u
 @query("mann_whitney_u", MWU_SQL, "drift")
 def mann_whitney_u(spark, sf_dir):
     _, _, st = _stacked(spark, sf_dir)
-    m = drift.mann_whitney(drift.to_long(st, LI_NUM), ["feature"])
+    m = drift.mann_whitney(drift.to_long(st, LI_NUM), ["feature"], n_tests=len(LI_NUM))
     return m.select("feature", "n1", "n2", F.round("u_stat", 4).alias("u_stat"), F.round("z_score", 6).alias("z_score"))
 
 
@@ -180,7 +180,7 @@ FROM t GROUP BY feature
 @query("kl_divergence", KL_SQL, "drift")
 def kl_divergence(spark, sf_dir):
     _, _, st = _stacked(spark, sf_dir, shifted=True)
-    return round_doubles(drift.kl_divergence(drift.to_long(st, LI_NUM), ["feature"]), 8)
+    return round_doubles(drift.kl_divergence(drift.to_long(st, LI_NUM), ["feature"], n_tests=len(LI_NUM)), 8)
 
 
 # ------------------------------------------------------------------------ categorical
@@ -244,7 +244,7 @@ FROM j GROUP BY feature
 @query("chi2_goodness", CHI2_GOF_SQL, "drift")
 def chi2_goodness(spark, sf_dir):
     _, _, st = _stacked(spark, sf_dir, shifted=True)
-    return round_doubles(drift.chi2_goodness(drift.category_counts(st, LI_CAT), ["feature"]), 6)
+    return round_doubles(drift.chi2_goodness(drift.category_counts(st, LI_CAT), ["feature"], n_tests=len(LI_CAT)), 6)
 
 
 # ------------------------------------------------------------------------ nulls, summaries
