@@ -29,6 +29,11 @@ def stack(base: DataFrame, current: DataFrame) -> DataFrame:
             .unionByName(current.select(*base.columns).withColumn(W, F.lit(2))))
 
 
+def tag_windows(df: DataFrame, baseline_cond) -> DataFrame:
+    """One scan instead of two: tag rows of a single table as baseline (1) or current (2)."""
+    return df.withColumn(W, F.when(baseline_cond, F.lit(1)).otherwise(F.lit(2)))
+
+
 def to_long(stacked: DataFrame, cols: list[str], keys: tuple[str, ...] = (),
             cast: str | None = "double", keep_nulls: bool = False) -> DataFrame:
     """Unpivot ``cols`` to ``(keys..., _w, feature, value)``; nulls dropped unless asked."""
@@ -196,7 +201,10 @@ def chi2_goodness(counts: DataFrame, keys: list[str], n_tests: int | None = None
 # ---------------------------------------------------------------- nulls and summaries
 def null_rates(base: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
     """Percent nulls per column in each window: one aggregate over the stacked frame."""
-    st = stack(base.select(*cols), current.select(*cols))
+    return null_rates_stacked(stack(base.select(*cols), current.select(*cols)), cols)
+
+
+def null_rates_stacked(st: DataFrame, cols: list[str]) -> DataFrame:
     agg = st.groupBy(W).agg(F.count(F.lit(1)).alias("_n"),
                             *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     long = agg.unpivot([W, "_n"], cols, "feature", "nulls")
@@ -224,7 +232,11 @@ def summary_long(long: DataFrame, keys: list[str], n_tests: int | None = None) -
 
 def summary_pct_change(base: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
     """100 * |(s1 - s2) / (s1 + 1e-100)| for each summary statistic and column."""
-    long = to_long(stack(base.select(*cols), current.select(*cols)), cols)
+    return summary_pct_change_stacked(stack(base.select(*cols), current.select(*cols)), cols)
+
+
+def summary_pct_change_stacked(st: DataFrame, cols: list[str]) -> DataFrame:
+    long = to_long(st, cols)
     s = summary_long(long, ["feature", W], n_tests=2 * len(cols))
     stats = s.unpivot(["feature", W], SUMMARY_STATS, "stat", "v")
     g = stats.groupBy("feature", "stat").agg(F.sum(F.when(F.col(W) == 1, F.col("v"))).alias("s1"),
@@ -243,7 +255,14 @@ def drift_report(base: DataFrame, current: DataFrame, cat_cols: list[str], num_c
     chi-squared for categorical ones (drift if p < alpha / #categorical), the total null
     count of each window, and optionally KS (drift if p <= alpha / #numeric)."""
     cols = [*num_cols, *cat_cols]
-    st = stack(base.select(*cols), current.select(*cols))
+    return drift_report_stacked(stack(base.select(*cols), current.select(*cols)), cat_cols, num_cols,
+                                alpha, js_threshold, with_ks)
+
+
+def drift_report_stacked(st: DataFrame, cat_cols: list[str], num_cols: list[str], alpha: float = 0.05,
+                         js_threshold: float = 0.2, with_ks: bool = False) -> DataFrame:
+    """:func:`drift_report` over one frame already tagged with ``_w`` (see :func:`tag_windows`)."""
+    cols = [*num_cols, *cat_cols]
     parts = []
     if num_cols:
         js = js_distance(to_long(st, num_cols), ["feature"], n_tests=len(num_cols))

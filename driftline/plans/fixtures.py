@@ -23,6 +23,20 @@ def lineitem_windows(t: Tables) -> tuple[DataFrame, DataFrame]:
     return li.filter(cond).drop("l_shipdate"), li.filter(~cond).drop("l_shipdate")
 
 
+def lineitem_tagged(t: Tables, shifted: bool = False) -> DataFrame:
+    """Both windows from a single scan, tagged ``_w`` (1 before the split date, else 2)."""
+    li = t.lineitem.select(*LI_NUM, *LI_CAT, "l_shipdate")
+    w = F.when(F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz"), F.lit(1)).otherwise(F.lit(2))
+    out = li.withColumn("_w", w).drop("l_shipdate")
+    if shifted:
+        cur = F.col("_w") == 2
+        out = (out.withColumn("l_extendedprice", F.when(cur, F.col("l_extendedprice") * 2).otherwise(F.col("l_extendedprice")))
+               .withColumn("l_tax", F.when(cur, F.col("l_tax") / 20).otherwise(F.col("l_tax")))
+               .withColumn("l_returnflag", F.when(cur & (F.col("l_returnflag") == "R"), F.lit(None))
+                           .otherwise(F.col("l_returnflag"))))
+    return out
+
+
 LINEITEM_W_SQL = (f"SELECT CASE WHEN l_shipdate < TIMESTAMP '{SPLIT_DATE}' THEN 1 ELSE 2 END AS w, "
                   "l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus FROM lineitem")
 

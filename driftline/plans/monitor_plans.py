@@ -14,7 +14,7 @@ from driftline.operators import drift
 from driftline.operators import forecast as FC
 from driftline.operators import models as MD
 from driftline.operators.runlog import RunLog
-from driftline.plans.fixtures import LI_NUM, lineitem_windows
+from driftline.plans.fixtures import LI_NUM, lineitem_tagged
 from driftline.plans.ml_fixtures import iot
 from driftline.plans.registry import query, round_doubles
 from driftline.session import work_dir
@@ -155,8 +155,7 @@ def ddm_states(spark, sf_dir):
 @query("domain_auc", None, "drift")
 def domain_auc(spark, sf_dir):
     """Domain classifier: predict the window a row came from; AUC near 0.5 = no drift."""
-    base, cur = lineitem_windows(Tables(spark, sf_dir))
-    st = drift.stack(base, cur).withColumn("label", (F.col("_w") == 2).cast("double"))
+    st = lineitem_tagged(Tables(spark, sf_dir)).withColumn("label", (F.col("_w") == 2).cast("double"))
     va = VectorAssembler(inputCols=LI_NUM, outputCol="features")
     model = Pipeline(stages=[va, LogisticRegression(labelCol="label", maxIter=20)]).fit(st)
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(model.transform(st))
