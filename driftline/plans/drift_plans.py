@@ -128,6 +128,23 @@ def ks_statistic(spark, sf_dir):
     return ks
 
 
+KS_FIXED_SQL = _ecdf_sql(_long_sql(SHIFTED_W_SQL, NUM_LIST)) + f"""
+, k AS (SELECT feature, max(n1) AS n1, max(n2) AS n2, max(abs(cum1 / n1 - cum2 / n2)) AS ks_stat FROM e GROUP BY feature)
+SELECT feature, round(ks_stat, 8) AS ks_stat,
+       round({ks_pvalue_sql("ks_stat * sqrt(CAST(n1 AS DOUBLE) * n2 / (n1 + n2))")}, 3) AS p_value,
+       {ks_pvalue_sql("ks_stat * sqrt(CAST(n1 AS DOUBLE) * n2 / (n1 + n2))")} <= 0.05 AS drift
+FROM k
+"""
+
+
+@query("ks_fixed_alpha", KS_FIXED_SQL, "drift")
+def ks_fixed_alpha(spark, sf_dir):
+    """KS with a fixed alpha of 0.05 (no correction) and the p-value rounded to 3 digits."""
+    _, _, st = _stacked(spark, sf_dir, shifted=True)
+    ks = drift.ks_test(drift.to_long(st, LI_NUM), ["feature"], 0.05, 1)
+    return ks.select("feature", F.round("ks_stat", 8).alias("ks_stat"), F.round("p_value", 3).alias("p_value"), "drift")
+
+
 W1_SQL = _ecdf_sql(_long_sql(SHIFTED_W_SQL, NUM_LIST)) + """
 SELECT feature, round(sum(abs(cum1 / n1 - cum2 / n2) * coalesce(next_value - value, 0)), 6) AS wasserstein1
 FROM e GROUP BY feature

@@ -373,3 +373,28 @@ def pipeline_pre_post(spark, sf_dir):
                                     "AS price_class FROM __THIS__")
     model = Pipeline(stages=[pre, va, lr, post]).fit(df)
     return model.transform(df).groupBy("price_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("cv_in_pipeline_table", None, "tuning")
+def cv_in_pipeline_table(spark, sf_dir):
+    """CV placed inside the pipeline: indexer/assembler fitted once on all rows (faster, but the
+    folds see category statistics of their held-out rows); kept beside the leak-safe default."""
+    df, si, va, bins = _tree_frame(spark, sf_dir)
+    prepared = Pipeline(stages=[si, va]).fit(df).transform(df).withColumn("fold", H.fold_col("l_orderkey", 3))
+    rf = RandomForestRegressor(labelCol=LABEL, maxBins=bins, seed=42)
+    grid = ParamGridBuilder().addGrid(rf.maxDepth, [2, 5]).addGrid(rf.numTrees, [5, 10]).build()
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=LABEL),
+                        foldCol="fold", parallelism=4, seed=42)
+    model = cv.fit(prepared)
+    rows = [(int(pm[rf.maxDepth]), int(pm[rf.numTrees]), float(m)) for pm, m in zip(grid, model.avgMetrics)]
+    return spark.createDataFrame(rows, "max_depth int, num_trees int, avg_rmse double")
+
+
+@query("grid_trials", None, "tuning")
+def grid_trials(spark, sf_dir):
+    """Grid search of small models (one trial per task) from per-fold sufficient statistics."""
+    df = _listings(spark, sf_dir)
+    grid = [(i, float(a)) for i, a in enumerate([0.0, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0])]
+    cands = spark.createDataFrame(grid, "trial_id long, reg double")
+    return MD.cv_ridge_trials(df, ["l_quantity", "p_retailprice", "l_discount"], LABEL,
+                              H.fold_col("l_orderkey", 3), 3, cands).orderBy("loss")

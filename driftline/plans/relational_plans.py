@@ -503,3 +503,11 @@ def left_join_groups(spark, sf_dir):
                                             F.count(F.lit(1)).alias("n_lines"))
     return (t.part.select("p_partkey", "p_brand")
             .join(g.withColumnRenamed("l_partkey", "p_partkey"), "p_partkey", "left"))
+
+
+@query("rand_features", None, "functions")
+def rand_features(spark, sf_dir):
+    """Seeded random columns (scaled / shifted uniform and normal) added to the IoT facts."""
+    from driftline.plans.ml_fixtures import iot
+    f = iot(T(spark, sf_dir))
+    return f.select("record_id", "device_id", (F.rand(42) * 10 + 5).alias("u_5_15"), (F.randn(7) * 2 + 100).alias("n_100_2"))

@@ -37,3 +37,13 @@ def with_ltz_timestamps(df: DataFrame) -> DataFrame:
     return df.select([F.col(f.name).cast("timestamp").alias(f.name)
                       if isinstance(f.dataType, TimestampNTZType) else F.col(f.name)
                       for f in df.schema.fields])
+
+
+def head_pandas(df: DataFrame, n: int = 20):
+    """Bounded pull to the driver: ``limit`` first, then convert (never ``toPandas`` on a whole table)."""
+    return df.limit(n).toPandas()
+
+
+def from_pandas(spark: SparkSession, pdf, schema=None) -> DataFrame:
+    """Local rows / pandas -> DataFrame (Arrow path). For small reference inputs only."""
+    return spark.createDataFrame(pdf, schema=schema)
