@@ -142,7 +142,7 @@ def mann_whitney(long: DataFrame, keys: list[str], n_tests: int | None = None) -
     u = F.col("r1") - n1 * (n1 + 1) / 2
     mu = n1 * n2 / 2
     sigma = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    z = (u - mu - F.signum(u - mu) * 0.5) / sigma
+    z = F.try_divide(u - mu - F.signum(u - mu) * 0.5, sigma)
     return g.select(*keys, "n1", "n2", u.alias("u_stat"), z.alias("z_score"))
 
 
@@ -170,7 +170,7 @@ def chi2_test(counts: DataFrame, keys: list[str], alpha: float = 0.05,
         e = row * F.col(n) / big_n
         dev = F.abs(F.col(o) - e)
         dev = F.when(dof == 1, dev - F.least(F.lit(0.5), dev)).otherwise(dev)
-        return dev * dev / e
+        return F.try_divide(dev * dev, e)
 
     g = j.groupBy(*keys).agg(F.sum(term("o1", "n1") + term("o2", "n2")).alias("_chi2"),
                              F.first("k").alias("k"))
@@ -189,7 +189,7 @@ def chi2_goodness(counts: DataFrame, keys: list[str], n_tests: int | None = None
     tot = counts.groupBy(*keys).agg(F.sum("o1").alias("n1"), F.sum("o2").alias("n2"),
                                     F.count(F.lit(1)).alias("k"))
     j = join_bounded(counts, tot, keys, max_rows=n_tests)
-    e = F.col("o1") * F.col("n2") / F.col("n1")
+    e = F.try_divide(F.col("o1") * F.col("n2"), F.col("n1"))
     g = j.groupBy(*keys).agg(
         F.sum(F.when(e > 0, (F.col("o2") - e) * (F.col("o2") - e) / e).otherwise(0.0)).alias("chi2"),
         F.max(F.when((e == 0) & (F.col("o2") > 0), 1).otherwise(0)).alias("_unseen"),

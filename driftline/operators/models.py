@@ -145,7 +145,7 @@ def regression_metrics(df: DataFrame, label: str, pred: str, group_cols: list[st
             F.sum(e * e).alias("_sse"), F.var_pop(label).alias("_vy")]
     g = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
     return g.select(*group_cols, "n", F.sqrt("mse").alias("rmse"), "mse", "mae",
-                    (1 - F.col("_sse") / (F.col("_vy") * F.col("n"))).alias("r2"))
+                    (1 - F.try_divide(F.col("_sse"), F.col("_vy") * F.col("n"))).alias("r2"))
 
 
 def smape(df: DataFrame, label: str, pred: str, digits: int | None = None) -> DataFrame:
@@ -164,7 +164,7 @@ def confusion_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
     return g.select("tp", "fp", "fn", "tn",
-                    ((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))).alias("accuracy"),
+                    F.try_divide(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("accuracy"),
                     prec.alias("precision"), rec.alias("recall"),
                     F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
@@ -182,7 +182,7 @@ def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
               F.first("total_c").alias("n"))
     npos = F.col("npos").cast("double")
     nneg = (F.col("n") - F.col("npos")).cast("double")
-    return g.select((F.col("rsum") - npos * (npos + 1) / 2) / (npos * nneg)).toDF("auc")
+    return g.select(F.try_divide(F.col("rsum") - npos * (npos + 1) / 2, npos * nneg).alias("auc"))
 
 
 # ------------------------------------------------------------------------ MLlib helpers

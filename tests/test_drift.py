@@ -82,3 +82,15 @@ def test_rolling_pairs(spark):
     df = spark.range(0, 400).select((F.col("id") % 4).alias("period"), (F.col("id") * 1.0).alias("x"))
     out = drift.rolling_js(df, "period", ["x"]).collect()
     assert sorted(r["pair"] for r in out) == [1, 2, 3]
+
+
+def test_degenerate_windows_do_not_fail(spark):
+    """Empty current window, constant columns, single category: nulls/zeros, no errors."""
+    a = _frame(spark, {"x": [1.0, 1.0, 1.0], "c": ["u", "u", "u"]})
+    b = a.limit(0)
+    rep = drift.drift_report(a, b, ["c"], ["x"], with_ks=True).collect()
+    assert {r["test"] for r in rep} >= {"js_distance", "ks", "chi2"}
+    const = drift.js_distance(drift.to_long(drift.stack(a, a), ["x"]), ["feature"]).first()
+    assert const["js_distance"] == 0.0
+    mw = drift.mann_whitney(drift.to_long(drift.stack(a, a), ["x"]), ["feature"]).first()
+    assert mw["z_score"] is None or mw["z_score"] == mw["z_score"]
