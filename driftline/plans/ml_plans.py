@@ -398,3 +398,19 @@ def grid_trials(spark, sf_dir):
     cands = spark.createDataFrame(grid, "trial_id long, reg double")
     return MD.cv_ridge_trials(df, ["l_quantity", "p_retailprice", "l_discount"], LABEL,
                               H.fold_col("l_orderkey", 3), 3, cands).orderBy("loss")
+
+
+@query("multiclass_metrics", None, "ml")
+def multiclass_metrics(spark, sf_dir):
+    """Multi-class classification on vector features (embeddings -> label): f1, accuracy,
+    weighted recall and log loss from MLlib's evaluator, on held-out rows."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    emb = Tables(spark, sf_dir).embeddings.select("vec_id", array_to_vector("embedding").alias("features"),
+                                                  F.col("label").cast("double").alias("label"))
+    train, test = H.hash_split(emb, "vec_id", 80)
+    pred = LogisticRegression(maxIter=50, regParam=0.01).fit(train).transform(test)
+    ev = MulticlassClassificationEvaluator(labelCol="label")
+    vals = [(m, float(ev.setMetricName(m).evaluate(pred))) for m in ("f1", "accuracy", "weightedRecall", "logLoss")]
+    return spark.createDataFrame(vals, "metric string, value double")

@@ -70,3 +70,20 @@ def test_model_contract(spark):
     assert ok["passed"]
     bad = check_model_contract(model, li.drop("l_extendedprice"), {"l_quantity": "double", "x": "double"}, "prediction", "double")
     assert not bad["passed"] and bad["missing"] == ["x"]
+
+
+def test_approx_quantile_error_bound(spark):
+    from driftline.operators import profile as P
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    exact = P.quantiles(li, ["l_extendedprice"], [0.5], ["m"]).first()["m"]
+    approx = P.approx_quantiles(li, ["l_extendedprice"], [0.5], accuracy=100).first()["quantiles"][0]
+    n = li.count()
+    rank = li.filter(F.col("l_extendedprice") <= approx).count()
+    assert abs(rank - 0.5 * n) <= n / 100 + 1
+    assert exact > 0
+
+
+def test_feature_importances_sum_to_one(spark):
+    import __spark_entry__ as E
+    imp = E.queries()["feature_importance"](spark, SF001).collect()
+    assert abs(sum(r["importance"] for r in imp) - 1.0) < 1e-9
