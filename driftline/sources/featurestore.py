@@ -87,10 +87,13 @@ class FeatureStore:
     def drop_table(self, name: str) -> None:
         delete_path(self.spark, f"{self.root}/{name}")
 
-    def write_table(self, name: str, df: DataFrame, mode: str = "merge") -> int:
+    def write_table(self, name: str, df: DataFrame, mode: str = "merge", validate: bool = True) -> int:
+        """``validate`` checks key uniqueness with one grouped count (an extra pass over
+        ``df``); callers that guarantee unique keys can skip it."""
         meta = self.get_table(name)
         keys = meta["primary_keys"]
-        self._validate(df, keys)
+        if validate:
+            self._validate(df, keys)
         vt = self._vt(name)
         parts = meta["partition_columns"] or None
         if not vt.exists():

@@ -35,10 +35,16 @@ def write_n_files(df: DataFrame, path: str, n: int, mode: str = "overwrite") ->
     df.repartition(n).write.mode(mode).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite") -> None:
-    """Directory per value; repartitioning by the same columns first keeps one writer per
-    directory value instead of one file per (task, value)."""
-    df.repartition(*cols).write.mode(mode).partitionBy(*cols).parquet(path)
+def write_partitioned(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite",
+                      salt_buckets: int = 8, max_records_per_file: int = 5_000_000) -> None:
+    """Directory per value. Rows are first hash-partitioned by the partition columns plus a
+    deterministic salt (a hash of the row, so task retries place rows identically): a value
+    holding a third of the data is written by ``salt_buckets`` tasks instead of one, and
+    every directory gets at most ``salt_buckets`` files (split further past
+    ``max_records_per_file``)."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    (df.repartition(*[F.col(c) for c in cols], salt).write.mode(mode)
+     .option("maxRecordsPerFile", max_records_per_file).partitionBy(*cols).parquet(path))
 
 
 def file_inventory(df: DataFrame) -> DataFrame:
@@ -77,6 +83,7 @@ def clustered_rewrite(df: DataFrame, path: str, cols: list[str], n_files: int, m
     """OPTIMIZE ... ZORDER BY re-expressed: range-partition on the (Morton) key so each output
     file covers a narrow range of every clustering column; parquet min/max stats then skip
     files for range predicates."""
-    keyed = zorder_key(df, cols)
-    (keyed.repartitionByRange(n_files, "_z").sortWithinPartitions("_z").drop("_z")
+    keyed = zorder_key(df, cols).withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    # the row hash breaks ties so one very frequent key can still be cut into several files
+    (keyed.repartitionByRange(n_files, "_z", "_tie").sortWithinPartitions("_z").drop("_z", "_tie")
      .write.mode(mode).parquet(path))
