@@ -198,3 +198,47 @@ def max_bins_for(df: DataFrame, cat_cols: list[str], floor: int = 32) -> int:
 def vector_column_values(df: DataFrame, col: str) -> Column:
     from pyspark.ml.functions import vector_to_array
     return vector_to_array(F.col(col))
+
+
+# ------------------------------------------------------------------------ per-group MLlib models
+MAX_MODEL_GROUPS = 1000
+
+
+def grouped_mllib_fit(df: DataFrame, group_col: str, make_pipeline, label: str, out_dir: str,
+                      max_groups: int = MAX_MODEL_GROUPS) -> DataFrame:
+    """One MLlib model (e.g. a forest) per group, each fitted as a distributed job on its
+    group's rows, saved under ``out_dir/<group>``; returns (group, n_used, mse, model_path).
+
+    Unlike a grouped pandas function, a group holding a third of all rows is still trained by
+    the whole cluster. The number of groups is checked first: the driver loops over groups,
+    so past ``max_groups`` use :func:`grouped_linear_fit` (sufficient statistics) instead.
+    """
+    groups = [r[0] for r in df.select(group_col).distinct().limit(max_groups + 1).collect()]
+    if len(groups) > max_groups:
+        raise ValueError(f"{len(groups)}+ groups: too many for one model per group; use grouped_linear_fit")
+    # one partitioned copy, so each fit reads only its group's directory (partition pruning)
+    by_group = f"{out_dir.rstrip('/')}/_data"
+    df.write.mode("overwrite").partitionBy(group_col).parquet(by_group)
+    data = df.sparkSession.read.parquet(by_group)
+    rows = []
+    for g in sorted(groups):
+        part = data.filter(F.col(group_col) == F.lit(g))
+        model = make_pipeline().fit(part)
+        m = regression_metrics(model.transform(part), label, "prediction").first()
+        path = f"{out_dir.rstrip('/')}/models/{group_col}={g}"
+        model.write().overwrite().save(path)
+        rows.append((g, int(m["n"]), float(m["mse"]), path))
+    gtype = df.schema[group_col].dataType.simpleString()
+    return df.sparkSession.createDataFrame(rows, f"{group_col} {gtype}, n_used long, mse double, model_path string")
+
+
+def grouped_mllib_score(df: DataFrame, models: DataFrame, group_col: str) -> DataFrame:
+    """Score each group's rows with its saved model (one model load per group, the rows of
+    a group scored by a distributed transform); returns the union of the groups."""
+    from functools import reduce
+    from pyspark.ml import PipelineModel
+    parts = []
+    for r in models.select(group_col, "model_path").collect():  # one row per group (bounded above)
+        m = PipelineModel.load(r["model_path"])
+        parts.append(m.transform(df.filter(F.col(group_col) == F.lit(r[group_col]))))
+    return reduce(DataFrame.unionByName, parts)

@@ -94,3 +94,24 @@ def test_degenerate_windows_do_not_fail(spark):
     assert const["js_distance"] == 0.0
     mw = drift.mann_whitney(drift.to_long(drift.stack(a, a), ["x"]), ["feature"]).first()
     assert mw["z_score"] is None or mw["z_score"] == mw["z_score"]
+
+
+def test_job_count_does_not_grow_with_columns(spark):
+    """The report answers every column in the same jobs: 2 or 6 numeric columns, same count."""
+    sc = spark.sparkContext
+
+    def jobs(ncols, tag):
+        cols = {f"x{i}": _grid(200, i, i + 3) for i in range(ncols)}
+        cols["c"] = ["u", "v"] * 100
+        a = _frame(spark, cols)
+        b = _frame(spark, {k: (v[::-1] if k == "c" else v + 0.5) for k, v in cols.items()})
+        st = drift.stack(a, b).cache()
+        st.count()
+        sc.setJobGroup(tag, tag)
+        drift.drift_report_stacked(st, ["c"], [f"x{i}" for i in range(ncols)]).collect()
+        n = len(sc.statusTracker().getJobIdsForGroup(tag))
+        sc.setJobGroup("", "")
+        st.unpersist()
+        return n
+
+    assert jobs(2, "two") == jobs(6, "six")
