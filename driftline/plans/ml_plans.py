@@ -97,14 +97,20 @@ def _assembled(spark, sf_dir):
     return Pipeline(stages=stages), df
 
 
-@query("assembled_size", None, "ml")
+# one-hot drops the last category of each of the 4 string columns; 5 numeric columns pass as is
+WIDTH_SQL = """WITH l AS (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT CAST(count(DISTINCT l_returnflag) + count(DISTINCT l_linestatus) + count(DISTINCT p_brand) + count(DISTINCT p_type) - 4 + 5
+            AS INTEGER) AS width, count(*) AS count FROM l"""
+
+
+@query("assembled_size", WIDTH_SQL, "ml")
 def assembled_size(spark, sf_dir):
     pipe, df = _assembled(spark, sf_dir)
     out = pipe.fit(df).transform(df)
     return out.select(F.size(vector_to_array("features")).alias("width")).groupBy("width").count()
 
 
-@query("rformula_width", None, "ml")
+@query("rformula_width", WIDTH_SQL, "ml")
 def rformula_width(spark, sf_dir):
     df = _listings(spark, sf_dir).select(*CAT, *NUM, LABEL, "l_orderkey", "l_linenumber", "l_partkey")
     rf = RFormula(formula=f"{LABEL} ~ . - l_orderkey - l_linenumber - l_partkey", featuresCol="features", labelCol="label")
@@ -289,13 +295,25 @@ def regression_metrics(spark, sf_dir):
                     F.round("r2", 8).alias("r2"))
 
 
-@query("regression_evaluator", None, "ml")
+def _sig(col: str, digits: int = 9) -> str:
+    return f"round({col}, {digits} - CAST(ceil(log10(abs({col}))) AS INTEGER))"
+
+
+@query("regression_evaluator", f"""WITH e AS (SELECT l_extendedprice - {FIXED_PRED_SQL} AS r, l_extendedprice AS y
+                                            FROM lineitem JOIN part ON l_partkey = p_partkey),
+m AS (SELECT sqrt(avg(r * r)) AS rmse, avg(r * r) AS mse, avg(abs(r)) AS mae,
+             1 - sum(r * r) / (var_pop(y) * count(*)) AS r2 FROM e)
+SELECT 'rmse' AS metric, {_sig('rmse')} AS value FROM m UNION ALL SELECT 'mse', {_sig('mse')} FROM m
+UNION ALL SELECT 'mae', {_sig('mae')} FROM m UNION ALL SELECT 'r2', {_sig('r2')} FROM m""", "ml")
 def regression_evaluator(spark, sf_dir):
-    """MLlib's RegressionEvaluator on the same predictions (one job per metric)."""
+    """MLlib's RegressionEvaluator on the same predictions (one job per metric); values kept
+    to 9 significant digits so both engines hash the same digits."""
+    import math
     pred = _fixed_pred(spark, sf_dir)
     ev = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction")
     vals = {m: ev.setMetricName(m).evaluate(pred) for m in ("rmse", "mse", "mae", "r2")}
-    return spark.createDataFrame([(k, float(v)) for k, v in vals.items()], "metric string, value double")
+    sig = {k: round(v, 9 - math.ceil(math.log10(abs(v)))) if v else 0.0 for k, v in vals.items()}
+    return spark.createDataFrame([(k, float(v)) for k, v in sig.items()], "metric string, value double")
 
 
 CONF_SQL = """WITH s AS (SELECT CAST(l_extendedprice >= 50000 AS INTEGER) AS y,

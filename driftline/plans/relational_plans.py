@@ -318,7 +318,7 @@ def latest_per_key(spark, sf_dir):
                        "o_totalprice")
 
 
-@query("sql_limit", None, "scan")
+@query("sql_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10", "scan")
 def sql_limit(spark, sf_dir):
     T(spark, sf_dir).orders.createOrReplaceTempView("orders_view")
     return spark.sql("SELECT * FROM orders_view ORDER BY o_orderkey LIMIT 10")

@@ -54,7 +54,9 @@ def timestamp_as_of(spark, sf_dir):
     return _status_agg(vt.read(timestamp=ts0))
 
 
-@query("version_history", None, "versions")
+@query("version_history", """SELECT 2 AS version, 'OVERWRITE' AS operation, 'overwrite' AS mode, count(*) AS n_rows FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 1, 'OVERWRITE', 'overwrite', count(*) FROM orders WHERE o_totalprice > 100000
+UNION ALL SELECT 0, 'WRITE', 'error', count(*) FROM orders WHERE o_orderstatus = 'F'""", "versions")
 def version_history(spark, sf_dir):
     return _three_versions(spark, sf_dir).history().select("version", "operation", "mode", "n_rows")
 
