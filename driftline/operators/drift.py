@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from driftline.functions.stats import chi2_sf, ks_pvalue_sql, xlogy_ratio
 from driftline.operators.ecdf import exact_quantiles, prefix_sums
 from driftline.operators.joins import join_bounded
+from driftline.session import ensure_checkpoint_dir
 
 W = "_w"
 
@@ -48,14 +49,20 @@ def _n(w: int) -> F.Column:
 
 
 # ---------------------------------------------------------------- Jensen-Shannon / histograms
-def histogram_counts(long: DataFrame, keys: list[str], bins: int = 20, n_tests: int | None = None) -> DataFrame:
+def histogram_counts(long: DataFrame, keys: list[str], bins: int = 20, n_tests: int | None = None,
+                     rng: DataFrame | None = None) -> DataFrame:
     """Fixed-width histogram of both windows over their joint [lo, hi], last bin closed.
 
     Returns keys, bin, c1, c2, n1, n2, lo, hi (every bin 0..bins-1 present, zero-filled).
     The per-key range table has one row per test: broadcast when ``n_tests`` bounds it.
+    ``rng`` (keys, lo, hi, n1, n2) may be given when an earlier pass already computed it.
     """
-    rng = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
-                                  _n(1).alias("n1"), _n(2).alias("n2"))
+    if rng is None:
+        # one row per key, used twice below (bin edges, zero-filled grid): materialise it once
+        # so the table is scanned by this pass and the counting pass only
+        ensure_checkpoint_dir(long.sparkSession)
+        rng = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
+                                      _n(1).alias("n1"), _n(2).alias("n2")).checkpoint(eager=True)
     b = (F.when(F.col("hi") == F.col("lo"), F.lit(0))
          .otherwise(F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
                             F.lit(bins - 1))).cast("int"))
@@ -63,14 +70,16 @@ def histogram_counts(long: DataFrame, keys: list[str], bins: int = 20, n_tests:
               .groupBy(*keys, b.alias("bin")).agg(_n(1).alias("c1"), _n(2).alias("c2")))
     grid = rng.select(*keys, "lo", "hi", "n1", "n2",
                       F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (grid.join(counts, [*keys, "bin"], "left")
+    cells = None if n_tests is None else n_tests * bins
+    return (join_bounded(grid, counts, [*keys, "bin"], "left", max_rows=cells)
             .select(*keys, "bin", F.coalesce("c1", F.lit(0)).alias("c1"),
                     F.coalesce("c2", F.lit(0)).alias("c2"), "n1", "n2", "lo", "hi"))
 
 
-def js_distance(long: DataFrame, keys: list[str], bins: int = 20, n_tests: int | None = None) -> DataFrame:
+def js_distance(long: DataFrame, keys: list[str], bins: int = 20, n_tests: int | None = None,
+                rng: DataFrame | None = None) -> DataFrame:
     """Jensen-Shannon distance (base 2) of the two windows' histograms: keys, n1, n2, js_distance."""
-    h = histogram_counts(long, keys, bins, n_tests)
+    h = histogram_counts(long, keys, bins, n_tests, rng)
     p = F.try_divide(F.col("c1"), F.col("n1"))
     q = F.try_divide(F.col("c2"), F.col("n2"))
     m = (p + q) / 2
@@ -259,13 +268,47 @@ def drift_report(base: DataFrame, current: DataFrame, cat_cols: list[str], num_c
                                 alpha, js_threshold, with_ks)
 
 
+def window_profile(st: DataFrame, num_cols: list[str], cat_cols: list[str]) -> DataFrame:
+    """Everything the report needs except the histogram, from ONE scan of ``st``.
+
+    Every column is unpivoted to a ``struct<x double, cat string>`` (numeric value or category)
+    and one grouped aggregate keyed by (feature, category) returns, per numeric feature, one
+    row with the joint range and per-window counts, and per categorical feature one row per
+    category (the contingency cells) plus its null row. ``nz1``/``nz2`` count the non-null
+    values of a window, ``z1``/``z2`` the nulls.
+
+    The result holds #numeric + #categories rows, so it is checkpointed (reliable, under
+    ``spark.checkpoint.dir``) and the later steps read it instead of re-scanning the table.
+    """
+    ensure_checkpoint_dir(st.sparkSession)
+    cols = [*num_cols, *cat_cols]
+    vals = ([F.struct(F.col(c).cast("double").alias("x"), F.lit(None).cast("string").alias("cat")).alias(c)
+             for c in num_cols]
+            + [F.struct(F.lit(None).cast("double").alias("x"), F.col(c).cast("string").alias("cat")).alias(c)
+               for c in cat_cols])
+    long = st.select(W, *vals).unpivot([W], cols, "feature", "v")
+    isnull = F.col("v.x").isNull() & F.col("v.cat").isNull()
+    g = long.groupBy("feature", F.col("v.cat").alias("value")).agg(
+        F.min("v.x").alias("lo"), F.max("v.x").alias("hi"),
+        F.count_if((F.col(W) == 1) & ~isnull).alias("nz1"), F.count_if((F.col(W) == 2) & ~isnull).alias("nz2"),
+        F.count_if((F.col(W) == 1) & isnull).alias("z1"), F.count_if((F.col(W) == 2) & isnull).alias("z2"))
+    return g.withColumn("is_num", F.col("feature").isin(num_cols)).checkpoint(eager=True)
+
+
 def drift_report_stacked(st: DataFrame, cat_cols: list[str], num_cols: list[str], alpha: float = 0.05,
                          js_threshold: float = 0.2, with_ks: bool = False) -> DataFrame:
-    """:func:`drift_report` over one frame already tagged with ``_w`` (see :func:`tag_windows`)."""
+    """:func:`drift_report` over one frame already tagged with ``_w`` (see :func:`tag_windows`).
+
+    Two scans of ``st`` for any number of columns: :func:`window_profile` (ranges, contingency
+    cells, nulls) and the histogram pass, which joins the broadcast range table (one row per
+    numeric feature)."""
     cols = [*num_cols, *cat_cols]
+    prof = window_profile(st, num_cols, cat_cols)
     parts = []
     if num_cols:
-        js = js_distance(to_long(st, num_cols), ["feature"], n_tests=len(num_cols))
+        rng = prof.filter(F.col("is_num")).select("feature", "lo", "hi", F.col("nz1").alias("n1"),
+                                                   F.col("nz2").alias("n2"))
+        js = js_distance(to_long(st, num_cols), ["feature"], n_tests=len(num_cols), rng=rng)
         parts.append(js.select("feature", F.lit("js_distance").alias("test"),
                                F.col("js_distance").alias("statistic"),
                                F.lit(None).cast("double").alias("p_value"),
@@ -276,11 +319,18 @@ def drift_report_stacked(st: DataFrame, cat_cols: list[str], num_cols: list[str]
         parts.append(ks.select("feature", F.lit("ks").alias("test"), F.col("ks_stat").alias("statistic"),
                                "p_value", F.col("alpha_corrected").alias("threshold"), "drift"))
     if cat_cols:
-        ch = chi2_test(category_counts(st, cat_cols), ["feature"], alpha, len(cat_cols))
+        cells = prof.filter(~F.col("is_num") & F.col("value").isNotNull()).select(
+            "feature", "value", F.col("nz1").alias("o1"), F.col("nz2").alias("o2"))
+        ch = chi2_test(cells, ["feature"], alpha, len(cat_cols))
         parts.append(ch.select("feature", F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"),
                                "p_value", F.col("alpha_corrected").alias("threshold"), "drift"))
-    nulls = st.groupBy(W).agg(reduce(lambda a, b: a + b,
-                                      [F.count_if(F.col(c).isNull()) for c in cols]).alias("nulls"))
+    # rows of a window = non-null + null values of any one column; empty windows get no row
+    first = F.col("feature") == cols[0]
+    tot = prof.agg(*[F.sum(f"z{w}").alias(f"nulls_{w}") for w in (1, 2)],
+                   *[F.sum(F.when(first, F.col(f"nz{w}") + F.col(f"z{w}"))).alias(f"rows_{w}") for w in (1, 2)])
+    nulls = (tot.select(F.explode(F.array(*[F.struct(F.lit(w).alias(W), F.col(f"nulls_{w}").alias("nulls"),
+                                                     F.col(f"rows_{w}").alias("rows")) for w in (1, 2)])).alias("t"))
+             .select("t.*").filter(F.col("rows") > 0))
     parts.append(nulls.select(F.lit("*").alias("feature"),
                               F.concat(F.lit("total_nulls_"), F.col(W).cast("string")).alias("test"),
                               F.col("nulls").cast("double").alias("statistic"),

@@ -46,3 +46,19 @@ def test_oracle_sf0001(spark, name):
     a = E.queries()[name](spark, SF001).toPandas()
     b = con.execute(E.oracle_sql()[name]).df()
     assert _norm(a) == _norm(b)
+
+
+def _scans(df) -> int:
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    return plan.count("FileScan parquet")
+
+
+def test_drift_report_scans_table_twice(spark):
+    """The profile pass is materialised when the report is built (one scan); the report plan
+    itself scans the table once more (the histogram) whatever the number of columns."""
+    assert _scans(E.queries()["drift_report"](spark, SF001)) == 1
+
+
+def test_js_distance_range_pass_materialised(spark):
+    assert _scans(E.queries()["js_distance"](spark, SF001)) == 1
