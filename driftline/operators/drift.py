@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.stats import chi2_sf, ks_pvalue_sql, xlogy_ratio
-from driftline.operators.ecdf import exact_quantiles, prefix_sums
+from driftline.operators.ecdf import exact_quantiles, prefix_sums, value_statistics
 from driftline.operators.joins import join_bounded
 from driftline.session import ensure_checkpoint_dir
 
@@ -230,13 +230,9 @@ SUMMARY_STATS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 def summary_long(long: DataFrame, keys: list[str], n_tests: int | None = None) -> DataFrame:
     """count, mean, sample std, min, exact quartiles (linear interpolation), max per key."""
-    basic = long.groupBy(*keys).agg(F.count("value").cast("double").alias("count"),
-                                    F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-                                    F.min("value").alias("min"), F.max("value").alias("max"))
-    vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c"))
-    r = prefix_sums(vc, keys, "value", ["c"], n_keys=n_tests)
-    q = exact_quantiles(r, keys, "value", "c", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    return basic.join(q, keys)
+    st = value_statistics(long, keys, n_keys=n_tests)  # one scan of ``long``
+    return st.select(*keys, F.col("n").cast("double").alias("count"), "mean", "std", "min", "max",
+                     "p25", "p50", "p75")
 
 
 def summary_pct_change(base: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:

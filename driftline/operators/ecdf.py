@@ -84,22 +84,63 @@ def exact_quantiles(ranked: DataFrame, keys: list[str], value_col: str, count_co
     Each distinct value checks whether it holds rank floor(h) or ceil(h), h = (n-1)p, and a
     grouped ``max`` picks them up: no collect, no single-task sort.
     """
+    aggs, finals = quantile_aggs(value_col, count_col, probs, names)
+    return ranked.groupBy(*keys).agg(*aggs).select(*[F.col(k) for k in keys], *finals)
+
+
+def quantile_aggs(value_col: str, count_col: str, probs: list[float], names: list[str]):
+    """(aggregate expressions, final expressions) of :func:`exact_quantiles`, so callers can
+    fold the quantiles into a grouped aggregate that computes other statistics too."""
     cum = F.col(f"cum_{count_col}")
     before = cum - F.col(count_col)
     n = F.col(f"total_{count_col}")
-    aggs = []
+    aggs, finals = [], []
     for p, name in zip(probs, names):
         h = (n - 1) * F.lit(float(p))
         lo_r, hi_r = F.floor(h), F.ceil(h)
         aggs.append(F.max(F.when((before <= lo_r) & (lo_r < cum), F.col(value_col))).alias(f"_{name}_lo"))
         aggs.append(F.max(F.when((before <= hi_r) & (hi_r < cum), F.col(value_col))).alias(f"_{name}_hi"))
         aggs.append(F.max(h - lo_r).alias(f"_{name}_frac"))
-    g = ranked.groupBy(*keys).agg(*aggs)
-    out = [F.col(k) for k in keys]
-    for name in names:
         lo, hi, fr = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_frac")
-        out.append((lo + fr * (hi - lo)).alias(name))
-    return g.select(*out)
+        finals.append((lo + fr * (hi - lo)).alias(name))
+    return aggs, finals
+
+
+def value_statistics(long: DataFrame, keys: list[str], value_col: str = "value",
+                     probs: list[float] = (0.25, 0.5, 0.75), names: list[str] = ("p25", "p50", "p75"),
+                     n_keys: int | None = None) -> DataFrame:
+    """Every per-key statistic of a long ``(keys..., value)`` frame (nulls allowed) from ONE
+    scan of it.
+
+    One aggregate with grouping sets ``((keys, value), (keys))`` yields both the table of
+    distinct values with their counts (map-side combined, so a hot value is one row) and one
+    row per key with the moments over the raw rows (``avg``/``stddev_samp``, as a plain
+    aggregate computes them). Both go through :func:`prefix_sums`, which range-cuts and
+    checkpoints them; a last grouped aggregate over that materialised table returns
+
+    keys, n (non-null values), n_null, n_distinct, min, max, mean, std (sample), the exact
+    quantiles ``names`` and mode (most frequent value, ties -> smallest).
+    """
+    v = F.col(value_col)
+    g = long.groupingSets([[*keys, value_col], list(keys)], *keys, value_col).agg(
+        F.count(F.lit(1)).alias("_k"), F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"),
+        F.grouping_id().alias("_gid"))
+    is_val = F.col("_gid") == 0
+    stats_row = ~is_val
+    # the per-key row and a null value both sort first and carry c = 0: no running count moves
+    vc = g.select(*keys, F.when(is_val, v).alias(value_col),
+                  F.when(is_val & v.isNotNull(), F.col("_k")).otherwise(0).alias("c"),
+                  F.when(is_val & v.isNull(), F.col("_k")).otherwise(0).alias("cn"),
+                  F.when(stats_row, F.col("_mean")).alias("_mean"), F.when(stats_row, F.col("_std")).alias("_std"))
+    r = prefix_sums(vc, keys, value_col, ["c"], n_keys=n_keys)
+    q_aggs, q_finals = quantile_aggs(value_col, "c", list(probs), list(names))
+    s1 = r.groupBy(*keys).agg(
+        F.sum("c").alias("n"), F.sum("cn").alias("n_null"), F.count(v).alias("n_distinct"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.max("_mean").alias("mean"), F.max("_std").alias("std"),
+        F.min(F.when(v.isNotNull(), F.struct((-F.col("c")).alias("neg"), v.alias("v")))).alias("_m"),
+        *q_aggs)
+    return s1.select(*keys, "n", "n_null", "n_distinct", "min", "max", "mean", "std", *q_finals,
+                     F.col("_m.v").alias("mode"))
 
 
 def prefix_min(df: DataFrame, keys: list[str], order_col: str, min_col: str, out: str,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.operators.ecdf import exact_quantiles, prefix_sums
+from driftline.operators.ecdf import exact_quantiles, prefix_sums, value_statistics
 
 
 def long_values(df: DataFrame, cols: list[str], cast: str = "double", keep_nulls: bool = False) -> DataFrame:
@@ -35,8 +35,10 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], names: list[st
 
 
 def summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """describe + exact quartiles."""
-    return describe(df, cols).join(quantiles(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"]), "feature")
+    """describe + exact quartiles, all from one scan (see :func:`value_statistics`)."""
+    st = value_statistics(long_values(df, cols), ["feature"], n_keys=len(cols))
+    return st.select("feature", F.col("n").alias("count"), "mean", F.col("std").alias("stddev"), "min", "max",
+                     "p25", "p50", "p75")
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
@@ -49,23 +51,12 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], accurac
 def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per numeric column: rows, missing, distinct, min/max/mean/std, quartiles, mode.
 
-    Distinct counts and the mode come from the same distinct-value table the quantiles use,
-    so the whole profile is a handful of shuffles regardless of the number of columns.
+    One scan: the distinct-value table (nulls included as one row per column) is materialised
+    once and every statistic is read off it, whatever the number of columns.
     """
-    allv = long_values(df, cols, keep_nulls=True)
-    base = allv.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value").isNull()).alias("n_missing"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    vc = allv.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
-    per = vc.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n_distinct"),
-        F.min(F.struct((-F.col("c")).alias("neg"), F.col("value").alias("v"))).alias("_m"))
-    r = prefix_sums(vc, ["feature"], "value", ["c"], n_keys=len(cols))
-    q = exact_quantiles(r, ["feature"], "value", "c", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    return (base.join(per, "feature").join(q, "feature")
-            .select("feature", "n_rows", "n_missing", "n_distinct", "min", "max", "mean", "std",
-                    "p25", "p50", "p75", F.col("_m.v").alias("mode")))
+    st = value_statistics(long_values(df, cols, keep_nulls=True), ["feature"], n_keys=len(cols))
+    return st.select("feature", (F.col("n") + F.col("n_null")).alias("n_rows"), F.col("n_null").alias("n_missing"),
+                     "n_distinct", "min", "max", "mean", "std", "p25", "p50", "p75", "mode")
 
 
 def category_profile(df: DataFrame, cols: list[str]) -> DataFrame:

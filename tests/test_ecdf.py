@@ -44,3 +44,34 @@ def test_prefix_min_struct(spark):
     out = prefix_min(df, ["k"], "o", "s", "run", segments=3).orderBy("o").toPandas()
     got = [r["m"] if r is not None else None for r in out["run"]]
     assert got == [5.0, 3.0, 3.0, 3.0, 1.0, 1.0, 1.0, 0.5]
+
+
+def test_value_statistics_match_pandas(spark):
+    """All statistics from one scan vs pandas: nulls, a hot value holding a third of the rows,
+    a constant feature and an all-null feature."""
+    from driftline.operators.ecdf import value_statistics
+    rng = np.random.default_rng(3)
+    n = 900
+    a = rng.normal(10, 3, n).round(1)
+    a[: n // 3] = 7.0  # hot value
+    a[rng.random(n) < 0.1] = np.nan
+    frames = [pd.DataFrame({"feature": "a", "value": a}),
+              pd.DataFrame({"feature": "const", "value": np.full(50, 2.5)}),
+              pd.DataFrame({"feature": "empty", "value": np.full(20, np.nan)})]
+    pdf = pd.concat(frames, ignore_index=True)
+    df = spark.createDataFrame(pdf).select("feature", F.when(~F.isnan("value"), F.col("value")).alias("value"))
+    out = value_statistics(df.repartition(5), ["feature"], n_keys=3).toPandas().set_index("feature")
+    for f, g in pdf.groupby("feature"):
+        v = g["value"].dropna()
+        row = out.loc[f]
+        assert row["n"] == len(v) and row["n_null"] == g["value"].isna().sum()
+        assert row["n_distinct"] == v.nunique()
+        if len(v) == 0:
+            assert pd.isna(row["mean"]) and pd.isna(row["p50"]) and pd.isna(row["mode"])
+            continue
+        np.testing.assert_allclose([row["min"], row["max"], row["mean"]], [v.min(), v.max(), v.mean()])
+        np.testing.assert_allclose([row["p25"], row["p50"], row["p75"]], v.quantile([0.25, 0.5, 0.75]).to_numpy())
+        if len(v) > 1:
+            np.testing.assert_allclose(row["std"], v.std(ddof=1), atol=1e-12)
+        counts = v.value_counts()
+        assert row["mode"] == min(counts[counts == counts.max()].index)
