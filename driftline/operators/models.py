@@ -232,13 +232,23 @@ def grouped_mllib_fit(df: DataFrame, group_col: str, make_pipeline, label: str,
     return df.sparkSession.createDataFrame(rows, f"{group_col} {gtype}, n_used long, mse double, model_path string")
 
 
-def grouped_mllib_score(df: DataFrame, models: DataFrame, group_col: str) -> DataFrame:
+def grouped_mllib_score(df: DataFrame, models: DataFrame, group_col: str, work_path: str | None = None) -> DataFrame:
     """Score each group's rows with its saved model (one model load per group, the rows of
-    a group scored by a distributed transform); returns the union of the groups."""
+    a group scored by a distributed transform); returns the union of the groups.
+
+    ``df`` is first written once partitioned by the group (a hot group is written by every
+    task that holds its rows), so each group's branch reads only its own directory: the input
+    is read twice in total, not once per group."""
     from functools import reduce
     from pyspark.ml import PipelineModel
+    from driftline.session import work_dir
+    spark = df.sparkSession
+    path = work_path or work_dir(spark, "score-by-group")
+    gtype = df.schema[group_col].dataType
+    df.write.mode("overwrite").partitionBy(group_col).parquet(path)
+    data = spark.read.parquet(path).withColumn(group_col, F.col(group_col).cast(gtype)).select(*df.columns)
     parts = []
     for r in models.select(group_col, "model_path").collect():  # one row per group (bounded above)
         m = PipelineModel.load(r["model_path"])
-        parts.append(m.transform(df.filter(F.col(group_col) == F.lit(r[group_col]))))
+        parts.append(m.transform(data.filter(F.col(group_col) == F.lit(r[group_col]))))
     return reduce(DataFrame.unionByName, parts)
