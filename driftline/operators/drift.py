@@ -159,10 +159,13 @@ def mann_whitney(long: DataFrame, keys: list[str], n_tests: int | None = None) -
 def category_counts(stacked: DataFrame, cols: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
     """Contingency counts (keys, feature, value, o1, o2), nulls dropped, missing cells = 0.
 
-    One grouped count replaces the full outer join of two value-count tables.
+    One grouped count replaces the full outer join of two value-count tables. The table
+    (#features x #categories rows) is read twice by the tests (cells and per-feature totals),
+    so it is materialised once instead of scanning the source twice.
     """
+    ensure_checkpoint_dir(stacked.sparkSession)
     long = to_long(stacked, cols, keys, cast="string")
-    return long.groupBy(*keys, "feature", "value").agg(_n(1).alias("o1"), _n(2).alias("o2"))
+    return long.groupBy(*keys, "feature", "value").agg(_n(1).alias("o1"), _n(2).alias("o2")).checkpoint(eager=True)
 
 
 def chi2_test(counts: DataFrame, keys: list[str], alpha: float = 0.05,

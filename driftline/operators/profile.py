@@ -62,14 +62,15 @@ def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
 def category_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per categorical column: rows, missing, unique values, mode (ties -> smallest)."""
     allv = long_values(df, cols, cast="string", keep_nulls=True)
-    base = allv.groupBy("feature").agg(F.count(F.lit(1)).alias("n_rows"),
-                                       F.count_if(F.col("value").isNull()).alias("n_missing"))
-    vc = allv.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    # one scan: value counts with the null group included, then one row per column
+    vc = allv.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    v = F.col("value")
     per = vc.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n_unique"),
-        F.min(F.struct((-F.col("c")).alias("neg"), F.col("value").alias("v"))).alias("_m"))
-    return base.join(per, "feature").select("feature", "n_rows", "n_missing", "n_unique",
-                                            F.col("_m.v").alias("mode"), (-F.col("_m.neg")).alias("mode_count"))
+        F.sum("c").alias("n_rows"), F.coalesce(F.sum(F.when(v.isNull(), F.col("c"))), F.lit(0)).alias("n_missing"),
+        F.count(v).alias("n_unique"),
+        F.min(F.when(v.isNotNull(), F.struct((-F.col("c")).alias("neg"), v.alias("v")))).alias("_m"))
+    return per.select("feature", "n_rows", "n_missing", "n_unique",
+                      F.col("_m.v").alias("mode"), (-F.col("_m.neg")).alias("mode_count"))
 
 
 def value_counts(df: DataFrame, c: str) -> DataFrame:
