@@ -196,7 +196,7 @@ def group_count(spark, sf_dir):
     return T(spark, sf_dir).orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("daily_sums", """SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, dayofweek(o_orderdate) + 1 AS dow,
+@query("daily_sums", """SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS dow,
        count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
 FROM orders GROUP BY 1, 2""", "agg")
 def daily_sums(spark, sf_dir):
