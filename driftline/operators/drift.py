@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from driftline.functions.stats import chi2_sf, ks_pvalue_sql, xlogy_ratio
 from driftline.operators.ecdf import exact_quantiles, prefix_sums, value_statistics
 from driftline.operators.joins import join_bounded
-from driftline.session import ensure_checkpoint_dir
+from driftline.session import materialize_small
 
 W = "_w"
 
@@ -60,9 +60,8 @@ def histogram_counts(long: DataFrame, keys: list[str], bins: int = 20, n_tests:
     if rng is None:
         # one row per key, used twice below (bin edges, zero-filled grid): materialise it once
         # so the table is scanned by this pass and the counting pass only
-        ensure_checkpoint_dir(long.sparkSession)
-        rng = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
-                                      _n(1).alias("n1"), _n(2).alias("n2")).checkpoint(eager=True)
+        rng = materialize_small(long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
+                                                        _n(1).alias("n1"), _n(2).alias("n2")))
     b = (F.when(F.col("hi") == F.col("lo"), F.lit(0))
          .otherwise(F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
                             F.lit(bins - 1))).cast("int"))
@@ -163,9 +162,8 @@ def category_counts(stacked: DataFrame, cols: list[str], keys: tuple[str, ...] =
     (#features x #categories rows) is read twice by the tests (cells and per-feature totals),
     so it is materialised once instead of scanning the source twice.
     """
-    ensure_checkpoint_dir(stacked.sparkSession)
     long = to_long(stacked, cols, keys, cast="string")
-    return long.groupBy(*keys, "feature", "value").agg(_n(1).alias("o1"), _n(2).alias("o2")).checkpoint(eager=True)
+    return materialize_small(long.groupBy(*keys, "feature", "value").agg(_n(1).alias("o1"), _n(2).alias("o2")))
 
 
 def chi2_test(counts: DataFrame, keys: list[str], alpha: float = 0.05,
@@ -276,10 +274,9 @@ def window_profile(st: DataFrame, num_cols: list[str], cat_cols: list[str]) -> D
     category (the contingency cells) plus its null row. ``nz1``/``nz2`` count the non-null
     values of a window, ``z1``/``z2`` the nulls.
 
-    The result holds #numeric + #categories rows, so it is checkpointed (reliable, under
-    ``spark.checkpoint.dir``) and the later steps read it instead of re-scanning the table.
+    The result holds #numeric + #categories rows, so it is checkpointed once under
+    ``spark.checkpoint.dir`` and the later steps read it instead of re-scanning the source.
     """
-    ensure_checkpoint_dir(st.sparkSession)
     cols = [*num_cols, *cat_cols]
     vals = ([F.struct(F.col(c).cast("double").alias("x"), F.lit(None).cast("string").alias("cat")).alias(c)
              for c in num_cols]
@@ -291,7 +288,7 @@ def window_profile(st: DataFrame, num_cols: list[str], cat_cols: list[str]) -> D
         F.min("v.x").alias("lo"), F.max("v.x").alias("hi"),
         F.count_if((F.col(W) == 1) & ~isnull).alias("nz1"), F.count_if((F.col(W) == 2) & ~isnull).alias("nz2"),
         F.count_if((F.col(W) == 1) & isnull).alias("z1"), F.count_if((F.col(W) == 2) & isnull).alias("z2"))
-    return g.withColumn("is_num", F.col("feature").isin(num_cols)).checkpoint(eager=True)
+    return materialize_small(g.withColumn("is_num", F.col("feature").isin(num_cols)))
 
 
 def drift_report_stacked(st: DataFrame, cat_cols: list[str], num_cols: list[str], alpha: float = 0.05,

@@ -6,8 +6,9 @@ to one task. Instead we use a two-level prefix sum:
 1. ``repartitionByRange(keys, order)`` lets Spark's sampling range partitioner cut the
    (already de-duplicated) values into balanced, ordered segments. A hot value cannot skew
    it: callers aggregate to one row per distinct value first.
-2. The segments are checkpointed (reliable checkpoint under ``spark.checkpoint.dir``) so the
-   segment ids are stable across the two passes and across executor loss.
+2. The segment id (the range partition) is written with the rows as a parquet table under
+   ``spark.checkpoint.dir`` (:func:`driftline.session.materialize`), so it is stable across
+   the two passes and across executor loss.
 3. Per-(key, segment) totals form a table bounded by ``#segments + #keys`` rows; a window over
    it gives each segment's offset. It is broadcast only when the caller can bound ``#keys``
    (features of a schema, say); otherwise the join is left to AQE, which broadcasts it at run
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.operators.joins import join_bounded
-from driftline.session import ensure_checkpoint_dir
+from driftline.session import ensure_checkpoint_dir, materialize
 
 
 def _bound(nseg: int, keys: list[str], n_keys: int | None) -> int | None:
@@ -47,8 +48,9 @@ def prefix_sums(df: DataFrame, keys: list[str], order_col: str, sum_cols: list[s
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     nseg = segments or _num_segments(df)
-    ranged = df.repartitionByRange(nseg, *keys, order_col).checkpoint(eager=True)
-    tagged = ranged.withColumn("_seg", F.spark_partition_id())
+    # the segment id is stored with the rows, so it cannot change when a task is retried later
+    tagged = materialize(df.repartitionByRange(nseg, *keys, order_col)
+                         .withColumn("_seg", F.spark_partition_id()), "segments")
 
     seg = tagged.groupBy(*keys, "_seg").agg(
         *[F.sum(c).alias(f"_seg_{c}") for c in sum_cols],
@@ -116,7 +118,7 @@ def value_statistics(long: DataFrame, keys: list[str], value_col: str = "value",
     distinct values with their counts (map-side combined, so a hot value is one row) and one
     row per key with the moments over the raw rows (``avg``/``stddev_samp``, as a plain
     aggregate computes them). Both go through :func:`prefix_sums`, which range-cuts and
-    checkpoints them; a last grouped aggregate over that materialised table returns
+    writes them as one table; a last grouped aggregate over that materialised table returns
 
     keys, n (non-null values), n_null, n_distinct, min, max, mean, std (sample), the exact
     quantiles ``names`` and mode (most frequent value, ties -> smallest).
@@ -151,8 +153,8 @@ def prefix_min(df: DataFrame, keys: list[str], order_col: str, min_col: str, out
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     nseg = segments or _num_segments(df)
-    tagged = (df.repartitionByRange(nseg, *keys, order_col).checkpoint(eager=True)
-              .withColumn("_seg", F.spark_partition_id()))
+    tagged = materialize(df.repartitionByRange(nseg, *keys, order_col)
+                         .withColumn("_seg", F.spark_partition_id()), "segments")
     seg = tagged.groupBy(*keys, "_seg").agg(F.min(min_col).alias("_segmin"))
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = seg.select(*keys, "_seg", F.min("_segmin").over(before).alias("_prevmin"))

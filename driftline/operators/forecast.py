@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.session import ensure_checkpoint_dir
+from driftline.session import materialize_small
 
 EPOCH = "1970-01-01"
 
@@ -17,8 +17,7 @@ EPOCH = "1970-01-01"
 def daily_series(df: DataFrame, time_col: str, value_col: str) -> DataFrame:
     """Daily sums, materialised once (one row per calendar day): the holdout split, the
     weekday fits and the horizon all read it, so the source is scanned once."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.groupBy(F.to_date(time_col).alias("day")).agg(F.sum(value_col).alias("y")).checkpoint(eager=True)
+    return materialize_small(df.groupBy(F.to_date(time_col).alias("day")).agg(F.sum(value_col).alias("y")))
 
 
 def holdout_last(daily: DataFrame, days: int) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -86,3 +86,22 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as a parquet table in a fresh folder under the shared checkpoint
+    folder and return a reader over it: a lineage cut that survives executor loss, costs one
+    job (an eager ``checkpoint`` runs its input twice: once to count, once to write), and is
+    read back columnar with column pruning."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def materialize_small(df: DataFrame) -> DataFrame:
+    """Lineage cut for a table with a known small bound (one row per feature, per category,
+    per day): a reliable eager ``checkpoint`` under ``spark.checkpoint.dir``. Running its small
+    input twice costs less than a table commit; data-sized tables use :func:`materialize`."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
