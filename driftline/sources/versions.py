@@ -67,8 +67,9 @@ class VersionedTable:
         return self.history().select("version", "paths", "schema_json").first()
 
     def _commit(self, operation: str, mode: str | None, paths: list[str], schema_json: str | None,
-                n_rows: int | None, params: dict | None = None) -> int:
-        last = self._latest_row()
+                n_rows: int | None, params: dict | None = None, last=False) -> int:
+        if last is False:  # not read by the caller yet
+            last = self._latest_row()
         version = 0 if last is None else last["version"] + 1
         row = (version, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, mode, paths,
                schema_json, n_rows, json.dumps(params or {}))
@@ -106,7 +107,7 @@ class VersionedTable:
             paths = [folder]
             schema = df.schema
         return self._commit(operation or ("WRITE" if mode != "overwrite" else "OVERWRITE"), mode, paths,
-                            schema.json(), n_rows, {"partitionBy": partition_by or []})
+                            schema.json(), n_rows, {"partitionBy": partition_by or []}, last=last)
 
     def _merged_schema(self, last, df: DataFrame) -> StructType:
         old = StructType.fromJson(json.loads(last["schema_json"]))
