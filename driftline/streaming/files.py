@@ -34,14 +34,14 @@ def read_stream(spark: SparkSession, folder: str, schema: str, max_files_per_tri
 
 
 def start_append(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
-                 name: str | None = None, available_now: bool = True) -> StreamingQuery:
+                 name: str | None = None, available_now: bool = True, interval: str = "5 seconds") -> StreamingQuery:
     w = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
          .option("path", path))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if name:
         w = w.queryName(name)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
@@ -62,6 +62,19 @@ def run_until_done(q: StreamingQuery, timeout_s: float = 600) -> list[dict]:
     return [p for p in q.recentProgress]
 
 
+def wait_for_progress(q: StreamingQuery, n: int, timeout_s: float = 600, poll_s: float = 0.5) -> list[dict]:
+    """Block until a continuously running query has made ``n`` progress reports (or fail)."""
+    import time
+    deadline = time.monotonic() + timeout_s
+    while len(q.recentProgress) < n:
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"{len(q.recentProgress)} of {n} progress reports after {timeout_s}s")
+        time.sleep(poll_s)
+    return list(q.recentProgress)
+
+
 def stop_all(spark: SparkSession) -> int:
     n = 0
     for q in spark.streams.active:

@@ -87,3 +87,47 @@ def test_feature_importances_sum_to_one(spark):
     import __spark_entry__ as E
     imp = E.queries()["feature_importance"](spark, SF001).collect()
     assert abs(sum(r["importance"] for r in imp) - 1.0) < 1e-9
+
+
+def test_stream_progress_then_stop_all(spark):
+    """A continuously triggered stream: wait for N progress reports, then stop every stream."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    src, out, ckpt = work_dir(spark, "p-in"), work_dir(spark, "p-out"), work_dir(spark, "p-ck")
+    SF.write_chunks(ev, src, 3, "ts")
+    q = SF.start_append(SF.read_stream(spark, src, SF.EVENTS_SCHEMA), out, ckpt, available_now=False,
+                        interval="1 second")
+    prog = SF.wait_for_progress(q, 3, timeout_s=300)
+    assert len(prog) >= 3
+    assert SF.stop_all(spark) == 1 and not q.isActive
+    assert spark.read.parquet(out).count() == ev.count()
+
+
+def test_run_log_roundtrip(spark):
+    """Runs logged as rows come back one row per run with params / tags / metrics maps;
+    search by param, best run per group and the parent/child tree."""
+    from driftline.operators.runlog import RunLog
+    log = RunLog(spark, work_dir(spark, "runlog-test"))
+    runs = spark.createDataFrame([
+        ("p", None, "exp", "2024-01-01 00:00:00", "2024-01-01 01:00:00", {"data_version": "1"}, {"role": "parent"}, {"n": 3.0}),
+        ("c1", "p", "exp", "2024-01-01 00:10:00", "2024-01-01 00:20:00", {"data_version": "1", "depth": "2"}, {"device": "a"}, {"mse": 2.5}),
+        ("c2", "p", "exp", "2024-01-01 00:30:00", "2024-01-01 00:40:00", {"data_version": "1", "depth": "5"}, {"device": "b"}, {"mse": 1.5}),
+    ], "run_id string, parent_run_id string, experiment string, start_time string, end_time string, "
+       "params map<string,string>, tags map<string,string>, metrics map<string,double>")
+    runs = runs.withColumn("start_time", F.col("start_time").cast("timestamp")).withColumn("end_time", F.col("end_time").cast("timestamp"))
+    log.log(runs)
+    back = {r["run_id"]: r for r in log.runs().collect()}
+    assert set(back) == {"p", "c1", "c2"}
+    assert back["c1"]["params"] == {"data_version": "1", "depth": "2"} and back["c2"]["metrics"] == {"mse": 1.5}
+    assert back["c1"]["tags"] == {"device": "a"} and back["c1"]["parent_run_id"] == "p"
+    found = [r["run_id"] for r in log.search_runs("params['depth'] = '5'").collect()]
+    assert found == ["c2"]
+    newest = [r["run_id"] for r in log.search_runs("parent_run_id IS NOT NULL").collect()]
+    assert newest == ["c2", "c1"]
+
+
+def test_param_grid_cv_table(spark):
+    """Grid depth {2,5} x trees {5,10}, 3 hash folds: one average metric per grid point."""
+    import __spark_entry__ as E
+    out = E.queries()["cv_grid_table"](spark, SF001).collect()
+    assert sorted((r["max_depth"], r["num_trees"]) for r in out) == [(2, 5), (2, 10), (5, 5), (5, 10)]
+    assert all(r["avg_rmse"] > 0 for r in out)
