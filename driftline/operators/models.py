@@ -205,14 +205,17 @@ MAX_MODEL_GROUPS = 1000
 
 
 def grouped_mllib_fit(df: DataFrame, group_col: str, make_pipeline, label: str, out_dir: str,
-                      max_groups: int = MAX_MODEL_GROUPS) -> DataFrame:
+                      max_groups: int = MAX_MODEL_GROUPS, parallelism: int = 4) -> DataFrame:
     """One MLlib model (e.g. a forest) per group, each fitted as a distributed job on its
     group's rows, saved under ``out_dir/<group>``; returns (group, n_used, mse, model_path).
 
     Unlike a grouped pandas function, a group holding a third of all rows is still trained by
     the whole cluster. The number of groups is checked first: the driver loops over groups,
     so past ``max_groups`` use :func:`grouped_linear_fit` (sufficient statistics) instead.
+    Up to ``parallelism`` fits run at once (concurrent jobs from driver threads, as
+    ``CrossValidator(parallelism=...)`` does), so small groups do not leave the cluster idle.
     """
+    from concurrent.futures import ThreadPoolExecutor
     groups = [r[0] for r in df.select(group_col).distinct().limit(max_groups + 1).collect()]
     if len(groups) > max_groups:
         raise ValueError(f"{len(groups)}+ groups: too many for one model per group; use grouped_linear_fit")
@@ -220,14 +223,16 @@ def grouped_mllib_fit(df: DataFrame, group_col: str, make_pipeline, label: str,
     by_group = f"{out_dir.rstrip('/')}/_data"
     df.write.mode("overwrite").partitionBy(group_col).parquet(by_group)
     data = df.sparkSession.read.parquet(by_group)
-    rows = []
-    for g in sorted(groups):
+    def fit_one(g):
         part = data.filter(F.col(group_col) == F.lit(g))
         model = make_pipeline().fit(part)
         m = regression_metrics(model.transform(part), label, "prediction").first()
         path = f"{out_dir.rstrip('/')}/models/{group_col}={g}"
         model.write().overwrite().save(path)
-        rows.append((g, int(m["n"]), float(m["mse"]), path))
+        return (g, int(m["n"]), float(m["mse"]), path)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(fit_one, sorted(groups)))
     gtype = df.schema[group_col].dataType.simpleString()
     return df.sparkSession.createDataFrame(rows, f"{group_col} {gtype}, n_used long, mse double, model_path string")
 
