@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
@@ -46,20 +47,27 @@ def seeded_candidates(spark: SparkSession, _data: DataFrame, space: dict, n: int
 
 
 def random_search(spark: SparkSession, df: DataFrame, indexer, assembler, label: str, space: dict,
-                  n_trials: int = 4, seed: int = 42, max_bins: int = 32) -> DataFrame:
+                  n_trials: int = 4, seed: int = 42, max_bins: int = 32, parallelism: int = 4) -> DataFrame:
     """Seeded random search for a forest: fit on train, score on validation (never on the
-    training rows), refit the best on train + validation and report its test RMSE."""
+    training rows), refit the best on train + validation and report its test RMSE.
+
+    The search is not adaptive, so every trial's settings are drawn first and up to
+    ``parallelism`` trials fit at once (concurrent Spark jobs from driver threads)."""
     train, val, test = H.hash_split3(df, "l_orderkey")
     train, val = train.cache(), val.cache()
     rng = random.Random(seed)
-    rows = []
-    for t in range(n_trials):
-        p = sample_space(space, rng)
+    settings = [sample_space(space, rng) for _ in range(n_trials)]
+
+    def trial(t):
+        p = settings[t]
         rf = RandomForestRegressor(labelCol=label, maxDepth=int(p["maxDepth"]), numTrees=int(p["numTrees"]),
                                    maxBins=max_bins, seed=seed)
-        model = Pipeline(stages=[indexer, assembler, rf]).fit(train)
+        model = Pipeline(stages=[indexer.copy(), assembler.copy(), rf]).fit(train)  # own stages per thread
         m = regression_metrics(model.transform(val), label, "prediction").first()
-        rows.append((t, int(p["maxDepth"]), int(p["numTrees"]), float(m["rmse"]), float(m["r2"])))
+        return (t, int(p["maxDepth"]), int(p["numTrees"]), float(m["rmse"]), float(m["r2"]))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(trial, range(n_trials)))
     best = min(rows, key=lambda r: r[3])
     rf = RandomForestRegressor(labelCol=label, maxDepth=best[1], numTrees=best[2], maxBins=max_bins, seed=seed)
     final = Pipeline(stages=[indexer, assembler, rf]).fit(train.unionByName(val))
@@ -72,8 +80,9 @@ def random_search(spark: SparkSession, df: DataFrame, indexer, assembler, label:
 
 
 def leaderboard(df: DataFrame, indexer, assembler, label: str, max_bins: int = 32,
-                primary_metric: str = "r2") -> DataFrame:
-    """Try a fixed list of MLlib regressors and rank them by ``primary_metric`` on held-out rows."""
+                primary_metric: str = "r2", parallelism: int = 4) -> DataFrame:
+    """Try a fixed list of MLlib regressors (fitted concurrently, up to ``parallelism`` at
+    once) and rank them by ``primary_metric`` on held-out rows."""
     spark = df.sparkSession
     train, test = H.hash_split(df, "l_orderkey", 80)
     train = train.cache()
@@ -83,11 +92,14 @@ def leaderboard(df: DataFrame, indexer, assembler, label: str, max_bins: int = 3
         "random_forest": RandomForestRegressor(labelCol=label, maxDepth=5, numTrees=20, maxBins=max_bins, seed=42),
         "gbt": GBTRegressor(labelCol=label, maxDepth=4, maxIter=20, maxBins=max_bins, seed=42),
     }
-    rows = []
-    for name, est in candidates.items():
-        model = Pipeline(stages=[indexer, assembler, est]).fit(train)
+    def fit_one(item):
+        name, est = item
+        model = Pipeline(stages=[indexer.copy(), assembler.copy(), est]).fit(train)  # own stages per thread
         m = regression_metrics(model.transform(test), label, "prediction").first()
-        rows.append((name, float(m["r2"]), float(m["rmse"]), float(m["mse"]), float(m["mae"])))
+        return (name, float(m["r2"]), float(m["rmse"]), float(m["mse"]), float(m["mae"]))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(fit_one, candidates.items()))
     train.unpersist()
     lb = spark.createDataFrame(rows, "model string, r2 double, rmse double, mse double, mae double")
     asc = primary_metric in ("rmse", "mse", "mae")
