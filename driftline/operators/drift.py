@@ -231,7 +231,7 @@ SUMMARY_STATS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 def summary_long(long: DataFrame, keys: list[str], n_tests: int | None = None) -> DataFrame:
     """count, mean, sample std, min, exact quartiles (linear interpolation), max per key."""
-    st = value_statistics(long, keys, n_keys=n_tests)  # one scan of ``long``
+    st = value_statistics(long, keys, n_keys=n_tests)
     return st.select(*keys, F.col("n").cast("double").alias("count"), "mean", "std", "min", "max",
                      "p25", "p50", "p75")
 

@@ -111,38 +111,31 @@ def quantile_aggs(value_col: str, count_col: str, probs: list[float], names: lis
 def value_statistics(long: DataFrame, keys: list[str], value_col: str = "value",
                      probs: list[float] = (0.25, 0.5, 0.75), names: list[str] = ("p25", "p50", "p75"),
                      n_keys: int | None = None) -> DataFrame:
-    """Every per-key statistic of a long ``(keys..., value)`` frame (nulls allowed) from ONE
-    scan of it.
-
-    One aggregate with grouping sets ``((keys, value), (keys))`` yields both the table of
-    distinct values with their counts (map-side combined, so a hot value is one row) and one
-    row per key with the moments over the raw rows (``avg``/``stddev_samp``, as a plain
-    aggregate computes them). Both go through :func:`prefix_sums`, which range-cuts and
-    writes them as one table; a last grouped aggregate over that materialised table returns
+    """Every per-key statistic of a long ``(keys..., value)`` frame (nulls allowed):
 
     keys, n (non-null values), n_null, n_distinct, min, max, mean, std (sample), the exact
     quantiles ``names`` and mode (most frequent value, ties -> smallest).
+
+    Two passes over ``long``, each with map-side combine: a plain aggregate for the counts and
+    moments (one small buffer per key and task), and the distinct-value table (keys, value,
+    count) that :func:`prefix_sums` range-cuts and writes once; distinct counts, mode and
+    quantiles are read off that written table. Keeping the moments out of the distinct-value
+    pass keeps its shuffle rows narrow: that shuffle is the one that grows with the data.
     """
     v = F.col(value_col)
-    g = long.groupingSets([[*keys, value_col], list(keys)], *keys, value_col).agg(
-        F.count(F.lit(1)).alias("_k"), F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"),
-        F.grouping_id().alias("_gid"))
-    is_val = F.col("_gid") == 0
-    stats_row = ~is_val
-    # the per-key row and a null value both sort first and carry c = 0: no running count moves
-    vc = g.select(*keys, F.when(is_val, v).alias(value_col),
-                  F.when(is_val & v.isNotNull(), F.col("_k")).otherwise(0).alias("c"),
-                  F.when(is_val & v.isNull(), F.col("_k")).otherwise(0).alias("cn"),
-                  F.when(stats_row, F.col("_mean")).alias("_mean"), F.when(stats_row, F.col("_std")).alias("_std"))
+    moments = long.groupBy(*keys).agg(
+        F.count(v).alias("n"), F.count_if(v.isNull()).alias("n_null"), F.min(v).alias("min"),
+        F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
+    vc = long.filter(v.isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("c"))
     r = prefix_sums(vc, keys, value_col, ["c"], n_keys=n_keys)
     q_aggs, q_finals = quantile_aggs(value_col, "c", list(probs), list(names))
-    s1 = r.groupBy(*keys).agg(
-        F.sum("c").alias("n"), F.sum("cn").alias("n_null"), F.count(v).alias("n_distinct"),
-        F.min(v).alias("min"), F.max(v).alias("max"), F.max("_mean").alias("mean"), F.max("_std").alias("std"),
-        F.min(F.when(v.isNotNull(), F.struct((-F.col("c")).alias("neg"), v.alias("v")))).alias("_m"),
-        *q_aggs)
-    return s1.select(*keys, "n", "n_null", "n_distinct", "min", "max", "mean", "std", *q_finals,
-                     F.col("_m.v").alias("mode"))
+    per = r.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_distinct"),
+        F.min(F.struct((-F.col("c")).alias("neg"), v.alias("v"))).alias("_m"), *q_aggs)
+    per = per.select(*keys, "n_distinct", F.col("_m.v").alias("mode"), *q_finals)
+    out = moments.join(per, keys, "left")
+    return out.select(*keys, "n", "n_null", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "min", "max",
+                      "mean", "std", *list(names), "mode")
 
 
 def prefix_min(df: DataFrame, keys: list[str], order_col: str, min_col: str, out: str,

@@ -35,7 +35,7 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], names: list[st
 
 
 def summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """describe + exact quartiles, all from one scan (see :func:`value_statistics`)."""
+    """describe + exact quartiles (see :func:`value_statistics`)."""
     st = value_statistics(long_values(df, cols), ["feature"], n_keys=len(cols))
     return st.select("feature", F.col("n").alias("count"), "mean", F.col("std").alias("stddev"), "min", "max",
                      "p25", "p50", "p75")
@@ -51,8 +51,8 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], accurac
 def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per numeric column: rows, missing, distinct, min/max/mean/std, quartiles, mode.
 
-    One scan: the distinct-value table (nulls included as one row per column) is materialised
-    once and every statistic is read off it, whatever the number of columns.
+    Two scans whatever the number of columns: one aggregate for counts and moments, and the
+    distinct-value table (written once) for distinct counts, mode and quartiles.
     """
     st = value_statistics(long_values(df, cols, keep_nulls=True), ["feature"], n_keys=len(cols))
     return st.select("feature", (F.col("n") + F.col("n_null")).alias("n_rows"), F.col("n_null").alias("n_missing"),
