@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.operators.ecdf import prefix_sums
+from driftline.operators.joins import join_bounded
 
 
 # ------------------------------------------------------------------------ sufficient statistics
@@ -96,14 +97,17 @@ def grouped_linear_fit(df: DataFrame, group_col: str, features: list[str], label
 
 
 def linear_score(df: DataFrame, coefs: DataFrame, group_col: str, features: list[str],
-                 out: str = "prediction") -> DataFrame:
+                 out: str = "prediction", max_groups: int | None = None) -> DataFrame:
     """Score facts with their group's model: join on the key to the coefficient table (one row
-    per group, broadcast when small) and evaluate the linear form natively."""
+    per group) and evaluate the linear form natively. The table is broadcast when the caller
+    bounds the number of groups (``max_groups``); otherwise AQE picks the join from its
+    measured size."""
     pred = F.col("intercept")
     for f in features:
         pred = pred + F.col(f"coef_{f}") * F.col(f)
-    return df.join(coefs.select(group_col, "intercept", *[f"coef_{f}" for f in features]), group_col, "left") \
-             .withColumn(out, pred).drop("intercept", *[f"coef_{f}" for f in features])
+    table = coefs.select(group_col, "intercept", *[f"coef_{f}" for f in features])
+    return join_bounded(df, table, group_col, "left", max_rows=max_groups) \
+        .withColumn(out, pred).drop("intercept", *[f"coef_{f}" for f in features])
 
 
 def cv_ridge_trials(df: DataFrame, features: list[str], label: str, fold: Column, k: int,
