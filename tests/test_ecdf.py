@@ -75,3 +75,21 @@ def test_value_statistics_match_pandas(spark):
             np.testing.assert_allclose(row["std"], v.std(ddof=1), atol=1e-12)
         counts = v.value_counts()
         assert row["mode"] == min(counts[counts == counts.max()].index)
+
+
+def test_prefix_sums_cut_segments_match_pandas(spark):
+    """Bounded keys take the quantile-cut path (segment = cuts below the value, one hash
+    shuffle); a value holding a third of the counts and many segments per key."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, 900), "v": rng.normal(size=900).round(2), "c": rng.integers(1, 5, 900)})
+    pdf.loc[:300, "v"] = 0.5
+    pdf = pdf.groupby(["k", "v"], as_index=False)["c"].sum()
+    df = spark.createDataFrame(pdf).repartition(4)
+    out = prefix_sums(df, ["k"], "v", ["c"], with_next=True, segments=9, n_keys=3).toPandas().sort_values(["k", "v"])
+    exp = pdf.sort_values(["k", "v"]).copy()
+    exp["cum_c"] = exp.groupby("k")["c"].cumsum()
+    exp["total_c"] = exp.groupby("k")["c"].transform("sum")
+    exp["next_v"] = exp.groupby("k")["v"].shift(-1)
+    assert out["cum_c"].tolist() == exp["cum_c"].tolist()
+    assert out["total_c"].tolist() == exp["total_c"].tolist()
+    np.testing.assert_allclose(out["next_v"].fillna(1e9), exp["next_v"].fillna(1e9))
