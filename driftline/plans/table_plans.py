@@ -172,8 +172,14 @@ def fs_overwrite_nulls(spark, sf_dir):
                       F.col("c_nationkey").cast("double").alias("c_nationkey"), "c_mktsegment")
 
 
-FS_MERGE_SQL = """WITH t AS (SELECT c_custkey, c_acctbal, c_nationkey FROM customer WHERE c_custkey % 2 = 0),
-u AS (SELECT c_custkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 = 0)
+# first write: three market segments; merge: three segments overlapping the first on one, so the
+# merge updates FURNITURE rows, adds HOUSEHOLD/MACHINERY rows and leaves two segments untouched
+FS_FIRST = ("AUTOMOBILE", "BUILDING", "FURNITURE")
+FS_UPDATE = ("FURNITURE", "HOUSEHOLD", "MACHINERY")
+_IN = "c_mktsegment IN ({})".format
+
+FS_MERGE_SQL = f"""WITH t AS (SELECT c_custkey, c_acctbal, c_nationkey FROM customer WHERE {_IN(", ".join(repr(x) for x in FS_FIRST))}),
+u AS (SELECT c_custkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer WHERE {_IN(", ".join(repr(x) for x in FS_UPDATE))})
 SELECT coalesce(t.c_custkey, u.c_custkey) AS c_custkey,
        round(CASE WHEN u.c_custkey IS NOT NULL THEN u.c_acctbal ELSE t.c_acctbal END, 4) AS c_acctbal,
        CAST(t.c_nationkey AS DOUBLE) AS c_nationkey, u.c_mktsegment FROM t FULL OUTER JOIN u ON t.c_custkey = u.c_custkey"""
@@ -182,8 +188,9 @@ SELECT coalesce(t.c_custkey, u.c_custkey) AS c_custkey,
 def _fs_merged(spark, sf_dir):
     fs = FeatureStore(spark, work_dir(spark, "featurestore"))
     c = Tables(spark, sf_dir).customer
-    fs.create_table("cf", ["c_custkey"], df=c.filter(F.col("c_custkey") % 2 == 0).select("c_custkey", "c_acctbal", "c_nationkey"))
-    fs.write_table("cf", c.filter(F.col("c_custkey") % 3 == 0).select(
+    fs.create_table("cf", ["c_custkey"], df=c.filter(F.col("c_mktsegment").isin(*FS_FIRST))
+                    .select("c_custkey", "c_acctbal", "c_nationkey"))
+    fs.write_table("cf", c.filter(F.col("c_mktsegment").isin(*FS_UPDATE)).select(
         "c_custkey", (F.col("c_acctbal") + 1).alias("c_acctbal"), "c_mktsegment"), mode="merge")
     return fs
 
@@ -195,7 +202,8 @@ def fs_merge(spark, sf_dir):
                       F.col("c_nationkey").cast("double").alias("c_nationkey"), "c_mktsegment")
 
 
-@query("fs_read_as_of", "SELECT c_custkey, c_acctbal, c_nationkey FROM customer WHERE c_custkey % 2 = 0", "featurestore")
+@query("fs_read_as_of", f"""SELECT c_custkey, c_acctbal, c_nationkey FROM customer
+WHERE {_IN(", ".join(repr(x) for x in FS_FIRST))}""", "featurestore")
 def fs_read_as_of(spark, sf_dir):
     fs = _fs_merged(spark, sf_dir)
     ts0 = fs.history("cf").filter(F.col("version") == 0).first()["ts"]
