@@ -115,3 +115,23 @@ def test_job_count_does_not_grow_with_columns(spark):
         return n
 
     assert jobs(2, "two") == jobs(6, "six")
+
+
+def test_hot_value_ks_and_mann_whitney_match_brute_force(spark):
+    """One value holds a third of all rows of both windows: the statistics still equal the
+    brute-force ECDF / rank computation (the hot value is one row of the distinct table)."""
+    rng = np.random.default_rng(11)
+    xa = rng.normal(0, 1, 900).round(2)
+    xb = rng.normal(0.3, 1, 600).round(2)
+    xa[:300], xb[:200] = 1.25, 1.25
+    a, b = _frame(spark, {"x": xa}).repartition(6), _frame(spark, {"x": xb}).repartition(6)
+    long = drift.to_long(drift.stack(a, b), ["x"])
+    r = drift.ks_test(long, ["feature"], n_tests=1).first()
+    allv = np.concatenate([xa, xb])
+    brute = np.max(np.abs(np.searchsorted(np.sort(xa), allv, "right") / len(xa)
+                          - np.searchsorted(np.sort(xb), allv, "right") / len(xb)))
+    assert abs(r["ks_stat"] - brute) < 1e-12
+    u = drift.mann_whitney(long, ["feature"], n_tests=1).first()["u_stat"]
+    ranks = pd.Series(allv).rank(method="average").to_numpy()
+    u_brute = ranks[: len(xa)].sum() - len(xa) * (len(xa) + 1) / 2
+    assert abs(u - u_brute) < 1e-6
