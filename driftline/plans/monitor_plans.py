@@ -77,14 +77,35 @@ def runlog_search(spark, sf_dir):
     return r.select("run_id", F.col("metrics")["mse"].alias("mse"))
 
 
-@query("runlog_best", None, "runlog")
+RUNS_MSE_SQL = f"""WITH f AS {IOT_TS_SQL},
+v AS (SELECT 1 AS version, * FROM f WHERE ts < TIMESTAMP '{CUTOFF}' UNION ALL SELECT 2 AS version, * FROM f),
+c AS (SELECT version, device_id, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a
+      FROM v GROUP BY version, device_id),
+m AS (SELECT v.version, v.device_id, avg((label - (a + b * feature_1)) * (label - (a + b * feature_1))) AS mse
+      FROM v JOIN c USING (version, device_id) GROUP BY v.version, v.device_id)"""
+
+
+@query("runlog_best", RUNS_MSE_SQL + """
+SELECT CAST(version AS VARCHAR) AS data_version, 'v' || CAST(version AS VARCHAR) || '-device-' || CAST(device_id AS VARCHAR) AS run_id,
+       round(mse, 6) AS mse
+FROM m QUALIFY row_number() OVER (PARTITION BY version ORDER BY mse, run_id) = 1""", "runlog")
 def runlog_best(spark, sf_dir):
-    return _runlog(spark, sf_dir).best_run("mse", ascending=True, group_by="data_version")
-
-
-@query("runlog_tree", None, "runlog")
+    """Child run with the smallest mse per data version."""
+    best = _runlog(spark, sf_dir).best_run("mse", ascending=True, group_by="data_version")
+    return best.withColumn("mse", F.round("mse", 6))
+
+
+@query("runlog_tree", f"""WITH f AS {IOT_TS_SQL},
+v AS (SELECT 1 AS version, * FROM f WHERE ts < TIMESTAMP '{CUTOFF}' UNION ALL SELECT 2 AS version, * FROM f),
+c AS (SELECT version, device_id, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a
+      FROM v GROUP BY version, device_id),
+m AS (SELECT v.version, v.device_id, avg((label - (a + b * feature_1)) * (label - (a + b * feature_1))) AS mse
+      FROM v JOIN c USING (version, device_id) GROUP BY v.version, v.device_id)
+SELECT 'v' || CAST(version AS VARCHAR) || '-parent' AS run_id, 'grouped_training' AS experiment,
+       count(*) AS n_children, round(avg(mse), 6) AS avg_child_mse FROM m GROUP BY version""", "runlog")
 def runlog_tree(spark, sf_dir):
-    return _runlog(spark, sf_dir).tree("mse")
+    """Parent runs (one per data version) with their child count and mean child mse."""
+    return _runlog(spark, sf_dir).tree("mse").withColumn("avg_child_mse", F.round("avg_child_mse", 6))
 
 
 # ----------------------------------------------------------------------------- forecasting
