@@ -57,3 +57,40 @@ def test_models_pin_their_feature_version(spark, tmp_uri):
     s2 = fs.score_batch(m2, keys, [FeatureLookup("cf", ["o_custkey"], ["c_acctbal", "nation_f"])])
     assert s1.count() == s2.count() == keys.count()
     assert s2.filter("prediction IS NULL").count() == 0
+
+
+def test_materialize_writes_under_checkpoint_dir(spark):
+    from driftline.session import ensure_checkpoint_dir, materialize
+    df = spark.range(100).selectExpr("id", "id % 7 AS k")
+    back = materialize(df, "t")
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    import re
+
+    def norm(u):  # file:/a, file:///a and /a name the same local path
+        return re.sub(r"^file:/+", "/", u)
+    root = norm(ensure_checkpoint_dir(spark).rstrip("/"))
+    files = back.inputFiles()
+    assert files and all(norm(p).startswith(root) for p in files)
+
+
+def test_no_local_checkpoint_fallback_on_a_cluster():
+    """Without spark.checkpoint.dir, a non-local master must not get a driver-local folder."""
+    import pytest
+    from driftline.session import ensure_checkpoint_dir
+
+    class _SC:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Spark:
+        sparkContext = _SC()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Spark())
