@@ -31,7 +31,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.llm.graph import components
@@ -102,6 +102,16 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
+def wide_bits(shingles: np.ndarray) -> np.ndarray:
+    """Parity sketch whose length follows the set: the power of two bits of at least twice its
+    size. A longer sketch folds to a shorter one by XOR of its halves."""
+    size = 64
+    while size < 2 * len(shingles):
+        size *= 2
+    flips = np.bincount((mix(shingles ^ _SALT) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def set_hash(shingles: np.ndarray) -> int:
     """64-bit hash of a whole set; 0 is kept for the empty set."""
     if len(shingles) == 0:
@@ -143,7 +153,8 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, sets in _sets(b):
             yield pa.RecordBatch.from_arrays(
                 [b.column("vertex").slice(lo, len(sets)),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["vertex", "items"])
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([wide_bits(s) for s in sets], pa.list_(pa.int64()))], names=["vertex", "items", "wide"])
 
 
 def _similar(a: str, b: str) -> str:
@@ -155,7 +166,20 @@ def _similar(a: str, b: str) -> str:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (u, v) whose sets reach the similarity."""
+    """Pairs (u, v) whose sets reach the similarity. Sketches of a thirtieth of the sets' size
+    go first; most pairs of large sets that only share a passage end there."""
+    one = sets.select(F.col("vertex").alias("u"), F.col("wide").alias("wa"), F.size("items").alias("na"))
+    two = sets.select(F.col("vertex").alias("v"), F.col("wide").alias("wb"), F.size("items").alias("nb"))
+    short = F.least(F.size("wa"), F.size("wb"))
+
+    def folded(w: str) -> Column:  # linked sets differ by less than the factor two in size
+        return F.when(F.size(w) > short, F.zip_with(F.slice(w, F.lit(1), short), F.slice(w, short + 1, short),
+                                                    lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(w))
+
+    bits = F.aggregate(F.zip_with(folded("wa"), folded("wb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    num, den = SIMILARITY.numerator, SIMILARITY.denominator
+    close = (den + num) * bits <= (den - num) * (F.col("na") + F.col("nb"))
+    pairs = materialize(pairs.join(one, "u").join(two, "v").filter(close).select("u", "v"), "pairs")
     left = sets.select(F.col("vertex").alias("u"), F.col("items").alias("a"))
     right = sets.select(F.col("vertex").alias("v"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
@@ -174,10 +198,10 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
                 .agg(F.min("doc_id").alias("doc_id"), F.min(F.col("n_shingles")).alias("n"),
                      *(F.min(f"s{i}").alias(f"s{i}") for i in range(SKETCH_WORDS))))
 
-    # keys of two or more different sets: one shuffle of all keys serves the count and the join
-    rows = src.select("text").mapInArrow(_keys, "key bigint, vertex bigint").repartition("key")
-    shared = rows.groupBy("key").agg(F.min("vertex").alias("lo"), F.max("vertex").alias("hi")).filter("lo <> hi")
-    hits = materialize(rows.join(shared.select("key").hint("shuffle_hash"), "key", "left_semi").distinct(), "hits")
+    # keys of two or more different sets
+    rows, of_key = src.select("text").mapInArrow(_keys, "key bigint, vertex bigint"), Window.partitionBy("key")
+    rows = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key)})
+    hits = materialize(rows.filter("lo <> hi").select("key", "vertex").distinct(), "hits")
     met = hits.join(hits.groupBy("key").agg(F.count("*").alias("g")), "key")
     met = met.groupBy("vertex").agg(F.sum("g").alias("met")).join(vertices, "vertex")
     hits = materialize(hits.join(met, "vertex"), "hits")
@@ -187,7 +211,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     reps = reps.groupBy("vertex").agg(F.min(F.struct("doc_id", "_th")).alias("r")).select("vertex", "r.*")
     same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d._th") == F.col("r._th"))
     texts = src.alias("d").join(reps.alias("r"), same).select("r.vertex", "d.text")
-    sets = materialize(texts.mapInArrow(_whole_sets, "vertex bigint, items array<bigint>")
+    sets = materialize(texts.mapInArrow(_whole_sets, "vertex bigint, items array<bigint>, wide array<bigint>")
                        .dropDuplicates(["vertex"]), "sets")
 
     # 1. every member of a key with the key's hub
