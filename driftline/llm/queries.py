@@ -6,8 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from driftline.llm.decontamination import contamination
 from driftline.llm.jaccard_join import jaccard_groups
+from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
+                                          MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_CHARS, judge)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +30,98 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = jaccard_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@_register
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
+
+
+ORACLE["op5_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id, coalesce(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark),
+bi AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM bi),
+dn AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+hit AS (SELECT rid, i, dw.n, item_id FROM (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM dn) dw
+        JOIN bw ON dw.gram = bw.gram AND dw.n = bw.n),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+its AS (SELECT rid, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hit WHERE item_id IS NOT NULL GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN its USING (rid)
+"""
+
+
+@_register
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge(_table(spark, sf_dir, "documents"))
+    return out.select("_row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
+
+
+def _quality_sql() -> str:
+    """The rules as SQL; lists, classes and limits come from the operator's parameters."""
+    steps, prev = [], "t"
+    for i, (_, pattern) in enumerate(CLASSES):
+        p = pattern.replace("'", "''")
+        src = "text" if i == 0 else f"r{i - 1}"
+        steps.append(f"x{i} AS (SELECT *, regexp_replace({src}, '{p}', '', 'g') AS r{i}, "
+                     f"length({src}) - length(regexp_replace({src}, '{p}', '', 'g')) AS k{i} FROM {prev})")
+        prev = f"x{i}"
+    n = len(CLASSES)
+    chars = ", ".join([f"k{i}" for i in range(n)] + [f"length(r{n - 1})"])
+    code = "CASE lang " + " ".join(
+        f"WHEN '{lang}' THEN list_transform(words, lambda w: list_position([{', '.join(repr(x) for x in ws)}], lower(w)))"
+        for lang, ws in COMMON_WORDS.items()) + " ELSE [] END"
+    common = ", ".join([f"len(list_filter(codes, lambda c: c = {i + 1}))" for i in range(len(CODES))]
+                       + ["len(words) - len(list_filter(codes, lambda c: c > 0))"])
+    known = ", ".join(repr(x) for x in COMMON_WORDS)
+    sums = lambda col, k: ", ".join(f"sum({col}[{i + 1}])" for i in range(k))
+
+    def js(p: str, q: str) -> str:
+        pn, qn = f"list_transform({p}, lambda x: x / list_sum({p}))", f"list_transform({q}, lambda x: x / list_sum({q}))"
+        term = "CASE WHEN z[1] > 0 THEN z[1] * ln(z[1] / ((z[1] + z[2]) / 2)) ELSE 0.0 END + CASE WHEN z[2] > 0 THEN z[2] * ln(z[2] / ((z[1] + z[2]) / 2)) ELSE 0.0 END"
+        return (f"CASE WHEN list_sum({p}) > 0 AND list_sum({q}) > 0 THEN sqrt(greatest(list_sum(list_transform("
+                f"list_zip({pn}, {qn}), lambda z: {term})) / (2 * ln(2)), 0.0)) END")
+
+    return rf"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, CASE WHEN lang IN ({known}) THEN lang ELSE '*' END AS lang
+    FROM documents),
+{", ".join(steps)},
+c AS (SELECT rid, doc_id, text, lang, [{chars}] AS chars, regexp_extract_all(text, '[^ 	-
+]+') AS words FROM {prev}),
+cc AS (SELECT *, {code} AS codes FROM c),
+h AS (SELECT *, CASE WHEN lang = '*' THEN list_transform(range({len(CODES)}), lambda x: 0) || [len(words)] ELSE [{common}] END AS common FROM cc),
+refs AS (SELECT lang, [{sums('chars', n + 1)}] AS ref_chars, [{sums('common', len(CODES) + 1)}] AS ref_common FROM h WHERE lang <> '*' GROUP BY lang),
+every AS (SELECT [{sums('chars', n + 1)}] AS all_chars FROM h),
+tri AS (SELECT rid, unnest(range(1, len(words) - 1)) AS i, words FROM h WHERE len(words) >= 3),
+tg AS (SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g FROM tri),
+rep AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 3)) AS p FROM
+        (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS k FROM tg) WHERE k > 1) GROUP BY rid),
+b AS (SELECT h.*, len(words) AS n_words, list_sum(chars) - chars[2] AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+        len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]'))) AS n_lines,
+        len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')))) AS n_own,
+        coalesce(rep.n, 0) AS n_repeat_words, ref_common,
+        list_sum(ref_chars) >= {MIN_REFERENCE_CHARS} AS thick,
+        CASE WHEN list_sum(ref_chars) >= {MIN_REFERENCE_CHARS} THEN ref_chars ELSE all_chars END AS ref
+    FROM h LEFT JOIN rep USING (rid) LEFT JOIN refs USING (lang) CROSS JOIN every),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        CASE WHEN word_chars >= {MIN_JUDGED_CHARS} THEN {js('chars', 'ref')} END AS cd,
+        CASE WHEN n_words >= {MIN_JUDGED_WORDS} AND thick THEN {js('common', 'ref_common')} END AS wd FROM b)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_lines - n_own AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(cd > {MAX_CHAR_DISTANCE}, false) AND NOT coalesce(wd > {MAX_WORD_DISTANCE}, false) AS kept,
+       round(cd, 6) AS char_distance, round(wd, 6) AS word_distance
+FROM j
+"""
+
+
+ORACLE["op10_quality_rules"] = _quality_sql()
