@@ -8,16 +8,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from driftline.llm.decontamination import drop_contaminated
 from driftline.llm.jaccard_join import keep_one_per_group
+from driftline.llm.line_dedup import without_repeats
+from driftline.llm.mixing import mix
+from driftline.llm.quality_rules import filter_quality
 from driftline.session import materialize
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return filter_quality(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of lines that occur earlier in the corpus are cut out; a document with nothing left goes."""
+    return without_repeats(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return keep_one_per_group(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages, by the contamination rule, go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with their number of copies."""
+    return mix(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("mixing", mixing)]
 
 ORACLE_SQL = None  # similarity joins and rounded rates have no SQL form; tests use brute force
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from driftline.llm.decontamination import contamination
 from driftline.llm.jaccard_join import jaccard_groups
+from driftline.llm.line_dedup import dedup_lines
+from driftline.llm.mixing import mix_plan
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
                                           MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_CHARS, judge)
 
@@ -26,6 +28,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_register
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mix_plan(_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@_register
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select("_row.doc_id", "lines_deleted", "words_deleted", F.length("new_text").cast("bigint").alias("n_chars"),
+                      F.sha2(F.coalesce("new_text", F.lit("")), 256).alias("text_sha256"))
+
+
 @_register
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = jaccard_groups(_table(spark, sf_dir, "documents"))
