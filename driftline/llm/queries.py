@@ -13,7 +13,8 @@ from driftline.llm.jaccard_join import jaccard_groups
 from driftline.llm.line_dedup import dedup_lines
 from driftline.llm.mixing import mix_plan
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
-                                          MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_CHARS, judge)
+                                         MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_CHARS, judge)
+from driftline.llm.url_filter import LIMIT, RULES, STRENGTH, Z, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -140,3 +141,45 @@ FROM j
 
 
 ORACLE["op10_quality_rules"] = _quality_sql()
+
+
+@_register
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge_urls(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "host", "path", "rule", "verdict", F.round("rate", 6).alias("rate"), F.round("low", 6).alias("low"))
+
+
+def _url_sql() -> str:
+    fits, words = [], []
+    for v, h, p in sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2], r[0])):
+        cond = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+        fits.append(f"WHEN {cond} THEN '{h}{p}'")
+        words.append(f"WHEN {cond} THEN '{v}'")
+    low, high = STRENGTH
+
+    def strength(table: str) -> str:
+        return f"""(SELECT CASE WHEN p > 0 AND p < 1 AND free > 0 THEN CASE WHEN rho <= 0 THEN {high} ELSE least(greatest(1 / rho - 1, {low}), {high}) END
+            ELSE {high} END FROM (SELECT *, (spread / (p * (1 - p)) - (g - 1)) / free AS rho FROM (SELECT sum(k) / sum(n) AS p,
+            sum(k * k / n) - sum(k) / sum(n) * sum(k) AS spread, count(*) AS g, sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS free
+            FROM {table} WHERE n > 0)))"""
+
+    return f"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT *, CASE {' '.join(fits)} END AS rule, CASE {' '.join(words)} END AS ruled FROM u),
+h AS (SELECT host, count(ruled) AS n, count(*) FILTER (ruled = 'block') AS k, string_split(host, '.')[-1] AS suffix,
+        CASE WHEN len(string_split(host, '.')) > 1 THEN string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] ELSE host END AS domain
+        FROM r GROUP BY host),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY ALL),
+m AS (SELECT (sum(k) + 0.5) / (sum(n) + 1) AS p0, {strength('s')} AS ms, {strength('d')} AS md, {strength('h')} AS mh FROM s),
+sp AS (SELECT suffix, (k + ms * p0) / (n + ms) AS ps, md, mh FROM s, m),
+dp AS (SELECT domain, (n * 0 + k + md * ps) / (n + md) AS pd, mh FROM d JOIN sp USING (suffix)),
+hp AS (SELECT host, n, (k + mh * pd) / (n + mh) AS rate, mh FROM h JOIN dp USING (domain))
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN rate - {Z} * sqrt(rate * (1 - rate) / (n + mh + 1)) > {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
+       round(rate, 6) AS rate, round(rate - {Z} * sqrt(rate * (1 - rate) / (n + mh + 1)), 6) AS low
+FROM r JOIN hp USING (host)
+"""
+
+
+ORACLE["op9_url_filter"] = _url_sql()
