@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftline.llm.decontamination import contamination
 from driftline.llm.jaccard_join import jaccard_groups
+from driftline.llm.license_scan import scan_licenses
 from driftline.llm.line_dedup import dedup_lines
 from driftline.llm.mixing import mix_plan
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
@@ -183,3 +184,8 @@ FROM r JOIN hp USING (host)
 
 
 ORACLE["op9_url_filter"] = _url_sql()
+
+
+@_register
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
