@@ -16,6 +16,7 @@ from driftline.llm.mixing import mix_plan
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
                                          MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_CHARS, judge)
 from driftline.llm.url_filter import LIMIT, RULES, STRENGTH, Z, judge_urls
+from driftline.llm.warc import roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -189,3 +190,18 @@ ORACLE["op9_url_filter"] = _url_sql()
 @_register
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roundtrip(_table(spark, sf_dir, "pages"))
+
+
+ORACLE["op3_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT payload_digest, min(page_id) AS origin FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id > origin THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > origin THEN origin END AS refers_to, true AS complete
+FROM p LEFT JOIN o USING (payload_digest)
+"""
