@@ -13,6 +13,7 @@ from driftline.llm.jaccard_join import jaccard_groups
 from driftline.llm.license_scan import scan_licenses
 from driftline.llm.line_dedup import dedup_lines
 from driftline.llm.mixing import mix_plan
+from driftline.llm.quality_model import score_quality
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
                                          MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_CHARS, judge)
 from driftline.llm.url_filter import LIMIT, RULES, STRENGTH, Z, judge_urls
@@ -205,3 +206,8 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN page_id > origin THEN origin END AS refers_to, true AS complete
 FROM p LEFT JOIN o USING (payload_digest)
 """
+
+
+@_register
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
