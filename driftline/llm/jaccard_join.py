@@ -41,6 +41,7 @@ from driftline.session import materialize
 SIMILARITY = Fraction(4, 5)
 BAND_RATIO = Fraction(8, 5)  # upper by lower size of a band, less than 1 / similarity ** 2
 WORDS = 5
+PAST = 12  # keys looked back at to show a pair once
 SKETCH_WORDS = 4  # 64-bit words of the parity sketch that filters pairs
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -198,13 +199,10 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
                 .agg(F.min("doc_id").alias("doc_id"), F.min(F.col("n_shingles")).alias("n"),
                      *(F.min(f"s{i}").alias(f"s{i}") for i in range(SKETCH_WORDS))))
 
-    # keys of two or more different sets
+    # keys of two or more different sets, with the number of rows that meet in each
     rows, of_key = src.select("text").mapInArrow(_keys, "key bigint, vertex bigint"), Window.partitionBy("key")
-    rows = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key)})
-    hits = materialize(rows.filter("lo <> hi").select("key", "vertex").distinct(), "hits")
-    met = hits.join(hits.groupBy("key").agg(F.count("*").alias("g")), "key")
-    met = met.groupBy("vertex").agg(F.sum("g").alias("met")).join(vertices, "vertex")
-    hits = materialize(hits.join(met, "vertex"), "hits")
+    rows = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key), "g": F.count("*").over(of_key)})
+    hits = materialize(rows.filter("lo <> hi").groupBy("key", "vertex").agg(F.max("g").alias("g")), "hits")
 
     # texts of the sets that take part, once per set
     reps = facts.join(hits.select("vertex").distinct(), "vertex", "left_semi")
@@ -215,24 +213,28 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
                        .dropDuplicates(["vertex"]), "sets")
 
     # 1. every member of a key with the key's hub
-    hub = hits.groupBy("key").agg(F.max(F.struct("met", "vertex", "n", *(f"s{i}" for i in range(SKETCH_WORDS)))).alias("h"))
-    near_hub = (hits.alias("a").join(hub.select("key", "h.*").alias("b"), "key")
-                .filter(F.expr(f"a.vertex <> b.vertex AND {_similar('a', 'b')}"))
-                .select(F.col("a.vertex").alias("u"), F.col("b.vertex").alias("v")).distinct())
+    met = hits.groupBy("vertex").agg(F.sum("g").alias("met"))
+    hub = F.max(F.struct("met", "vertex")).over(of_key)
+    near_hub = (hits.select("key", "vertex").join(met, "vertex").select(F.col("vertex").alias("u"), hub["vertex"].alias("v"))
+                .filter("u <> v").distinct())
     links = materialize(_verified(near_hub, sets), "links")
-    comp = components(links)
+    comp = components(links).withColumnRenamed("v", "vertex")
 
     # 2. pairs of one key that are still in different components; the largest component of a
     #    key is only the other side, so a group of copies that the hub has joined makes no pairs
-    tagged = materialize(hits.drop("met").join(comp.withColumnRenamed("v", "vertex"), "vertex", "left")
-                         .withColumn("c", F.coalesce("c", "vertex")), "tagged")
-    parts = tagged.groupBy("key", "c").agg(F.count("*").alias("k"))
-    main = parts.groupBy("key").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("parts")).filter("parts > 1")
-    open_ = materialize(tagged.join(main.select("key", F.col("m.c").alias("main")), "key"), "open")
+    part = hits.select("key", "vertex").join(comp, "vertex", "left").withColumn("c", F.coalesce("c", "vertex"))
+    part = part.withColumns({"lo": F.min("c").over(of_key), "hi": F.max("c").over(of_key)}).filter("lo <> hi")
+    part = part.withColumn("k", F.count("*").over(Window.partitionBy("key", "c")))
+    part = part.withColumn("main", F.max(F.struct("k", "c")).over(of_key)["c"])
+    # a pair that meets in many keys shows in few of them: not where one of the PAST open keys
+    # before, in key order, is common as well
+    past = Window.partitionBy("vertex").orderBy("key").rowsBetween(-PAST, -1)
+    part = part.select("key", "vertex", "c", "main").withColumn("past", F.collect_list("key").over(past))
+    open_ = materialize(part.join(vertices.drop("doc_id"), "vertex"), "open")
     light, every = open_.filter("c <> main").alias("a"), open_.alias("b")
     rest = (light.join(every, F.expr("a.key = b.key AND a.c <> b.c AND (b.c = b.main OR a.vertex < b.vertex) AND "
-                                     + _similar("a", "b")))
-            .select(F.col("a.vertex").alias("u"), F.col("b.vertex").alias("v")).distinct())
+                                     + _similar("a", "b") + " AND NOT arrays_overlap(a.past, b.past)"))
+            .select(F.least("a.vertex", "b.vertex").alias("u"), F.greatest("a.vertex", "b.vertex").alias("v")).distinct())
     more = materialize(_verified(rest, sets), "links")
     joined = components(links.union(more)).withColumnRenamed("v", "vertex")
 
