@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftline.llm.decontamination import contamination
 from driftline.llm.jaccard_join import jaccard_groups
+from driftline.llm.language_id import identify
 from driftline.llm.license_scan import scan_licenses
 from driftline.llm.line_dedup import dedup_lines
 from driftline.llm.mixing import mix_plan
@@ -211,3 +212,9 @@ FROM p LEFT JOIN o USING (payload_digest)
 @_register
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_register
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+    return out.withColumn("posterior", F.round("posterior", 6))
