@@ -6,12 +6,13 @@ sizes a and b with Jaccard similarity of at least 4/5 differ in at most D = (a +
 * *Parity sketch.* Every shingle is XORed into one of m blocks. Two sketches differ in no more
   blocks (and the 256-bit parity sketch in no more bits) than the sets differ in shingles.
 * *Pigeonhole per size band.* Sizes are cut into bands; a band uses m = D + 1 + t blocks, D taken
-  for its largest sizes, so linked documents agree in at least t + 1 blocks. An empty block says
-  nothing: documents with at most t empty blocks leave them out (then one of the t + 1 equal
-  blocks is not empty), documents with more emit them too. No link is lost. A document also
-  emits its blocks under the next band if it may have larger partners there.
-* *Join.* (block, value) keys that occur in two different sets give candidates. Equal sets are
-  one vertex, so exact copies cost one row each.
+  for its largest sizes, so linked documents agree in at least t + 1 blocks. In any common order
+  of (block, value) keys two such documents therefore share one of their first D + 1. Keys are
+  ordered by how often they occur, empty blocks last: each document leaves out its t commonest
+  keys, which takes away the blocks that only hold a passage many documents share, and no link. A
+  document also shows its blocks in the next band if it may have larger partners there.
+* *Join.* Remaining keys of two different sets give candidates. Equal sets are one vertex, so
+  exact copies cost one row each.
 * *Verify.* Candidates are not expanded to all pairs. Each key first pairs its members with the
   member that meets most candidates overall (the hub of a group of near copies); pairs that pass
   the size and Hamming bounds are verified on the sets and merged into components. Only pairs
@@ -68,17 +69,17 @@ def layout(band: int, starts: list[int]) -> tuple[int, int]:
     d = max_difference(2 * (starts[band + 1] - 1))
     if d == 0:
         return 0, 0
-    t = 2 + d // 12
+    t = 2 + d // 6
     return d + 1 + t, t
 
 
-def block_keys(shingles: np.ndarray, starts: list[int]) -> np.ndarray:
-    """Join keys of a set: one per block it has to show, in its band and the next one."""
-    n, out = len(shingles), []
-    if n == 0:
-        return np.zeros(0, np.uint64)
-    own = band_of(n, starts)
-    for band in (own, own + 1):
+def block_keys(shingles: np.ndarray, starts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of a set, for its band and the next one; the lowest bit marks an empty block. With
+    each key, twice the number of keys of its band that the set may leave out, plus 1 in the next
+    band. Empty blocks come only where so many are empty that the others are D keys or fewer."""
+    n, keys, spare = len(shingles), [], []
+    own = band_of(n, starts) if n else 0
+    for band in (own, own + 1) if n else ():
         if band > own and n < SIMILARITY * starts[band]:
             continue  # no partner of that band is small enough
         m, t = layout(band, starts)
@@ -88,12 +89,14 @@ def block_keys(shingles: np.ndarray, starts: list[int]) -> np.ndarray:
         order = np.argsort(block, kind="stable")
         used, first = np.unique(block[order], return_index=True)
         value = np.bitwise_xor.reduceat(shingles[order], first)
+        void = np.zeros(len(used), np.uint64)
         if m - len(used) > t:
-            full = np.zeros(m, np.uint64)
-            full[used] = value
+            full, void = np.zeros(m, np.uint64), np.ones(m, np.uint64)
+            full[used], void[used] = value, 0
             used, value = np.arange(m), full
-        out.append(mix(value ^ mix(used.astype(np.uint64) + np.uint64(band << 32))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        keys.append(mix(value ^ mix(used.astype(np.uint64) + np.uint64(band << 32))) & ~np.uint64(1) | void)
+        spare.append(np.full(len(used), 2 * (len(used) - (m - t)) + (band > own), np.int32))
+    return (np.concatenate(keys), np.concatenate(spare)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int32))
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
@@ -142,11 +145,10 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets(b):
             starts = band_starts(max(map(len, sets), default=1))
             keys = [block_keys(s, starts) for s in sets]
-            if n := sum(map(len, keys)):
-                vertex = np.repeat(np.array([set_hash(s) for s in sets], np.int64), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(vertex)],
-                                                 names=["key", "vertex"])
-                assert len(vertex) == n
+            vertex = np.repeat(np.array([set_hash(s) for s in sets], np.int64), [len(k) for k, _ in keys])
+            if len(vertex):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for k, _ in keys]).view(np.int64)), pa.array(vertex),
+                                                  pa.array(np.concatenate([s for _, s in keys]))], names=["key", "vertex", "spare"])
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,9 +202,14 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
                      *(F.min(f"s{i}").alias(f"s{i}") for i in range(SKETCH_WORDS))))
 
     # keys of two or more different sets, with the number of rows that meet in each
-    rows, of_key = src.select("text").mapInArrow(_keys, "key bigint, vertex bigint"), Window.partitionBy("key")
+    rows, of_key = src.select("text").mapInArrow(_keys, "key bigint, vertex bigint, spare int"), Window.partitionBy("key")
     rows = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key), "g": F.count("*").over(of_key)})
-    hits = materialize(rows.filter("lo <> hi").groupBy("key", "vertex").agg(F.max("g").alias("g")), "hits")
+    rows = rows.filter("lo <> hi").groupBy("key", "vertex").agg(F.max("g").alias("g"), F.max("spare").alias("spare"))
+    # each set leaves out its commonest keys; what is then alone goes as well
+    common = Window.partitionBy("vertex", F.col("spare") % 2).orderBy((F.col("key") % 2 == 0), F.col("g").desc(), "key")
+    rows = rows.withColumn("r", F.row_number().over(common)).filter("r > spare div 2").select("key", "vertex", "g")
+    hits = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key)})
+    hits = materialize(hits.filter("lo <> hi").select("key", "vertex", "g"), "hits")
 
     # texts of the sets that take part, once per set
     reps = facts.join(hits.select("vertex").distinct(), "vertex", "left_semi")
