@@ -2,8 +2,9 @@
 
 Every document gets plain counts (words, symbols, repeated lines, repeated three-word windows)
 and two histograms: its character classes and the common words of its declared language. The
-reference of a language is the histogram summed over all documents that declare it (one grouped
-aggregate over the whole table, at most one row per listed language plus one over everything).
+reference of a language is the mean histogram of all documents that declare it, each document with
+the same weight whatever its length (one grouped aggregate over the whole table, at most one row per
+listed language plus one over everything).
 A document is rejected when the Jensen-Shannon distance (base 2, 0 to 1) to its reference
 exceeds a limit; short documents and thin references are not judged by distance.
 
@@ -41,7 +42,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_JUDGED_CHARS = 200
 MIN_JUDGED_WORDS = 100
-MIN_REFERENCE_CHARS = 20_000
+MIN_REFERENCE_DOCS = 20
+SHARE = 10_000  # histograms are summed as whole numbers of this many parts
 MAX_CHAR_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.30
 
@@ -79,15 +81,20 @@ def histograms(docs: DataFrame) -> DataFrame:
 
 
 def references(hist: DataFrame) -> DataFrame:
-    """(_lang, ref_chars, ref_common): histograms summed per listed language and, as EVERY, over
-    all documents. At most len(COMMON_WORDS) + 1 rows whatever the input."""
+    """(_lang, docs, ref_chars, ref_common): shares summed over the documents of a listed language
+    and, as EVERY, over all documents. At most len(COMMON_WORDS) + 1 rows whatever the input."""
     n, k = len(CLASSES) + 1, len(CODES) + 1
-    sums = ([F.sum(F.col("_chars")[i].cast("bigint")).alias(f"c{i}") for i in range(n)]
-            + [F.sum(F.col("_common")[i].cast("bigint")).alias(f"w{i}") for i in range(k)])
-    per = hist.select("_lang", "_chars", "_common").groupBy("_lang").agg(*sums)
+
+    def share(name: str) -> Column:
+        total = F.greatest(F.aggregate(name, F.lit(0), lambda s, x: s + x), F.lit(1))
+        return F.transform(name, lambda x: F.floor(x.cast("bigint") * SHARE / total))
+
+    hist = hist.select("_lang", share("_chars").alias("_chars"), share("_common").alias("_common"), (F.size("_words") > 0).alias("_any"))
+    sums = ([F.sum(F.col("_chars")[i]).alias(f"c{i}") for i in range(n)] + [F.sum(F.col("_common")[i]).alias(f"w{i}") for i in range(k)])
+    per = hist.groupBy("_lang").agg(F.count(F.when(F.col("_any"), 1)).alias("docs"), *sums)
     total = [F.sum(f"c{i}").alias(f"c{i}") for i in range(n)] + [F.lit(0).cast("bigint").alias(f"w{i}") for i in range(k)]
-    both = per.filter(F.col("_lang") != EVERY).unionByName(per.agg(F.lit(EVERY).alias("_lang"), *total))
-    return both.select("_lang", F.array(*[f"c{i}" for i in range(n)]).alias("ref_chars"),
+    both = per.filter(F.col("_lang") != EVERY).unionByName(per.agg(F.lit(EVERY).alias("_lang"), F.lit(0).cast("bigint").alias("docs"), *total))
+    return both.select("_lang", "docs", F.array(*[f"c{i}" for i in range(n)]).alias("ref_chars"),
                        F.array(*[f"w{i}" for i in range(k)]).alias("ref_common"))
 
 
@@ -134,10 +141,7 @@ def judge(docs: DataFrame) -> DataFrame:
     df = _base_counts(histograms(src)).withColumn("_every", F.lit(EVERY))
     df = df.join(F.broadcast(refs), "_lang", "left").join(F.broadcast(every), "_every", "left")
 
-    def size(name: str) -> Column:
-        return F.coalesce(F.aggregate(name, F.lit(0).cast("bigint"), lambda s, x: s + x), F.lit(0))
-
-    thin = size("ref_chars") < MIN_REFERENCE_CHARS
+    thin = F.coalesce(F.col("docs") < MIN_REFERENCE_DOCS, F.lit(True))
     df = df.withColumn("_ref", F.when(thin, F.col("all_chars")).otherwise(F.col("ref_chars")))
     df = df.withColumn("char_distance", F.when(F.col("word_chars") >= MIN_JUDGED_CHARS, js_distance(F.col("_chars"), F.col("_ref"))))
     df = df.withColumn("word_distance", F.when((F.col("n_words") >= MIN_JUDGED_WORDS) & ~thin,

@@ -16,7 +16,7 @@ from driftline.llm.line_dedup import dedup_lines
 from driftline.llm.mixing import mix_plan
 from driftline.llm.quality_model import score_quality
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
-                                         MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_CHARS, judge)
+                                         MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_DOCS, SHARE, judge)
 from driftline.llm.url_filter import LIMIT, RULES, STRENGTH, Z, judge_urls
 from driftline.llm.warc import roundtrip
 
@@ -102,7 +102,8 @@ def _quality_sql() -> str:
     common = ", ".join([f"len(list_filter(codes, lambda c: c = {i + 1}))" for i in range(len(CODES))]
                        + ["len(words) - len(list_filter(codes, lambda c: c > 0))"])
     known = ", ".join(repr(x) for x in COMMON_WORDS)
-    sums = lambda col, k: ", ".join(f"sum({col}[{i + 1}])" for i in range(k))
+    sums = lambda col, k: ", ".join(
+        f"sum(CAST(floor({col}[{i + 1}] * {SHARE} / greatest(list_sum({col}), 1)) AS BIGINT))" for i in range(k))
 
     def js(p: str, q: str) -> str:
         pn, qn = f"list_transform({p}, lambda x: x / list_sum({p}))", f"list_transform({q}, lambda x: x / list_sum({q}))"
@@ -118,7 +119,7 @@ c AS (SELECT rid, doc_id, text, lang, [{chars}] AS chars, regexp_extract_all(tex
 ]+') AS words FROM {prev}),
 cc AS (SELECT *, {code} AS codes FROM c),
 h AS (SELECT *, CASE WHEN lang = '*' THEN list_transform(range({len(CODES)}), lambda x: 0) || [len(words)] ELSE [{common}] END AS common FROM cc),
-refs AS (SELECT lang, [{sums('chars', n + 1)}] AS ref_chars, [{sums('common', len(CODES) + 1)}] AS ref_common FROM h WHERE lang <> '*' GROUP BY lang),
+refs AS (SELECT lang, count(*) FILTER (len(words) > 0) AS docs, [{sums('chars', n + 1)}] AS ref_chars, [{sums('common', len(CODES) + 1)}] AS ref_common FROM h WHERE lang <> '*' GROUP BY lang),
 every AS (SELECT [{sums('chars', n + 1)}] AS all_chars FROM h),
 tri AS (SELECT rid, unnest(range(1, len(words) - 1)) AS i, words FROM h WHERE len(words) >= 3),
 tg AS (SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g FROM tri),
@@ -130,8 +131,8 @@ b AS (SELECT h.*, len(words) AS n_words, list_sum(chars) - chars[2] AS word_char
         len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
 ]')))) AS n_own,
         coalesce(rep.n, 0) AS n_repeat_words, ref_common,
-        list_sum(ref_chars) >= {MIN_REFERENCE_CHARS} AS thick,
-        CASE WHEN list_sum(ref_chars) >= {MIN_REFERENCE_CHARS} THEN ref_chars ELSE all_chars END AS ref
+        coalesce(docs >= {MIN_REFERENCE_DOCS}, false) AS thick,
+        CASE WHEN docs >= {MIN_REFERENCE_DOCS} THEN ref_chars ELSE all_chars END AS ref
     FROM h LEFT JOIN rep USING (rid) LEFT JOIN refs USING (lang) CROSS JOIN every),
 j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
         CASE WHEN word_chars >= {MIN_JUDGED_CHARS} THEN {js('chars', 'ref')} END AS cd,
