@@ -97,3 +97,14 @@ def fill_with_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     found = {r["feature"]: r["mode"] for r in modes(df, cols).collect()}
     return df.select([F.coalesce(F.col(c), F.lit(found.get(c)).cast(df.schema[c].dataType)).alias(c)
                       if c in cols else F.col(c) for c in df.columns])
+
+
+def present(c: Column, kind: str = "double") -> Column:
+    """NaN counts as missing: null in its place for floating columns."""
+    return F.when(~F.isnan(c), c) if kind in ("double", "float") else c
+
+
+def missing(df: DataFrame, name: str) -> Column:
+    """True where a column is null or, for floating columns, NaN."""
+    c = F.col(name)
+    return c.isNull() | F.isnan(c) if df.schema[name].dataType.simpleString() in ("double", "float") else c.isNull()

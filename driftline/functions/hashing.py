@@ -32,8 +32,10 @@ def fold_col(key: str, k: int = 3) -> Column:
 
 
 def row_fingerprint(cols: list[str]) -> Column:
-    """32-bit md5 prefix of the '|'-joined row (nulls as empty)."""
-    s = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    """32-bit md5 prefix of the row's values, each with its length (a null is told from an empty
+    text, and values cannot run into each other)."""
+    text = [F.col(c).cast("string") for c in cols]
+    s = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-;")) for t in text])
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
 
 
@@ -41,7 +43,7 @@ FINGERPRINT_MOD = 4294967291  # largest prime below 2**32
 
 
 def dataset_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Order-free fingerprint of a dataset: (n_rows, sum of row hashes mod p, xor of xxhash64).
+    """Order-free fingerprint of a dataset: (n_rows, sum of row hashes mod p).
 
     Equal datasets (as multisets of rows) give equal fingerprints whatever their order or
     partitioning; it is one aggregate with map-side partial sums.
@@ -52,6 +54,12 @@ def dataset_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFra
                   (F.sum(h.cast("decimal(38,0)")) % FINGERPRINT_MOD).cast("bigint").alias("fingerprint"))
 
 
+def answer_hash(c: str | Column) -> Column:
+    """32-bit md5 prefix of a value's text: the same in every engine."""
+    k = F.col(c) if isinstance(c, str) else c
+    return F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
 def abs_hash_int(c: str | Column) -> Column:
     """``abs(hash(value))`` as int (answer-checker style murmur3 fingerprint)."""
     k = F.col(c) if isinstance(c, str) else c

@@ -35,6 +35,9 @@ def _gamma_q(a: float, x: float) -> float:
         return float("nan")
     if x <= 0:
         return 1.0
+    if a > 1e5:  # Wilson-Hilferty: the cube root of a gamma variable is nearly normal
+        z = ((x / a) ** (1 / 3) - (1 - 1 / (9 * a))) * 3 * math.sqrt(a)
+        return 0.5 * math.erfc(z / math.sqrt(2))
     gln = math.lgamma(a)
     if x < a + 1:
         ap, s, d = a, 1.0 / a, 1.0 / a

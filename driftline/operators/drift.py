@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.functions.columns import missing, present
 from driftline.functions.stats import chi2_sf, ks_pvalue_sql, xlogy_ratio
 from driftline.operators.ecdf import exact_quantiles, prefix_sums, value_statistics
 from driftline.operators.joins import join_bounded
@@ -25,21 +26,23 @@ W = "_w"
 def stack(base: DataFrame, current: DataFrame) -> DataFrame:
     """Union two windows with the same columns, tagged ``_w`` = 1 / 2."""
     if sorted(base.columns) != sorted(current.columns):
-        raise ValueError("Columns do not match")
+        raise ValueError("the two windows have different columns")
     return (base.withColumn(W, F.lit(1))
             .unionByName(current.select(*base.columns).withColumn(W, F.lit(2))))
 
 
 def tag_windows(df: DataFrame, baseline_cond) -> DataFrame:
     """One scan instead of two: tag rows of a single table as baseline (1) or current (2)."""
-    return df.withColumn(W, F.when(baseline_cond, F.lit(1)).otherwise(F.lit(2)))
+    tagged = df.withColumn(W, F.when(baseline_cond, F.lit(1)).when(~baseline_cond, F.lit(2)))
+    return tagged.filter(F.col(W).isNotNull())  # where the condition is null a row is in neither window
 
 
 def to_long(stacked: DataFrame, cols: list[str], keys: tuple[str, ...] = (),
             cast: str | None = "double", keep_nulls: bool = False) -> DataFrame:
-    """Unpivot ``cols`` to ``(keys..., _w, feature, value)``; nulls dropped unless asked."""
+    """Unpivot ``cols`` to ``(keys..., _w, feature, value)``; NaN is a null, and nulls are dropped
+    unless asked."""
     ids = [*keys, W]
-    src = stacked.select(*ids, *[(F.col(c).cast(cast) if cast else F.col(c)).alias(c) for c in cols])
+    src = stacked.select(*ids, *[(present(F.col(c).cast(cast), cast) if cast else F.col(c)).alias(c) for c in cols])
     long = src.unpivot(ids, cols, "feature", "value")
     return long if keep_nulls else long.filter(F.col("value").isNotNull())
 
@@ -114,15 +117,18 @@ def ranked(long: DataFrame, keys: list[str], with_next: bool = False, n_tests: i
 
 
 def ks_test(long: DataFrame, keys: list[str], alpha: float = 0.05,
-            n_tests: int | None = None) -> DataFrame:
-    """Two-sample KS: D = max |F1 - F2|, asymptotic p; drift when p <= alpha / #tests."""
+            n_tests: int | None = None, correct: bool = True) -> DataFrame:
+    """Two-sample KS: D = max |F1 - F2|, asymptotic p; drift when p <= alpha / #tests, or when
+    p <= alpha without ``correct``. ``n_tests`` is the number of keys, where it is known."""
     r = ranked(long, keys, n_tests=n_tests)
     d = F.abs(F.try_divide(F.col("cum_c1"), F.col("total_c1")) - F.try_divide(F.col("cum_c2"), F.col("total_c2")))
     g = r.groupBy(*keys).agg(F.first("total_c1").alias("n1"), F.first("total_c2").alias("n2"),
                              F.max(d).alias("ks_stat"))
     z = "ks_stat * sqrt(cast(n1 as double) * n2 / (n1 + n2))"
     out = g.withColumn("p_value", F.expr(ks_pvalue_sql(z)))
-    if n_tests is None:
+    if not correct:
+        a = F.lit(alpha)
+    elif n_tests is None:
         a = F.lit(alpha) / F.count(F.lit(1)).over(Window.partitionBy(*[k for k in keys if k != "feature"]))
     else:
         a = F.lit(alpha / n_tests)
@@ -199,7 +205,7 @@ def chi2_goodness(counts: DataFrame, keys: list[str], n_tests: int | None = None
     tot = counts.groupBy(*keys).agg(F.sum("o1").alias("n1"), F.sum("o2").alias("n2"),
                                     F.count(F.lit(1)).alias("k"))
     j = join_bounded(counts, tot, keys, max_rows=n_tests)
-    e = F.try_divide(F.col("o1") * F.col("n2"), F.col("n1"))
+    e = F.try_divide(F.col("o1").cast("double") * F.col("n2"), F.col("n1"))
     g = j.groupBy(*keys).agg(
         F.sum(F.when(e > 0, (F.col("o2") - e) * (F.col("o2") - e) / e).otherwise(0.0)).alias("chi2"),
         F.max(F.when((e == 0) & (F.col("o2") > 0), 1).otherwise(0)).alias("_unseen"),
@@ -216,7 +222,7 @@ def null_rates(base: DataFrame, current: DataFrame, cols: list[str]) -> DataFram
 
 def null_rates_stacked(st: DataFrame, cols: list[str]) -> DataFrame:
     agg = st.groupBy(W).agg(F.count(F.lit(1)).alias("_n"),
-                            *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+                            *[F.count_if(missing(st, c)).alias(c) for c in cols])
     long = agg.unpivot([W, "_n"], cols, "feature", "nulls")
     g = long.groupBy("feature").agg(
         F.sum(F.when(F.col(W) == 1, 100.0 * F.col("nulls") / F.col("_n"))).alias("null_pct_1"),
@@ -278,7 +284,7 @@ def window_profile(st: DataFrame, num_cols: list[str], cat_cols: list[str]) -> D
     ``spark.checkpoint.dir`` and the later steps read it instead of re-scanning the source.
     """
     cols = [*num_cols, *cat_cols]
-    vals = ([F.struct(F.col(c).cast("double").alias("x"), F.lit(None).cast("string").alias("cat")).alias(c)
+    vals = ([F.struct(present(F.col(c).cast("double"), "double").alias("x"), F.lit(None).cast("string").alias("cat")).alias(c)
              for c in num_cols]
             + [F.struct(F.lit(None).cast("double").alias("x"), F.col(c).cast("string").alias("cat")).alias(c)
                for c in cat_cols])
@@ -339,7 +345,7 @@ def drift_report_stacked(st: DataFrame, cat_cols: list[str], num_cols: list[str]
 def alerts(report: DataFrame, run_label: str | None = None) -> DataFrame:
     """``on_drift`` as data: the drifted rows of a report, ready to append to an alert table."""
     out = report.filter(F.col("drift")).select("feature", "test", "statistic", "p_value", "threshold")
-    out = out.withColumn("message", F.concat(F.lit("Drift found in "), F.col("feature"), F.lit("!")))
+    out = out.withColumn("message", F.concat(F.lit("distribution change: "), F.col("feature")))
     if run_label is not None:
         out = out.withColumn("run", F.lit(run_label))
     return out

@@ -194,70 +194,64 @@ def max_bins_for(df: DataFrame, cat_cols: list[str], floor: int = 32) -> int:
     """maxBins = max(32, largest category count): trees fail to fit otherwise."""
     if not cat_cols:
         return floor
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cat_cols]).first()
-    exact = df.agg(*[F.count_distinct(c).alias(c) for c in cat_cols]).first() if max(row) < 100000 else row
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in cat_cols]).first()
     return max(floor, max(int(v) for v in exact))
 
 
-def vector_column_values(df: DataFrame, col: str) -> Column:
-    from pyspark.ml.functions import vector_to_array
-    return vector_to_array(F.col(col))
-
-
 # ------------------------------------------------------------------------ per-group MLlib models
-MAX_MODEL_GROUPS = 1000
+def _group_dir(group_col: str) -> Column:
+    """Folder name of a group: a hash of its typed value, so that "01" and "1" stay two groups
+    and a null group has a folder of its own."""
+    c = F.col(group_col)
+    return F.coalesce(F.md5(c.cast("string")), F.lit("null"))
 
 
 def grouped_mllib_fit(df: DataFrame, group_col: str, make_pipeline, label: str, out_dir: str,
-                      max_groups: int = MAX_MODEL_GROUPS, parallelism: int = 4) -> DataFrame:
-    """One MLlib model (e.g. a forest) per group, each fitted as a distributed job on its
-    group's rows, saved under ``out_dir/<group>``; returns (group, n_used, mse, model_path).
-
-    Unlike a grouped pandas function, a group holding a third of all rows is still trained by
-    the whole cluster. The number of groups is checked first: the driver loops over groups,
-    so past ``max_groups`` use :func:`grouped_linear_fit` (sufficient statistics) instead.
-    Up to ``parallelism`` fits run at once (concurrent jobs from driver threads, as
-    ``CrossValidator(parallelism=...)`` does), so small groups do not leave the cluster idle.
+                      groups: list, parallelism: int = 4) -> DataFrame:
+    """One MLlib model (e.g. a forest) for each of the ``groups`` the caller names (None is the
+    null group), each fitted as a distributed job on its group's rows, saved under ``out_dir``;
+    returns (group, n_used, mse, model_path). The driver loops over the named groups; for a
+    model of every group use :func:`grouped_linear_fit` (sufficient statistics).
+
+    A group holding a third of all rows is trained by the whole cluster. Up to ``parallelism``
+    fits run at once (concurrent jobs from driver threads, as ``CrossValidator(parallelism=...)``
+    does), so small groups do not leave the cluster idle.
     """
     from concurrent.futures import ThreadPoolExecutor
-    groups = [r[0] for r in df.select(group_col).distinct().limit(max_groups + 1).collect()]
-    if len(groups) > max_groups:
-        raise ValueError(f"{len(groups)}+ groups: too many for one model per group; use grouped_linear_fit")
+    spark, kind = df.sparkSession, df.schema[group_col].dataType
+    base = out_dir.rstrip("/")
     # one partitioned copy, so each fit reads only its group's directory (partition pruning)
-    by_group = f"{out_dir.rstrip('/')}/_data"
-    df.write.mode("overwrite").partitionBy(group_col).parquet(by_group)
-    data = df.sparkSession.read.parquet(by_group)
-    def fit_one(g):
-        part = data.filter(F.col(group_col) == F.lit(g))
+    df.withColumn("_group_dir", _group_dir(group_col)).write.mode("overwrite").partitionBy("_group_dir").parquet(f"{base}/_data")
+    data = spark.read.parquet(f"{base}/_data")
+    names = spark.createDataFrame([(g,) for g in groups], f"{group_col} {kind.simpleString()}")
+    names = names.select(group_col, _group_dir(group_col).alias("d")).collect()
+
+    def fit_one(r):
+        part = data.filter(F.col("_group_dir") == r["d"]).drop("_group_dir")
         model = make_pipeline().fit(part)
         m = regression_metrics(model.transform(part), label, "prediction").first()
-        path = f"{out_dir.rstrip('/')}/models/{group_col}={g}"
+        path = f"{base}/models/{r['d']}"
         model.write().overwrite().save(path)
-        return (g, int(m["n"]), float(m["mse"]), path)
+        return (r[group_col], int(m["n"]), float(m["mse"]), path)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(fit_one, sorted(groups)))
-    gtype = df.schema[group_col].dataType.simpleString()
-    return df.sparkSession.createDataFrame(rows, f"{group_col} {gtype}, n_used long, mse double, model_path string")
+        rows = list(pool.map(fit_one, names))
+    return spark.createDataFrame(rows, f"{group_col} {kind.simpleString()}, n_used long, mse double, model_path string")
 
 
 def grouped_mllib_score(df: DataFrame, models: DataFrame, group_col: str, work_path: str | None = None) -> DataFrame:
-    """Score each group's rows with its saved model (one model load per group, the rows of
-    a group scored by a distributed transform); returns the union of the groups.
+    """Score each row with its group's saved model (one row of ``models`` per named group); rows
+    of a group without a model are kept with a null prediction.
 
-    ``df`` is first written once partitioned by the group (a hot group is written by every
-    task that holds its rows), so each group's branch reads only its own directory: the input
-    is read twice in total, not once per group."""
+    ``df`` is first written once partitioned by the group, so each group's branch reads only its
+    own directory: the input is read twice in total, not once per group."""
     from functools import reduce
     from pyspark.ml import PipelineModel
     from driftline.session import work_dir
-    spark = df.sparkSession
-    path = work_path or work_dir(spark, "score-by-group")
-    gtype = df.schema[group_col].dataType
-    df.write.mode("overwrite").partitionBy(group_col).parquet(path)
-    data = spark.read.parquet(path).withColumn(group_col, F.col(group_col).cast(gtype)).select(*df.columns)
-    parts = []
-    for r in models.select(group_col, "model_path").collect():  # one row per group (bounded above)
-        m = PipelineModel.load(r["model_path"])
-        parts.append(m.transform(data.filter(F.col(group_col) == F.lit(r[group_col]))))
-    return reduce(DataFrame.unionByName, parts)
+    path = work_path or work_dir(df.sparkSession, "score-by-group")
+    df.withColumn("_group_dir", _group_dir(group_col)).write.mode("overwrite").partitionBy("_group_dir").parquet(path)
+    data = df.sparkSession.read.parquet(path)
+    named = models.select(_group_dir(group_col).alias("d"), "model_path").collect()  # one row per named group
+    parts = [data.filter(~F.col("_group_dir").isin([r["d"] for r in named])).withColumn("prediction", F.lit(None).cast("double"))]
+    parts += [PipelineModel.load(r["model_path"]).transform(data.filter(F.col("_group_dir") == r["d"])) for r in named]
+    return reduce(DataFrame.unionByName, [p.select(*df.columns, "prediction") for p in parts])

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.functions.columns import present
 from driftline.operators.ecdf import exact_quantiles, prefix_sums, value_statistics
 
 
 def long_values(df: DataFrame, cols: list[str], cast: str = "double", keep_nulls: bool = False) -> DataFrame:
-    src = df.select([F.col(c).cast(cast).alias(c) for c in cols])
+    src = df.select([present(F.col(c).cast(cast), cast).alias(c) for c in cols])  # NaN is missing
     long = src.unpivot([], cols, "feature", "value")
     return long if keep_nulls else long.filter(F.col("value").isNotNull())
 

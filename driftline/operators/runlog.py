@@ -8,7 +8,7 @@ written once); readers take the last value per (run, kind, key).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LONG_COLS = ["run_id", "parent_run_id", "experiment", "start_time", "end_time", "kind", "key", "value_str", "value_num"]
@@ -23,7 +23,9 @@ class RunLog:
         """Append runs given as rows with ``params`` / ``tags`` (map<string,string>) and
         ``metrics`` (map<string,double>) columns."""
         base = ["run_id", "parent_run_id", "experiment", "start_time", "end_time"]
-        parts = []
+        # a row for the run itself, so that one without entries is kept
+        parts = [runs.select(*base, F.lit("run").alias("kind"), F.lit("").alias("key"), F.lit(None).cast("string").alias("value_str"),
+                             F.lit(None).cast("double").alias("value_num"))]
         for kind, col in (("param", "params"), ("tag", "tags"), ("metric", "metrics")):
             if col not in runs.columns:
                 continue
@@ -40,8 +42,15 @@ class RunLog:
         return self.spark.read.parquet(self.path)
 
     def runs(self) -> DataFrame:
-        """One row per run: params, tags, metrics maps (bounded by the keys of a run)."""
+        """One row per run, also of one without entries: params, tags, metrics maps (bounded by
+        the keys of a run). Of a key logged again the value of the latest end time, then the
+        largest value, counts."""
+        run = ["run_id", "parent_run_id", "experiment", "start_time", "end_time"]
         lg = self.long()
+        order = F.struct("end_time", F.coalesce("value_str", F.lit("")), F.coalesce("value_num", F.lit(float("-inf"))))
+        last = lg.groupBy("run_id", "kind", "key").agg(F.max_by(F.struct("value_str", "value_num"), order).alias("v"))
+        heads = lg.groupBy("run_id").agg(F.max(F.struct("end_time", "start_time", "experiment", "parent_run_id")).alias("h"))
+        lg = last.select("run_id", "kind", "key", "v.*").join(heads.select("run_id", "h.*"), "run_id").select(*run, "kind", "key", "value_str", "value_num")
         entry = F.struct("key", F.coalesce("value_str", F.col("value_num").cast("string")).alias("v"))
         g = lg.groupBy("run_id", "parent_run_id", "experiment", "start_time", "end_time").agg(
             F.map_from_entries(F.collect_list(F.when(F.col("kind") == "param", entry))).alias("params"),
@@ -89,7 +98,3 @@ class RunLog:
 def latest_version(versions: DataFrame, name_col: str = "name", version_col: str = "version") -> DataFrame:
     """Max version per name, compared as integers (string versions sort "10" < "9")."""
     return versions.groupBy(name_col).agg(F.max(F.col(version_col).cast("int")).alias("latest_version"))
-
-
-def newest_first(df: DataFrame, time_col: str) -> DataFrame:
-    return df.withColumn("_rank", F.row_number().over(Window.orderBy(F.desc(time_col))))

@@ -141,7 +141,7 @@ FROM k
 def ks_fixed_alpha(spark, sf_dir):
     """KS with a fixed alpha of 0.05 (no correction) and the p-value rounded to 3 digits."""
     _, _, st = _stacked(spark, sf_dir, shifted=True)
-    ks = drift.ks_test(drift.to_long(st, LI_NUM), ["feature"], 0.05, 1)
+    ks = drift.ks_test(drift.to_long(st, LI_NUM), ["feature"], 0.05, len(LI_NUM), correct=False)
     return ks.select("feature", F.round("ks_stat", 8).alias("ks_stat"), F.round("p_value", 3).alias("p_value"), "drift")
 
 
@@ -335,7 +335,7 @@ def drift_report_shifted(spark, sf_dir):
 
 
 ALERTS_SQL = f"""
-SELECT feature, test, statistic, p_value, threshold, 'Drift found in ' || feature || '!' AS message
+SELECT feature, test, statistic, p_value, threshold, 'distribution change: ' || feature AS message
 FROM ({_report_sql(SHIFTED_W_SQL)}) WHERE drift
 """
 

@@ -17,12 +17,6 @@ LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LI_CAT = ["l_returnflag", "l_linestatus"]
 
 
-def lineitem_windows(t: Tables) -> tuple[DataFrame, DataFrame]:
-    li = t.lineitem.select(*LI_NUM, *LI_CAT, "l_shipdate")
-    cond = F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
-    return li.filter(cond).drop("l_shipdate"), li.filter(~cond).drop("l_shipdate")
-
-
 def lineitem_tagged(t: Tables, shifted: bool = False) -> DataFrame:
     """Both windows from a single scan, tagged ``_w`` (1 before the split date, else 2)."""
     li = t.lineitem.select(*LI_NUM, *LI_CAT, "l_shipdate")
@@ -30,27 +24,31 @@ def lineitem_tagged(t: Tables, shifted: bool = False) -> DataFrame:
     out = li.withColumn("_w", w).drop("l_shipdate")
     if shifted:
         cur = F.col("_w") == 2
-        out = (out.withColumn("l_extendedprice", F.when(cur, F.col("l_extendedprice") * 2).otherwise(F.col("l_extendedprice")))
-               .withColumn("l_tax", F.when(cur, F.col("l_tax") / 20).otherwise(F.col("l_tax")))
-               .withColumn("l_returnflag", F.when(cur & (F.col("l_returnflag") == "R"), F.lit(None))
-                           .otherwise(F.col("l_returnflag"))))
+        out = out.withColumns({c: F.when(cur, e).otherwise(F.col(c)) for c, e in _shifts().items()})
     return out
 
 
+def _shifts() -> dict:
+    """Drift for tests: prices move by an offset, large quantities swap their discount for the
+    tax, and flag N is missing where the quantity divides by three."""
+    big = F.col("l_quantity") > 25
+    return {"l_extendedprice": F.col("l_extendedprice") + 20000,
+            "l_tax": F.when(big, F.col("l_discount") + 0.05).otherwise(F.col("l_tax")),
+            "l_returnflag": F.when((F.col("l_returnflag") == "N") & (F.col("l_quantity") % 3 == 0), F.lit(None)).otherwise(F.col("l_returnflag"))}
+
+
 LINEITEM_W_SQL = (f"SELECT CASE WHEN l_shipdate < TIMESTAMP '{SPLIT_DATE}' THEN 1 ELSE 2 END AS w, "
                   "l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus FROM lineitem")
 
 
 def shifted_current(cur: DataFrame) -> DataFrame:
-    """Drift simulator (test input): double the price, rescale the tax, null one category."""
-    return (cur.withColumn("l_extendedprice", F.col("l_extendedprice") * 2)
-            .withColumn("l_tax", F.col("l_tax") / 20)
-            .withColumn("l_returnflag", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag"))))
+    """The same shifts on one window."""
+    return cur.withColumns(_shifts())
 
 
-SHIFTED_W_SQL = (f"SELECT w, l_quantity, CASE WHEN w = 2 THEN l_extendedprice * 2 ELSE l_extendedprice END AS l_extendedprice, "
-                 "l_discount, CASE WHEN w = 2 THEN l_tax / 20 ELSE l_tax END AS l_tax, "
-                 "CASE WHEN w = 2 AND l_returnflag = 'R' THEN NULL ELSE l_returnflag END AS l_returnflag, l_linestatus "
+SHIFTED_W_SQL = (f"SELECT w, l_quantity, CASE WHEN w = 2 THEN l_extendedprice + 20000 ELSE l_extendedprice END AS l_extendedprice, "
+                 "l_discount, CASE WHEN w = 2 AND l_quantity > 25 THEN l_discount + 0.05 ELSE l_tax END AS l_tax, "
+                 "CASE WHEN w = 2 AND l_returnflag = 'N' AND l_quantity % 3 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag, l_linestatus "
                  f"FROM ({LINEITEM_W_SQL})")
 
 

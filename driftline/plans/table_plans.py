@@ -97,7 +97,7 @@ def schema_merge(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = work_dir(spark, "csv-documents")
     FL.write_csv(Tables(spark, sf_dir).documents.select("doc_id", "lang", "text"), path)
-    back = FL.read_csv(spark, path)  # header, inferred types, multi-line quoted text
+    back = FL.read_csv(spark, path, multiline=True)  # header, inferred types, multi-line quoted text
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.md5("text").alias("text_md5"))
 
 

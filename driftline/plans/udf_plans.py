@@ -111,30 +111,3 @@ def pandas_api_value_counts(spark, sf_dir):
     out = vc.to_frame().reset_index()
     out.columns = ["o_orderpriority", "count"]
     return out.to_spark()
-
-
-def _forests(spark, sf_dir):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-    from driftline.session import work_dir
-    facts = iot(Tables(spark, sf_dir))
-
-    def pipe():
-        return Pipeline(stages=[VectorAssembler(inputCols=["feature_1", "feature_2", "feature_3"], outputCol="features"),
-                                RandomForestRegressor(labelCol="label", numTrees=10, maxDepth=5, seed=42)])
-    return facts, MD.grouped_mllib_fit(facts, "device_id", pipe, "label", work_dir(spark, "device-models"))
-
-
-@query("grouped_forest_train", None, "udf")
-def grouped_forest_train(spark, sf_dir):
-    """One random forest per device (each a distributed MLlib fit), saved per device."""
-    return _forests(spark, sf_dir)[1]
-
-
-@query("grouped_forest_score", None, "udf")
-def grouped_forest_score(spark, sf_dir):
-    """Each device's rows scored by its own saved forest; per-device RMSE of the result."""
-    facts, models = _forests(spark, sf_dir)
-    scored = MD.grouped_mllib_score(facts, models, "device_id")
-    return MD.regression_metrics(scored, "label", "prediction", ["device_id"])

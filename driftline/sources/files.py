@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, header: bool = True,
-             multiline: bool = True, sep: str = ",") -> DataFrame:
-    """CSV with header, quoted multi-line fields and ``"`` escapes; a DDL ``schema`` skips
+             multiline: bool = False, sep: str = ",") -> DataFrame:
+    """CSV with header, quoted fields and ``"`` escapes. ``multiline`` is for files whose quoted fields
+    hold line breaks: such a file cannot be split and is read by one task. A DDL ``schema`` skips
     inference (inference costs an extra pass over the files)."""
     r = (spark.read.option("header", header).option("multiLine", multiline).option("escape", '"')
          .option("quote", '"').option("sep", sep))

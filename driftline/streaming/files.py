@@ -52,25 +52,35 @@ def start_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None],
     return w.start()
 
 
-def run_until_done(q: StreamingQuery, timeout_s: float = 600) -> list[dict]:
-    """Wait for an availableNow query to finish; returns its progress reports."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+def run_until_done(q: StreamingQuery, timeout_s: float | None = None) -> list[dict]:
+    """Wait for an availableNow query to finish; returns its latest progress reports. There is no
+    limit unless the caller sets one; past it the query is stopped and ``TimeoutError`` raised,
+    since its sink holds only part of the input."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
+        raise TimeoutError(f"the stream had not finished after {timeout_s} s; its sink is incomplete")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return [p for p in q.recentProgress]
 
 
 def wait_for_progress(q: StreamingQuery, n: int, timeout_s: float = 600, poll_s: float = 0.5) -> list[dict]:
-    """Block until a continuously running query has made ``n`` progress reports (or fail)."""
+    """Block until a continuously running query has finished ``n`` batches, counted by batch
+    id since only the latest reports are kept (or fail)."""
     import time
     deadline = time.monotonic() + timeout_s
-    while len(q.recentProgress) < n:
+
+    def done() -> int:
+        last = q.lastProgress
+        return 0 if last is None else int(last["batchId"]) + 1
+
+    while done() < n:
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
         if time.monotonic() > deadline:
-            raise TimeoutError(f"{len(q.recentProgress)} of {n} progress reports after {timeout_s}s")
+            raise TimeoutError(f"{done()} of {n} batches after {timeout_s}s")
         time.sleep(poll_s)
     return list(q.recentProgress)
 

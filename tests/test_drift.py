@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from driftline.functions.stats import _gamma_q, chi2_sf_values
 from driftline.operators import drift
 
+SF001 = "/root/testdata/sf0.001"
+
 
 def _frame(spark, cols: dict):
     return spark.createDataFrame(pd.DataFrame(cols))
@@ -49,25 +51,42 @@ def test_chi2_tail_closed_forms():
     assert abs(_gamma_q(2.5, 100.0)) < 1e-30
 
 
-def test_ice_cream_scenario(spark):
-    """Two windows whose changes are known: the report must flag exactly those."""
-    n = 1000
-    temp1 = _grid(n, 60, 80)
-    w1 = {"temperature": temp1, "cones": _grid(n, 0, 20), "bowls": _grid(n, 0, 20),
-          "flavor": ["a"] * 300 + ["b"] * 200 + ["c"] * 300 + ["d"] * 200,
-          "sorbet": ["s1", "s2", "s3", "s4"] * 250}
-    w2 = {"temperature": (temp1 - 32) * 5 / 9, "cones": _grid(n, 0, 20), "bowls": _grid(n, 10, 30),
-          "flavor": ["a"] * 100 + ["b"] * 300 + ["c"] * 400 + ["d"] * 200,
-          "sorbet": ["s1", "s2", "s3", "s4"] * 200 + [None] * 200}
-    a, b = _frame(spark, w1), _frame(spark, w2)
-    rep = {(r["feature"], r["test"]): r for r in
-           drift.drift_report(a, b, ["flavor", "sorbet"], ["temperature", "cones", "bowls"], with_ks=True).collect()}
-    assert rep[("temperature", "js_distance")]["drift"] and rep[("bowls", "js_distance")]["drift"]
-    assert not rep[("cones", "js_distance")]["drift"]
-    assert rep[("flavor", "chi2")]["drift"] and not rep[("sorbet", "chi2")]["drift"]
-    assert rep[("*", "total_nulls_2")]["statistic"] == 200
-    nulls = {r["feature"]: r for r in drift.null_rates(a, b, ["sorbet", "flavor"]).collect()}
-    assert nulls["sorbet"]["null_pct_1"] == 0 and abs(nulls["sorbet"]["null_pct_2"] - 20.0) < 1e-9
+def test_order_windows_scenario(spark):
+    """Orders of odd against even customers are alike; moving the prices of one window, swapping
+    statuses or dropping some must be flagged, each in its own row."""
+    o = spark.read.parquet(f"{SF001}/orders.parquet").select(
+        "o_totalprice", F.sqrt("o_totalprice").alias("root"), "o_orderstatus", "o_orderpriority", (F.col("o_custkey") % 2).alias("half"))
+    a, b = o.filter("half = 0").drop("half"), o.filter("half = 1").drop("half")
+    cats, nums = ["o_orderstatus", "o_orderpriority"], ["o_totalprice", "root"]
+
+    def report(cur):
+        return {(r["feature"], r["test"]): r for r in drift.drift_report(a, cur, cats, nums, with_ks=True).collect()}
+
+    assert not any(r["drift"] for r in report(b).values())
+    flags = F.when(F.col("o_orderstatus") == "F", "O").otherwise(F.col("o_orderstatus"))
+    gone = F.when(F.col("o_orderpriority") < "4", F.col("o_orderpriority"))
+    rep = report(b.withColumns({"o_totalprice": F.col("o_totalprice") + 250000, "o_orderstatus": flags, "o_orderpriority": gone}))
+    assert rep["o_totalprice", "js_distance"]["drift"] and rep["o_totalprice", "ks"]["drift"] and not rep["root", "js_distance"]["drift"]
+    assert rep["o_orderstatus", "chi2"]["drift"]
+    missing = b.filter(gone.isNull()).count()
+    assert rep["*", "total_nulls_2"]["statistic"] == missing > 0 and rep["*", "total_nulls_1"]["statistic"] == 0
+
+
+def test_nan_is_missing(spark):
+    """A NaN is no value: it moves no bin, rank or quantile and counts as a null."""
+    nan = float("nan")
+    a = _frame(spark, {"x": _grid(200, 0, 1)})
+    far = _frame(spark, {"x": _grid(200, 5, 6)})
+    bad = far.unionByName(spark.range(2).select(F.lit(nan).alias("x")))
+
+    def long(cur):
+        return drift.to_long(drift.stack(a, cur), ["x"])
+
+    for test in (drift.js_distance, drift.ks_test, drift.wasserstein1, drift.mann_whitney, drift.kl_divergence):
+        assert test(long(far), ["feature"]).first() == test(long(bad), ["feature"]).first()
+    assert drift.null_rates(a, bad, ["x"]).first()["nulls_2"] == 2
+    rep = drift.drift_report(a, bad, [], ["x"]).collect()
+    assert {r["test"]: r["statistic"] for r in rep}["js_distance"] == 1.0 and {r["test"]: r["statistic"] for r in rep}["total_nulls_2"] == 2
 
 
 def test_report_is_partition_invariant(spark):
