@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.text import ALNUM_SEP, ascii_lower, doc_key, shifted, split_words
+from driftline.llm.text import ALNUM_SEP, ascii_lower, doc_key, let, shifted, split_words
 from driftline.session import materialize
 
 WINDOW = 13
@@ -75,7 +75,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
     lengths = sorted(r["len"] for r in grams.select("len").distinct().collect())
     one = rolling_hashes(grams, "gram", lengths)
     value = F.coalesce(*[F.when(F.col("len") == n, F.col(f"_h{n}")[0]) for n in lengths]) if lengths else F.lit(None).cast("bigint")
-    one = one.select("item_id", "gram", "len", value.alias("h"))
+    one = materialize(one.select("item_id", "gram", "len", value.alias("h")), "hashes")
     probe = one.select("h", "len").distinct()
     if probe.count() <= MAX_BROADCAST_WINDOWS:
         probe = F.broadcast(probe)
@@ -84,9 +84,9 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
     at = [F.transform(f"_h{n}", lambda h, i: F.struct(h.alias("h"), i.alias("at"), F.lit(n).alias("len"))) for n in lengths]
     none = F.array().cast("array<struct<h:bigint,at:int,len:int>>")
     if len(lengths) == 1:
-        found = hashed.select("doc_id", "_th", F.posexplode(f"_h{lengths[0]}").alias("at", "h"), F.lit(lengths[0]).alias("len"))
+        found = hashed.select("doc_id", "_th", F.posexplode_outer(f"_h{lengths[0]}").alias("at", "h"), F.lit(lengths[0]).alias("len"))
     else:
-        found = hashed.select("doc_id", "_th", F.explode(F.concat(none, *at)).alias("s")).select("doc_id", "_th", "s.*")
+        found = hashed.select("doc_id", "_th", F.explode_outer(F.concat(none, *at)).alias("s")).select("doc_id", "_th", "s.*")
     found = materialize(found.join(probe, ["h", "len"], "left_semi"), "hits")
     # verify on the words of the documents that were hit
     spots = found.groupBy("doc_id", "_th").agg(F.collect_list(F.struct("h", "at", "len")).alias("spots"))
@@ -94,9 +94,9 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
     text = docs.select(*doc_key(), "text")
     text = text.alias("d").join(spots.alias("s"), same).select("d.doc_id", "d._th", "d.text", "s.spots")
     text = text.dropDuplicates(["doc_id", "_th"]).withColumn("w", words_of(F.col("text")))
-    spot = F.transform("spots", lambda s: F.struct(s.h.alias("h"), s.at.alias("at"), s.len.alias("len"),
-                                                   F.slice(F.col("w"), s.at + 1, s.len).alias("gram")))
-    spot = text.select("doc_id", "_th", F.explode(spot).alias("s")).select("doc_id", "_th", "s.*")
+    spot = let(F.col("w"), lambda w: F.transform("spots", lambda s: F.struct(
+        s.h.alias("h"), s.at.alias("at"), s.len.alias("len"), F.slice(w, s.at + 1, s.len).alias("gram"))))
+    spot = text.select("doc_id", "_th", F.explode_outer(spot).alias("s")).select("doc_id", "_th", "s.*")
     return spot.join(one, ["h", "len", "gram"]).select("doc_id", "_th", "at", "len", "item_id")
 
 
@@ -142,7 +142,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     both = both.withColumn("_w", F.regexp_extract_all("_row.text", F.lit(f"{gap}{word}"), F.lit(0)))
     tail = F.regexp_extract("_row.text", f"({gap})$", 1)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_w") - 1), F.col("hit_words"))
-    left = F.array_join(F.transform(kept, lambda i: F.get(F.col("_w"), i)), "")
+    left = F.array_join(let(F.col("_w"), lambda w: F.transform(kept, lambda i: F.get(w, i))), "")
     text = F.when(F.col("hit_words").isNull(), F.col("_row.text")).otherwise(F.concat(left, tail))
     cols = [text.alias("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
     return both.select(*cols)

@@ -46,6 +46,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def computed(df: DataFrame, *names: str) -> DataFrame:
+    """Hand on the named columns as results: a later filter then tests the values and is not
+    rewritten into the expressions behind them, which would evaluate them again (and, where a
+    chain of columns uses each one twice, many times)."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*rest, F.explode_outer(F.array(F.struct(*names))).alias("_v")).select(
+        *rest, *[F.col(f"_v.{c}").alias(c) for c in names])
+
+
 def shifted(a: Column, k: int) -> Column:
     """``a`` without its first ``k`` elements (empty when there are no more)."""
     return F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
