@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.text import SPACE_SEP, shifted, split_words
+from driftline.llm.text import SPACE_SEP, computed, let, shifted, split_words
 
 # Frequent function words of each language.
 COMMON_WORDS = {
@@ -87,7 +87,7 @@ def references(hist: DataFrame) -> DataFrame:
 
     def share(name: str) -> Column:
         total = F.greatest(F.aggregate(name, F.lit(0), lambda s, x: s + x), F.lit(1))
-        return F.transform(name, lambda x: F.floor(x.cast("bigint") * SHARE / total))
+        return let(total, lambda n: F.transform(name, lambda x: F.floor(x.cast("bigint") * SHARE / n)))
 
     hist = hist.select("_lang", share("_chars").alias("_chars"), share("_common").alias("_common"), (F.size("_words") > 0).alias("_any"))
     sums = ([F.sum(F.col("_chars")[i]).alias(f"c{i}") for i in range(n)] + [F.sum(F.col("_common")[i]).alias(f"w{i}") for i in range(k)])
@@ -106,7 +106,10 @@ def js_distance(p: Column, q: Column) -> Column:
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.log(x / m)).otherwise(F.lit(0.0))
 
-    ps, qs = F.transform(p, lambda x: x / F.nullif(total(p), F.lit(0.0))), F.transform(q, lambda x: x / F.nullif(total(q), F.lit(0.0)))
+    def shares(a: Column) -> Column:
+        return let(F.nullif(total(a), F.lit(0.0)), lambda n: F.transform(a, lambda x: x / n))
+
+    ps, qs = shares(p), shares(q)
     terms = F.zip_with(ps, qs, lambda a, b: part(a, (a + b) / 2) + part(b, (a + b) / 2))
     return F.sqrt(F.greatest(total(terms) / (2 * math.log(2)), F.lit(0.0)))
 
@@ -150,8 +153,8 @@ def judge(docs: DataFrame) -> DataFrame:
     far = (F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False))
            | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False)))
     df = df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~far)
-    return df.select("_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                     "kept", "char_distance", "word_distance")
+    out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"]
+    return computed(df.select("_row", *out), *out)
 
 
 def filter_quality(docs: DataFrame) -> DataFrame:
