@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,19 +125,25 @@ class VersionedTable:
         row = h.orderBy(F.desc("version")).select("version", "paths", "schema_json", "operation").first()
         if row is None:
             raise ValueError(f"no version of {self.path} matches version={version} timestamp={timestamp}")
-        if row["operation"] == "VACUUMED":
+        gone = set(row["paths"]) & self._vacuumed()
+        if gone:
             raise FileNotFoundError(f"version {row['version']} of {self.path} was vacuumed")
         return row
 
+    def _vacuumed(self) -> set[str]:
+        """Folders that vacuum rows of the history name as deleted."""
+        rows = self.history().filter("operation = 'VACUUM'").select("params").collect()
+        return {p for r in rows for p in json.loads(r["params"])["deleted"]}
+
     def read(self, version: int | None = None, timestamp: str | dt.datetime | None = None) -> DataFrame:
         """Latest version, or the one named by ``version`` / the latest commit at or before
-        ``timestamp`` (time travel)."""
+        ``timestamp`` (time travel). Every folder is read with the version's stored schema
+        (columns it lacks are null), so no footer is opened to find it and folders with
+        different partition columns go together."""
         row = self._resolve(version, timestamp)
         schema = StructType.fromJson(json.loads(row["schema_json"]))
-        df = self.spark.read.option("mergeSchema", "true").parquet(*row["paths"])
-        cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in schema.fields]
-        return df.select(*cols)
+        parts = [self.spark.read.schema(schema).parquet(p).select(*[f.name for f in schema.fields]) for p in row["paths"]]
+        return reduce(DataFrame.unionByName, parts)
 
     def version_of(self, timestamp) -> int:
         return self._resolve(timestamp=timestamp)["version"]
@@ -144,39 +151,27 @@ class VersionedTable:
     # ------------------------------------------------------------------ vacuum
     def vacuum(self, retention_hours: float = MIN_RETENTION_HOURS, check_retention: bool = True,
                now: dt.datetime | None = None) -> list[str]:
-        """Delete data folders that the latest version does not reference and that belong to
-        versions older than the retention; those versions become unreadable."""
+        """Delete data folders of versions that were superseded longer ago than the retention and
+        that no younger version references; those versions become unreadable. The vacuum is a row
+        appended to the history (a version with the data of the latest one) before anything is
+        deleted, so a crash in between leaves a readable table and a second call finishes it."""
         if check_retention and retention_hours < MIN_RETENTION_HOURS:
             raise ValueError(f"retention below {MIN_RETENTION_HOURS} hours is refused unless check_retention=False")
         now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         cutoff = now - dt.timedelta(hours=retention_hours)
-        rows = self.history().select("version", "ts", "paths", "operation").collect()  # one row per version
-        latest = max(rows, key=lambda r: r["version"])
-        keep = set(latest["paths"])
-        for r in rows:
-            if r["ts"] > cutoff:
+        rows = sorted(self.history().select("version", "ts", "paths", "schema_json", "n_rows").collect())  # one row per version
+        keep = set(rows[-1]["paths"])
+        for r, successor in zip(rows, rows[1:]):
+            if successor["ts"] > cutoff:
                 keep.update(r["paths"])
-        deleted = []
-        for r in rows:
-            for p in r["paths"]:
-                if p not in keep and p not in deleted and path_exists(self.spark, p):
-                    delete_path(self.spark, p)
-                    deleted.append(p)
-        gone = [r["version"] for r in rows if any(p in deleted for p in r["paths"]) and r["operation"] != "VACUUMED"]
-        if gone:
-            self._mark_vacuumed(gone)
-        return deleted
-
-    def _mark_vacuumed(self, versions: list[int]) -> None:
-        h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-        marked = h.withColumn("operation", F.when(F.col("version").isin(versions), F.lit("VACUUMED"))
-                              .otherwise(F.col("operation")))
-        rows = marked.collect()  # history is one row per version
-        tmp = f"{self.history_path}-{uuid.uuid4().hex}"
-        self.spark.createDataFrame(rows, HISTORY_SCHEMA).coalesce(1).write.parquet(tmp)
-        delete_path(self.spark, self.history_path)
-        fs, src = _fs(self.spark, tmp)
-        fs.rename(src, self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.history_path))
+        old = [p for p in dict.fromkeys(p for r in rows for p in r["paths"])
+               if p not in keep and path_exists(self.spark, p)]
+        if old:
+            last = rows[-1]
+            self._commit("VACUUM", None, list(last["paths"]), last["schema_json"], last["n_rows"], {"deleted": old}, last=last)
+            for p in old:
+                delete_path(self.spark, p)
+        return old
 
 
 def schema_diff(left: StructType, right: StructType) -> list[tuple[str, str | None, str | None]]:

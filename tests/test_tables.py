@@ -49,6 +49,30 @@ def test_vacuum_retention_and_unreadable_versions(spark, tmp_uri):
     assert vt.read().count() == o.filter("o_orderstatus = 'O'").count()
 
 
+def test_vacuum_keeps_recently_superseded(spark, tmp_uri):
+    """Retention runs from when a version was superseded, however old its data are."""
+    o = _orders(spark)
+    vt = VersionedTable(spark, f"{tmp_uri}/r")
+    vt.write(o)
+    vt.write(o.limit(5), mode="overwrite")
+    soon = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=100)
+    assert vt.vacuum(now=soon) == [] and vt.read(version=0).count() == o.count()
+    assert len(vt.vacuum(now=soon + dt.timedelta(hours=100))) == 1
+    assert vt.history().first()["operation"] == "VACUUM" and vt.read().count() == 5
+
+
+def test_partitioned_append_reads_back(spark, tmp_uri):
+    o = _orders(spark)
+    vt = VersionedTable(spark, f"{tmp_uri}/p")
+    vt.write(o, partition_by=["o_orderstatus"])
+    vt.write(o, mode="append", partition_by=["o_orderstatus"])
+    vt.write(o.withColumn("extra", F.lit(1)), mode="append", merge_schema=True)
+    got = vt.read()
+    assert got.columns == [*o.columns, "extra"] and got.count() == 3 * o.count()
+    per = {r["o_orderstatus"]: r["count"] for r in got.groupBy("o_orderstatus").count().collect()}
+    assert per == {r["o_orderstatus"]: 3 * r["count"] for r in o.groupBy("o_orderstatus").count().collect()}
+
+
 def test_schema_merge_and_diff(spark, tmp_uri):
     c = spark.read.parquet(f"{SF001}/customer.parquet")
     vt = VersionedTable(spark, f"{tmp_uri}/m")
