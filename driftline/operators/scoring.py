@@ -40,21 +40,13 @@ def model_from_row(row, features: list[str]) -> LinearModel:
     return LinearModel(features, [float(row[f"coef_{f}"]) for f in features], float(row["intercept"]))
 
 
-MAX_BUNDLE_KEYS = 100_000
-
-
-def bundle_from_frame(coefs: DataFrame, key: str, features: list[str],
-                      max_keys: int = MAX_BUNDLE_KEYS) -> ModelBundle:
-    """Collect the per-key coefficient table (one row per key) into a bundle that is broadcast
-    to the scoring tasks. The key count is checked first (a bounded pull of ``max_keys + 1``
-    rows); past it, score with ``models.linear_score``, which joins the coefficient table and
-    lets Spark pick the join by its measured size."""
-    sel = coefs.select(key, "intercept", *[f"coef_{f}" for f in features])
-    rows = sel.limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
-        raise ValueError(f"more than {max_keys} keyed models: use models.linear_score (a join) instead of a bundle")
+def bundle_from_frame(coefs: DataFrame, key: str, features: list[str], keys: list) -> ModelBundle:
+    """Models of the ``keys`` the caller names, as a bundle that is broadcast to the scoring tasks
+    (one short row per named key). To score every key of a table use ``models.linear_score``,
+    which joins the coefficient table and lets Spark pick the join by its measured size."""
+    sel = coefs.filter(F.col(key).isin(keys)).select(key, "intercept", *[f"coef_{f}" for f in features])
     return ModelBundle(key, features, {r[key]: (float(r["intercept"]), [float(r[f"coef_{f}"]) for f in features])
-                                       for r in rows})
+                                       for r in sel.collect()})
 
 
 def scalar_udf(model: LinearModel):

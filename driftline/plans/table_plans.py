@@ -93,6 +93,27 @@ def schema_merge(spark, sf_dir):
                          F.count("c_name").alias("n_name"))
 
 
+@query("partitioned_append", "SELECT o_orderstatus, 2 * count(*) AS n, round(2 * sum(o_totalprice), 2) AS total FROM orders GROUP BY 1", "versions")
+def partitioned_append(spark, sf_dir):
+    """Append to a partitioned versioned table and read both folders back."""
+    o = Tables(spark, sf_dir).orders
+    vt = VersionedTable(spark, work_dir(spark, "partitioned"))
+    vt.write(o, partition_by=["o_orderstatus"])
+    vt.write(o, mode="append", partition_by=["o_orderstatus"])
+    return vt.read().groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("vacuum_keeps_recent", "SELECT count(*) AS n_rows, round(sum(o_totalprice), 2) AS total FROM orders", "versions")
+def vacuum_keeps_recent(spark, sf_dir):
+    """A version superseded a moment ago outlives a vacuum with the default retention."""
+    o = Tables(spark, sf_dir).orders
+    vt = VersionedTable(spark, work_dir(spark, "vacuum"))
+    vt.write(o)
+    vt.write(o.withColumn("o_totalprice", -F.col("o_totalprice")), mode="overwrite")
+    vt.vacuum()
+    return vt.read(version=0).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @query("csv_roundtrip", "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents", "files")
 def csv_roundtrip(spark, sf_dir):
     path = work_dir(spark, "csv-documents")

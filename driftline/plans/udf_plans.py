@@ -56,7 +56,7 @@ def grouped_linear_score(spark, sf_dir):
 def grouped_bundle_score(spark, sf_dir):
     """Per-key model bundle routed by key inside an iterator pandas UDF (no grouping)."""
     facts, coefs = _fit(spark, sf_dir)
-    bundle = S.bundle_from_frame(coefs, "device_id", ["feature_1"])
+    bundle = S.bundle_from_frame(coefs, "device_id", ["feature_1"], list(range(10)))
     scored = S.apply_bundle(facts, spark, bundle)
     return scored.select("record_id", F.round("prediction", 4).alias("prediction"))
 
