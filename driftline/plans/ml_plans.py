@@ -223,15 +223,16 @@ def _tree_frame(spark, sf_dir):
     return df, si, va, MD.max_bins_for(df, CAT)
 
 
-@query("dtree_bounds", None, "ml")
+@query("dtree_bounds", f"""SELECT max(l_extendedprice) FILTER ({HASH80.format(k='l_orderkey')}) AS train_max, true AS bounded,
+       count(*) FILTER (NOT {HASH80.format(k='l_orderkey')}) AS n_test FROM lineitem JOIN part ON l_partkey = p_partkey""", "ml")
 def dtree_bounds(spark, sf_dir):
     df, si, va, bins = _tree_frame(spark, sf_dir)
     train, test = _split(df)
     model = Pipeline(stages=[si, va, DecisionTreeRegressor(labelCol=LABEL, maxBins=bins, maxDepth=5)]).fit(train)
     pred = model.transform(test)
     tmax = train.agg(F.max(LABEL)).first()[0]
-    return pred.agg(F.max("prediction").alias("max_prediction"), F.lit(tmax).alias("train_max"),
-                    (F.max("prediction") <= F.lit(tmax)).alias("bounded"), F.lit(bins).alias("max_bins"))
+    return pred.agg(F.lit(tmax).alias("train_max"), (F.max("prediction") <= F.lit(tmax)).alias("bounded"),
+                    F.count(F.lit(1)).alias("n_test"))
 
 
 @query("rf_regression", None, "ml")

@@ -465,26 +465,36 @@ def fold_sizes(spark, sf_dir):
     return o.select(H.fold_col("o_orderkey", 3).alias("fold")).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sample_rows", None, "split")
+@query("sample_rows", "SELECT count(*) AS n_rows, true AS share_ok, true AS all_from_table FROM lineitem", "split")
 def sample_rows(spark, sf_dir):
-    return T(spark, sf_dir).lineitem.sample(fraction=0.1, seed=42)
+    """A seeded tenth of the rows: its share, and that each sampled row is one of the table."""
+    li = T(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    key = [F.col(c) for c in li.columns]
+    both = li.withColumn("w", F.lit(0)).unionByName(li.sample(fraction=0.1, seed=42).withColumn("w", F.lit(1)))
+    per = both.groupBy(*key).agg(F.count_if(F.col("w") == 0).alias("a"), F.count_if(F.col("w") == 1).alias("s"))
+    share = F.sum("s") / F.sum("a")
+    return per.agg(F.sum("a").alias("n_rows"), share.between(0.08, 0.12).alias("share_ok"), F.bool_and(F.col("s") <= F.col("a")).alias("all_from_table"))
 
 
-@query("random_split", None, "split")
+@query("random_split", "SELECT count(*) AS n_rows, true AS share_ok, true AS complete, true AS disjoint FROM lineitem", "split")
 def random_split(spark, sf_dir):
-    li = T(spark, sf_dir).lineitem
+    """Seeded 80/20 split: the parts are disjoint and together the table."""
+    li = T(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber")
     train, test = li.randomSplit([0.8, 0.2], seed=42)
-    return (train.agg(F.count(F.lit(1)).alias("n")).select(F.lit("train").alias("split"), "n")
-            .unionByName(test.agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("split"), "n")))
+    both = li.withColumn("w", F.lit(0)).unionByName(train.withColumn("w", F.lit(1))).unionByName(test.withColumn("w", F.lit(2)))
+    per = both.groupBy("l_orderkey", "l_linenumber").agg(*[F.count_if(F.col("w") == i).alias(f"n{i}") for i in range(3)])
+    return per.agg(F.sum("n0").alias("n_rows"), (F.sum("n1") / F.sum("n0")).between(0.78, 0.82).alias("share_ok"),
+                   F.bool_and(F.col("n1") + F.col("n2") == F.col("n0")).alias("complete"),
+                   F.bool_and((F.col("n1") == 0) | (F.col("n2") == 0) | (F.col("n0") > 1)).alias("disjoint"))
 
 
-@query("simulated_shift", """SELECT l_orderkey, l_linenumber, l_extendedprice * 2 AS l_extendedprice, round(l_tax / 20, 8) AS l_tax,
-       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_returnflag END AS l_returnflag FROM lineitem""", "split")
+@query("simulated_shift", """SELECT l_orderkey, l_linenumber, l_extendedprice + 20000 AS l_extendedprice,
+       round(CASE WHEN l_quantity > 25 THEN l_discount + 0.05 ELSE l_tax END, 8) AS l_tax,
+       CASE WHEN l_returnflag = 'N' AND l_quantity % 3 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag FROM lineitem""", "split")
 def simulated_shift(spark, sf_dir):
     from driftline.plans.fixtures import shifted_current
-    li = T(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_tax", "l_returnflag")
-    s = shifted_current(li)
-    return s.withColumn("l_tax", F.round("l_tax", 8))
+    s = shifted_current(T(spark, sf_dir).lineitem)
+    return s.select("l_orderkey", "l_linenumber", "l_extendedprice", F.round("l_tax", 8).alias("l_tax"), "l_returnflag")
 
 
 @query("iot_features", """SELECT event_id AS record_id, CAST(user_id % 10 AS INTEGER) AS device_id, value AS feature_1,

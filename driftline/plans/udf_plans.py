@@ -33,9 +33,19 @@ def grouped_train(spark, sf_dir):
     return round_doubles(_fit(spark, sf_dir)[1], 6)
 
 
-@query("grouped_train_multi", None, "udf")
+GROUPED_MULTI_SQL = f"""WITH f AS {IOT_SQL},
+m AS (SELECT device_id, count(*) AS n_used, var_pop(feature_1) AS a, covar_pop(feature_1, feature_3) AS b, var_pop(feature_3) AS d,
+      covar_pop(feature_1, label) AS p, covar_pop(feature_3, label) AS q, avg(feature_1) AS m1, avg(feature_3) AS m3, avg(label) AS my
+      FROM f GROUP BY device_id),
+c AS (SELECT *, (p * d - q * b) / (a * d - b * b) AS b1, (q * a - p * b) / (a * d - b * b) AS b3 FROM m)
+SELECT device_id, n_used, round(b1, 5) AS coef_feature_1, round(b3, 5) AS coef_feature_3, round(my - b1 * m1 - b3 * m3, 4) AS intercept FROM c"""
+
+
+@query("grouped_train_multi", GROUPED_MULTI_SQL, "udf")
 def grouped_train_multi(spark, sf_dir):
-    return _fit(spark, sf_dir, ("feature_1", "feature_2", "feature_3"))[1]
+    fit = _fit(spark, sf_dir, ("feature_1", "feature_3"))[1]
+    return fit.select("device_id", "n_used", F.round("coef_feature_1", 5).alias("coef_feature_1"),
+                      F.round("coef_feature_3", 5).alias("coef_feature_3"), F.round("intercept", 4).alias("intercept"))
 
 
 GROUPED_SCORE_SQL = f"""WITH f AS {IOT_SQL},
