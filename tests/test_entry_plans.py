@@ -63,3 +63,14 @@ def test_drift_report_scans_table_twice(spark):
 
 def test_js_distance_range_pass_materialised(spark):
     assert _scans(E.queries()["js_distance"](spark, SF001)) == 1
+
+
+def test_entry_works_without_the_optional_operators():
+    """Without the training-data subpackage the other queries stay registered."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.modules['driftline.llm'] = None; sys.modules['corpus_pipeline'] = None\n"
+            "import __spark_entry__ as e; q = e.queries(); assert 'drift_report' in q and 'pipeline' not in q and not any(n.startswith('op') for n in q)\n"
+            "assert set(e.oracle_sql()) <= set(q)")
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
