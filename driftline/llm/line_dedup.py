@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from driftline.llm.text import SPACE_BYTES, _powers, doc_key, mix, text_chunks, word_hashes
 from driftline.session import materialize
@@ -115,63 +116,43 @@ def _take(b: pa.RecordBatch, lo: int, rows: np.ndarray) -> list[pa.Array]:
     return [b.column(c).take(pa.array(rows + lo)) for c in ("doc_id", "_th")]
 
 
-def _fingerprints(least: int):
+def _windows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, _, data, off in text_chunks(b.column("text")):
                 x = Lines(data, off)
-                at = np.unique(x.windows(least)[2])
-                if len(at):
-                    owner = x.owner[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x.a[at].view(np.int64)), *_take(b, lo, owner), pa.array((at - x.first[owner]).astype(np.int32))],
-                        names=["print", "doc_id", "_th", "line"])
-    return run
-
-
-def _candidates(least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spots = b.column("lines")
-            for lo, hi, data, off in text_chunks(b.column("text")):
-                x = Lines(data, off)
-                part = spots.slice(lo, hi - lo)
-                rows = np.repeat(np.arange(hi - lo), part.value_lengths().to_numpy(zero_copy_only=False))
-                again = np.zeros(len(x.a) + 1, bool)
-                again[x.first[rows] + part.flatten().to_numpy()] = True
                 s, e, at = x.windows(least)
-                s, e = s[again[at]], e[again[at]]
                 if len(s):
                     owner = x.owner[s]
                     h1, h2 = x.window_hashes(s, e)
                     base = x.first[owner]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h1), pa.array(h2), *_take(b, lo, owner), pa.array((s - base).astype(np.int32)),
-                         pa.array((e - base).astype(np.int32))], names=["h1", "h2", "doc_id", "_th", "lo", "hi"])
+                        [pa.array(x.a[at].view(np.int64)), pa.array(h1), pa.array(h2), *_take(b, lo, owner),
+                         *(pa.array((v - base).astype(np.int32)) for v in (at, s, e))],
+                        names=["print", "h1", "h2", "doc_id", "_th", "at", "lo", "hi"])
     return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hand rows on with the text that is left where lines are deleted, null elsewhere."""
     for b in batches:
-        for lo, hi, data, off in text_chunks(b.column("text")):
+        runs = b.column("runs")
+        texts, gone, lost = [None] * b.num_rows, np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+        hit = np.flatnonzero(runs.is_valid().to_numpy(zero_copy_only=False))
+        for lo, hi, data, off in text_chunks(b.column("_row").field("text").take(pa.array(hit))) if len(hit) else ():
             x = Lines(data, off)
-            texts, gone, lost = [], [], []
-            for i, runs in enumerate(b.column("runs").slice(lo, hi - lo).to_pylist()):
+            for i, row in enumerate(hit[lo:hi].tolist()):
                 f, l = int(x.first[i]), int(x.first[i + 1])
                 drop = np.zeros(l - f, bool)
-                for r in runs:
+                for r in runs[row].as_py():
                     drop[r["lo"]:r["hi"]] = True
                 edges = np.append(x.start[f:l], off[i + 1])
                 if l > f:
                     edges[0] = off[i]
-                keep = np.flatnonzero(~drop)
-                texts.append(b"".join(data[edges[k]:edges[k + 1]].tobytes() for k in keep).decode("utf-8", "replace"))
-                gone.append(int(drop.sum()))
-                lost.append(int(np.diff(x.words[f:l + 1])[drop].sum()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(lo, hi - lo), b.column("_th").slice(lo, hi - lo), pa.array(texts, pa.string()),
-                 pa.array(gone, pa.int64()), pa.array(lost, pa.int64())],
-                names=["doc_id", "_th", "new_text", "lines_deleted", "words_deleted"])
+                texts[row] = b"".join(data[edges[k]:edges[k + 1]].tobytes() for k in np.flatnonzero(~drop)).decode("utf-8", "replace")
+                gone[row], lost[row] = drop.sum(), np.diff(x.words[f:l + 1])[drop].sum()
+        yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(texts, pa.string()), pa.array(gone), pa.array(lost)],
+                                         names=["_row", "left", "lines_deleted", "words_deleted"])
 
 
 def _same(a: str, b: str):
@@ -180,32 +161,28 @@ def _same(a: str, b: str):
 
 def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """(doc_id, _th, lo, hi): lines [lo, hi) of the windows that occur earlier."""
-    src = docs.select(*doc_key(), "text")
-    prints = materialize(src.mapInArrow(_fingerprints(least), "print bigint, doc_id bigint, _th bigint, line int"), "prints")
-    again = prints.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
-    spots = prints.join(again, "print", "left_semi").groupBy("doc_id", "_th").agg(F.collect_set("line").alias("lines"))
-    texts = src.alias("d").join(spots.alias("s"), _same("d", "s")).select("d.doc_id", "d._th", "s.lines", "d.text")
-    found = texts.mapInArrow(_candidates(least), "h1 bigint, h2 bigint, doc_id bigint, _th bigint, lo int, hi int")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("id"), "_th", "lo")
-    found = materialize(found.withColumn("place", order), "windows")
-    first = found.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("final")).filter("first < final")
-    late = found.join(first.select("h1", "h2", "first"), ["h1", "h2"]).filter("place > first")
+    schema = "print bigint, h1 bigint, h2 bigint, doc_id bigint, _th bigint, at int, lo int, hi int"
+    windows = materialize(docs.select(*doc_key(), "text").mapInArrow(_windows(least), schema), "windows")
+    spot = F.xxhash64("doc_id", "_th", "at")
+    again = windows.groupBy("print").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).filter("a <> b").select("print")
+    found = materialize(windows.join(again, "print", "left_semi").select("h1", "h2", "doc_id", "_th", "lo", "hi"), "candidates")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("id"), "_th", "lo")
+    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("final")).filter("first < final")
+    late = found.join(first.select("h1", "h2", "first"), ["h1", "h2"]).filter(place > F.col("first"))
     return late.select("doc_id", "_th", "lo", "hi").distinct()
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``docs`` as one struct ``_row`` with new_text, lines_deleted and words_deleted."""
     runs = repeated_runs(docs, least).groupBy("doc_id", "_th").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    src = docs.select(*doc_key(), "text")
-    texts = src.alias("d").join(runs.alias("r"), _same("d", "r")).select("d.doc_id", "d._th", "d.text", "r.runs")
-    texts = texts.dropDuplicates(["doc_id", "_th"])
-    cut = materialize(texts.mapInArrow(_cut, "doc_id bigint, _th bigint, new_text string, lines_deleted bigint, words_deleted bigint"), "cut")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     rows = rows.select("_row", F.col("_row.doc_id").alias("doc_id"), F.xxhash64("_row.text").alias("_th"))
-    both = rows.alias("d").join(cut.alias("r"), _same("d", "r"), "left")
-    return both.select("_row", F.when(F.col("r.lines_deleted").isNull(), F.col("_row.text")).otherwise(F.col("r.new_text")).alias("new_text"),
-                       F.coalesce("r.lines_deleted", F.lit(0)).alias("lines_deleted"),
-                       F.coalesce("r.words_deleted", F.lit(0)).alias("words_deleted"))
+    both = rows.alias("d").join(runs.alias("r"), _same("d", "r"), "left").select("_row", "runs")
+    schema = StructType([both.schema["_row"], StructField("left", StringType()), StructField("lines_deleted", LongType()),
+                         StructField("words_deleted", LongType())])
+    out = both.mapInArrow(_cut, schema)
+    text = F.when(F.col("lines_deleted") > 0, F.col("left")).otherwise(F.col("_row.text"))
+    return out.select("_row", text.alias("new_text"), "lines_deleted", "words_deleted")
 
 
 def without_repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
