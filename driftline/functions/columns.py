@@ -67,17 +67,6 @@ def fill_missing_category(c: str, token: str = "missing") -> Column:
     return F.coalesce(F.col(c), F.lit(token))
 
 
-def mode_of(df: DataFrame, c: str) -> DataFrame:
-    """One-row frame with the most frequent non-null value of ``c`` (ties -> smallest value).
-
-    Two-stage: distinct-value counts (map-side combined) then a global min over
-    (-count, value) structs with partial aggregation; no value list is built.
-    """
-    vc = df.filter(F.col(c).isNotNull()).groupBy(c).count()
-    best = vc.agg(F.min(F.struct((-F.col("count")).alias("neg"), F.col(c).alias("v"))).alias("m"))
-    return best.select(F.col("m.v").alias(c))
-
-
 def modes(df: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, mode) for several columns in one job: unpivot, count per value, min struct."""
     long = (df.select([F.col(c).cast("string").alias(c) for c in cols])

@@ -58,9 +58,3 @@ def answer_hash(c: str | Column) -> Column:
     """32-bit md5 prefix of a value's text: the same in every engine."""
     k = F.col(c) if isinstance(c, str) else c
     return F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint")
-
-
-def abs_hash_int(c: str | Column) -> Column:
-    """``abs(hash(value))`` as int (answer-checker style murmur3 fingerprint)."""
-    k = F.col(c) if isinstance(c, str) else c
-    return F.abs(F.hash(k).cast("long")).cast("long")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import missing, present
 from driftline.functions.stats import chi2_sf, ks_pvalue_sql, xlogy_ratio
-from driftline.operators.ecdf import exact_quantiles, prefix_sums, value_statistics
+from driftline.operators.ecdf import prefix_sums, value_statistics
 from driftline.operators.joins import join_bounded
 from driftline.session import materialize_small
 

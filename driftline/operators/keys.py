@@ -58,12 +58,3 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
         if c not in t_cols:
             out.append(F.col(f"_u_{c}").alias(c))
     return j.select(*out)
-
-
-def lookup_features(df: DataFrame, feature_table: DataFrame, lookup_key: list[str],
-                    feature_names: list[str] | None = None, table_key: list[str] | None = None) -> DataFrame:
-    """Left join of a label/request frame to a keyed feature table (all features unless named)."""
-    table_key = table_key or lookup_key
-    feats = feature_names or [c for c in feature_table.columns if c not in table_key]
-    ft = feature_table.select(*[F.col(tk).alias(lk) for tk, lk in zip(table_key, lookup_key)], *feats)
-    return df.join(ft, lookup_key, "left")

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
 TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents "
                "embeddings pages benchmark labels conversations").split()
@@ -32,13 +30,6 @@ class Tables:
         raise AttributeError(name)
 
 
-def with_ltz_timestamps(df: DataFrame) -> DataFrame:
-    """Cast ``timestamp_ntz`` columns to session ``timestamp`` (needed by watermarks)."""
-    return df.select([F.col(f.name).cast("timestamp").alias(f.name)
-                      if isinstance(f.dataType, TimestampNTZType) else F.col(f.name)
-                      for f in df.schema.fields])
-
-
 def head_pandas(df: DataFrame, n: int = 20):
     """Bounded pull to the driver: ``limit`` first, then convert (never ``toPandas`` on a whole table)."""
     return df.limit(n).toPandas()
