@@ -117,11 +117,17 @@ def js_distance(p: Column, q: Column) -> Column:
 def _base_counts(df: DataFrame) -> DataFrame:
     """Plain counts from text and ``_words``."""
     words = F.col("_words")
-    tri = F.zip_with(F.zip_with(words, shifted(words, 1), lambda a, b: F.concat(a, F.lit(" "), b)),
-                     shifted(words, 2), lambda a, b: F.concat(a, F.lit(" "), b))
-    placed = F.filter(F.transform(tri, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: s.x.isNotNull())
-    df = df.withColumn("_tri", F.sort_array(placed))
-    pairs = F.zip_with("_tri", shifted(F.col("_tri"), 1), lambda a, b: F.when(a.x == b.x, F.array(a.i, b.i)))
+    # windows by hash, sorted with their places; equal neighbours are compared word by word
+    first = lambda a, k: F.slice(a, F.lit(1), F.greatest(F.size(words) - k, F.lit(0)))
+    two = F.zip_with(first(words, 1), shifted(words, 1), lambda a, b: F.xxhash64(a, b))
+    three = F.zip_with(first(two, 2), shifted(words, 2), lambda h, c: F.xxhash64(h, c))
+    df = df.withColumn("_tri", F.sort_array(F.transform(three, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+
+    def same(a: Column, b: Column) -> Column:
+        equal = [F.get(words, a.i + k) == F.get(words, b.i + k) for k in range(3)]
+        return reduce(lambda x, y: x & y, equal, a.h == b.h)
+
+    pairs = F.zip_with("_tri", shifted(F.col("_tri"), 1), lambda a, b: F.when(same(a, b), F.array(a.i, b.i)))
     found = F.flatten(F.filter(pairs, lambda x: x.isNotNull()))
     covered = F.array_distinct(F.flatten(F.transform(found, lambda i: F.array(i, i + 1, i + 2))))
     df = df.withColumn("_lines", F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]"))))
