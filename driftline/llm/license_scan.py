@@ -28,19 +28,19 @@ REACH = 12
 # Base phrases (last word is the anchor) and their labels.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-# label, [(keyword, names as a regex over words)]
+# label, [(keywords, names as a regex over words)]: every match of the names holds one of the keywords as a word
 FAMILIES = [
     ("mit", [("mit", "mit(?: x11)?"), ("expat", "expat"), ("x11", "x11")]),
     ("apache", [("apache", "apache(?: software)?")]),
-    ("agpl", [("affero", "(?:gnu )?affero general public"), ("agpl", "(?:gnu )?agpl(?:v3)?")]),
-    ("lgpl", [("lesser", "(?:gnu )?lesser general public"), ("library", "(?:gnu )?library general public"), ("lgpl", "(?:gnu )?lgpl(?:v2|v3)?")]),
-    ("gpl", [("general", "(?:gnu )?general public"), ("gpl", "(?:gnu )?gpl(?:v2|v3)?")]),
+    ("agpl", [("affero", "(?:gnu )?affero general public"), ("agpl agplv3", "(?:gnu )?agpl(?:v3)?")]),
+    ("lgpl", [("lesser", "(?:gnu )?lesser general public"), ("library", "(?:gnu )?library general public"), ("lgpl lgplv2 lgplv3", "(?:gnu )?lgpl(?:v2|v3)?")]),
+    ("gpl", [("general", "(?:gnu )?general public"), ("gpl gplv2 gplv3", "(?:gnu )?gpl(?:v2|v3)?")]),
     ("bsd", [("bsd", "(?:[0-4] clause |new |modified |simplified )?bsd(?: [0-4] clause)?")]),
     ("mpl", [("mozilla", "mozilla public"), ("mpl", "mpl")]),
     ("epl", [("eclipse", "eclipse public"), ("epl", "epl")]),
     ("cddl", [("cddl", "cddl"), ("common", "common development and distribution")]),
-    ("cc-by-nc", [("cc", "cc by nc(?: (?:sa|nd))?"), ("noncommercial", "creative commons attribution non ?commercial")]),
-    ("cc-by-sa", [("cc", "cc by sa"), ("sharealike", "creative commons attribution share ?alike")]),
+    ("cc-by-nc", [("cc", "cc by nc(?: (?:sa|nd))?"), ("noncommercial commercial", "creative commons attribution non ?commercial")]),
+    ("cc-by-sa", [("cc", "cc by sa"), ("sharealike alike", "creative commons attribution share ?alike")]),
     ("cc-by", [("cc", "cc by"), ("attribution", "creative commons attribution")]),
     ("cc0", [("cc0", "cc0"), ("zero", "creative commons zero")]),
     ("isc", [("isc", "isc")]),
@@ -81,12 +81,14 @@ SINGLE = [
 
 
 def signature_rules() -> list[tuple]:
-    """(order, anchor, keyword, regex, label, priority, weight) of every rule, base rules first."""
+    """(order, anchor, keyword, regex, label, priority, weight) of every rule, base rules first; a
+    rule whose names can be spelt without a common word has one row per keyword."""
     found = [(p.split()[-1], p.split()[0], " ".join([*p.split()[:-1], "@"]), label, 0, 0.9) for p, label in BASE]
     found += [(anchor, keyword, regex.replace("{n}", f"(?:{names})"), label, priority, weight)
               for anchor, regex, priority, weight in TEMPLATES for label, family in FAMILIES for keyword, names in family]
     found += SINGLE
-    return [(i, a, k, f"(?<![^ ])(?:{r.replace('@', f'<{a}>')})(?![^ ])", label, p, w) for i, (a, k, r, label, p, w) in enumerate(found)]
+    return [(i, a, k, f"(?<![^ ])(?:{r.replace('@', f'<{a}>')})(?![^ ])", label, p, w)
+            for i, (a, keywords, r, label, p, w) in enumerate(found) for k in keywords.split()]
 
 
 def rule_table(spark: SparkSession) -> DataFrame:

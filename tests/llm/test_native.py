@@ -126,6 +126,50 @@ def test_licenses_base_and_suppression(spark):
     assert len(ls.signature_rules()) > 300 and ls.scan_licenses(frame(spark, texts).limit(0)).count() == 0
 
 
+def spellings(regex):
+    """Every text that a names regex can match (literals, alternatives, optional groups, classes)."""
+    def walk(items):
+        out = [""]
+        for op, arg in items:
+            if str(op) == "LITERAL":
+                more = [chr(arg)]
+            elif str(op) == "IN":
+                more = [chr(c) for kind, v in arg for c in (range(v[0], v[1] + 1) if str(kind) == "RANGE" else [v])]
+            elif str(op) == "SUBPATTERN":
+                more = walk(arg[-1])
+            elif str(op) == "BRANCH":
+                more = [t for branch in arg[1] for t in walk(branch)]
+            else:
+                assert str(op) == "MAX_REPEAT" and arg[:2] == (0, 1), op
+                more = ["", *walk(arg[2])]
+            out = [x + y for x in out for y in more]
+        return out
+    return walk(re._parser.parse(regex))
+
+
+def test_every_spelling_passes_the_gate(spark):
+    """Each spelling of each family, in each template, is found by the rule it belongs to."""
+    lead = {"spdx": "spdx license identifier {}", "license": "{} license", "licence": "{} licence", "licenses": "the {} licenses", "terms": "terms of the {}"}
+    texts, expected = [], []
+    for label, family in ls.FAMILIES:
+        for _, names in family:
+            for name in spellings(names):
+                for anchor in ("spdx", "licensed", "released", "distributed", "available", "license", "licence", "licenses", "terms"):
+                    expected.append((label, name, anchor))
+                    texts.append((len(texts), lead.get(anchor, anchor + " under the {}").format(name)))
+    found = {}
+    for r in ls.detections(frame(spark, texts)).collect():
+        found.setdefault(r.doc_id, set()).add((r.label, r["first"], r["last"]))
+    for i, t in texts:
+        n = len(t.split())
+        assert any(label == expected[i][0] and last - first >= len(expected[i][1].split()) + 1 and last == n for label, first, last in found.get(i, ())), t
+    plain = {"Licensed under GPLv3": "gpl", "LGPLv2 license": "lgpl", "released under AGPLv3": "agpl",
+             "Licensed under the Creative Commons Attribution-Share Alike 3.0 license": "cc-by-sa",
+             "Licensed under a Creative Commons Attribution-Non Commercial license": "cc-by-nc", "Creative Commons Attribution-Share Alike license": "cc-by-sa"}
+    got = {r.doc_id: r for r in ls.scan_licenses(frame(spark, list(enumerate(plain)))).collect()}
+    assert [got[i].labels for i in range(len(plain))] == list(plain.values()) and all(r.score > 0 for r in got.values())
+
+
 # ---------------------------------------------------------------- urls
 
 def test_url_rules_and_reputation(spark):
