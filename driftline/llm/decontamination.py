@@ -89,7 +89,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
         found = hashed.select("doc_id", "_th", F.explode_outer(F.concat(none, *at)).alias("s")).select("doc_id", "_th", "s.*")
     found = materialize(found.join(probe, ["h", "len"], "left_semi"), "hits")
     # verify on the words of the documents that were hit
-    spots = found.groupBy("doc_id", "_th").agg(F.collect_list(F.struct("h", "at", "len")).alias("spots"))
+    spots = found.distinct().groupBy("doc_id", "_th").agg(F.collect_list(F.struct("h", "at", "len")).alias("spots"))
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d._th") == F.col("s._th"))
     text = docs.select(*doc_key(), "text")
     text = text.alias("d").join(spots.alias("s"), same).select("d.doc_id", "d._th", "d.text", "s.spots")

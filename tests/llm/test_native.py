@@ -72,6 +72,11 @@ def test_contaminated_documents_and_spans_go(spark, items):
     assert dc.drop_contaminated(docs.limit(0), items).count() == 0
 
 
+def test_repeated_rows_gather_their_hits_once(spark, items):
+    once = sorted(map(str, dc.find_hits(frame(spark, TEXTS[:2]), items).collect()))
+    assert once and sorted(map(str, dc.find_hits(frame(spark, TEXTS[:2] * 5), items).collect())) == once
+
+
 # ---------------------------------------------------------------- quality rules
 
 def brute_quality(text):
