@@ -12,8 +12,8 @@ from driftline.llm.decontamination import contamination
 from driftline.llm.jaccard_join import jaccard_groups
 from driftline.llm.language_id import identify
 from driftline.llm.license_scan import scan_licenses
-from driftline.llm.line_dedup import dedup_lines
 from driftline.llm.mixing import mix_plan
+from driftline.llm.passage_dedup import dedup_passages
 from driftline.llm.quality_model import score_quality
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
                                          MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_DOCS, SHARE, judge)
@@ -41,7 +41,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(_table(spark, sf_dir, "documents"))
+    out = dedup_passages(_table(spark, sf_dir, "documents"))
     return out.select("_row.doc_id", "lines_deleted", "words_deleted", F.length("new_text").cast("bigint").alias("n_chars"),
                       F.sha2(F.coalesce("new_text", F.lit("")), 256).alias("text_sha256"))
 
