@@ -190,6 +190,20 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").filter(near).select("u", "v")
 
 
+def chosen_keys(rows: DataFrame) -> DataFrame:
+    """(key, vertex, g) from (key, vertex, spare): keys of two or more different sets after each set
+    leaves out its commonest ones; ``g`` is the number of rows that meet in a key. Empty blocks
+    are left out first, so they take part in the choice even where no other set shows them."""
+    of_key = Window.partitionBy("key")
+    rows = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key), "g": F.count("*").over(of_key)})
+    rows = rows.filter("lo <> hi OR key % 2 <> 0").groupBy("key", "vertex").agg(F.max("g").alias("g"), F.max("spare").alias("spare"))
+    # each set leaves out its commonest keys; what is then alone goes as well
+    common = Window.partitionBy("vertex", F.col("spare") % 2).orderBy((F.col("key") % 2 == 0), F.col("g").desc(), "key")
+    rows = rows.withColumn("r", F.row_number().over(common)).filter("r > spare div 2").select("key", "vertex", "g")
+    hits = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key)})
+    return hits.filter("lo <> hi").select("key", "vertex", "g")
+
+
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (needs doc_id, text): doc_id, _th (text hash), n_shingles,
     vertex (hash of the set) and component_id. See the module docstring."""
@@ -202,14 +216,8 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
                      *(F.min(f"s{i}").alias(f"s{i}") for i in range(SKETCH_WORDS))))
 
     # keys of two or more different sets, with the number of rows that meet in each
-    rows, of_key = src.select("text").mapInArrow(_keys, "key bigint, vertex bigint, spare int"), Window.partitionBy("key")
-    rows = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key), "g": F.count("*").over(of_key)})
-    rows = rows.filter("lo <> hi").groupBy("key", "vertex").agg(F.max("g").alias("g"), F.max("spare").alias("spare"))
-    # each set leaves out its commonest keys; what is then alone goes as well
-    common = Window.partitionBy("vertex", F.col("spare") % 2).orderBy((F.col("key") % 2 == 0), F.col("g").desc(), "key")
-    rows = rows.withColumn("r", F.row_number().over(common)).filter("r > spare div 2").select("key", "vertex", "g")
-    hits = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key)})
-    hits = materialize(hits.filter("lo <> hi").select("key", "vertex", "g"), "hits")
+    hits = materialize(chosen_keys(src.select("text").mapInArrow(_keys, "key bigint, vertex bigint, spare int")), "hits")
+    of_key = Window.partitionBy("key")
 
     # texts of the sets that take part, once per set
     reps = facts.join(hits.select("vertex").distinct(), "vertex", "left_semi")
