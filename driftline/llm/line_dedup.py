@@ -5,18 +5,16 @@ ends. Lines are compared by their words (runs of anything but ASCII white space)
 words belongs to the one before it. A *window* is a shortest run of consecutive lines with at least
 MIN_WORDS words, taken from every line forwards and from every line backwards.
 
-* *Fingerprints.* Of each window the smallest line hash is selected, so two texts that share a run
-  of MIN_WORDS words or more share a fingerprint for every window of it, while most lines of a text
-  are no fingerprint.
-* *Positions.* Fingerprints are counted over the corpus; positions of those that occur again are
-  joined back to their texts.
-* *Extension.* Around such a position the match is extended both ways to the windows that selected
-  it, forwards and backwards from every line they can start or end at, and 128-bit hashes of the
-  windows' lines are compared. Overlapping windows chain up to the whole run.
+* *Fingerprints.* Of each window the smallest line hash is its fingerprint. Windows whose fingerprint
+  occurs at one place only are left out early; this changes no result.
+* *Windows.* All windows are written with 128-bit hashes of their lines, and repeats are found by
+  grouping these. No positions are joined and no match is extended; overlapping windows chain up to
+  the whole run.
 * *Deletion.* The first occurrence of a window, by (doc_id, text hash, line), stays. Lines covered by
   any later one go.
 
-So a line goes if and only if it lies in a run of at least MIN_WORDS words that occurs earlier.
+So a line goes if and only if it lies in a run of whole lines of at least MIN_WORDS words that occurs
+earlier. ``passage_dedup`` finds runs that start or end inside a line as well.
 
 Cases: null and wordless texts have no lines and stay as they are; a null doc_id orders last; rows
 that repeat doc_id and text are the same document, get the same text and do not delete each other
