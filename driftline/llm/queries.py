@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from driftline.llm.decontamination import contamination
 from driftline.llm.jaccard_join import jaccard_groups
+from driftline.llm.kd_search import MAX_COMPONENT, top_k
 from driftline.llm.language_id import identify
 from driftline.llm.license_scan import scan_licenses
 from driftline.llm.mixing import mix_plan
 from driftline.llm.passage_dedup import dedup_passages
+from driftline.llm.prefix_trie import conversation_trie
 from driftline.llm.quality_model import score_quality
 from driftline.llm.quality_rules import (CLASSES, CODES, COMMON_WORDS, MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE,
                                          MIN_JUDGED_CHARS, MIN_JUDGED_WORDS, MIN_REFERENCE_DOCS, SHARE, judge)
+from driftline.llm.token_alignment import align_corpus
 from driftline.llm.url_filter import LIMIT, RULES, STRENGTH, Z, judge_urls
 from driftline.llm.warc import roundtrip
 
@@ -219,3 +222,50 @@ def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
     return out.withColumn("posterior", F.round("posterior", 6))
+
+
+@_register
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLE["op11_topk_search"] = f"""
+WITH x AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda v: floor(64 * CAST(v AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+w AS (SELECT * FROM x WHERE len(list_filter(v, lambda c: abs(c) > {MAX_COMPONENT})) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM w q JOIN w c ON q.rid <> c.rid AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@_register
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op12_prefix_trie"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS seq FROM t GROUP BY conv_id),
+crc AS (SELECT conv_id, seq, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+        lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+    FROM own),
+seqs AS (SELECT c.conv_id, list_concat(coalesce(b.seq, [])[1:c.h], c.seq[c.h + 1:]) AS seq FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+member AS (SELECT conv_id, seq[1:d] AS path, d, len(seq) AS n FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM seqs)),
+node AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+        FILTER (n = d), '') AS ends FROM member GROUP BY path, d),
+kids AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+full_ AS (SELECT node.*, coalesce(kids.n, 0) AS n_children, CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+    FROM node LEFT JOIN kids USING (path, d)),
+below AS (SELECT path[1:k] AS path, k AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM full_) GROUP BY ALL)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_ f JOIN below b ON f.path = b.path AND f.d = b.d LEFT JOIN node p ON p.d = f.d - 1 AND p.path = f.path[1:f.d - 1]
+"""
+
+
+@_register
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_corpus(_table(spark, sf_dir, "documents")).measures
