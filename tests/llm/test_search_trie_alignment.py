@@ -2,6 +2,7 @@
 hot groups and clashing columns."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -261,7 +262,7 @@ def mixed_docs():
 @pytest.mark.parametrize("chunk", [1 << 21, 200])
 def test_alignment_equals_brute_force(spark, mixed_docs, chunk, monkeypatch):
     def chunks(batches, run=ta._chunks, chunk=chunk):
-        ta.CHUNK_BYTES, ta.ENCODE_BYTES = chunk, chunk // 2
+        ta.CHUNK_BYTES = chunk
         return run(batches)
 
     monkeypatch.setattr(ta, "_chunks", chunks)
@@ -274,6 +275,28 @@ def test_alignment_equals_brute_force(spark, mixed_docs, chunk, monkeypatch):
     assert {k: n for k, (n, _) in pairs.items()} == dict(held)
 
 
+def test_both_encoders_of_a_byte_level_file_agree():
+    """On every character in a few surroundings, on long runs, and on a file that is not plain."""
+    from tokenizers import Tokenizer
+
+    with open(f"{ta.TOKENIZER_DIR}/{ta.BYTE_BPE}", "rb") as f:
+        raw = f.read()
+    tok = Tokenizer.from_file(f"{ta.TOKENIZER_DIR}/{ta.BYTE_BPE}")
+    tok.encode_special_tokens = True
+    fast = ta.byte_level(raw)
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(chars), 1 << 16):
+        texts = ["".join(f"a{c}1{c} {c}  {c}.\n" for c in chars[i:i + 64]) for i in range(lo, min(lo + (1 << 16), len(chars)), 64)]
+        assert fast.encode(texts) == [e.ids for e in tok.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    long = [" " * 2_000_000, "ab" * 50_000, "x" + "\n" * 30_000 + "y", "<|endoftext|>" * 3]
+    assert fast.encode(long) == [tok.encode(" " + t, add_special_tokens=False).ids for t in long]
+    spec = json.loads(raw)
+    entries = fast.entries
+    assert ta._plain_encoder(spec, entries) is not None
+    spec["model"]["merges"] = spec["model"]["merges"][::-1]
+    assert ta._plain_encoder(spec, entries) is None
+
+
 def test_alignment_of_no_tokens(spark):
     empty = spark.createDataFrame([], DOCS)
     assert ta.align_corpus(empty).measures.count() == 0
