@@ -1,8 +1,9 @@
 """Typed describe / summary / column profile / value counts.
 
 All statistics come back as typed long tables (one row per column), never as the strings
-``DataFrame.describe`` returns. Each is one unpivot + grouped aggregate (map-side combined);
-exact quantiles use the two-level prefix sums instead of a value-collecting ``percentile``.
+``DataFrame.describe`` returns. Counts and moments are one map-side combined aggregate; exact
+quantiles are found by rank refinement (:mod:`driftline.operators.quantiles`), which shuffles bin
+counts instead of values.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import present
-from driftline.operators.ecdf import exact_quantiles, prefix_sums, value_statistics
+from driftline.operators.quantiles import statistics_frame
 
 
 def long_values(df: DataFrame, cols: list[str], cast: str = "double", keep_nulls: bool = False) -> DataFrame:
@@ -28,16 +29,17 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
                                        F.min("value").alias("min"), F.max("value").alias("max"))
 
 
+QUARTILES = [0.25, 0.5, 0.75], ["p25", "p50", "p75"]
+
+
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], names: list[str]) -> DataFrame:
-    """Exact linear-interpolated quantiles per column (distributed)."""
-    vc = long_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
-    r = prefix_sums(vc, ["feature"], "value", ["c"], n_keys=len(cols))
-    return exact_quantiles(r, ["feature"], "value", "c", probs, names)
+    """Exact linear-interpolated quantiles per column; columns without values give no row."""
+    return statistics_frame(df, cols, probs, names).filter("n > 0").select("feature", *names)
 
 
 def summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """describe + exact quartiles (see :func:`value_statistics`)."""
-    st = value_statistics(long_values(df, cols), ["feature"], n_keys=len(cols))
+    """describe + exact quartiles; columns without values give no row."""
+    st = statistics_frame(df, cols, *QUARTILES).filter("n > 0")
     return st.select("feature", F.col("n").alias("count"), "mean", F.col("std").alias("stddev"), "min", "max",
                      "p25", "p50", "p75")
 
@@ -50,14 +52,19 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], accurac
 
 
 def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per numeric column: rows, missing, distinct, min/max/mean/std, quartiles, mode.
+    """Per numeric column: rows, missing, distinct, min/max/mean/std, quartiles, mode (ties -> smallest).
 
-    Two scans whatever the number of columns: one aggregate for counts and moments, and the
-    distinct-value table (written once) for distinct counts, mode and quartiles.
+    Counts, moments and quartiles move no values. The exact distinct count and mode need each
+    distinct value once: one grouped count, combined map-side.
     """
-    st = value_statistics(long_values(df, cols, keep_nulls=True), ["feature"], n_keys=len(cols))
-    return st.select("feature", (F.col("n") + F.col("n_null")).alias("n_rows"), F.col("n_null").alias("n_missing"),
-                     "n_distinct", "min", "max", "mean", "std", "p25", "p50", "p75", "mode")
+    st = statistics_frame(df, cols, *QUARTILES)
+    per_value = long_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    own = per_value.groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct"),
+                                           F.min(F.struct((-F.col("c")).alias("neg"), F.col("value").alias("v"))).alias("_m"))
+    out = st.join(own, "feature", "left")
+    return out.select("feature", (F.col("n") + F.col("n_null")).alias("n_rows"), F.col("n_null").alias("n_missing"),
+                      F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "min", "max", "mean", "std", "p25", "p50", "p75",
+                      F.col("_m.v").alias("mode"))
 
 
 def category_profile(df: DataFrame, cols: list[str]) -> DataFrame:
