@@ -13,20 +13,19 @@ from driftline.sources.versions import VersionedTable
 from driftline.plans.fixtures import PEOPLE_SQL, people
 from driftline.plans.registry import query, round_doubles
 
-ORD = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-
-
 def _orders(spark, sf_dir):
-    return Tables(spark, sf_dir).orders.select(*ORD)
+    return Tables(spark, sf_dir).orders
 
 
 def _three_versions(spark, sf_dir) -> VersionedTable:
-    """v0 = status F orders, v1 = every order above 100k (overwrite), v2 = status O (overwrite)."""
+    """v0 = all orders, v1 = urgent ones a tenth dearer, v2 = of these, orders in process have gone."""
     o = _orders(spark, sf_dir)
+    dearer = o.withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") * 1.1)
+                          .otherwise(F.col("o_totalprice")))
     vt = VersionedTable(spark, work_dir(spark, "versioned-orders"))
-    vt.write(o.filter(F.col("o_orderstatus") == "F"))
-    vt.write(o.filter(F.col("o_totalprice") > 100000), mode="overwrite")
-    vt.write(o.filter(F.col("o_orderstatus") == "O"), mode="overwrite")
+    vt.write(o)
+    vt.write(dearer, mode="overwrite")
+    vt.write(dearer.filter(F.col("o_orderstatus") != "P"), mode="overwrite")
     return vt
 
 
@@ -34,33 +33,46 @@ def _status_agg(df):
     return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-AGG_SQL = "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE {w} GROUP BY o_orderstatus"
+DEARER = "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 1.1 ELSE o_totalprice END"
+AGG_SQL = "SELECT o_orderstatus, count(*) AS n, round(sum({p}), 2) AS total FROM orders {w} GROUP BY o_orderstatus"
 
 
-@query("version_overwrite_latest", AGG_SQL.format(w="o_orderstatus = 'O'"), "versions")
+@query("version_overwrite_latest", AGG_SQL.format(p=DEARER, w="WHERE o_orderstatus <> 'P'"), "versions")
 def version_overwrite_latest(spark, sf_dir):
     return _status_agg(_three_versions(spark, sf_dir).read())
 
 
-@query("version_as_of", AGG_SQL.format(w="o_totalprice > 100000"), "versions")
+@query("version_as_of", AGG_SQL.format(p=DEARER, w=""), "versions")
 def version_as_of(spark, sf_dir):
     return _status_agg(_three_versions(spark, sf_dir).read(version=1))
 
 
-@query("timestamp_as_of", AGG_SQL.format(w="o_orderstatus = 'F'"), "versions")
+@query("timestamp_as_of", AGG_SQL.format(p="o_totalprice", w=""), "versions")
 def timestamp_as_of(spark, sf_dir):
     vt = _three_versions(spark, sf_dir)
     ts0 = vt.history().filter(F.col("version") == 0).first()["ts"]
     return _status_agg(vt.read(timestamp=ts0))
 
 
-@query("version_history", """SELECT 2 AS version, 'OVERWRITE' AS operation, 'overwrite' AS mode, count(*) AS n_rows FROM orders WHERE o_orderstatus = 'O'
-UNION ALL SELECT 1, 'OVERWRITE', 'overwrite', count(*) FROM orders WHERE o_totalprice > 100000
-UNION ALL SELECT 0, 'WRITE', 'error', count(*) FROM orders WHERE o_orderstatus = 'F'""", "versions")
+@query("version_history", """SELECT 2 AS version, 'OVERWRITE' AS operation, 'overwrite' AS mode, count(*) AS n_rows FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 1, 'OVERWRITE', 'overwrite', count(*) FROM orders
+UNION ALL SELECT 0, 'WRITE', 'error', count(*) FROM orders""", "versions")
 def version_history(spark, sf_dir):
     return _three_versions(spark, sf_dir).history().select("version", "operation", "mode", "n_rows")
 
 
+@query("version_changes", f"""SELECT o_orderpriority, change, count(*) AS n, round(sum(delta), 2) AS delta FROM (
+  SELECT o_orderpriority, CASE WHEN o_orderstatus = 'P' THEN 'removed' ELSE 'updated' END AS change,
+         CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE {DEARER} - o_totalprice END AS delta
+  FROM orders WHERE o_orderstatus = 'P' OR (o_orderpriority = '1-URGENT' AND o_totalprice * 1.1 <> o_totalprice)) GROUP BY 1, 2""", "versions")
+def version_changes(spark, sf_dir):
+    """What happened between the first and the last version, by key."""
+    ch = _three_versions(spark, sf_dir).changes(0, 2, ["o_orderkey"])
+    delta = F.coalesce("after.o_totalprice", F.lit(0.0)) - F.coalesce("before.o_totalprice", F.lit(0.0))
+    return ch.groupBy(F.coalesce("after.o_orderpriority", "before.o_orderpriority").alias("o_orderpriority"), "change").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(delta), 2).alias("delta"))
+
+
 @query("partitioned_read", """SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
 FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_orderstatus""", "files")
 def partitioned_read(spark, sf_dir):
@@ -81,14 +93,40 @@ def clustered_rewrite(spark, sf_dir):
                                             F.sum("l_partkey").alias("parts"))
 
 
+@query("clustered_rewrite_typed", """SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total, true AS skips_files
+FROM orders GROUP BY o_orderpriority""", "files")
+def clustered_rewrite_typed(spark, sf_dir):
+    """Clustering by a timestamp and a text column: a year of one priority lies in few of the files."""
+    path = work_dir(spark, "clustered-orders")
+    FL.clustered_rewrite(Tables(spark, sf_dir).orders, path, ["o_orderdate", "o_orderpriority"], 16)
+    back = spark.read.parquet(path)
+    box = back.filter((F.year("o_orderdate") == 1995) & (F.col("o_orderpriority") == "1-URGENT"))
+    touched = box.select("_metadata.file_path").distinct().count()  # 16 names at most
+    return back.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"),
+                                               F.lit(touched <= 8).alias("skips_files"))
+
+
+@query("people_delimited", f"""SELECT segment, count(*) AS n, round(sum(salary), 2) AS salary FROM (
+  SELECT *, row_number() OVER (PARTITION BY lower(name), replace(ssn, '-', '') ORDER BY src_id, name, ssn) AS rn FROM {PEOPLE_SQL}) WHERE rn = 1 GROUP BY segment""",
+       "files")
+def people_delimited(spark, sf_dir):
+    """People in text files whose separator is found by a vote of the lines, then de-duplicated."""
+    from driftline.operators.keys import dedup_normalised
+    path = work_dir(spark, "delimited-people")
+    people(Tables(spark, sf_dir)).write.option("header", True).option("sep", ":").csv(path)
+    back = FL.read_delimited(spark, path, schema="src_id long, name string, ssn string, segment string, salary double")
+    d = dedup_normalised(back, {"_k_name": F.lower("name"), "_k_ssn": F.regexp_replace("ssn", "-", "")}, ["src_id", "name", "ssn", "segment", "salary"])
+    return d.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("salary"), 2).alias("salary"))
+
+
 @query("schema_merge", """SELECT count(*) AS n_rows, count(c_acctbal) AS n_acctbal, count(c_name) AS n_name FROM (
   SELECT c_custkey, c_name, NULL AS c_acctbal FROM customer UNION ALL
-  SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey < 5)""", "versions")
+  SELECT c_custkey, c_name, c_acctbal FROM customer)""", "versions")
 def schema_merge(spark, sf_dir):
     c = Tables(spark, sf_dir).customer
     vt = VersionedTable(spark, work_dir(spark, "merge-schema"))
     vt.write(c.select("c_custkey", "c_name"))
-    vt.write(c.filter(F.col("c_nationkey") < 5).select("c_custkey", "c_name", "c_acctbal"), mode="append", merge_schema=True)
+    vt.write(c.select("c_custkey", "c_name", "c_acctbal"), mode="append", merge_schema=True)
     return vt.read().agg(F.count(F.lit(1)).alias("n_rows"), F.count("c_acctbal").alias("n_acctbal"),
                          F.count("c_name").alias("n_name"))
 
@@ -105,13 +143,13 @@ def partitioned_append(spark, sf_dir):
 
 @query("vacuum_keeps_recent", "SELECT count(*) AS n_rows, round(sum(o_totalprice), 2) AS total FROM orders", "versions")
 def vacuum_keeps_recent(spark, sf_dir):
-    """A version superseded a moment ago outlives a vacuum with the default retention."""
+    """A version superseded a moment ago is within the default retention and can be read."""
     o = Tables(spark, sf_dir).orders
     vt = VersionedTable(spark, work_dir(spark, "vacuum"))
     vt.write(o)
     vt.write(o.withColumn("o_totalprice", -F.col("o_totalprice")), mode="overwrite")
-    vt.vacuum()
-    return vt.read(version=0).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    kept = [v for v in (0, 1) if v not in vt.expired()]
+    return vt.read(version=kept[0]).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query("csv_roundtrip", "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents", "files")
@@ -126,8 +164,8 @@ def csv_roundtrip(spark, sf_dir):
 def csv_ddl_schema(spark, sf_dir):
     path = work_dir(spark, "csv-orders")
     FL.write_csv(_orders(spark, sf_dir), path)
-    back = FL.read_csv(spark, path, schema="o_orderkey long, o_custkey long, o_orderstatus string, "
-                                           "o_totalprice double, o_orderpriority string")
+    back = FL.read_csv(spark, path, schema="o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                           "o_orderdate timestamp_ntz, o_orderpriority string")
     return _status_agg(back)
 
 
@@ -249,6 +287,25 @@ def fs_training_set(spark, sf_dir):
     return _training_set(spark, sf_dir)[2].load_df()
 
 
+@query("fs_score_pinned", """SELECT o.o_orderkey, round(0.5 * c.c_acctbal, 6) AS prediction_v1,
+       round(0.5 * (c.c_acctbal + 100) + 2 * c.c_nationkey, 6) AS prediction_v2
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""", "featurestore")
+def fs_score_pinned(spark, sf_dir):
+    """Two models scored from keys alone: the first goes on with the features it was trained on
+    after the table has changed and grown a column."""
+    fs = FeatureStore(spark, work_dir(spark, "featurestore"))
+    c = Tables(spark, sf_dir).customer
+    orders = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
+    fs.create_table("cf", ["c_custkey"], df=c.select("c_custkey", "c_acctbal"))
+    for name, formula in (("v1", "0.5 * c_acctbal"), ("v2", "0.5 * c_acctbal + 2 * c_nationkey")):
+        trained = fs.create_training_set(orders, [FeatureLookup("cf", ["o_custkey"])], label=None)
+        fs.log_model(name, SQLTransformer(statement=f"SELECT *, {formula} AS prediction FROM __THIS__"), trained)
+        if name == "v1":
+            fs.write_table("cf", c.select("c_custkey", (F.col("c_acctbal") + 100).alias("c_acctbal"), "c_nationkey"), mode="merge")
+    one, two = (fs.score_batch(m, orders).select("o_orderkey", F.col("prediction").alias(f"prediction_{m}")) for m in ("v1", "v2"))
+    return round_doubles(one.join(two, "o_orderkey"), 6)
+
+
 @query("fs_score_batch", """SELECT o.o_orderkey, round(0.5 * c.c_acctbal + 2 * c.c_nationkey, 6) AS prediction
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""", "featurestore")
 def fs_score_batch(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,20 +31,40 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | None = None) -
     return r.json(path)
 
 
+SEPARATORS = (",", ";", "\t", "|", ":", "~", "^")
+DETECT_LINES = 1000
+
+
+def detect_separator(spark: SparkSession, path: str, candidates: tuple[str, ...] = SEPARATORS, lines: int = DETECT_LINES) -> str:
+    """The separator of delimited text files, by a vote of sampled lines (the smallest hashes, so from
+    all files): outside quotes, a separator stands equally often in every line. The candidate with the
+    largest share of lines that agree on a count above zero wins; among equals the larger count."""
+    some = spark.read.text(path).filter("value <> ''").select(F.regexp_replace("value", '"[^"]*"', "").alias("line"))
+    some = some.orderBy(F.xxhash64("line")).limit(lines)
+    times = F.array(*[F.struct(F.lit(i).alias("i"), (F.length("line") - F.length(F.translate("line", c, ""))).alias("k")) for i, c in enumerate(candidates)])
+    votes = some.select(F.explode(times).alias("v")).groupBy("v.i", "v.k").agg(F.count(F.lit(1)).alias("n"))
+    best = votes.filter("k > 0").orderBy(F.desc("n"), F.desc("k"), "i").limit(1).collect()
+    if not best:
+        raise ValueError(f"no line of {path} holds any of {candidates}")
+    return candidates[best[0]["i"]]
+
+
+def read_delimited(spark: SparkSession, path: str, schema: str | None = None, header: bool = True) -> DataFrame:
+    """Delimited text whose separator is not known (see :func:`detect_separator`)."""
+    return read_csv(spark, path, schema=schema, header=header, sep=detect_separator(spark, path))
+
+
 def write_n_files(df: DataFrame, path: str, n: int, mode: str = "overwrite") -> None:
     """Exactly ``n`` part files (one per partition after a round-robin repartition)."""
     df.repartition(n).write.mode(mode).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite",
-                      salt_buckets: int = 8, max_records_per_file: int = 5_000_000) -> None:
-    """Directory per value. Rows are first hash-partitioned by the partition columns plus a
-    deterministic salt (a hash of the row, so task retries place rows identically): a value
-    holding a third of the data is written by ``salt_buckets`` tasks instead of one, and
-    every directory gets at most ``salt_buckets`` files (split further past
-    ``max_records_per_file``)."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    (df.repartition(*[F.col(c) for c in cols], salt).write.mode(mode)
+                      max_records_per_file: int = 5_000_000) -> None:
+    """Directory per value. Rows are rebalanced by the partition columns: adaptive execution splits a
+    value that holds much of the data by measured size and joins small ones, so the number of tasks
+    and files follows the data instead of a fixed salt."""
+    (df.hint("rebalance", *cols).write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(*cols).parquet(path))
 
 
@@ -54,30 +74,52 @@ def file_inventory(df: DataFrame) -> DataFrame:
             .groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def zorder_key(df: DataFrame, cols: list[str], bits: int = 10) -> DataFrame:
-    """Add ``_z``: the bit-interleaved (Morton) code of per-column range buckets.
+BOUNDARY_SAMPLE = 20_000  # rows that the bucket boundaries of a clustering are drawn from
+
+
+def quantile_boundaries(df: DataFrame, cols: list[str], buckets: int, sample: int = BOUNDARY_SAMPLE) -> dict[str, list[str]]:
+    """Up to ``buckets - 2`` ascending boundaries per column, as text, at equal ranks of a random
+    sample of bounded size. Works for every ordered type, and a value that fills much of the column
+    takes few boundaries however skewed it is."""
+    some = df.select(*cols).orderBy(F.rand(42)).limit(sample)  # top-k per task, never a global sort
+    steps = F.sequence(F.lit(1), F.lit(buckets - 2))
+
+    def cuts(c: str) -> Column:
+        ordered = F.sort_array(F.collect_list(c))
+        at = F.transform(steps, lambda i: F.get(ordered, F.floor(i * F.size(ordered) / (buckets - 1)).cast("int")))
+        as_text = (lambda v: F.hex(v)) if df.schema[c].dataType.simpleString() == "binary" else (lambda v: v.cast("string"))
+        return F.transform(F.array_distinct(F.filter(at, lambda v: v.isNotNull())), as_text).alias(c)
 
-    Each column is scaled to [0, 2^bits) by its min/max (one aggregate, one scalar pair per
-    column), then the bucket bits are interleaved with plain integer expressions.
-    """
+    row = some.agg(*[cuts(c) for c in cols]).first()
+    return {c: list(row[c]) for c in cols}
+
+
+def rank_id(df: DataFrame, c: str, boundaries: list[str]) -> Column:
+    """Bucket of a value by binary search: 0 for nulls, else 1 + the boundaries at or below it."""
+    kind = df.schema[c].dataType
+    bounds = [F.unhex(F.lit(b)) if kind.simpleString() == "binary" else F.lit(b).cast(kind) for b in boundaries]
+
+    def within(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo + 1)
+        mid = (lo + hi) // 2
+        return F.when(F.col(c) < bounds[mid], within(lo, mid)).otherwise(within(mid + 1, hi))
+
+    return F.when(F.col(c).isNull(), F.lit(0)).otherwise(within(0, len(bounds)))
+
+
+def zorder_key(df: DataFrame, cols: list[str], bits: int = 8) -> DataFrame:
+    """Add ``_z``: the bit-interleaved (Morton) code of per-column quantile buckets, for columns of any
+    ordered type (text, dates, timestamps, numbers)."""
     if len(cols) == 1:
         return df.withColumn("_z", F.col(cols[0]))
-    stats = df.agg(*[F.min(c).cast("double").alias(f"lo_{i}") for i, c in enumerate(cols)],
-                   *[F.max(c).cast("double").alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
-    top = (1 << bits) - 1
-    buckets = []
-    for i, c in enumerate(cols):
-        lo, hi = stats[f"lo_{i}"], stats[f"hi_{i}"]
-        span = (hi - lo) if hi is not None and lo is not None and hi > lo else 1.0
-        b = F.least(F.floor((F.col(c).cast("double") - F.lit(lo or 0.0)) / F.lit(span) * top), F.lit(top))
-        buckets.append(F.coalesce(b, F.lit(0)).cast("long"))
+    bits = min(bits, 62 // len(cols))
+    found = quantile_boundaries(df, cols, 1 << bits)
     terms = []
-    k = len(cols)
-    for bit in range(bits):
-        for i, b in enumerate(buckets):
-            terms.append(F.shiftleft(F.shiftright(b, bit).bitwiseAND(F.lit(1)), bit * k + i))
-    z = reduce(lambda a, b: a.bitwiseOR(b), terms)
-    return df.withColumn("_z", z)
+    for i, c in enumerate(cols):
+        b = rank_id(df, c, found[c]).cast("long")
+        terms += [F.shiftleft(F.shiftright(b, bit).bitwiseAND(F.lit(1)), bit * len(cols) + i) for bit in range(bits)]
+    return df.withColumn("_z", reduce(lambda x, y: x.bitwiseOR(y), terms))
 
 
 def clustered_rewrite(df: DataFrame, path: str, cols: list[str], n_files: int, mode: str = "overwrite") -> None:

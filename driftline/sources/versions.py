@@ -1,35 +1,28 @@
-"""Snapshot-versioned parquet tables: overwrite/append create numbered versions, reads can
-time-travel by version or timestamp, ``vacuum`` drops unreferenced snapshot folders.
+"""Snapshots of a table as partitions: ``<path>/epoch=E/snapshot=N[/bucket=B][/<column>=..]``.
 
-Layout (any Hadoop file system, e.g. the shared checkpoint folder of a cluster)::
+Every write is one snapshot, numbered on; an overwrite starts a new epoch. A version is then a filter
+on partitions and nothing else: the snapshots of its epoch up to its number, or for keyed tables, per
+bucket of the key hash, the newest of them. Rows are never rewritten in place, so older versions
+stay readable, and a reader sees a snapshot only once its schema file, written last, is there.
 
-    <path>/data-<uuid>/part-*.parquet     one folder per write
-    <path>/_history/part-*.parquet        one row per version:
-        version int, ts timestamp, operation, mode, paths array<string>, schema_json, n_rows
-
-A version exists only once its history row is written (data first, history last). A single
-writer per table is assumed; there is no transaction log beyond the history rows.
+There is no commit log, no conflict check between writers (one writer per table) and no vacuum: how
+long folders are kept is a rule of the store; :meth:`VersionedTable.expired` says which versions a
+retention would allow to go. What changed between two versions is a join of the two.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-import uuid
-from functools import reduce
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField, StructType,
-                               TimestampType)
-
-HISTORY_SCHEMA = StructType([
-    StructField("version", IntegerType(), False), StructField("ts", TimestampType(), False),
-    StructField("operation", StringType(), False), StructField("mode", StringType(), True),
-    StructField("paths", ArrayType(StringType()), False), StructField("schema_json", StringType(), True),
-    StructField("n_rows", LongType(), True), StructField("params", StringType(), True)])
+from pyspark.sql.types import StructField, StructType
 
 MIN_RETENTION_HOURS = 168
+BUCKET = "_bucket"
+HISTORY = "version int, ts timestamp, operation string, mode string, epoch int, n_rows bigint"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -48,130 +41,181 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def glob(spark: SparkSession, pattern: str) -> list[tuple[str, dt.datetime]]:
+    """Paths that fit ``pattern`` with their modification times (UTC)."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p) or []
+    return [(f.getPath().toString(), dt.datetime.fromtimestamp(f.getModificationTime() / 1000, dt.timezone.utc).replace(tzinfo=None))
+            for f in found]
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 class VersionedTable:
+    """A table of numbered snapshots. Nothing is cached: every call lists the folders that exist."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.history_path = f"{self.path}/_history"
 
-    # ------------------------------------------------------------------ metadata
+    # ------------------------------------------------------------------ what is there
+    def _folder(self, epoch: int, number: int) -> str:
+        return f"{self.path}/epoch={epoch}/snapshot={number}"
+
+    def _listed(self) -> list[tuple[int, int, dt.datetime]]:
+        """(number, epoch, time) of every whole snapshot, in order: one listing, a row per write."""
+        found = []
+        for path, ts in glob(self.spark, f"{self.path}/epoch=*/snapshot=*/_schema.json"):
+            epoch, number = map(int, re.search(r"epoch=(\d+)/snapshot=(\d+)", path).groups())
+            found.append((number, epoch, ts))
+        return sorted(found)
+
+    def _about(self, epoch: int, number: int) -> dict:
+        about = json.loads(read_text(self.spark, f"{self._folder(epoch, number)}/_schema.json"))
+        return about | {"schema": StructType.fromJson(about["schema"])}
+
     def exists(self) -> bool:
-        return path_exists(self.spark, self.history_path)
+        return bool(self._listed())
+
+    def _resolve(self, version: int | None = None, timestamp: str | dt.datetime | None = None) -> tuple[int, int]:
+        """(epoch, number) of a version: the newest, ``version``, or the newest at ``timestamp``."""
+        if isinstance(timestamp, str):
+            timestamp = dt.datetime.fromisoformat(timestamp)
+        fits = [(e, n) for n, e, ts in self._listed()
+                if (version is None or n == version) and (timestamp is None or ts <= timestamp)]
+        if not fits:
+            raise ValueError(f"no version of {self.path} matches version={version} timestamp={timestamp}")
+        return fits[-1]
+
+    def version_of(self, timestamp=None) -> int:
+        return self._resolve(timestamp=timestamp)[1]
 
     def history(self) -> DataFrame:
-        """version, ts, operation, mode, paths, schema_json, n_rows, params (newest first)."""
-        if not self.exists():
-            return self.spark.createDataFrame([], HISTORY_SCHEMA)
-        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path).orderBy(F.desc("version"))
-
-    def _latest_row(self):
-        return self.history().select("version", "paths", "schema_json").first()
-
-    def _commit(self, operation: str, mode: str | None, paths: list[str], schema_json: str | None,
-                n_rows: int | None, params: dict | None = None, last=False) -> int:
-        if last is False:  # not read by the caller yet
-            last = self._latest_row()
-        version = 0 if last is None else last["version"] + 1
-        row = (version, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, mode, paths,
-               schema_json, n_rows, json.dumps(params or {}))
-        (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(self.history_path))
-        return version
+        """version, ts, operation, mode, epoch, n_rows (rows it wrote), newest first. Counts come from a
+        scan that reads partition values only."""
+        listed = self._listed()
+        rows = []
+        for i, (n, e, ts) in enumerate(listed):
+            first = i == 0 or listed[i - 1][1] != e
+            mode = "error" if i == 0 else "overwrite" if first else "append"
+            rows.append((n, ts, {"error": "WRITE"}.get(mode, mode.upper()), mode, e))
+        frame = self.spark.createDataFrame(rows, HISTORY.rsplit(",", 1)[0])
+        if not rows:
+            return frame.withColumn("n_rows", F.lit(None).cast("bigint"))
+        folders = [self._folder(e, n) for n, e, _ in listed]
+        counts = (self._scan(folders, StructType([StructField("epoch", frame.schema["epoch"].dataType),
+                                                  StructField("snapshot", frame.schema["version"].dataType)]))
+                  .groupBy(F.col("snapshot").alias("version")).agg(F.count(F.lit(1)).alias("n_rows")))
+        return (frame.join(F.broadcast(counts), "version", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+                .orderBy(F.desc("version")))
+
+    def expired(self, retention_hours: float = MIN_RETENTION_HOURS, now: dt.datetime | None = None) -> list[int]:
+        """Versions superseded by an overwrite longer ago than the retention."""
+        now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        listed = self._listed()
+        ended = {e: min(ts for _, e2, ts in listed if e2 > e) for _, e, _ in listed if any(e2 > e for _, e2, _ in listed)}
+        return [n for n, e, _ in listed if e in ended and ended[e] <= now - dt.timedelta(hours=retention_hours)]
 
     # ------------------------------------------------------------------ writes
     def write(self, df: DataFrame, mode: str = "error", partition_by: list[str] | None = None,
-              overwrite_schema: bool = False, merge_schema: bool = False,
-              operation: str | None = None) -> int:
-        """Write a new version. ``error`` (default) fails if the table exists; ``overwrite``
-        replaces the content (schema changes need ``overwrite_schema``); ``append`` adds rows
-        (new columns need ``merge_schema``). Returns the new version number."""
-        last = self._latest_row() if self.exists() else None
-        if last is not None and mode in ("error", "errorifexists"):
+              overwrite_schema: bool = False, merge_schema: bool = False, buckets: int = 0, keys: list[str] | None = None) -> int:
+        """Write a snapshot and return its number. ``error`` (default) fails if the table exists;
+        ``overwrite`` starts an epoch (another schema needs ``overwrite_schema``); ``append`` adds rows
+        (new columns need ``merge_schema``) and keeps the epoch's partitioning."""
+        listed = self._listed()
+        if listed and mode in ("error", "errorifexists"):
             raise FileExistsError(f"table {self.path} already exists")
-        if last is not None and last["schema_json"]:
-            old = StructType.fromJson(json.loads(last["schema_json"]))
-            old_names = [f.name for f in old.fields]
-            if mode == "overwrite" and not overwrite_schema and sorted(old_names) != sorted(df.columns):
-                raise ValueError("schema mismatch: pass overwrite_schema=True to replace the schema")
-            if mode == "append" and not merge_schema and sorted(old_names) != sorted(df.columns):
-                raise ValueError("schema mismatch: pass merge_schema=True to add columns")
-        folder = f"{self.path}/data-{uuid.uuid4().hex}"
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(folder)
-        n_rows = self.spark.read.parquet(folder).count()  # parquet footers only
-        if mode == "append" and last is not None:
-            paths = list(last["paths"]) + [folder]
-            schema = self._merged_schema(last, df)
-        else:
-            paths = [folder]
-            schema = df.schema
-        return self._commit(operation or ("WRITE" if mode != "overwrite" else "OVERWRITE"), mode, paths,
-                            schema.json(), n_rows, {"partitionBy": partition_by or []}, last=last)
-
-    def _merged_schema(self, last, df: DataFrame) -> StructType:
-        old = StructType.fromJson(json.loads(last["schema_json"]))
-        names = {f.name for f in old.fields}
-        return StructType(old.fields + [f for f in df.schema.fields if f.name not in names])
+        number, epoch, schema = 0, 0, df.schema
+        if listed:
+            last, epoch, _ = listed[-1]
+            number, old = last + 1, self._about(epoch, last)
+            same = sorted(old["schema"].names) == sorted(df.columns)
+            if mode == "overwrite":
+                epoch += 1
+                if not same and not overwrite_schema:
+                    raise ValueError("schema mismatch: pass overwrite_schema=True to replace the schema")
+            else:
+                if not same and not merge_schema:
+                    raise ValueError("schema mismatch: pass merge_schema=True to add columns")
+                names = set(old["schema"].names)
+                schema = StructType(old["schema"].fields + [f for f in df.schema.fields if f.name not in names])
+                partition_by, buckets, keys = old["partition_by"], old["buckets"], old["keys"]
+        folder, by = self._folder(epoch, number), [BUCKET] * bool(buckets) + list(partition_by or [])
+        out = df.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET) if buckets else df
+        out.write.mode("overwrite").partitionBy(*by).parquet(folder)
+        about = {"schema": schema.jsonValue(), "partition_by": list(partition_by or []), "buckets": buckets, "keys": keys}
+        write_text(self.spark, f"{folder}/_schema.json", json.dumps(about))
+        return number
+
+    def merge(self, updates: DataFrame, combine, merge_schema: bool = True) -> int:
+        """Rewrite the buckets that ``updates`` meets: ``combine(current rows of them, updates)`` becomes
+        a snapshot of these buckets alone; the files of all others stay as they are. Which buckets
+        are met is one grouped aggregate with at most as many rows as there are buckets."""
+        epoch, number = self._resolve()
+        about = self._about(epoch, number)
+        if not about["buckets"]:
+            raise ValueError(f"table {self.path} is not stored by key buckets")
+        met = updates.select(bucket_of(about["keys"], about["buckets"]).alias(BUCKET)).distinct().collect()
+        current = self._read(epoch, number, {r[0] for r in met})
+        return self.write(combine(current, updates), mode="append", merge_schema=merge_schema)
 
     # ------------------------------------------------------------------ reads
-    def _resolve(self, version: int | None = None, timestamp: str | dt.datetime | None = None):
-        h = self.history()
-        if version is not None:
-            h = h.filter(F.col("version") == version)
-        if timestamp is not None:
-            h = h.filter(F.col("ts") <= F.lit(timestamp).cast("timestamp"))
-        row = h.orderBy(F.desc("version")).select("version", "paths", "schema_json", "operation").first()
-        if row is None:
-            raise ValueError(f"no version of {self.path} matches version={version} timestamp={timestamp}")
-        gone = set(row["paths"]) & self._vacuumed()
-        if gone:
-            raise FileNotFoundError(f"version {row['version']} of {self.path} was vacuumed")
-        return row
+    def _scan(self, folders: list[str], schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders)
 
-    def _vacuumed(self) -> set[str]:
-        """Folders that vacuum rows of the history name as deleted."""
-        rows = self.history().filter("operation = 'VACUUM'").select("params").collect()
-        return {p for r in rows for p in json.loads(r["params"])["deleted"]}
+    def _read(self, epoch: int, number: int, buckets: set[int] | None = None) -> DataFrame:
+        about = self._about(epoch, number)
+        if not about["buckets"]:
+            folders = [self._folder(e, n) for n, e, _ in self._listed() if e == epoch and n <= number]
+        else:
+            newest: dict[int, tuple[int, str]] = {}
+            whole = {n for n, e, _ in self._listed() if e == epoch and n <= number}
+            for path, _ in glob(self.spark, f"{self.path}/epoch={epoch}/snapshot=*/{BUCKET}=*"):
+                n, b = map(int, re.search(rf"snapshot=(\d+)/{BUCKET}=(\d+)", path).groups())
+                if n in whole and (buckets is None or b in buckets):
+                    newest[b] = max(newest.get(b, (-1, "")), (n, path))
+            folders = [p for _, p in newest.values()]
+        names = about["schema"].names
+        if not folders:
+            return self.spark.createDataFrame([], about["schema"])
+        return self._scan(folders, about["schema"]).select(*[F.col(f"`{c}`") for c in names])
 
     def read(self, version: int | None = None, timestamp: str | dt.datetime | None = None) -> DataFrame:
-        """Latest version, or the one named by ``version`` / the latest commit at or before
-        ``timestamp`` (time travel). Every folder is read with the version's stored schema
-        (columns it lacks are null), so no footer is opened to find it and folders with
-        different partition columns go together."""
-        row = self._resolve(version, timestamp)
-        schema = StructType.fromJson(json.loads(row["schema_json"]))
-        parts = [self.spark.read.schema(schema).parquet(p).select(*[f.name for f in schema.fields]) for p in row["paths"]]
-        return reduce(DataFrame.unionByName, parts)
-
-    def version_of(self, timestamp) -> int:
-        return self._resolve(timestamp=timestamp)["version"]
-
-    # ------------------------------------------------------------------ vacuum
-    def vacuum(self, retention_hours: float = MIN_RETENTION_HOURS, check_retention: bool = True,
-               now: dt.datetime | None = None) -> list[str]:
-        """Delete data folders of versions that were superseded longer ago than the retention and
-        that no younger version references; those versions become unreadable. The vacuum is a row
-        appended to the history (a version with the data of the latest one) before anything is
-        deleted, so a crash in between leaves a readable table and a second call finishes it."""
-        if check_retention and retention_hours < MIN_RETENTION_HOURS:
-            raise ValueError(f"retention below {MIN_RETENTION_HOURS} hours is refused unless check_retention=False")
-        now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        cutoff = now - dt.timedelta(hours=retention_hours)
-        rows = sorted(self.history().select("version", "ts", "paths", "schema_json", "n_rows").collect())  # one row per version
-        keep = set(rows[-1]["paths"])
-        for r, successor in zip(rows, rows[1:]):
-            if successor["ts"] > cutoff:
-                keep.update(r["paths"])
-        old = [p for p in dict.fromkeys(p for r in rows for p in r["paths"])
-               if p not in keep and path_exists(self.spark, p)]
-        if old:
-            last = rows[-1]
-            self._commit("VACUUM", None, list(last["paths"]), last["schema_json"], last["n_rows"], {"deleted": old}, last=last)
-            for p in old:
-                delete_path(self.spark, p)
-        return old
+        """The newest version, or the one named by number or time: one scan of its folders with its
+        schema (columns that older files lack are null)."""
+        return self._read(*self._resolve(version, timestamp))
+
+    def changes(self, old: int, new: int, keys: list[str]) -> DataFrame:
+        """Rows of either version whose key is not in the other or whose values differ: ``keys``,
+        ``change`` (added, removed, updated) and ``before`` / ``after`` structs."""
+        a, b = self.read(old), self.read(new)
+        shared = [c for c in b.columns if c in a.columns and c not in keys]
+        rest = lambda df: F.struct(F.lit(True).alias("_there"), *[F.col(c) for c in df.columns if c not in keys])
+        j = (a.select(*keys, rest(a).alias("before")).join(b.select(*keys, rest(b).alias("after")), keys, "full_outer"))
+        same = F.lit(True)
+        for c in shared:
+            same = same & F.col(f"before.`{c}`").eqNullSafe(F.col(f"after.`{c}`"))
+        kind = (F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").when(~same, "updated"))
+        out = j.withColumn("change", kind).filter(F.col("change").isNotNull())
+        return out.select(*keys, "change", *[F.when(F.col(s).isNotNull(), F.col(s).dropFields("_there")).alias(s) for s in ("before", "after")])
 
 
 def schema_diff(left: StructType, right: StructType) -> list[tuple[str, str | None, str | None]]:
