@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import missing, present
 from driftline.functions.stats import chi2_sf, ks_pvalue_sql, xlogy_ratio
-from driftline.operators.ecdf import prefix_sums, value_statistics
+from driftline.operators.ecdf import prefix_sums
 from driftline.operators.joins import join_bounded
-from driftline.session import materialize_small
+from driftline.operators.quantiles import statistics_frame
+from driftline.session import materialize, materialize_small
 
 W = "_w"
 
@@ -164,12 +165,12 @@ def mann_whitney(long: DataFrame, keys: list[str], n_tests: int | None = None) -
 def category_counts(stacked: DataFrame, cols: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
     """Contingency counts (keys, feature, value, o1, o2), nulls dropped, missing cells = 0.
 
-    One grouped count replaces the full outer join of two value-count tables. The table
-    (#features x #categories rows) is read twice by the tests (cells and per-feature totals),
-    so it is materialised once instead of scanning the source twice.
+    One grouped count replaces the full outer join of two value-count tables. The table (a row per
+    feature and category: as many as the data have distinct values) is read twice by the tests,
+    so it is written once instead of scanning the source twice.
     """
     long = to_long(stacked, cols, keys, cast="string")
-    return materialize_small(long.groupBy(*keys, "feature", "value").agg(_n(1).alias("o1"), _n(2).alias("o2")))
+    return materialize(long.groupBy(*keys, "feature", "value").agg(_n(1).alias("o1"), _n(2).alias("o2")))
 
 
 def chi2_test(counts: DataFrame, keys: list[str], alpha: float = 0.05,
@@ -235,21 +236,14 @@ def null_rates_stacked(st: DataFrame, cols: list[str]) -> DataFrame:
 SUMMARY_STATS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
-def summary_long(long: DataFrame, keys: list[str], n_tests: int | None = None) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles (linear interpolation), max per key."""
-    st = value_statistics(long, keys, n_keys=n_tests)
-    return st.select(*keys, F.col("n").cast("double").alias("count"), "mean", "std", "min", "max",
-                     "p25", "p50", "p75")
-
-
 def summary_pct_change(base: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
     """100 * |(s1 - s2) / (s1 + 1e-100)| for each summary statistic and column."""
     return summary_pct_change_stacked(stack(base.select(*cols), current.select(*cols)), cols)
 
 
 def summary_pct_change_stacked(st: DataFrame, cols: list[str]) -> DataFrame:
-    long = to_long(st, cols)
-    s = summary_long(long, ["feature", W], n_tests=2 * len(cols))
+    s = statistics_frame(st, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], by=W).filter("n > 0")
+    s = s.withColumn("count", F.col("n").cast("double"))
     stats = s.unpivot(["feature", W], SUMMARY_STATS, "stat", "v")
     g = stats.groupBy("feature", "stat").agg(F.sum(F.when(F.col(W) == 1, F.col("v"))).alias("s1"),
                                              F.sum(F.when(F.col(W) == 2, F.col("v"))).alias("s2"))
@@ -271,45 +265,32 @@ def drift_report(base: DataFrame, current: DataFrame, cat_cols: list[str], num_c
                                 alpha, js_threshold, with_ks)
 
 
-def window_profile(st: DataFrame, num_cols: list[str], cat_cols: list[str]) -> DataFrame:
-    """Everything the report needs except the histogram, from ONE scan of ``st``.
-
-    Every column is unpivoted to a ``struct<x double, cat string>`` (numeric value or category)
-    and one grouped aggregate keyed by (feature, category) returns, per numeric feature, one
-    row with the joint range and per-window counts, and per categorical feature one row per
-    category (the contingency cells) plus its null row. ``nz1``/``nz2`` count the non-null
-    values of a window, ``z1``/``z2`` the nulls.
-
-    The result holds #numeric + #categories rows, so it is checkpointed once under
-    ``spark.checkpoint.dir`` and the later steps read it instead of re-scanning the source.
-    """
+def window_ranges(st: DataFrame, num_cols: list[str], cat_cols: list[str]) -> DataFrame:
+    """One wide aggregate per window, no unpivot of rows: (feature, _w, lo, hi, n, nulls), at most two
+    rows per column; ranges of numeric columns, counts of all. Checkpointed, as three steps read it."""
     cols = [*num_cols, *cat_cols]
-    vals = ([F.struct(present(F.col(c).cast("double"), "double").alias("x"), F.lit(None).cast("string").alias("cat")).alias(c)
-             for c in num_cols]
-            + [F.struct(F.lit(None).cast("double").alias("x"), F.col(c).cast("string").alias("cat")).alias(c)
-               for c in cat_cols])
-    long = st.select(W, *vals).unpivot([W], cols, "feature", "v")
-    isnull = F.col("v.x").isNull() & F.col("v.cat").isNull()
-    g = long.groupBy("feature", F.col("v.cat").alias("value")).agg(
-        F.min("v.x").alias("lo"), F.max("v.x").alias("hi"),
-        F.count_if((F.col(W) == 1) & ~isnull).alias("nz1"), F.count_if((F.col(W) == 2) & ~isnull).alias("nz2"),
-        F.count_if((F.col(W) == 1) & isnull).alias("z1"), F.count_if((F.col(W) == 2) & isnull).alias("z2"))
-    return materialize_small(g.withColumn("is_num", F.col("feature").isin(num_cols)))
+    src = st.select(W, *[present(F.col(c).cast("double"), "double").alias(c) for c in num_cols], *cat_cols)
+    per = src.groupBy(W).agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+                             *[f(c).alias(f"{name}_{i}") for i, c in enumerate(num_cols) for name, f in (("lo", F.min), ("hi", F.max))])
+    none = F.lit(None).cast("double")
+    each = [F.struct(F.lit(c).alias("feature"), (F.col(f"lo_{i}") if i < len(num_cols) else none).alias("lo"),
+                     (F.col(f"hi_{i}") if i < len(num_cols) else none).alias("hi"), F.col(f"n_{i}").alias("n"),
+                     (F.col("rows") - F.col(f"n_{i}")).alias("nulls")) for i, c in enumerate(cols)]
+    return materialize_small(per.select(W, F.explode(F.array(*each)).alias("c")).select(W, "c.*"))
 
 
 def drift_report_stacked(st: DataFrame, cat_cols: list[str], num_cols: list[str], alpha: float = 0.05,
                          js_threshold: float = 0.2, with_ks: bool = False) -> DataFrame:
     """:func:`drift_report` over one frame already tagged with ``_w`` (see :func:`tag_windows`).
 
-    Two scans of ``st`` for any number of columns: :func:`window_profile` (ranges, contingency
-    cells, nulls) and the histogram pass, which joins the broadcast range table (one row per
-    numeric feature)."""
-    cols = [*num_cols, *cat_cols]
-    prof = window_profile(st, num_cols, cat_cols)
+    Three narrow scans of ``st`` for any number of columns: :func:`window_ranges`, the histogram pass
+    over the numeric columns, which joins the broadcast range table (one row per numeric feature),
+    and the contingency counts of the categorical ones."""
+    prof = window_ranges(st, num_cols, cat_cols)
     parts = []
     if num_cols:
-        rng = prof.filter(F.col("is_num")).select("feature", "lo", "hi", F.col("nz1").alias("n1"),
-                                                   F.col("nz2").alias("n2"))
+        rng = prof.filter(F.col("feature").isin(num_cols)).groupBy("feature").agg(
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"), *[F.coalesce(F.sum(F.when(F.col(W) == w, F.col("n"))), F.lit(0)).alias(f"n{w}") for w in (1, 2)])
         js = js_distance(to_long(st, num_cols), ["feature"], n_tests=len(num_cols), rng=rng)
         parts.append(js.select("feature", F.lit("js_distance").alias("test"),
                                F.col("js_distance").alias("statistic"),
@@ -321,18 +302,10 @@ def drift_report_stacked(st: DataFrame, cat_cols: list[str], num_cols: list[str]
         parts.append(ks.select("feature", F.lit("ks").alias("test"), F.col("ks_stat").alias("statistic"),
                                "p_value", F.col("alpha_corrected").alias("threshold"), "drift"))
     if cat_cols:
-        cells = prof.filter(~F.col("is_num") & F.col("value").isNotNull()).select(
-            "feature", "value", F.col("nz1").alias("o1"), F.col("nz2").alias("o2"))
-        ch = chi2_test(cells, ["feature"], alpha, len(cat_cols))
+        ch = chi2_test(category_counts(st, cat_cols), ["feature"], alpha, len(cat_cols))
         parts.append(ch.select("feature", F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"),
                                "p_value", F.col("alpha_corrected").alias("threshold"), "drift"))
-    # rows of a window = non-null + null values of any one column; empty windows get no row
-    first = F.col("feature") == cols[0]
-    tot = prof.agg(*[F.sum(f"z{w}").alias(f"nulls_{w}") for w in (1, 2)],
-                   *[F.sum(F.when(first, F.col(f"nz{w}") + F.col(f"z{w}"))).alias(f"rows_{w}") for w in (1, 2)])
-    nulls = (tot.select(F.explode(F.array(*[F.struct(F.lit(w).alias(W), F.col(f"nulls_{w}").alias("nulls"),
-                                                     F.col(f"rows_{w}").alias("rows")) for w in (1, 2)])).alias("t"))
-             .select("t.*").filter(F.col("rows") > 0))
+    nulls = prof.groupBy(W).agg(F.sum("nulls").alias("nulls"))  # empty windows get no row
     parts.append(nulls.select(F.lit("*").alias("feature"),
                               F.concat(F.lit("total_nulls_"), F.col(W).cast("string")).alias("test"),
                               F.col("nulls").cast("double").alias("statistic"),
@@ -362,9 +335,23 @@ def consecutive_pairs(df: DataFrame, period_col: str, cols: list[str], cast: str
     return st
 
 
+BROADCAST_RANGES = 100_000  # rows of a range table that is still sent to every task
+
+
 def rolling_js(df: DataFrame, period_col: str, cols: list[str], bins: int = 20) -> DataFrame:
-    """JS distance of every period against the previous one (integer period ids)."""
-    st = consecutive_pairs(df, period_col, cols)
-    long = to_long(st, cols, keys=("pair",))
-    js = js_distance(long, ["pair", "feature"], bins)
+    """JS distance of every period against the previous one (integer period ids). Periods come from
+    the data, so the range table (a row per pair and feature) is broadcast only after it has been
+    counted; beyond ``BROADCAST_RANGES`` rows it is a shuffle join."""
+    keys = ["pair", "feature"]
+    long = to_long(consecutive_pairs(df, period_col, cols), cols, keys=("pair",))
+    # both ranges and counts come from one row per period, not from the doubled rows
+    per = to_long(df.withColumn(W, F.lit(2)), cols, keys=(period_col,)).groupBy(period_col, "feature").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("n"))
+    twice = per.select(F.explode(F.array(*[F.struct((F.col(period_col) + k).alias("pair"), F.lit(2 - k).alias(W)) for k in (0, 1)])).alias("r"),
+                       "feature", "lo", "hi", "n")
+    rng = materialize(twice.groupBy("r.pair", "feature").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        *[F.coalesce(F.sum(F.when(F.col(f"r.{W}") == w, F.col("n"))), F.lit(0)).alias(f"n{w}") for w in (1, 2)]), "ranges")
+    n = rng.count()
+    js = js_distance(long, keys, bins, n if n <= BROADCAST_RANGES else None, rng)
     return js.filter((F.col("n1") > 0) & (F.col("n2") > 0))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from driftline.functions.stats import chi2_sf_sql_duckdb, ks_pvalue_sql
 from driftline.operators import drift
+from driftline.operators import sketches as SK
+from driftline.operators.quantiles import column_statistics
 from driftline.plans.fixtures import LI_CAT, LI_NUM, LINEITEM_W_SQL, SHIFTED_W_SQL, lineitem_tagged
 from driftline.plans.registry import query, round_doubles
 from driftline.sources.tables import Tables
@@ -375,6 +379,66 @@ def weekly_js(spark, sf_dir):
     return round_doubles(drift.rolling_js(ev, "wk", ["value", "k"]), 8)
 
 
+TRAILING_SQL = f"""
+WITH ev AS (SELECT {WEEK_DUCK} AS wk, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
+l AS (SELECT wk, feature, value FROM (UNPIVOT ev ON value, k INTO NAME feature VALUE value)),
+g AS (SELECT wk, feature, CASE WHEN value = 0 THEN 0 ELSE sign(value) * (floor((ceil(ln(abs(value)) / {SK._LOG_GAMMA!r}) + {SK._SHIFT} - 1) / 16) + 1) END AS bin,
+             count(*) AS n FROM l GROUP BY ALL),
+c AS (SELECT wk + j AS pair, feature, bin, sum(CASE WHEN j > 0 THEN n ELSE 0 END) AS c1, sum(CASE WHEN j = 0 THEN n ELSE 0 END) AS c2
+      FROM g, range(0, 5) AS t(j) GROUP BY ALL),
+t AS (SELECT pair, feature, sum(c1) AS n1, sum(c2) AS n2 FROM c GROUP BY ALL HAVING sum(c1) > 0 AND sum(c2) > 0),
+pq AS (SELECT c.pair, c.feature, c1 / n1 AS p, c2 / n2 AS q, n1, n2 FROM c JOIN t USING (pair, feature))
+SELECT pair, feature, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2,
+       round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                              + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)), 8) AS js_distance
+FROM pq GROUP BY pair, feature, n1, n2
+"""
+
+
+def _weekly_states(spark, sf_dir):
+    """States of the events per week, written once."""
+    ev = Tables(spark, sf_dir).events.select(F.expr(WEEK_SPARK).alias("wk"), "value",
+                                             F.get_json_object("props", "$.k").cast("double").alias("k"))
+    return ev, SK.write_states(ev, "wk", ["value", "k"])
+
+
+@query("trailing_js", TRAILING_SQL, "drift")
+def trailing_js(spark, sf_dir):
+    """Every week against the four before it, from stored states alone."""
+    return round_doubles(SK.trailing_js(_weekly_states(spark, sf_dir)[1], 4), 8)
+
+
+@query("sketch_profile", f"""
+WITH ev AS (SELECT {WEEK_DUCK} AS wk, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
+l AS (SELECT wk, feature, value FROM (UNPIVOT ev ON value, k INTO NAME feature VALUE value)),
+w AS (SELECT min(wk) AS first, max(wk) AS last FROM ev)
+SELECT part, feature, count(*) AS n, round(min(value), 6) AS "min", round(max(value), 6) AS "max", round(avg(value), 6) AS mean,
+       true AS p50_within, true AS p99_within, true AS distinct_within
+FROM l, w, (VALUES ('all'), ('recent')) AS v(part) WHERE part = 'all' OR wk > last - 2 GROUP BY part, feature
+""", "drift")
+def sketch_profile(spark, sf_dir):
+    """Merged states of all weeks and of the last two; quantiles and distinct counts are compared with
+    exact ones and come out as whether they keep their bounds."""
+    ev, states = _weekly_states(spark, sf_dir)
+    first, last = states.heads.agg(F.min("period"), F.max("period")).first()
+    parts = []
+    for part, lo in (("all", first), ("recent", last - 1)):
+        got = SK.merged_profile(states.between(lo, last), [0.5, 0.99], ["p50", "p99"])
+        rows = ev.filter(F.col("wk") >= lo)
+        exact = []
+        for t in column_statistics(rows, ["value", "k"], [0.5, 0.99]):
+            at = [t.found[math.floor((t.stats["n"] - 1) * p)] if t.stats["n"] else None for p in (0.5, 0.99)]
+            exact.append((t.column, *at))
+        known = spark.createDataFrame(exact, "feature string, x50 double, x99 double")
+        distinct = rows.unpivot([], ["value", "k"], "feature", "x").groupBy("feature").agg(F.count_distinct("x").alias("d"))
+        near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= SK.ACCURACY * 1.000001 * F.abs(b)
+        error = 4 * 1.04 / math.sqrt(2 ** SK.HLL_LG_K)  # four standard errors
+        parts.append(got.join(known, "feature").join(distinct, "feature").select(
+            F.lit(part).alias("part"), "feature", "n", "min", "max", "mean", near("p50", "x50").alias("p50_within"), near("p99", "x99").alias("p99_within"),
+            (F.abs(F.col("n_distinct") - F.col("d")) <= F.greatest(F.lit(1.0), error * F.col("d"))).alias("distinct_within")))
+    return round_doubles(parts[0].unionByName(parts[1]), 6)
+
+
 PEARSON_SQL = """
 SELECT feature, round(corr(value, l_extendedprice), 8) AS pearson
 FROM (UNPIVOT (SELECT l_extendedprice, l_quantity, l_discount, l_tax, CAST(l_linenumber AS DOUBLE) AS l_linenumber FROM lineitem)
