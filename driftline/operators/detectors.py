@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.operators.ecdf import prefix_min, prefix_sums
+from driftline.operators.ecdf import scan_segments, segmented
 
 
 def ddm(df: DataFrame, key: str, order_col: str, error_col: str, min_instances: int = 30,
@@ -17,19 +17,20 @@ def ddm(df: DataFrame, key: str, order_col: str, error_col: str, min_instances:
     State is ``drift`` if p + s >= pmin + 3 smin, ``warning`` if >= pmin + 2 smin, else
     ``in_control``. No reset after a detection: the output marks every instant.
 
-    Running counts and the running minimum both use the two-level segment scheme, so one
-    very long stream (a hot key) is still split across many tasks.
+    The rows are cut into segments and written once; counts and the running minimum are scanned
+    over that table, so one very long stream (a hot key) is still split across many tasks.
     """
     base = df.select(key, order_col, F.col(error_col).cast("long").alias("_err"), F.lit(1).alias("_one"))
-    r = prefix_sums(base, [key], order_col, ["_one", "_err"])
     i = F.col("cum__one").cast("double")
     p = F.col("cum__err") / i
     s = F.sqrt(p * (1 - p) / i)
-    st = r.select(key, order_col, F.col("cum__one").alias("i"), p.alias("p"), s.alias("s"))
-    st = st.withColumn("_m", F.when(F.col("i") >= min_instances,
-                                    F.struct((F.col("p") + F.col("s")).alias("ps"), (-F.col("i")).alias("ni"),
-                                             F.col("p").alias("pm"), F.col("s").alias("sm"))))
-    m = prefix_min(st, [key], order_col, "_m", "_min")
+    lift = F.when(i >= min_instances, F.struct((p + s).alias("ps"), (-i).alias("ni"), p.alias("pm"), s.alias("sm")))
+
+    def smaller(prev, run):
+        return F.when(prev.isNull(), run).when(run.isNull(), prev).otherwise(F.least(run, prev))
+
+    m = scan_segments(segmented(base, [key], order_col), [key], order_col, ["_one", "_err"], lift, smaller, "_min")
+    m = m.withColumns({"p": p, "s": s}).withColumn("i", F.col("cum__one"))
     ps = F.col("p") + F.col("s")
     pmin, smin = F.col("_min.pm"), F.col("_min.sm")
     state = (F.when(F.col("i") < min_instances, F.lit("in_control"))

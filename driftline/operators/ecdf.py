@@ -37,6 +37,32 @@ def _num_segments(df: DataFrame) -> int:
     return max(n, 1)
 
 
+def segmented(df: DataFrame, keys: list[str], order_col: str, segments: int | None = None) -> DataFrame:
+    """``df`` range-cut by (keys, order), written once with its segment id ``_seg``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return materialize(df.repartitionByRange(segments or _num_segments(df), *keys, order_col)
+                       .withColumn("_seg", F.spark_partition_id()), "segments")
+
+
+def scan_segments(tagged: DataFrame, keys: list[str], order_col: str, sum_cols: list[str], lift, running, out: str) -> DataFrame:
+    """A two-stage prefix scan over one :func:`segmented` table, for a running minimum of something that
+    itself depends on running sums.
+
+    The sums of earlier segments give each segment's offsets, so ``cum_<c>`` is known inside it;
+    ``lift`` maps a row (with its sums) to a value, whose minima per segment are scanned the same way;
+    ``running`` combines (smallest value of earlier segments, smallest so far in this one) to
+    ``out``. Both steps read the one written table; only rows per (keys, segment) are shuffled."""
+    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(*keys, "_seg").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = [*keys, "_seg"]
+    sums = tagged.groupBy(*at).agg(*[F.sum(c).alias(f"_s_{c}") for c in sum_cols])
+    sums = sums.select(*at, *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    known = tagged.join(sums, at).withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.sum(c).over(so_far) for c in sum_cols})
+    known = known.drop(*[f"_o_{c}" for c in sum_cols]).withColumn("_lift", lift)
+    least = known.groupBy(*at).agg(F.min("_lift").alias("_l")).select(*at, F.min("_l").over(before).alias("_prev"))
+    return known.join(least, at).withColumn(out, running(F.col("_prev"), F.min("_lift").over(so_far))).drop("_prev", "_lift", "_seg")
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order_col: str, sum_cols: list[str],
                 with_next: bool = False, segments: int | None = None, n_keys: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum ordered by ``order_col`` within ``keys``) and

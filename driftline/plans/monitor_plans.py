@@ -3,20 +3,17 @@ per-period model monitoring (SURVEY §2.14, M20, M26, Q10, Q18, Q19)."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from driftline.operators import detectors as DT
 from driftline.operators import drift
 from driftline.operators import forecast as FC
 from driftline.operators import models as MD
+from driftline.operators import monitor as M
 from driftline.operators.runlog import RunLog
-from driftline.plans.fixtures import LI_NUM, lineitem_tagged
+from driftline.plans.fixtures import LI_NUM, SPLIT_DATE
 from driftline.plans.ml_fixtures import iot
-from driftline.plans.registry import query
+from driftline.plans.registry import query, round_doubles
 from driftline.session import work_dir
 from driftline.sources.tables import Tables
 
@@ -176,14 +173,55 @@ def ddm_states(spark, sf_dir):
                       F.col("first_drift").cast("double").alias("first_drift"), "n_warning", "n_drift")
 
 
+def _domain(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    w = F.when(F.col("l_shipdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz"), 0).otherwise(1)
+    return t.lineitem.select("l_orderkey", "l_linenumber", *LI_NUM, w.alias("label"))
+
+
 @query("domain_auc", None, "drift")
 def domain_auc(spark, sf_dir):
-    """Domain classifier: predict the window a row came from; AUC near 0.5 = no drift."""
-    st = lineitem_tagged(Tables(spark, sf_dir)).withColumn("label", (F.col("_w") == 2).cast("double"))
-    va = VectorAssembler(inputCols=LI_NUM, outputCol="features")
-    model = Pipeline(stages=[va, LogisticRegression(labelCol="label", maxIter=20)]).fit(st)
-    auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(model.transform(st))
-    return st.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("domain_auc", F.lit(float(auc)))
+    """Domain classifier: predict the window a row came from, every row by a model that has not seen
+    it; AUC near 0.5, within what redrawn labels give, means no drift."""
+    return M.domain_drift(_domain(spark, sf_dir), "label", LI_NUM, ["l_orderkey", "l_linenumber"])
+
+
+@query("domain_auc_range", f"""SELECT test, count(*) AS n, true AS in_range,
+       CASE WHEN test = 0 THEN count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '{SPLIT_DATE}') END AS n_pos
+FROM lineitem, range(0, 10) AS t(test) GROUP BY test""", "drift")
+def domain_auc_range(spark, sf_dir):
+    """The same test by test: every row is scored once per labelling, and no labelling is separable."""
+    out = M.cross_fitted_auc(_domain(spark, sf_dir), "label", LI_NUM, ["l_orderkey", "l_linenumber"])
+    return out.select(F.col("test").cast("bigint").alias("test"), "n", (F.abs(F.col("auc") - 0.5) < 0.1).alias("in_range"),
+                      F.when(F.col("test") == 0, F.col("n_pos")).alias("n_pos"))
+
+
+MONITOR_SQL = """
+WITH RECURSIVE d AS (SELECT year(l_shipdate) * 4 + quarter(l_shipdate) AS q, l_quantity AS x, l_extendedprice AS y FROM lineitem),
+p AS (SELECT q, row_number() OVER (ORDER BY q) AS i FROM (SELECT DISTINCT q FROM d)),
+r AS (SELECT i, q, x, y FROM d JOIN p USING (q)),
+m AS (SELECT p.i, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM p JOIN r ON r.i < p.i GROUP BY p.i),
+e AS (SELECT m.i AS model, r.i AS i, sqrt(avg((y - a - b * x) * (y - a - b * x))) AS rmse, count(*) AS n
+      FROM m JOIN r ON r.i >= m.i GROUP BY ALL),
+loop AS (SELECT CAST(2 AS BIGINT) AS i, CAST(2 AS BIGINT) AS used, CAST(2 AS BIGINT) AS model
+   UNION ALL
+   SELECT l.i + 1, l.model, CASE WHEN new.rmse < old.rmse THEN l.i + 1 ELSE l.model END
+   FROM loop l JOIN e old ON old.model = l.model AND old.i = l.i + 1 JOIN e new ON new.model = l.i + 1 AND new.i = l.i + 1)
+SELECT CAST(p.q AS INTEGER) AS period, old.n, CAST(t.q AS INTEGER) AS trained_to, round(old.rmse, 4) AS rmse_current, round(new.rmse, 4) AS rmse_candidate,
+       l.model <> l.used AS replaced, round(m.a, 4) AS intercept, round(m.b, 4) AS slope
+FROM loop l JOIN p ON p.i = l.i JOIN p t ON t.i = l.used - 1 JOIN e old ON old.model = l.used AND old.i = l.i
+JOIN e new ON new.model = l.i AND new.i = l.i JOIN m ON m.i = l.model
+"""
+
+
+@query("monitor_loop", MONITOR_SQL, "drift")
+def monitor_loop(spark, sf_dir):
+    """Quarter by quarter: a candidate fitted on all quarters so far takes over if it predicts the next
+    one better than the model in use."""
+    li = Tables(spark, sf_dir).lineitem.select((F.year("l_shipdate") * 4 + F.quarter("l_shipdate")).alias("period"),
+                                               F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    out = M.monitor_loop(li, "period", ["x"], "y")
+    return round_doubles(out.withColumnRenamed("coef_x", "slope"), 4)
 
 
 RMSE_SQL = """WITH tr AS (SELECT o_orderpriority, avg(o_totalprice) AS pred FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' GROUP BY 1)
