@@ -141,6 +141,24 @@ def cv_ridge_trials(df: DataFrame, features: list[str], label: str, fold: Column
         run, "trial_id long, reg double, mean_r2 double, mean_rmse double, loss double, n_folds int")
 
 
+def cv_ridge_losses(df: DataFrame, features: list[str], label: str, fold: Column):
+    """A function (reg, columns) -> mean RMSE over held-out folds, for any subset of ``features``: the data
+    are read once, for the moments per fold; every trial is linear algebra on these few rows."""
+    stats = moment_stats(df.withColumn("_fold", fold), features, label, ["_fold"]).collect()  # a row per fold
+    folds = {r["_fold"]: _unpack(r.asDict(), features, label) for r in stats}
+
+    def loss(reg: float, columns: list[str]) -> float:
+        at = [features.index(c) for c in columns] + [len(features)]
+        part = {f: (n, mean[at], cov[np.ix_(at, at)]) for f, (n, mean, cov) in folds.items()}
+        out = []
+        for f, held in part.items():
+            coef, intercept, _ = solve_linear(*pool([v for g, v in part.items() if g != f]), reg=reg)
+            out.append(np.sqrt(sse_on(*held, coef, intercept) / held[0]))
+        return float(np.mean(out))
+
+    return loss
+
+
 # ------------------------------------------------------------------------ metrics as aggregates
 def regression_metrics(df: DataFrame, label: str, pred: str, group_cols: list[str] = ()) -> DataFrame:
     """rmse, mse, mae, r2 (1 - SSE/SST) in one aggregate."""

@@ -378,7 +378,7 @@ def cv_grid_table(spark, sf_dir):
 @query("parallel_trials", None, "tuning")
 def parallel_trials(spark, sf_dir):
     df = _listings(spark, sf_dir)
-    cands = TU.seeded_candidates(spark, df, {"reg": ("loguniform", 1e-3, 1e3)}, n=16, seed=42)
+    cands = TU.seeded_candidates(spark, {"reg": ("loguniform", 1e-3, 1e3)}, n=16, seed=42)
     return MD.cv_ridge_trials(df, ["l_quantity", "p_retailprice", "l_discount"], LABEL,
                               H.fold_col("l_orderkey", 3), 3, cands).orderBy("loss")
 
@@ -396,6 +396,55 @@ def leaderboard(spark, sf_dir):
     return TU.leaderboard(df, si, va, LABEL, bins)
 
 
+HASH_SQL = "CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
+@query("leaderboard_classes", f"""SELECT 6 AS n_trials, count(*) AS n_test, true AS beats_majority, true AS best_first, true AS model_agrees
+FROM lineitem WHERE {HASH_SQL} % 100 >= 80""", "tuning")
+def leaderboard_classes(spark, sf_dir):
+    """Six classifiers of the return flag, ranked by log loss on held-out rows; the facts about the
+    board that do not depend on the fits' arithmetic."""
+    df, prepare = _flag_frame(spark, sf_dir)
+    board, best, scores = TU.class_leaderboard(df, prepare, "flag", "l_orderkey")
+    top = board.filter("rank = 1").first()
+    majority = scores.filter(F.col("trial") == top["trial"]).groupBy("y").count().agg(F.max("count") / F.sum("count")).first()[0]
+    test = H.hash_split(df, "l_orderkey", 80)[1]
+    right = best.transform(test).agg(F.avg((F.col("prediction") == F.col("flag")).cast("double"))).first()[0]
+    return board.agg(F.count(F.lit(1)).cast("int").alias("n_trials"), F.max("n").alias("n_test"),
+                     (F.max("accuracy") >= F.lit(majority)).alias("beats_majority"),
+                     (F.min("log_loss") == F.min_by("log_loss", "rank")).alias("best_first"),
+                     F.lit(abs(right - top["accuracy"]) < 1e-9).alias("model_agrees"))
+
+
+@query("leaderboard_class_scores", None, "tuning")
+def leaderboard_class_scores(spark, sf_dir):
+    """The board itself: accuracy, log loss, f1, precision and recall per classifier."""
+    df, prepare = _flag_frame(spark, sf_dir)
+    return round_doubles(TU.class_leaderboard(df, prepare, "flag", "l_orderkey")[0], 6)
+
+
+def _flag_frame(spark, sf_dir):
+    df = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice",
+                                               F.datediff("l_shipdate", F.lit("1992-01-01")).cast("double").alias("ship_day"),
+                                               (F.col("l_returnflag") != "N").cast("double").alias("flag"))
+    return df, [VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax", "l_extendedprice", "ship_day"], outputCol="features")]
+
+
+@query("search_adaptive", """SELECT 24 AS n_trials, count(*) AS n_rows, round(stddev_pop(l_extendedprice * (1 - l_discount)), 4) AS baseline_rmse,
+       true AS beats_baseline, true AS no_worse_than_start FROM lineitem JOIN part ON l_partkey = p_partkey""", "tuning")
+def search_adaptive(spark, sf_dir):
+    """Adaptive search over the ridge penalty and the set of columns; a round of trials is solved from one
+    aggregate's moments per fold."""
+    df = _listings(spark, sf_dir).withColumn("net", F.col(LABEL) * (1 - F.col("l_discount")))
+    every = ["p_size", "l_tax", "l_quantity", LABEL, "l_discount"]
+    space = {"reg": ("loguniform", 1e-4, 1e5), "n_cols": ("quniform", 1, len(every), 1)}
+    losses = MD.cv_ridge_losses(df, every, "net", H.fold_col("l_orderkey", 3))
+    trials = TU.adaptive_search(space, lambda settings: [losses(s["reg"], every[:int(s["n_cols"])]) for s in settings], max_trials=24)
+    best, start = min(x for _, x in trials), min(x for _, x in trials[:8])
+    return df.agg(F.lit(len(trials)).alias("n_trials"), F.count(F.lit(1)).alias("n_rows"), F.round(F.stddev_pop("net"), 4).alias("baseline_rmse"),
+                  (F.lit(best) < 0.5 * F.stddev_pop("net")).alias("beats_baseline"), F.lit(best <= start).alias("no_worse_than_start"))
+
+
 @query("pipeline_pre_post", None, "ml")
 def pipeline_pre_post(spark, sf_dir):
     """Model with pre- and post-processing inside one pipeline (row-sum feature, threshold text)."""
