@@ -47,6 +47,8 @@ def _gamma_q(a: float, x: float) -> float:
             s += d
             if abs(d) < abs(s) * 1e-16:
                 break
+        else:
+            raise ArithmeticError(f"incomplete gamma series did not converge for a={a}, x={x}")
         return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
     tiny = 1e-300
     b = x + 1 - a
@@ -63,8 +65,10 @@ def _gamma_q(a: float, x: float) -> float:
         d = 1 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1) < 1e-16:
+        if abs(delta - 1) < 1e-15:
             break
+    else:
+        raise ArithmeticError(f"incomplete gamma fraction did not converge for a={a}, x={x}")
     return min(1.0, math.exp(-x + a * math.log(x) - gln) * h)
 
 

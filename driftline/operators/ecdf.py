@@ -32,9 +32,18 @@ def _bound(nseg: int, keys: list[str], n_keys: int | None) -> int | None:
     return None if n_keys is None else nseg + n_keys
 
 
+SEGMENT_BYTES = 256 << 20  # planned size of a segment
+
+
 def _num_segments(df: DataFrame) -> int:
+    """Segments by the planner's estimate of the input's size (no job), and not fewer than the session's
+    shuffle partitions."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(n, 1)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(n, 1, min(-(-size // SEGMENT_BYTES), MAX_SEGMENTS))
+
+
+MAX_SEGMENTS = 100_000  # an estimate without statistics can be absurd
 
 
 def segmented(df: DataFrame, keys: list[str], order_col: str, segments: int | None = None) -> DataFrame:

@@ -19,9 +19,16 @@ class RunLog:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def log(self, runs: DataFrame) -> None:
+    def log(self, runs: DataFrame, data_path: str | None = None, data_version: str | int | None = None) -> None:
         """Append runs given as rows with ``params`` / ``tags`` (map<string,string>) and
-        ``metrics`` (map<string,double>) columns."""
+        ``metrics`` (map<string,double>) columns. ``data_path`` and ``data_version`` say what the runs
+        read and become params of each; a run's own params of these names go first."""
+        data = {"data_path": data_path, "data_version": None if data_version is None else str(data_version)}
+        known = [F.lit(x) for k, v in data.items() if v is not None for x in (k, v)]
+        if known:
+            given = F.coalesce("params", F.create_map().cast("map<string,string>")) if "params" in runs.columns else F.create_map().cast("map<string,string>")
+            fresh = F.map_filter(F.create_map(*known), lambda k, _: ~F.map_contains_key(given, k))
+            runs = runs.withColumn("params", F.map_concat(given, fresh))
         base = ["run_id", "parent_run_id", "experiment", "start_time", "end_time"]
         # a row for the run itself, so that one without entries is kept
         parts = [runs.select(*base, F.lit("run").alias("kind"), F.lit("").alias("key"), F.lit(None).cast("string").alias("value_str"),
@@ -77,6 +84,11 @@ class RunLog:
         return g.select(tag, F.col("_s.run_id").alias("run_id"), F.col("_s.end_time").alias("end_time"),
                         F.col("_s.metrics").alias("metrics"), F.col("_s.params").alias("params"))
 
+    def runs_on(self, data_path: str, data_version: str | int | None = None) -> DataFrame:
+        """Runs that read a data set, or one version of it."""
+        r = self.runs().filter(F.col("params")["data_path"] == data_path)
+        return r if data_version is None else r.filter(F.col("params")["data_version"] == str(data_version))
+
     def best_run(self, metric: str, ascending: bool = True, group_by: str | None = None) -> DataFrame:
         """Run with the smallest (or largest) metric, optionally per param value."""
         r = self.runs().filter(F.col("metrics")[metric].isNotNull())

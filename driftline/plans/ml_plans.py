@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -58,12 +60,23 @@ def impute_mean(spark, sf_dir):
     return round_doubles(model.transform(li), 6)
 
 
-@query("impute_median_mllib", None, "ml")
+@query("impute_median_mllib", f"""SELECT feature, count(value) AS n, count(*) - count(value) AS n_filled, true AS within
+FROM (SELECT * FROM (SELECT l_discount, l_tax FROM ({LINEITEM_NULLS_SQL})) UNPIVOT INCLUDE NULLS (value FOR feature IN (l_discount, l_tax)))
+GROUP BY feature""", "ml")
 def impute_median_mllib(spark, sf_dir):
-    """MLlib's Imputer(median): approximate (quantile sketch) - kept as the scalable variant."""
-    li = lineitem_nulls(Tables(spark, sf_dir)).select("l_orderkey", "l_discount", "l_tax")
-    model = Imputer(strategy="median", inputCols=["l_discount", "l_tax"], outputCols=["l_discount", "l_tax"]).fit(li)
-    return model.surrogateDF
+    """MLlib's Imputer(median): one quantile sketch per column. Returned with it: the rows it fills, and
+    whether the surrogate's rank is within the sketch's relative error of the middle."""
+    cols = ["l_discount", "l_tax"]
+    li = lineitem_nulls(Tables(spark, sf_dir)).select(*cols)
+    imputer = Imputer(strategy="median", inputCols=cols, outputCols=cols)
+    found = imputer.fit(li).surrogateDF.first()  # one value per column
+    parts = []
+    for c in cols:
+        n, below, upto = F.count(c), F.count_if(F.col(c) < F.lit(found[c])), F.count_if(F.col(c) <= F.lit(found[c]))
+        slack = imputer.getRelativeError() * n + 1
+        parts.append(F.struct(F.lit(c).alias("feature"), n.alias("n"), F.count_if(F.col(c).isNull()).alias("n_filled"),
+                              ((below <= n / 2 + slack) & (upto >= n / 2 - slack)).alias("within")))
+    return li.agg(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
 @query("string_index", """SELECT p_brand, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS DOUBLE) AS brand_idx, count(*) AS n
@@ -202,6 +215,19 @@ def log_target_metrics(spark, sf_dir):
     return MD.regression_metrics(pred, LABEL, "prediction")
 
 
+@query("log_target_univariate", f"""WITH s AS (SELECT l_quantity AS x, l_extendedprice AS y, {HASH80.format(k='l_orderkey')} AS is_train FROM lineitem),
+c AS (SELECT regr_slope(ln(y), x) AS b, regr_intercept(ln(y), x) AS a FROM s WHERE is_train),
+p AS (SELECT y, exp(a + b * x) AS p FROM s, c WHERE NOT is_train)
+SELECT count(*) AS n, round(sqrt(avg(pow(y - p, 2))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae, round(1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*)), 8) AS r2 FROM p""", "ml")
+def log_target_univariate(spark, sf_dir):
+    """Linear regression of the log label on one column, scored on the label's own scale."""
+    train, test = _split(Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_quantity", LABEL).withColumn("label", F.log(LABEL)))
+    stages = [VectorAssembler(inputCols=["l_quantity"], outputCol="features"), LinearRegression(solver="normal")]
+    pred = Pipeline(stages=stages).fit(train).transform(test).withColumn("prediction", F.exp("prediction"))
+    m = MD.regression_metrics(pred, LABEL, "prediction")
+    return m.select("n", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 8).alias("r2"))
+
+
 @query("baseline_rmse", f"""WITH s AS (SELECT l_extendedprice AS y, {HASH80.format(k='l_orderkey')} AS is_train FROM lineitem),
 t AS (SELECT avg(y) AS mu, quantile_cont(y, 0.5) AS med FROM s WHERE is_train)
 SELECT round(sqrt(avg((y - mu) * (y - mu))), 4) AS rmse_mean, round(sqrt(avg((y - med) * (y - med))), 4) AS rmse_median
@@ -361,6 +387,9 @@ def auc_rank(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------------- tuning
+HASH_SQL = "CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
 @query("cv_grid_table", None, "tuning")
 def cv_grid_table(spark, sf_dir):
     df, si, va, bins = _tree_frame(spark, sf_dir)
@@ -375,12 +404,37 @@ def cv_grid_table(spark, sf_dir):
     return spark.createDataFrame(rows, "max_depth int, num_trees int, avg_rmse double")
 
 
-@query("parallel_trials", None, "tuning")
+SEARCH_SPACE = {"reg": ("loguniform", 1e-3, 1e3)}
+GRID = [0.0, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
+TRIAL_COLS = ["l_quantity", "l_discount"]
+
+
+def _trials_sql(regs: list[float]) -> str:
+    """Ridge with two columns in closed form, per candidate and held-out fold."""
+    cands = ", ".join(f"({i}, {r!r})" for i, r in enumerate(regs))
+    return f"""
+WITH s AS (SELECT l_quantity AS x1, l_discount AS x2, l_extendedprice AS y, {HASH_SQL} % 3 AS f FROM lineitem JOIN part ON l_partkey = p_partkey),
+g AS (SELECT g, count(*) AS n, var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS v12, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2,
+             avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM s, range(0, 3) AS t(g) WHERE f <> g GROUP BY g),
+c AS (SELECT g, trial_id, reg, m1, m2, my, (n * c1 * (n * v2 + reg) - n * c2 * n * v12) / ((n * v1 + reg) * (n * v2 + reg) - n * v12 * n * v12) AS b1,
+             (n * c2 * (n * v1 + reg) - n * c1 * n * v12) / ((n * v1 + reg) * (n * v2 + reg) - n * v12 * n * v12) AS b2
+      FROM g, (VALUES {cands}) AS v(trial_id, reg)),
+e AS (SELECT g, trial_id, any_value(reg) AS reg, sum(pow(y - my - b1 * (x1 - m1) - b2 * (x2 - m2), 2)) AS sse, count(*) * var_pop(y) AS sst, count(*) AS n
+      FROM s JOIN c ON f = g GROUP BY g, trial_id)
+SELECT CAST(trial_id AS BIGINT) AS trial_id, round(any_value(CAST(reg AS DOUBLE)), 6) AS reg, round(avg(1 - sse / sst), 6) AS mean_r2, round(avg(sqrt(sse / n)), 4) AS mean_rmse,
+       round(-avg(1 - sse / sst), 6) AS loss, CAST(count(*) AS INTEGER) AS n_folds FROM e GROUP BY trial_id"""
+
+
+def _rounded_trials(out):
+    return out.select("trial_id", F.round("reg", 6).alias("reg"), F.round("mean_r2", 6).alias("mean_r2"),
+                      F.round("mean_rmse", 4).alias("mean_rmse"), F.round("loss", 6).alias("loss"), "n_folds").orderBy("loss")
+
+
+@query("parallel_trials", _trials_sql([TU.sample_space(SEARCH_SPACE, r)["reg"] for r in [random.Random(42)] for _ in range(16)]), "tuning")
 def parallel_trials(spark, sf_dir):
     df = _listings(spark, sf_dir)
-    cands = TU.seeded_candidates(spark, {"reg": ("loguniform", 1e-3, 1e3)}, n=16, seed=42)
-    return MD.cv_ridge_trials(df, ["l_quantity", "p_retailprice", "l_discount"], LABEL,
-                              H.fold_col("l_orderkey", 3), 3, cands).orderBy("loss")
+    cands = TU.seeded_candidates(spark, SEARCH_SPACE, n=16, seed=42)
+    return _rounded_trials(MD.cv_ridge_trials(df, TRIAL_COLS, LABEL, H.fold_col("l_orderkey", 3), 3, cands))
 
 
 @query("random_search_table", None, "tuning")
@@ -396,9 +450,6 @@ def leaderboard(spark, sf_dir):
     return TU.leaderboard(df, si, va, LABEL, bins)
 
 
-HASH_SQL = "CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT)"
-
-
 @query("leaderboard_classes", f"""SELECT 6 AS n_trials, count(*) AS n_test, true AS beats_majority, true AS best_first, true AS model_agrees
 FROM lineitem WHERE {HASH_SQL} % 100 >= 80""", "tuning")
 def leaderboard_classes(spark, sf_dir):
@@ -445,7 +496,19 @@ def search_adaptive(spark, sf_dir):
                   (F.lit(best) < 0.5 * F.stddev_pop("net")).alias("beats_baseline"), F.lit(best <= start).alias("no_worse_than_start"))
 
 
-@query("pipeline_pre_post", None, "ml")
+PRE_POST_SQL = """
+WITH s AS (SELECT l_quantity AS x1, p_retailprice AS x2, l_discount + l_tax AS x3, l_extendedprice AS y FROM lineitem JOIN part ON l_partkey = p_partkey),
+m AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my, var_pop(x1) AS a, var_pop(x2) AS e, var_pop(x3) AS i, covar_pop(x1, x2) AS b,
+             covar_pop(x1, x3) AS c, covar_pop(x2, x3) AS f, covar_pop(x1, y) AS p, covar_pop(x2, y) AS q, covar_pop(x3, y) AS r FROM s),
+d AS (SELECT *, a * (e * i - f * f) - b * (b * i - f * c) + c * (b * f - e * c) AS det FROM m),
+w AS (SELECT *, (p * (e * i - f * f) - b * (q * i - f * r) + c * (q * f - e * r)) / det AS b1,
+             (a * (q * i - f * r) - p * (b * i - f * c) + c * (b * r - q * c)) / det AS b2,
+             (a * (e * r - q * f) - b * (b * r - q * c) + p * (b * f - e * c)) / det AS b3 FROM d)
+SELECT CASE WHEN my + b1 * (x1 - m1) + b2 * (x2 - m2) + b3 * (x3 - m3) > 50000 THEN 'premium' ELSE 'standard' END AS price_class, count(*) AS n
+FROM s, w GROUP BY 1"""
+
+
+@query("pipeline_pre_post", PRE_POST_SQL, "ml")
 def pipeline_pre_post(spark, sf_dir):
     """Model with pre- and post-processing inside one pipeline (row-sum feature, threshold text)."""
     df = _listings(spark, sf_dir)
@@ -473,14 +536,12 @@ def cv_in_pipeline_table(spark, sf_dir):
     return spark.createDataFrame(rows, "max_depth int, num_trees int, avg_rmse double")
 
 
-@query("grid_trials", None, "tuning")
+@query("grid_trials", _trials_sql(GRID), "tuning")
 def grid_trials(spark, sf_dir):
     """Grid search of small models (one trial per task) from per-fold sufficient statistics."""
     df = _listings(spark, sf_dir)
-    grid = [(i, float(a)) for i, a in enumerate([0.0, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0])]
-    cands = spark.createDataFrame(grid, "trial_id long, reg double")
-    return MD.cv_ridge_trials(df, ["l_quantity", "p_retailprice", "l_discount"], LABEL,
-                              H.fold_col("l_orderkey", 3), 3, cands).orderBy("loss")
+    cands = spark.createDataFrame(list(enumerate(GRID)), "trial_id long, reg double")
+    return _rounded_trials(MD.cv_ridge_trials(df, TRIAL_COLS, LABEL, H.fold_col("l_orderkey", 3), 3, cands))
 
 
 @query("multiclass_metrics", None, "ml")

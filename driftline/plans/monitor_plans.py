@@ -34,18 +34,16 @@ def _runlog(spark, sf_dir) -> RunLog:
             F.concat(F.lit(f"v{version}-device-"), F.col("device_id").cast("string")).alias("run_id"),
             F.lit(f"v{version}-parent").alias("parent_run_id"), F.lit("grouped_training").alias("experiment"),
             F.col("end_time").alias("start_time"), "end_time",
-            F.create_map(F.lit("device_id"), F.col("device_id").cast("string"),
-                         F.lit("data_version"), F.lit(str(version))).alias("params"),
+            F.create_map(F.lit("device_id"), F.col("device_id").cast("string")).alias("params"),
             F.create_map(F.lit("device"), F.col("device_id").cast("string")).alias("tags"),
             F.create_map(F.lit("mse"), F.col("mse"), F.lit("n_used"), F.col("n_used").cast("double"),
                          F.lit("coef_feature_1"), F.col("coef_feature_1")).alias("metrics"))
         parent = data.agg(F.max("ts").cast("timestamp").alias("end_time"), F.count(F.lit(1)).alias("n")).select(
             F.lit(f"v{version}-parent").alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
             F.lit("grouped_training").alias("experiment"), F.col("end_time").alias("start_time"), "end_time",
-            F.create_map(F.lit("data_version"), F.lit(str(version))).alias("params"),
             F.create_map(F.lit("role"), F.lit("parent")).alias("tags"),
             F.create_map(F.lit("n_rows"), F.col("n").cast("double")).alias("metrics"))
-        log.log(child.unionByName(parent))
+        log.log(child.unionByName(parent, allowMissingColumns=True), data_path="events", data_version=version)
     return log
 
 
@@ -95,6 +93,16 @@ def runlog_best(spark, sf_dir):
     return best.withColumn("mse", F.round("mse", 6))
 
 
+@query("runlog_data", RUNS_MSE_SQL + """
+SELECT 'events' AS data_path, CAST(version AS VARCHAR) AS data_version, count(*) + 1 AS n_runs, round(avg(mse), 6) AS mse FROM m GROUP BY version""", "runlog")
+def runlog_data(spark, sf_dir):
+    """Runs by the data set and version they read, as logged with them."""
+    runs = _runlog(spark, sf_dir).runs_on("events")
+    p = F.col("params")
+    return runs.groupBy(p["data_path"].alias("data_path"), p["data_version"].alias("data_version")).agg(
+        F.count(F.lit(1)).alias("n_runs"), F.round(F.avg(F.col("metrics")["mse"]), 6).alias("mse"))
+
+
 @query("runlog_tree", f"""WITH f AS {IOT_TS_SQL},
 v AS (SELECT 1 AS version, * FROM f WHERE ts < TIMESTAMP '{CUTOFF}' UNION ALL SELECT 2 AS version, * FROM f),
 c AS (SELECT version, device_id, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a

@@ -9,6 +9,7 @@ from driftline.functions import columns as C
 from driftline.functions import hashing as H
 from driftline.operators import keys as K
 from driftline.operators import profile as P
+from driftline.operators.runlog import latest_version
 from driftline.plans.fixtures import (LINEITEM_NULLS_SQL, PEOPLE_SQL, lineitem_nulls, people)
 from driftline.plans.registry import query, round_doubles
 from driftline.sources.tables import Tables
@@ -221,10 +222,22 @@ def mean_median(spark, sf_dir):
     return round_doubles(mean.join(med, "feature").select("mean_price", "median_price"), 6)
 
 
-@query("approx_median", None, "agg")
+@query("approx_median", """SELECT feature, count(value) AS n, true AS p25_within, true AS p50_within, true AS p75_within
+FROM (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
+      ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME feature VALUE value) GROUP BY feature""", "agg")
 def approx_median(spark, sf_dir):
+    """Sketched quartiles of every column, and whether their ranks keep the sketch's error bound."""
     li = T(spark, sf_dir).lineitem
-    return P.approx_quantiles(li, LI_NUMS, [0.25, 0.5, 0.75])
+    accuracy, probs = 1000, [0.25, 0.5, 0.75]
+    found = P.approx_quantiles(li, LI_NUMS, probs, accuracy)
+    long = P.long_values(li, LI_NUMS).join(F.broadcast(found), "feature")  # a row per column
+    n, v = F.count("value"), F.col("value")
+
+    def within(i: int):
+        below, upto = F.count_if(v < F.col("quantiles")[i]), F.count_if(v <= F.col("quantiles")[i])
+        return ((below <= n * (probs[i] + 1 / accuracy) + 1) & (upto >= n * (probs[i] - 1 / accuracy) - 1)).alias(f"p{int(100 * probs[i])}_within")
+
+    return long.groupBy("feature").agg(n.alias("n"), *[within(i) for i in range(3)])
 
 
 DESCRIBE_SQL = """SELECT feature, count(value) AS "count", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev,
@@ -522,3 +535,10 @@ def rand_features(spark, sf_dir):
     from driftline.plans.ml_fixtures import iot
     f = iot(T(spark, sf_dir))
     return f.select("record_id", "device_id", (F.rand(42) * 10 + 5).alias("u_5_15"), (F.randn(7) * 2 + 100).alias("n_100_2"))
+
+
+@query("latest_versions", "SELECT o_orderpriority AS name, CAST(max(o_custkey % 1500) AS INTEGER) AS latest_version FROM orders GROUP BY 1", "agg")
+def latest_versions(spark, sf_dir):
+    """Newest version per name where versions are text: compared as numbers, so that 10 follows 9."""
+    v = T(spark, sf_dir).orders.select(F.col("o_orderpriority").alias("name"), (F.col("o_custkey") % 1500).cast("string").alias("version"))
+    return latest_version(v)

@@ -100,3 +100,24 @@ def stream_feature_merge(spark, sf_dir):
     SF.run_until_done(SF.start_foreach_batch(stream, upsert_batch, work_dir(spark, "stream-ckpt")))
     t = fs.read_table("event_features")
     return t.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("stream_windowed_counts", """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n, round(sum(value), 4) AS total
+FROM events GROUP BY 1, 2""", "stream")
+def stream_windowed_counts(spark, sf_dir):
+    """Event-time windows with a watermark, kept up to date in a keyed table: the windows a micro-batch
+    changes are merged by (day, type). The stream has its own number of shuffle partitions."""
+    src = _landed(spark, sf_dir)
+    streams = SF.stream_session(spark, 4)
+    fs = FeatureStore(spark, work_dir(spark, "stream-windows"))
+    schema = spark.createDataFrame([], "day string, event_type string, n long, total double").schema
+    fs.create_table("daily", ["day", "event_type"], schema=schema, description="daily counts, streamed")
+    stream = SF.read_stream(streams, src, SF.EVENTS_SCHEMA, 1)
+    counts = SF.windowed_counts(stream, "ts", ["event_type"], late="60 days", aggs={"total": F.sum("value")})  # the files land in any order
+
+    def keep(batch, epoch_id):
+        rows = batch.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n", "total")
+        fs.write_table("daily", rows, mode="merge")
+
+    SF.run_until_done(SF.start_foreach_batch(counts, keep, work_dir(spark, "stream-ckpt"), output_mode="update"))
+    return fs.read_table("daily").withColumn("total", F.round("total", 4))

@@ -7,9 +7,11 @@ cluster); only when it is unset (tests, local runs) do we create one.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,7 +62,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str = "work") -> str:
     """A fresh folder (URI) for tables a job writes, under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/driftline/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/driftline/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Work folders that are made inside this scope are deleted at its end, also after an error. For
+    callers that write an operator's result: ``with scratch(spark): op(df).write.parquet(path)``. A
+    frame that reads such a folder cannot be used after the scope; what is to stay is written
+    elsewhere. Scopes nest; folders of the outer one stay until it ends."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 _SHIPPED: set[str] = set()

@@ -33,6 +33,25 @@ def read_stream(spark: SparkSession, folder: str, schema: str, max_files_per_tri
     return s.drop(*(drop or []))
 
 
+def stream_session(spark: SparkSession, shuffle_partitions: int) -> SparkSession:
+    """A session of the same application for streams, with their own number of shuffle partitions: a
+    stateful query keeps one state store per partition for its whole life (the number is fixed by
+    its first checkpoint), so it is set for the keys it holds, not for the size of batch jobs."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    s.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return s
+
+
+def windowed_counts(stream: DataFrame, time_col: str, keys: list[str], width: str = "1 day", late: str = "1 hour",
+                    aggs: dict | None = None) -> DataFrame:
+    """Counts (and ``aggs``) per tumbling event-time window and key; state older than the watermark goes."""
+    w = F.window(time_col, width)
+    out = stream.withWatermark(time_col, late).groupBy(w.alias("w"), *keys).agg(
+        F.count(F.lit(1)).alias("n"), *[e.alias(k) for k, e in (aggs or {}).items()])
+    return out.select(F.col("w.start").alias("window_start"), *keys, "n", *(aggs or {}))
+
+
 def start_append(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
                  name: str | None = None, available_now: bool = True, interval: str = "5 seconds") -> StreamingQuery:
     w = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
@@ -46,8 +65,8 @@ def start_append(stream: DataFrame, path: str, checkpoint: str, partition_by: li
 
 
 def start_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-                        available_now: bool = True) -> StreamingQuery:
-    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+                        available_now: bool = True, output_mode: str = "append") -> StreamingQuery:
+    w = stream.writeStream.outputMode(output_mode).foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()
 

@@ -94,3 +94,55 @@ def test_no_local_checkpoint_fallback_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Spark())
+
+
+def test_scratch_scope_deletes_its_folders_alone(spark, tmp_uri):
+    from driftline.session import materialize, scratch
+    from driftline.sources.versions import path_exists
+    kept = materialize(spark.range(5).toDF("id"), "kept")
+    made = []
+    with scratch(spark):
+        made.append(materialize(spark.range(10).toDF("id"), "t"))
+        with scratch(spark):
+            made.append(materialize(spark.range(3).toDF("id"), "t"))
+            made[1].write.parquet(f"{tmp_uri}/out")
+        assert not path_exists(spark, made[1].inputFiles()[0]) and path_exists(spark, made[0].inputFiles()[0])
+    assert not path_exists(spark, made[0].inputFiles()[0]) and kept.count() == 5 and spark.read.parquet(f"{tmp_uri}/out").count() == 3
+    try:
+        with scratch(spark):
+            made.append(materialize(spark.range(3).toDF("id"), "t"))
+            raise KeyError
+    except KeyError:
+        pass
+    assert not path_exists(spark, made[2].inputFiles()[0])
+
+
+def test_segments_follow_the_size(spark, monkeypatch):
+    from driftline.operators import ecdf
+    df = spark.range(100_000).withColumn("v", F.col("id") * 1.0)
+    few = ecdf._num_segments(df)
+    assert few == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(ecdf, "SEGMENT_BYTES", 10_000)
+    assert ecdf._num_segments(df) >= 100_000 * 8 // 10_000
+
+
+def test_stream_session_keeps_the_batch_setting(spark):
+    from driftline.streaming import files as SF
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    s = SF.stream_session(spark, 3)
+    assert s.conf.get("spark.sql.shuffle.partitions") == "3" and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_runs_keep_the_data_they_read(spark):
+    from driftline.operators.runlog import RunLog
+    from driftline.session import work_dir
+    log = RunLog(spark, work_dir(spark, "runlog-data"))
+    schema = "run_id string, parent_run_id string, experiment string, start_time timestamp, end_time timestamp"
+    bare = spark.createDataFrame([("a", None, "e", None, None)], schema)
+    log.log(bare, data_path="/data/x", data_version=2)
+    own = spark.createDataFrame([("b", None, "e", None, None, {"data_version": "9", "k": "v"}), ("c", None, "e", None, None, None)], schema + ", params map<string,string>")
+    log.log(own, data_path="/data/x", data_version=3)
+    got = {r["run_id"]: r["params"] for r in log.runs().collect()}
+    assert got == {"a": {"data_path": "/data/x", "data_version": "2"}, "b": {"data_path": "/data/x", "data_version": "9", "k": "v"},
+                   "c": {"data_path": "/data/x", "data_version": "3"}}
+    assert [r["run_id"] for r in log.runs_on("/data/x", 3).collect()] == ["c"] and log.runs_on("/data/x").count() == 3
