@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from driftline.sources.tables import Tables
 
 
-def iot(t: Tables) -> DataFrame:
-    """IoT-style facts: device = user_id % 10, three features and a label, from ``events``."""
+def grouped_facts(t: Tables) -> DataFrame:
+    """Events with a group key (user_id % 12), two more numbers taken from them, and a label that depends on these."""
     ev = t.events
-    return ev.select(F.col("event_id").alias("record_id"), (F.col("user_id") % 10).cast("int").alias("device_id"),
-                     F.col("value").alias("feature_1"), ((F.col("event_id") % 100).cast("double") / 10).alias("feature_2"),
-                     F.get_json_object("props", "$.k").cast("double").alias("feature_3"),
+    return ev.select(F.col("event_id").alias("event_id"), (F.col("user_id") % 12).cast("int").alias("user_group"),
+                     F.col("value").alias("value"), ((F.col("event_id") % 100).cast("double") / 10).alias("tail"),
+                     F.get_json_object("props", "$.k").cast("double").alias("k"),
                      F.round(F.col("value") * 2 + (F.col("event_id") % 100) / 10.0, 6).alias("label"))
 
 

@@ -12,7 +12,7 @@ from driftline.operators import models as MD
 from driftline.operators import monitor as M
 from driftline.operators.runlog import RunLog
 from driftline.plans.fixtures import LI_NUM, SPLIT_DATE
-from driftline.plans.ml_fixtures import iot
+from driftline.plans.ml_fixtures import grouped_facts
 from driftline.plans.registry import query, round_doubles
 from driftline.session import work_dir
 from driftline.sources.tables import Tables
@@ -22,22 +22,22 @@ CUTOFF = "2024-01-15"
 
 
 def _runlog(spark, sf_dir) -> RunLog:
-    """Per-device training runs on two data versions (events before the cutoff, all events),
-    logged from Spark results: a parent run per version and one child run per device."""
+    """Training runs per user group on two data versions (events before the cutoff, all events),
+    logged from Spark results: a parent run per version and one child run per group."""
     ev = Tables(spark, sf_dir).events.select("event_id", "ts")
-    facts = iot(Tables(spark, sf_dir)).join(ev.withColumnRenamed("event_id", "record_id"), "record_id")
+    facts = grouped_facts(Tables(spark, sf_dir)).join(ev, "event_id")
     log = RunLog(spark, work_dir(spark, "runlog"))
     for version, data in ((1, facts.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))), (2, facts)):
-        fit = MD.grouped_linear_fit(data, "device_id", ["feature_1"], "label")
-        end = data.groupBy("device_id").agg(F.max("ts").cast("timestamp").alias("end_time"))
-        child = fit.join(end, "device_id").select(
-            F.concat(F.lit(f"v{version}-device-"), F.col("device_id").cast("string")).alias("run_id"),
+        fit = MD.grouped_linear_fit(data, "user_group", ["value"], "label")
+        end = data.groupBy("user_group").agg(F.max("ts").cast("timestamp").alias("end_time"))
+        child = fit.join(end, "user_group").select(
+            F.concat(F.lit(f"v{version}-group-"), F.col("user_group").cast("string")).alias("run_id"),
             F.lit(f"v{version}-parent").alias("parent_run_id"), F.lit("grouped_training").alias("experiment"),
             F.col("end_time").alias("start_time"), "end_time",
-            F.create_map(F.lit("device_id"), F.col("device_id").cast("string")).alias("params"),
-            F.create_map(F.lit("device"), F.col("device_id").cast("string")).alias("tags"),
+            F.create_map(F.lit("user_group"), F.col("user_group").cast("string")).alias("params"),
+            F.create_map(F.lit("device"), F.col("user_group").cast("string")).alias("tags"),
             F.create_map(F.lit("mse"), F.col("mse"), F.lit("n_used"), F.col("n_used").cast("double"),
-                         F.lit("coef_feature_1"), F.col("coef_feature_1")).alias("metrics"))
+                         F.lit("coef_value"), F.col("coef_value")).alias("metrics"))
         parent = data.agg(F.max("ts").cast("timestamp").alias("end_time"), F.count(F.lit(1)).alias("n")).select(
             F.lit(f"v{version}-parent").alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
             F.lit("grouped_training").alias("experiment"), F.col("end_time").alias("start_time"), "end_time",
@@ -47,16 +47,16 @@ def _runlog(spark, sf_dir) -> RunLog:
     return log
 
 
-IOT_TS_SQL = """(SELECT event_id AS record_id, CAST(user_id % 10 AS INTEGER) AS device_id, value AS feature_1,
+FACTS_TS_SQL = """(SELECT event_id, CAST(user_id % 12 AS INTEGER) AS user_group, value,
        round(value * 2 + (event_id % 100) / 10.0, 6) AS label, ts FROM events)"""
 
 
-@query("runlog_latest", f"""WITH f AS {IOT_TS_SQL},
-c AS (SELECT device_id, count(*) AS n, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a FROM f GROUP BY device_id)
-SELECT CAST(f.device_id AS VARCHAR) AS device, 'v2-device-' || CAST(f.device_id AS VARCHAR) AS run_id,
-       CAST(max(c.n) AS DOUBLE) AS n_used, round(avg((label - (a + b * feature_1)) * (label - (a + b * feature_1))), 6) AS mse,
+@query("runlog_latest", f"""WITH f AS {FACTS_TS_SQL},
+c AS (SELECT user_group, count(*) AS n, regr_slope(label, value) AS b, regr_intercept(label, value) AS a FROM f GROUP BY user_group)
+SELECT CAST(f.user_group AS VARCHAR) AS device, 'v2-group-' || CAST(f.user_group AS VARCHAR) AS run_id,
+       CAST(max(c.n) AS DOUBLE) AS n_used, round(avg((label - (a + b * value)) * (label - (a + b * value))), 6) AS mse,
        2 AS data_version
-FROM f JOIN c USING (device_id) GROUP BY f.device_id""", "runlog")
+FROM f JOIN c USING (user_group) GROUP BY f.user_group""", "runlog")
 def runlog_latest(spark, sf_dir):
     """Latest run per device tag; the data version is read back as an int (max of versions)."""
     lt = _runlog(spark, sf_dir).latest_per_tag("device")
@@ -65,16 +65,16 @@ def runlog_latest(spark, sf_dir):
                      F.col("params")["data_version"].cast("int").alias("data_version"))
 
 
-RUNS_MSE_SQL = f"""WITH f AS {IOT_TS_SQL},
+RUNS_MSE_SQL = f"""WITH f AS {FACTS_TS_SQL},
 v AS (SELECT 1 AS version, * FROM f WHERE ts < TIMESTAMP '{CUTOFF}' UNION ALL SELECT 2 AS version, * FROM f),
-c AS (SELECT version, device_id, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a
-      FROM v GROUP BY version, device_id),
-m AS (SELECT v.version, v.device_id, avg((label - (a + b * feature_1)) * (label - (a + b * feature_1))) AS mse
-      FROM v JOIN c USING (version, device_id) GROUP BY v.version, v.device_id)"""
+c AS (SELECT version, user_group, regr_slope(label, value) AS b, regr_intercept(label, value) AS a
+      FROM v GROUP BY version, user_group),
+m AS (SELECT v.version, v.user_group, avg((label - (a + b * value)) * (label - (a + b * value))) AS mse
+      FROM v JOIN c USING (version, user_group) GROUP BY v.version, v.user_group)"""
 
 
 @query("runlog_search", RUNS_MSE_SQL + """,
-r AS (SELECT 'v1-device-' || CAST(device_id AS VARCHAR) AS run_id, mse FROM m WHERE version = 1)
+r AS (SELECT 'v1-group-' || CAST(user_group AS VARCHAR) AS run_id, mse FROM m WHERE version = 1)
 SELECT run_id, round(mse, 6) AS mse FROM r ORDER BY mse, run_id LIMIT 3""", "runlog")
 def runlog_search(spark, sf_dir):
     """Top 3 child runs of data version 1 by mse (the cap is the search feature)."""
@@ -84,7 +84,7 @@ def runlog_search(spark, sf_dir):
 
 
 @query("runlog_best", RUNS_MSE_SQL + """
-SELECT CAST(version AS VARCHAR) AS data_version, 'v' || CAST(version AS VARCHAR) || '-device-' || CAST(device_id AS VARCHAR) AS run_id,
+SELECT CAST(version AS VARCHAR) AS data_version, 'v' || CAST(version AS VARCHAR) || '-group-' || CAST(user_group AS VARCHAR) AS run_id,
        round(mse, 6) AS mse
 FROM m QUALIFY row_number() OVER (PARTITION BY version ORDER BY mse, run_id) = 1""", "runlog")
 def runlog_best(spark, sf_dir):
@@ -103,12 +103,12 @@ def runlog_data(spark, sf_dir):
         F.count(F.lit(1)).alias("n_runs"), F.round(F.avg(F.col("metrics")["mse"]), 6).alias("mse"))
 
 
-@query("runlog_tree", f"""WITH f AS {IOT_TS_SQL},
+@query("runlog_tree", f"""WITH f AS {FACTS_TS_SQL},
 v AS (SELECT 1 AS version, * FROM f WHERE ts < TIMESTAMP '{CUTOFF}' UNION ALL SELECT 2 AS version, * FROM f),
-c AS (SELECT version, device_id, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a
-      FROM v GROUP BY version, device_id),
-m AS (SELECT v.version, v.device_id, avg((label - (a + b * feature_1)) * (label - (a + b * feature_1))) AS mse
-      FROM v JOIN c USING (version, device_id) GROUP BY v.version, v.device_id)
+c AS (SELECT version, user_group, regr_slope(label, value) AS b, regr_intercept(label, value) AS a
+      FROM v GROUP BY version, user_group),
+m AS (SELECT v.version, v.user_group, avg((label - (a + b * value)) * (label - (a + b * value))) AS mse
+      FROM v JOIN c USING (version, user_group) GROUP BY v.version, v.user_group)
 SELECT 'v' || CAST(version AS VARCHAR) || '-parent' AS run_id, 'grouped_training' AS experiment,
        count(*) AS n_children, round(avg(mse), 6) AS avg_child_mse FROM m GROUP BY version""", "runlog")
 def runlog_tree(spark, sf_dir):

@@ -510,12 +510,12 @@ def simulated_shift(spark, sf_dir):
     return s.select("l_orderkey", "l_linenumber", "l_extendedprice", F.round("l_tax", 8).alias("l_tax"), "l_returnflag")
 
 
-@query("iot_features", """SELECT event_id AS record_id, CAST(user_id % 10 AS INTEGER) AS device_id, value AS feature_1,
-       CAST(event_id % 100 AS DOUBLE) / 10 AS feature_2, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS feature_3,
+@query("iot_features", """SELECT event_id, CAST(user_id % 12 AS INTEGER) AS user_group, value,
+       CAST(event_id % 100 AS DOUBLE) / 10 AS tail, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
        round(value * 2 + (event_id % 100) / 10.0, 6) AS label FROM events""", "scan")
 def iot_features(spark, sf_dir):
-    from driftline.plans.ml_fixtures import iot
-    return iot(T(spark, sf_dir))
+    from driftline.plans.ml_fixtures import grouped_facts
+    return grouped_facts(T(spark, sf_dir))
 
 
 # ----------------------------------------------------------------------------- joins
@@ -532,9 +532,9 @@ def left_join_groups(spark, sf_dir):
 @query("rand_features", None, "functions")
 def rand_features(spark, sf_dir):
     """Seeded random columns (scaled / shifted uniform and normal) added to the IoT facts."""
-    from driftline.plans.ml_fixtures import iot
-    f = iot(T(spark, sf_dir))
-    return f.select("record_id", "device_id", (F.rand(42) * 10 + 5).alias("u_5_15"), (F.randn(7) * 2 + 100).alias("n_100_2"))
+    from driftline.plans.ml_fixtures import grouped_facts
+    f = grouped_facts(T(spark, sf_dir))
+    return f.select("event_id", "user_group", (F.rand(42) * 10 + 5).alias("u_5_15"), (F.randn(7) * 2 + 100).alias("n_100_2"))
 
 
 @query("latest_versions", "SELECT o_orderpriority AS name, CAST(max(o_custkey % 1500) AS INTEGER) AS latest_version FROM orders GROUP BY 1", "agg")

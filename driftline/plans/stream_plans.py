@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.operators import models as MD
 from driftline.operators import scoring as S
-from driftline.plans.ml_fixtures import iot
+from driftline.plans.ml_fixtures import grouped_facts
 from driftline.plans.registry import query
 from driftline.session import work_dir
 from driftline.sources.featurestore import FeatureStore
@@ -51,18 +51,18 @@ def stream_scan(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query("stream_score", """WITH f AS (SELECT event_id AS record_id, CAST(user_id % 10 AS INTEGER) AS device_id, value AS feature_1,
+@query("stream_score", """WITH f AS (SELECT event_id, CAST(user_id % 12 AS INTEGER) AS user_group, value,
        round(value * 2 + (event_id % 100) / 10.0, 6) AS label FROM events),
-c AS (SELECT regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a FROM f)
-SELECT record_id, round(a + b * feature_1, 4) AS prediction FROM f, c""", "stream")
+c AS (SELECT regr_slope(label, value) AS b, regr_intercept(label, value) AS a FROM f)
+SELECT event_id, round(a + b * value, 4) AS prediction FROM f, c""", "stream")
 def stream_score(spark, sf_dir):
     """Stateless model scoring on the stream: a pandas UDF over each micro-batch."""
-    facts = iot(Tables(spark, sf_dir)).withColumn("_g", F.lit(0))
-    model = S.model_from_row(MD.grouped_linear_fit(facts, "_g", ["feature_1"], "label").first(), ["feature_1"])
+    facts = grouped_facts(Tables(spark, sf_dir)).withColumn("_g", F.lit(0))
+    model = S.model_from_row(MD.grouped_linear_fit(facts, "_g", ["value"], "label").first(), ["value"])
     src = _landed(spark, sf_dir)
     out, ckpt = work_dir(spark, "stream-out"), work_dir(spark, "stream-ckpt")
     stream = SF.read_stream(spark, src, SF.EVENTS_SCHEMA, 1)
-    scored = stream.select(F.col("event_id").alias("record_id"),
+    scored = stream.select(F.col("event_id").alias("event_id"),
                            F.round(S.scalar_udf(model)(F.col("value")), 4).alias("prediction"))
     SF.run_until_done(SF.start_append(scored, out, ckpt))
     return spark.read.parquet(out)

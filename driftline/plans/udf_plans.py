@@ -6,24 +6,24 @@ from pyspark.sql import functions as F
 
 from driftline.operators import models as MD
 from driftline.operators import scoring as S
-from driftline.plans.ml_fixtures import iot
+from driftline.plans.ml_fixtures import grouped_facts
 from driftline.plans.registry import query, round_doubles
 from driftline.sources.tables import Tables
 
-IOT_SQL = """(SELECT event_id AS record_id, CAST(user_id % 10 AS INTEGER) AS device_id, value AS feature_1,
-       CAST(event_id % 100 AS DOUBLE) / 10 AS feature_2, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS feature_3,
+FACTS_SQL = """(SELECT event_id, CAST(user_id % 12 AS INTEGER) AS user_group, value,
+       CAST(event_id % 100 AS DOUBLE) / 10 AS tail, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
        round(value * 2 + (event_id % 100) / 10.0, 6) AS label FROM events)"""
 
-GROUPED_TRAIN_SQL = f"""WITH f AS {IOT_SQL},
-c AS (SELECT device_id, count(*) AS n_used, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a FROM f GROUP BY device_id)
-SELECT device_id, n_used, round(a, 6) AS intercept, round(b, 6) AS coef_feature_1,
-       round(avg((label - (a + b * feature_1)) * (label - (a + b * feature_1))), 6) AS mse
-FROM f JOIN c USING (device_id) GROUP BY device_id, n_used, a, b"""
+GROUPED_TRAIN_SQL = f"""WITH f AS {FACTS_SQL},
+c AS (SELECT user_group, count(*) AS n_used, regr_slope(label, value) AS b, regr_intercept(label, value) AS a FROM f GROUP BY user_group)
+SELECT user_group, n_used, round(a, 6) AS intercept, round(b, 6) AS coef_value,
+       round(avg((label - (a + b * value)) * (label - (a + b * value))), 6) AS mse
+FROM f JOIN c USING (user_group) GROUP BY user_group, n_used, a, b"""
 
 
-def _fit(spark, sf_dir, feats=("feature_1",)):
-    facts = iot(Tables(spark, sf_dir))
-    return facts, MD.grouped_linear_fit(facts, "device_id", list(feats), "label")
+def _fit(spark, sf_dir, feats=("value",)):
+    facts = grouped_facts(Tables(spark, sf_dir))
+    return facts, MD.grouped_linear_fit(facts, "user_group", list(feats), "label")
 
 
 @query("grouped_train", GROUPED_TRAIN_SQL, "udf")
@@ -33,42 +33,42 @@ def grouped_train(spark, sf_dir):
     return round_doubles(_fit(spark, sf_dir)[1], 6)
 
 
-GROUPED_MULTI_SQL = f"""WITH f AS {IOT_SQL},
-m AS (SELECT device_id, count(*) AS n_used, var_pop(feature_1) AS a, covar_pop(feature_1, feature_3) AS b, var_pop(feature_3) AS d,
-      covar_pop(feature_1, label) AS p, covar_pop(feature_3, label) AS q, avg(feature_1) AS m1, avg(feature_3) AS m3, avg(label) AS my
-      FROM f GROUP BY device_id),
+GROUPED_MULTI_SQL = f"""WITH f AS {FACTS_SQL},
+m AS (SELECT user_group, count(*) AS n_used, var_pop(value) AS a, covar_pop(value, k) AS b, var_pop(k) AS d,
+      covar_pop(value, label) AS p, covar_pop(k, label) AS q, avg(value) AS m1, avg(k) AS m3, avg(label) AS my
+      FROM f GROUP BY user_group),
 c AS (SELECT *, (p * d - q * b) / (a * d - b * b) AS b1, (q * a - p * b) / (a * d - b * b) AS b3 FROM m)
-SELECT device_id, n_used, round(b1, 5) AS coef_feature_1, round(b3, 5) AS coef_feature_3, round(my - b1 * m1 - b3 * m3, 4) AS intercept FROM c"""
+SELECT user_group, n_used, round(b1, 5) AS coef_value, round(b3, 5) AS coef_k, round(my - b1 * m1 - b3 * m3, 4) AS intercept FROM c"""
 
 
 @query("grouped_train_multi", GROUPED_MULTI_SQL, "udf")
 def grouped_train_multi(spark, sf_dir):
-    fit = _fit(spark, sf_dir, ("feature_1", "feature_3"))[1]
-    return fit.select("device_id", "n_used", F.round("coef_feature_1", 5).alias("coef_feature_1"),
-                      F.round("coef_feature_3", 5).alias("coef_feature_3"), F.round("intercept", 4).alias("intercept"))
+    fit = _fit(spark, sf_dir, ("value", "k"))[1]
+    return fit.select("user_group", "n_used", F.round("coef_value", 5).alias("coef_value"),
+                      F.round("coef_k", 5).alias("coef_k"), F.round("intercept", 4).alias("intercept"))
 
 
-GROUPED_SCORE_SQL = f"""WITH f AS {IOT_SQL},
-c AS (SELECT device_id, regr_slope(label, feature_1) AS b, regr_intercept(label, feature_1) AS a FROM f GROUP BY device_id)
-SELECT record_id, round(a + b * feature_1, 4) AS prediction FROM f JOIN c USING (device_id)"""
+GROUPED_SCORE_SQL = f"""WITH f AS {FACTS_SQL},
+c AS (SELECT user_group, regr_slope(label, value) AS b, regr_intercept(label, value) AS a FROM f GROUP BY user_group)
+SELECT event_id, round(a + b * value, 4) AS prediction FROM f JOIN c USING (user_group)"""
 
 
 @query("grouped_linear_score", GROUPED_SCORE_SQL, "udf")
 def grouped_linear_score(spark, sf_dir):
     """Score each fact with its device's model: join to the coefficient table + arithmetic."""
     facts, coefs = _fit(spark, sf_dir)
-    # device_id = user_id % 10: at most 10 coefficient rows
-    scored = MD.linear_score(facts, coefs, "device_id", ["feature_1"], max_groups=10)
-    return scored.select("record_id", F.round("prediction", 4).alias("prediction"))
+    # user_group = user_id % 12: at most 12 coefficient rows
+    scored = MD.linear_score(facts, coefs, "user_group", ["value"], max_groups=12)
+    return scored.select("event_id", F.round("prediction", 4).alias("prediction"))
 
 
 @query("grouped_bundle_score", GROUPED_SCORE_SQL, "udf")
 def grouped_bundle_score(spark, sf_dir):
     """Per-key model bundle routed by key inside an iterator pandas UDF (no grouping)."""
     facts, coefs = _fit(spark, sf_dir)
-    bundle = S.bundle_from_frame(coefs, "device_id", ["feature_1"], list(range(10)))
+    bundle = S.bundle_from_frame(coefs, "user_group", ["value"], list(range(12)))
     scored = S.apply_bundle(facts, spark, bundle)
-    return scored.select("record_id", F.round("prediction", 4).alias("prediction"))
+    return scored.select("event_id", F.round("prediction", 4).alias("prediction"))
 
 
 # ----------------------------------------------------------------------------- model as a UDF
