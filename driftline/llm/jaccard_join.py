@@ -18,6 +18,11 @@ sizes a and b with Jaccard similarity of at least 4/5 differ in at most D = (a +
   the size and Hamming bounds are verified on the sets and merged into components. Only pairs
   that are still in different components are then enumerated, filtered by the bounds inside the
   join, and verified. So every link between different components is tested.
+* *Crowded keys.* Where more than ``CROWD`` sets are left at a key, they share a passage without
+  being linked by it. All sets at such keys get keys of a second, finer layout: narrow bands and four
+  times D spare blocks, counted among themselves. Linked sets agree in that many more blocks, so
+  the D + 1 rarest still suffice, and the shared passage falls among the blocks left out: two sets
+  meet only where what is their own agrees. Crowded keys of the first layout are then not joined.
 
 Cases: null or wordless texts have the empty set and link with nothing (component_id is their own
 doc_id); fewer than five words make one shingle; rows that repeat doc_id and text are the same
@@ -42,9 +47,14 @@ from driftline.session import materialize
 SIMILARITY = Fraction(4, 5)
 BAND_RATIO = Fraction(8, 5)  # upper by lower size of a band, less than 1 / similarity ** 2
 WORDS = 5
+FINE_RATIO = Fraction(11, 10)  # of the second layout: D follows the size closely
+CHUNK_ITEMS = 1 << 16  # shingles of sets whose keys are made at once
+CROWD = 32  # sets at a key beyond which the second layout takes over
 PAST = 12  # keys looked back at to show a pair once
-SKETCH_WORDS = 4  # 64-bit words of the parity sketch that filters pairs
+SKETCH_WORDS = 16  # 64-bit words of the parity sketch that filters pairs
+SLOTS, FINE_SLOTS = 2, 8  # at least the bands that a set can show in
 _SALT = np.uint64(0xA0761D6478BD642F)
+_FINE_SALT = np.uint64(0xE7037ED1A0B428DB)
 
 
 def max_difference(total: int, similarity: Fraction = SIMILARITY) -> int:
@@ -52,40 +62,43 @@ def max_difference(total: int, similarity: Fraction = SIMILARITY) -> int:
     return int((1 - similarity) / (1 + similarity) * total)
 
 
-def band_starts(upto: int) -> list[int]:
-    """Smallest sizes of the bands up to the band that holds ``upto``, and of the one after."""
-    s = [1]
-    while s[-1] <= upto:
-        s.append(max(s[-1] + 1, -int(-(s[-1] * BAND_RATIO) // 1)))
-    return s + [max(s[-1] + 1, -int(-(s[-1] * BAND_RATIO) // 1))]
+def band_starts(upto: int, ratio: Fraction = BAND_RATIO) -> list[int]:
+    """Smallest sizes of the bands up to the one that holds the largest partner of a set of ``upto``,
+    and of the one after."""
+    s, last = [1], int(upto / SIMILARITY)
+    while s[-1] <= last:
+        s.append(max(s[-1] + 1, -int(-(s[-1] * ratio) // 1)))
+    return s + [max(s[-1] + 1, -int(-(s[-1] * ratio) // 1))]
 
 
 def band_of(n: int, starts: list[int]) -> int:
     return int(np.searchsorted(starts, n, "right")) - 1
 
 
-def layout(band: int, starts: list[int]) -> tuple[int, int]:
+def layout(band: int, starts: list[int], fine: bool = False) -> tuple[int, int]:
     """(blocks, spare blocks t) of a band; (0, 0) where only equal sets can link."""
     d = max_difference(2 * (starts[band + 1] - 1))
     if d == 0:
         return 0, 0
-    t = 2 + d // 6
+    t = 4 * d if fine else 2 + d // 6
     return d + 1 + t, t
 
 
-def block_keys(shingles: np.ndarray, starts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Join keys of a set, for its band and the next one; the lowest bit marks an empty block. With
-    each key, twice the number of keys of its band that the set may leave out, plus 1 in the next
-    band. Empty blocks come only where so many are empty that the others are D keys or fewer."""
-    n, keys, spare = len(shingles), [], []
+def block_keys(shingles: np.ndarray, starts: list[int], fine: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of a set, for its band and those after that may hold a partner; the lowest bit marks an
+    empty block. With each key, the number of keys of its band that the set may leave out times
+    SLOTS, plus the band's distance from the set's own. Empty blocks come only where so many are
+    empty that the others are D keys or fewer."""
+    n, keys, spare, slots = len(shingles), [], [], FINE_SLOTS if fine else SLOTS
     own = band_of(n, starts) if n else 0
-    for band in (own, own + 1) if n else ():
-        if band > own and n < SIMILARITY * starts[band]:
-            continue  # no partner of that band is small enough
-        m, t = layout(band, starts)
+    for offset in range(slots) if n else ():
+        band = own + offset
+        if offset and n < SIMILARITY * starts[band]:
+            break  # no partner of that band is small enough
+        m, t = layout(band, starts, fine)
         if m == 0:
             continue
-        block = (mix(shingles ^ _SALT) % np.uint64(m)).astype(np.int64)
+        block = (mix(shingles ^ (_FINE_SALT if fine else _SALT)) % np.uint64(m)).astype(np.int64)
         order = np.argsort(block, kind="stable")
         used, first = np.unique(block[order], return_index=True)
         value = np.bitwise_xor.reduceat(shingles[order], first)
@@ -95,12 +108,12 @@ def block_keys(shingles: np.ndarray, starts: list[int]) -> tuple[np.ndarray, np.
             full[used], void[used] = value, 0
             used, value = np.arange(m), full
         keys.append(mix(value ^ mix(used.astype(np.uint64) + np.uint64(band << 32))) & ~np.uint64(1) | void)
-        spare.append(np.full(len(used), 2 * (len(used) - (m - t)) + (band > own), np.int32))
+        spare.append(np.full(len(used), slots * (len(used) - (m - t)) + offset, np.int32))
     return (np.concatenate(keys), np.concatenate(spare)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int32))
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """256-bit parity sketch: each shingle flips one bit."""
+    """Parity sketch of fixed length: each shingle flips one bit."""
     flips = np.bincount((mix(shingles) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64),
                         minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(flips.astype(np.uint8)).view(np.int64)
@@ -140,15 +153,29 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  *(pa.array(bits[:, i]) for i in range(SKETCH_WORDS))], names=names)
 
 
+def _key_batch(sets: list[np.ndarray], fine: bool) -> pa.RecordBatch:
+    starts = band_starts(max(map(len, sets), default=1), FINE_RATIO if fine else BAND_RATIO)
+    keys = [block_keys(s, starts, fine) for s in sets]
+    vertex = np.repeat(np.array([set_hash(s) for s in sets], np.int64), [len(k) for k, _ in keys])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for k, _ in keys]).view(np.int64)), pa.array(vertex),
+                                       pa.array(np.concatenate([s for _, s in keys]))], names=["key", "vertex", "spare"])
+
+
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for _, sets in _sets(b):
-            starts = band_starts(max(map(len, sets), default=1))
-            keys = [block_keys(s, starts) for s in sets]
-            vertex = np.repeat(np.array([set_hash(s) for s in sets], np.int64), [len(k) for k, _ in keys])
-            if len(vertex):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for k, _ in keys]).view(np.int64)), pa.array(vertex),
-                                                  pa.array(np.concatenate([s for _, s in keys]))], names=["key", "vertex", "spare"])
+            yield _key_batch(sets, False)
+
+
+def _fine_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        items = b.column("items")
+        off, flat = items.offsets.to_numpy(), items.values.to_numpy().view(np.uint64)
+        lo = 0
+        while lo < b.num_rows:  # about CHUNK_ITEMS shingles at a time
+            hi = max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK_ITEMS, "right")) - 1)
+            yield _key_batch([flat[x:y] for x, y in zip(off[lo:hi].tolist(), off[lo + 1:hi + 1].tolist(), strict=True)], True)
+            lo = hi
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +217,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").filter(near).select("u", "v")
 
 
-def chosen_keys(rows: DataFrame) -> DataFrame:
+def chosen_keys(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(key, vertex, g) from (key, vertex, spare): keys of two or more different sets after each set
     leaves out its commonest ones; ``g`` is the number of rows that meet in a key. Empty blocks
     are left out first, so they take part in the choice even where no other set shows them."""
@@ -198,12 +225,47 @@ def chosen_keys(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key), "g": F.count("*").over(of_key)})
     rows = rows.filter("lo <> hi OR key % 2 <> 0").groupBy("key", "vertex").agg(F.max("g").alias("g"), F.max("spare").alias("spare"))
     # each set leaves out its commonest keys; what is then alone goes as well
-    common = Window.partitionBy("vertex", F.col("spare") % 2).orderBy((F.col("key") % 2 == 0), F.col("g").desc(), "key")
-    rows = rows.withColumn("r", F.row_number().over(common)).filter("r > spare div 2").select("key", "vertex", "g")
+    common = Window.partitionBy("vertex", F.col("spare") % slots).orderBy((F.col("key") % 2 == 0), F.col("g").desc(), "key")
+    rows = rows.withColumn("r", F.row_number().over(common)).filter(f"r > spare div {slots}").select("key", "vertex", "g")
     hits = rows.withColumns({"lo": F.min("vertex").over(of_key), "hi": F.max("vertex").over(of_key)})
     return hits.filter("lo <> hi").select("key", "vertex", "g")
 
 
+def _open_keys(hits: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, vertex, c, main, left): rows of the keys that still hold several components; ``main`` is a key's
+    largest one, ``left`` its number of rows."""
+    of_key = Window.partitionBy("key")
+    part = hits.select("key", "vertex").join(comp, "vertex", "left").withColumn("c", F.coalesce("c", "vertex"))
+    part = part.withColumns({"lo": F.min("c").over(of_key), "hi": F.max("c").over(of_key), "left": F.count("*").over(of_key)}).filter("lo <> hi")
+    part = part.withColumn("k", F.count("*").over(Window.partitionBy("key", "c")))
+    return part.withColumn("main", F.max(F.struct("k", "c")).over(of_key)["c"]).select("key", "vertex", "c", "main", "left")
+
+
+def _pairs(open_: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Pairs (u, v) of different components that meet in a key and pass the bounds. The largest component of
+    a key is only the other side, so a group of copies that the hub has joined makes no pairs."""
+    # a pair that meets in many keys shows in few of them: not where one of the PAST open keys
+    # before, in key order, is common as well
+    past = Window.partitionBy("vertex").orderBy("key").rowsBetween(-PAST, -1)
+    rows = open_.select("key", "vertex", "c", "main").withColumn("past", F.collect_list("key").over(past))
+    rows = materialize(rows.join(vertices.drop("doc_id"), "vertex"), "open")
+    light, every = rows.filter("c <> main").alias("a"), rows.alias("b")
+    return (light.join(every, F.expr("a.key = b.key AND a.c <> b.c AND (b.c = b.main OR a.vertex < b.vertex) AND "
+                                     + _similar("a", "b") + " AND NOT arrays_overlap(a.past, b.past)"))
+            .select(F.least("a.vertex", "b.vertex").alias("u"), F.greatest("a.vertex", "b.vertex").alias("v")))
+
+
+def open_pairs(hits: DataFrame, comp: DataFrame, vertices: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that the hubs have not joined: through keys of few sets directly, through crowded keys by
+    the second layout. A linked pair either shares a key that is not crowded, or both its sets are
+    at crowded keys and share one of the second layout."""
+    open_ = materialize(_open_keys(hits, comp), "open_keys")
+    crowded = open_.filter(F.col("left") > CROWD).select("vertex").distinct()
+    fine = sets.select("vertex", "items").join(crowded, "vertex", "left_semi")
+    fine = materialize(chosen_keys(fine.mapInArrow(_fine_keys, "key bigint, vertex bigint, spare int"), FINE_SLOTS), "fine")
+    return (_pairs(open_.filter(F.col("left") <= CROWD), vertices).union(_pairs(_open_keys(fine, comp), vertices))).distinct()
+
+
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (needs doc_id, text): doc_id, _th (text hash), n_shingles,
     vertex (hash of the set) and component_id. See the module docstring."""
@@ -235,21 +297,8 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     links = materialize(_verified(near_hub, sets), "links")
     comp = components(links).withColumnRenamed("v", "vertex")
 
-    # 2. pairs of one key that are still in different components; the largest component of a
-    #    key is only the other side, so a group of copies that the hub has joined makes no pairs
-    part = hits.select("key", "vertex").join(comp, "vertex", "left").withColumn("c", F.coalesce("c", "vertex"))
-    part = part.withColumns({"lo": F.min("c").over(of_key), "hi": F.max("c").over(of_key)}).filter("lo <> hi")
-    part = part.withColumn("k", F.count("*").over(Window.partitionBy("key", "c")))
-    part = part.withColumn("main", F.max(F.struct("k", "c")).over(of_key)["c"])
-    # a pair that meets in many keys shows in few of them: not where one of the PAST open keys
-    # before, in key order, is common as well
-    past = Window.partitionBy("vertex").orderBy("key").rowsBetween(-PAST, -1)
-    part = part.select("key", "vertex", "c", "main").withColumn("past", F.collect_list("key").over(past))
-    open_ = materialize(part.join(vertices.drop("doc_id"), "vertex"), "open")
-    light, every = open_.filter("c <> main").alias("a"), open_.alias("b")
-    rest = (light.join(every, F.expr("a.key = b.key AND a.c <> b.c AND (b.c = b.main OR a.vertex < b.vertex) AND "
-                                     + _similar("a", "b") + " AND NOT arrays_overlap(a.past, b.past)"))
-            .select(F.least("a.vertex", "b.vertex").alias("u"), F.greatest("a.vertex", "b.vertex").alias("v")).distinct())
+    # 2. pairs of one key that are still in different components
+    rest = open_pairs(hits, comp, vertices, sets)
     more = materialize(_verified(rest, sets), "links")
     joined = components(links.union(more)).withColumnRenamed("v", "vertex")
 
