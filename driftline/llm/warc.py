@@ -9,14 +9,15 @@ written through Spark's text writer (the record separator is its line separator)
 any storage Spark can write, compressed with gzip. RECORDS_PER_FILE and SEGMENT_BYTES bound the size of an
 archive.
 
-*Reading.* Archives are parsed record by record by Content-Length. Segments are grouped by origin
+*Reading.* Archives of one or of many gzip members (or plain ones) are inflated piece by piece and parsed
+record by record by Content-Length, so a task holds the compressed file and one record. Segments are grouped by origin
 identifier, ordered by segment number, checked for gaps and against the total length, joined, and the
 chunked framing is decoded; the digest of the decoded payload is compared with the declared one.
 Revisits get length and digest through the response they refer to.
 
 Cases: a null html is an empty payload; a null url is written as an empty target; a null page_id
-is written without that header and reads back as null, and such pages are responses; pages that repeat page_id and
-payload are each written as response (or each as revisit); an incomplete or damaged record reads back with
+is written without that header and reads back as null, and such a page is a revisit where a page with an id has
+the payload, else a response; pages that repeat page_id and payload are each written as response (or each as revisit); an incomplete or damaged record reads back with
 ``complete`` false, and its payload null; other columns are ignored; an empty table writes and reads no record.
 """
 
@@ -37,6 +38,7 @@ MIN_REVISIT = 100
 SEGMENT_BYTES = 16_000
 CHUNK_BYTES = 4_096
 RECORDS_PER_FILE = 1_000
+PIECE_BYTES = 1 << 16  # inflated at once
 DATE = "2024-01-01T00:00:00Z"  # records carry a fixed date, so that reruns agree
 CRLF = b"\r\n"
 
@@ -52,7 +54,7 @@ def assign_roles(pages: DataFrame) -> DataFrame:
               .groupBy(F.sha2("payload", 256).alias("digest")).agg(F.min("page_id").alias("origin"), F.count("*").alias("n"))
               .filter("n > 1").select("digest", "origin"))
     out = src.join(origin, "digest", "left")
-    return out.select("page_id", "url", "payload", "digest", F.when(F.col("page_id") > F.col("origin"), F.col("origin")).alias("refers_to"))
+    return out.select("page_id", "url", "payload", "digest", F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("origin")), F.col("origin")).alias("refers_to"))
 
 
 def chunked(body: bytes) -> bytes:
@@ -112,21 +114,70 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
 # ---------------------------------------------------------------- reading
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of an archive; a truncated last block comes short."""
-    at = 0
-    while (at := data.find(b"WARC/1.", at)) >= 0:
-        end = data.find(b"\r\n\r\n", at)
+def inflated(raw: bytes) -> Iterator[bytes]:
+    """The content of an archive in bounded pieces: all gzip members after each other, or plain bytes."""
+    if not raw.startswith(b"\x1f\x8b"):
+        yield from (raw[i:i + PIECE_BYTES] for i in range(0, len(raw), PIECE_BYTES))
+        return
+    at, member = 0, None
+    while at < len(raw):
+        if member is None:
+            at = raw.find(b"\x1f\x8b", at)  # members may be padded
+            if at < 0:
+                return
+            member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        fed = raw[at:at + PIECE_BYTES]
+        try:
+            piece = member.decompress(fed, PIECE_BYTES)
+        except zlib.error:  # damaged: go on with the next member
+            member, at = None, at + 2
+            continue
+        at += len(fed) - len(member.unconsumed_tail) - len(member.unused_data)
+        if piece:
+            yield piece
+        if member.eof:
+            member = None
+    if member is not None and (rest := member.flush()):
+        yield rest
+
+
+def parse_records(data: bytes | Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of every record of an archive, given whole or in pieces; a truncated last block
+    comes short."""
+    pieces = iter([data] if isinstance(data, bytes) else data)
+    held = bytearray()
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    def find(mark: bytes, lo: int) -> int:
+        while (i := held.find(mark, lo)) < 0:
+            lo = max(lo, len(held) - len(mark) + 1)
+            if not more():
+                return -1
+        return i
+
+    while True:
+        while (at := held.find(b"WARC/1.")) < 0:
+            del held[:max(0, len(held) - 6)]
+            if not more():
+                return
+        del held[:at]
+        end = find(b"\r\n\r\n", 0)
         if end < 0:
             return
         headers = {}
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
+        for line in held[:end].decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
         size = headers.get("content-length", "")
         size = int(size) if size.isdigit() else 0
-        yield headers, data[end + 4:end + 4 + size]
-        at = end + 4 + size
+        while len(held) < end + 4 + size and more():
+            pass
+        yield headers, bytes(held[end + 4:end + 4 + size])
+        del held[:end + 4 + size]
 
 
 _SEGMENT = "origin string, number int, total bigint, type string, page_id bigint, url string, declared string, refers_to bigint, length bigint, block binary"
@@ -138,9 +189,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = lambda h, k: int(h[k]) if h.get(k, "").lstrip("-").isdigit() else None
     for b in batches:
         for content in b.column("content"):
-            data = zlib.decompressobj(zlib.MAX_WBITS | 32).decompress(content.as_py())
             rows, size = [], 0
-            for h, block in parse_records(data):
+            for h, block in parse_records(inflated(content.as_py())):
                 kind = h.get("warc-type")
                 if kind not in ("response", "revisit", "continuation"):
                     continue
