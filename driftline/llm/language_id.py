@@ -3,7 +3,7 @@
 Three kinds of evidence are combined per page:
 
 * *Text.* Naive Bayes over hashed letter trigrams. The trigram counts per language come from all
-  texts of the training table (grouped aggregate, at most MAX_LANGUAGES x BUCKETS cells). Trigrams
+  texts of the training table (grouped aggregate over all its languages; more than MAX_LANGUAGES are refused). Trigrams
   overlap, so the log likelihood of a page is tempered to at most EFFECTIVE_GRAMS of them.
 * *Declared markup language.* The ``lang`` attribute of the page, through the counted table of
   declared against text languages, smoothed.
@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftline.llm.hosts import host_levels
 from driftline.llm.text import text_chunks
 from driftline.session import materialize
 
-MAX_LANGUAGES = 64  # the most frequent ones of the training table
+MAX_LANGUAGES = 512  # more raise an error; none is ever left out
 BUCKETS = 4096
 EFFECTIVE_GRAMS = 60
 PRIOR = 5.0  # strength of the level above, in pages
@@ -76,11 +77,13 @@ def _counts(languages: list[str]):
 def train_text_model(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
     """(languages, log probability per language and bucket) from all rows of ``docs`` (lang, text)."""
     known = docs.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
-    top = known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(max_languages).collect()
-    languages = sorted(r["lang"] for r in top)
+    found = known.select("lang").distinct().limit(max_languages + 1).collect()
+    if len(found) > max_languages:
+        raise ValueError(f"the training table has more than {max_languages} languages")
+    languages = sorted(r["lang"] for r in found)
     table = np.zeros((len(languages), BUCKETS))
     if languages:
-        cells = known.filter(F.col("lang").isin(languages)).mapInArrow(_counts(languages), "language int, bucket int, n bigint")
+        cells = known.mapInArrow(_counts(languages), "language int, bucket int, n bigint")
         for r in cells.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():  # at most languages x BUCKETS
             table[r["language"], r["bucket"]] = r["n"]
     table += 0.5
@@ -141,9 +144,9 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     scored = pages.select("page_id", "url", "html").mapInArrow(
         _text_scores(languages, model), "page_id bigint, url string, declared string, n_grams bigint, score array<double>, vote int")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "://([^/?#]*)", 1))
-    parts = F.split("host", r"\.")
-    scored = scored.withColumn("host", host).withColumn("suffix", F.element_at(parts, -1)).withColumn(
-        "domain", F.when(F.size(parts) > 1, F.concat_ws(".", F.element_at(parts, -2), F.element_at(parts, -1))).otherwise(F.col("host")))
+    scored = scored.withColumn("host", host)
+    domain, suffix = host_levels(F.col("host"))
+    scored = scored.withColumns({"domain": domain, "suffix": suffix})
     scored = scored.withColumn("known", F.when(F.col("declared").isin(languages), F.col("declared")).otherwise(F.lit("")))
     scored = materialize(scored.drop("url"), "page-scores")
     names = F.array(*[F.lit(x) for x in languages]).cast("array<string>")

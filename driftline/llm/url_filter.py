@@ -1,9 +1,11 @@
 """URL filters with empirical-Bayes host reputation, DataFrame functions only.
 
 Listed rules (host, path) judge the urls they fit: the host or any subdomain of it, a path that
-starts with the rule's; the longest rule wins. Their verdicts are the labelled outcomes (block = 1) from
-which the reputation of every other page is learnt: outcomes are counted per host by one grouped
-aggregate, summed to registered domains (last two labels) and suffixes (last label), and every rate is
+starts with the rule's; the longest rule wins. Rules are a table of any size: a url is spelt out into
+the domains above its host and, for those that have rules, into the beginnings of its path of the
+lengths that occur there, and meets its rules by equality of both. Their verdicts are the labelled
+outcomes (block = 1) from which the reputation of every other page is learnt: outcomes are counted
+per host by one grouped aggregate, summed to registered domains and suffixes, and every rate is
 shrunk through a beta-binomial prior towards the level above it: host to domain to suffix to the
 whole table. The prior strength of each level is estimated from the spread of its rates (method of
 moments). A page is blocked when the lower bound of its host's posterior block rate exceeds LIMIT.
@@ -21,12 +23,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftline.llm.hosts import host_levels, host_suffixes
 from driftline.llm.text import ascii_lower
 
 # (verdict, host, path)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-MAX_RULES = 1000  # rules become one expression
 LIMIT = 0.5
 Z = 1.0  # posterior standard deviations below the mean
 STRENGTH = (1.0, 1000.0)  # bounds of an estimated prior strength
@@ -37,17 +39,18 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return (ascii_lower(F.regexp_extract(u, "://([^/?#]*)", 1)), F.regexp_extract(u, "://[^/?#]*([^?#]*)", 1))
 
 
-def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
-    """(rule, verdict) of the longest rule that fits; of equally long ones the first by text."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
-    rule = verdict = None
-    for v, h, p in sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2], r[0])):
-        fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
-        rule = F.when(fits, h + p) if rule is None else rule.when(fits, h + p)
-        verdict = F.when(fits, v) if verdict is None else verdict.when(fits, v)
-    none = F.lit(None).cast("string")
-    return (none, none) if rule is None else (rule, verdict)
+def matched_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, rule, ruled) of the longest rule that fits each of ``urls`` (host, path; distinct), for
+    those that any fits; of equally long ones the first by text. ``rules`` has verdict, host, path."""
+    own = rules.select(F.col("host").alias("h"), F.col("path").alias("p"), "verdict").filter("h IS NOT NULL AND p IS NOT NULL")
+    own = own.groupBy("h", "p").agg(F.min("verdict").alias("verdict"))
+    lengths = own.groupBy("h").agg(F.collect_set(F.length("p")).alias("lengths"))  # at most as many as a path has characters
+    spelt = urls.select("host", "path", F.explode(host_suffixes(F.col("host"))).alias("h")).join(lengths, "h")
+    spelt = spelt.select("host", "path", "h", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n"))
+    fits = spelt.withColumn("p", F.expr("left(path, n)")).join(own, ["h", "p"])
+    size = (F.length("h") + F.length("p")).alias("size")
+    best = fits.groupBy("host", "path").agg(F.min(F.struct((-size).alias("s"), F.concat("h", "p").alias("rule"), "verdict")).alias("b"))
+    return best.select("host", "path", "b.rule", F.col("b.verdict").alias("ruled"))
 
 
 def _strength() -> Column:
@@ -71,9 +74,8 @@ def reputation(labelled: DataFrame) -> DataFrame:
     outcome). One row per host. n, k: outcomes and blocks; rate and low: posterior mean and
     lower bound."""
     hosts = labelled.groupBy("host").agg(F.count("block").alias("n"), F.coalesce(F.sum("block"), F.lit(0)).cast("bigint").alias("k"))
-    parts = F.split("host", r"\.")
-    hosts = hosts.withColumn("suffix", F.element_at(parts, -1)).withColumn(
-        "domain", F.when(F.size(parts) > 1, F.concat_ws(".", F.element_at(parts, -2), F.element_at(parts, -1))).otherwise(F.col("host")))
+    domain, suffix = host_levels(F.col("host"))
+    hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
@@ -94,13 +96,14 @@ def reputation(labelled: DataFrame) -> DataFrame:
     return out.select("host", "n", "k", "rate", (F.col("rate") - Z * sd).alias("low"))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """One row per row of ``pages`` (needs page_id, url): page_id, host, path, rule, verdict, and
-    rate and low of the host."""
+    rate and low of the host. ``rules``: (verdict, host, path), as a table or a list."""
+    if not isinstance(rules, DataFrame):
+        rules = pages.sparkSession.createDataFrame(list(rules), "verdict string, host string, path string")
     host, path = url_parts(F.col("url"))
     df = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    df = df.withColumns({"rule": rule, "ruled": verdict})
+    df = df.join(matched_rules(df.select("host", "path").distinct(), rules), ["host", "path"], "left")
     block = F.when(F.col("ruled") == "block", 1).when(F.col("ruled") == "allow", 0)
     known = reputation(df.select("host", block.alias("block")))
     df = df.join(known.select("host", "rate", "low"), "host")
