@@ -11,7 +11,7 @@ The set is broadcast only after it has been counted; above MAX_BROADCAST_WINDOWS
 ordinary join of the window hashes.
 
 Cases: null or wordless texts and items have no windows; rows that repeat doc_id and text are the
-same document and give one output row each; an item without id makes hits but is not listed;
+same document and give one output row each; items without id are one item that is counted but not listed;
 equal windows of several items list all of them; other columns are ignored (``clean`` hands all of
 them on); empty tables on either side give no hits; long texts are scanned whole.
 """
@@ -105,17 +105,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     strings), hit_words (positions of hit words, sorted) and contaminated."""
     hits = find_hits(docs, items, window)
     per = hits.groupBy("doc_id", "_th").agg(
-        F.collect_set(F.struct("at", "len")).alias("at"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+        F.collect_set(F.struct("at", "len")).alias("at"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
+        F.max(F.col("item_id").isNull().cast("int")).alias("nameless"))
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform("at", lambda s: F.sequence(s.at, s.at + s.len - 1)))))
-    per = per.select("doc_id", "_th", "items", covered.alias("hit"))
+    per = per.select("doc_id", "_th", "items", "nameless", covered.alias("hit"))
     n_words = F.size(words_of(F.col("text"))).cast("bigint")
     all_docs = docs.select(*doc_key(), n_words.alias("n_words"))
     same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d._th") == F.col("p._th"))
     out = all_docs.alias("d").join(per.alias("p"), same, "left").select(
         "d.doc_id", "d._th", "d.n_words", F.coalesce(F.size("p.hit"), F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce("p.items", F.array().cast("array<string>")).alias("items"), F.col("p.hit").alias("hit"))
+        F.coalesce("p.items", F.array().cast("array<string>")).alias("items"), F.col("p.hit").alias("hit"), F.coalesce("p.nameless", F.lit(0)).alias("nameless"))
     return out.select(
-        "doc_id", "_th", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items",
+        "doc_id", "_th", "n_words", "n_hit", (F.size("items") + F.col("nameless")).cast("bigint").alias("n_items"), "items",
         F.coalesce("hit", F.array().cast("array<int>")).alias("hit_words"),
         ((F.col("n_hit") > 0) & (100 * F.col("n_hit") >= MIN_PERCENT * F.col("n_words"))).alias("contaminated"))
 

@@ -140,8 +140,8 @@ def mix_plan(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The documents that the mix takes: all columns of ``docs`` and, where the names are free,
-    copies, taken and target. Rows equal in doc_id and text come out as one, with their copies
+    """The documents that the mix takes: all columns of ``docs`` and copies, taken and target, each with
+    underscores before it until its name is free. Rows equal in doc_id and text come out as one, with their copies
     added up."""
     plan = mix_plan(docs).groupBy("doc_id", "_th").agg(F.sum("copies").alias("copies"), F.sum("taken").alias("taken"),
                                                        F.first("target").alias("target")).filter("copies > 0")
@@ -150,4 +150,8 @@ def mix(docs: DataFrame) -> DataFrame:
     same = F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r._th") == F.col("p._th"))
     out = rows.alias("r").join(plan.alias("p"), same).select("_row", "r.doc_id", "r._th", "copies", "taken", "target")
     out = out.dropDuplicates(["doc_id", "_th"])
-    return out.select("_row.*", *[F.col(c) for c in ("copies", "taken", "target") if c not in docs.columns])
+    own = {c: c for c in ("copies", "taken", "target")}
+    for c in own:
+        while own[c] in docs.columns:
+            own[c] = f"_{own[c]}"
+    return out.select("_row.*", *[F.col(c).alias(name) for c, name in own.items()])

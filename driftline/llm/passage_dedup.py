@@ -201,3 +201,15 @@ def dedup_passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     out = both.mapInArrow(_cut, schema)
     text = F.when(F.col("words_deleted") > 0, F.col("left")).otherwise(F.col("_row.text"))
     return out.select("_row", text.alias("new_text"), "lines_deleted", "words_deleted")
+
+
+def without_repeated_passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``docs`` with repeated passages cut from their text (``n_chars``, where present,
+    follows). A row goes when nothing with a word is left of a text that had one. All columns
+    are kept."""
+    out = dedup_passages(docs, least)
+    changed, left = F.col("words_deleted") > 0, F.regexp_like("new_text", F.lit(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("new_text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("new_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return out.filter(~changed | left).select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -197,10 +197,14 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 
 
 def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Trees:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold, the first in hash order."""
-    known = labels.select("doc_id", F.col("quality").alias("_label")).filter("_label IN (0, 1) AND doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    """Fit on at most ``max_rows`` labelled rows outside the held-out fold, the first in hash order. Of
+    several labels of an id the smallest counts, of several texts the one with the smallest
+    statistics, so the fit does not depend on how rows are dealt to partitions."""
+    known = labels.select("doc_id", F.col("quality").alias("_label")).filter("_label IN (0, 1) AND doc_id IS NOT NULL")
+    known = known.groupBy("doc_id").agg(F.min("_label").alias("_label"))
     known = known.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = stats.join(F.broadcast(known), "doc_id").select("doc_id", "_label", *FEATURES).dropDuplicates(["doc_id"]).toPandas()
+    rows = stats.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min(F.struct("_label", *FEATURES)).alias("r"))
+    rows = rows.select("doc_id", "r.*").toPandas()
     rows = rows.sort_values("doc_id")
     return fit(rows[FEATURES].to_numpy(float), rows["_label"].to_numpy(float))
 

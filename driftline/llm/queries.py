@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm.decontamination import contamination
+from driftline.llm.hosts import TWO_PART_SUFFIXES
 from driftline.llm.jaccard_join import jaccard_groups
 from driftline.llm.kd_search import MAX_COMPONENT, top_k
 from driftline.llm.language_id import identify
@@ -73,8 +74,9 @@ dn AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT D
 hit AS (SELECT rid, i, dw.n, item_id FROM (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM dn) dw
         JOIN bw ON dw.gram = bw.gram AND dw.n = bw.n),
 words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
-its AS (SELECT rid, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hit WHERE item_id IS NOT NULL GROUP BY rid)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+its AS (SELECT rid, list_sort(coalesce(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (item_id IS NOT NULL), [])) AS items,
+        CAST(bool_or(item_id IS NULL) AS INTEGER) AS nameless FROM hit GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items) + nameless, 0) AS BIGINT) AS n_items,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN its USING (rid)
@@ -171,12 +173,15 @@ def _url_sql() -> str:
             sum(k * k / n) - sum(k) / sum(n) * sum(k) AS spread, count(*) AS g, sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS free
             FROM {table} WHERE n > 0)))"""
 
+    two = ", ".join(f"'{x}'" for x in TWO_PART_SUFFIXES)
+    last = lambda n: "array_to_string(string_split(host, '.')[-%d:], '.')" % n
     return f"""
 WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 r AS (SELECT *, CASE {' '.join(fits)} END AS rule, CASE {' '.join(words)} END AS ruled FROM u),
-h AS (SELECT host, count(ruled) AS n, count(*) FILTER (ruled = 'block') AS k, string_split(host, '.')[-1] AS suffix,
-        CASE WHEN len(string_split(host, '.')) > 1 THEN string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] ELSE host END AS domain
+h AS (SELECT host, count(ruled) AS n, count(*) FILTER (ruled = 'block') AS k,
+        CASE WHEN {last(2)} IN ({two}) THEN {last(2)} ELSE {last(1)} END AS suffix,
+        CASE WHEN {last(2)} IN ({two}) THEN {last(3)} ELSE {last(2)} END AS domain
         FROM r GROUP BY host),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY ALL),
@@ -207,8 +212,8 @@ ORACLE["op3_warc"] = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 o AS (SELECT payload_digest, min(page_id) AS origin FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN page_id > origin THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN page_id > origin THEN origin END AS refers_to, true AS complete
+       CASE WHEN origin IS NOT NULL AND coalesce(page_id > origin, true) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN coalesce(page_id > origin, true) THEN origin END AS refers_to, true AS complete
 FROM p LEFT JOIN o USING (payload_digest)
 """
 

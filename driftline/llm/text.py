@@ -60,12 +60,6 @@ def shifted(a: Column, k: int) -> Column:
     return F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
 
 
-def packed(df: DataFrame, *extra: Column) -> DataFrame:
-    """Keep all columns of ``df`` in one struct ``_row`` next to ``extra``, so that columns of
-    the caller can never clash with columns of the operator."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *extra)
-
-
 def doc_key() -> list[Column]:
     """(doc_id, 64-bit text hash): rows equal in both are the same document."""
     return [F.col("doc_id").alias("doc_id"), F.xxhash64(F.col("text")).alias("_th")]

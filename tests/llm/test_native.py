@@ -44,8 +44,8 @@ def brute_contamination(texts, items):
             for i in range(len(w) - n + 1):
                 if ids := windows.get(tuple(w[i:i + n])):
                     hit |= set(range(i, i + n))
-                    found |= ids - {None}
-        out.append((doc, len(w), len(hit), len(found), sorted(map(str, found)), bool(hit) and 20 * len(hit) >= len(w)))
+                    found |= ids
+        out.append((doc, len(w), len(hit), len(found), sorted(str(i) for i in found if i is not None), bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out, key=str)
 
 

@@ -2,7 +2,8 @@
 
 import corpus_pipeline
 from test_native import brute_contamination, brute_quality
-from test_pairs_and_lines import brute_components, brute_dedup, shingles
+from test_pairs_and_lines import brute_components, shingles
+from test_passages import brute_passages
 
 from driftline.session import materialize
 
@@ -13,7 +14,12 @@ def test_stages_against_brute_force(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "decontamination", "mixing"]
     stage = dict(corpus_pipeline.STAGES)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    extra = spark.createDataFrame([(-1, None, None, None, None), (-2, "", "en", "src0", 0), (None, "no id " * 30, "en", None, 180)], docs.schema)
+    extra = [(-1, None, None, None, None), (-2, "", "en", "src0", 0), (None, "no id " * 30, "en", None, 180)]
+    donor = next(r.text.split() for r in docs.orderBy("doc_id").collect() if len(r.text.split()) > 400)
+    host = next(r for r in docs.orderBy("doc_id").collect() if len(r.text.split()) > 300 and donor[0] not in r.text)
+    pasted = " ".join(host.text.split()[:120] + donor[200:260] + host.text.split()[120:])  # 60 words in the middle of a line
+    extra.append((10**6, pasted, host.lang, host.source, len(pasted)))
+    extra = spark.createDataFrame(extra, docs.schema)
     docs = materialize(docs.unionByName(extra).unionByName(docs.limit(3)), "fixture")
 
     def step(name, before):
@@ -27,7 +33,7 @@ def test_stages_against_brute_force(spark):
     assert all(r in new for r in old if r[0] in good and not brute_quality(r[1])[-1])
 
     kept, old, new = step("line_dedup", kept)
-    expected = brute_dedup([(r[0], r[1]) for r in old], 50)
+    expected = {k: text for k, (text, *_) in brute_passages([(r[0], r[1]) for r in old], 50).items()}
     assert kept.columns == docs.columns
     assert sorted(str((r[0], r[1])) for r in new) == sorted(
         str((r[0], expected[r[0], r[1]])) for r in old if expected[r[0], r[1]].strip() or not r[1].strip())
