@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftline.llm.decontamination import drop_contaminated
 from driftline.llm.jaccard_join import keep_one_per_group
-from driftline.llm.line_dedup import without_repeats
 from driftline.llm.mixing import mix
+from driftline.llm.passage_dedup import without_repeated_passages
 from driftline.llm.quality_rules import filter_quality
 from driftline.session import materialize
 
@@ -22,8 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines that occur earlier in the corpus are cut out; a document with nothing left goes."""
-    return without_repeats(docs)
+    """Runs of words that occur earlier in the corpus are cut out, wherever in a line they start or end; a
+    document with nothing left goes."""
+    return without_repeated_passages(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
