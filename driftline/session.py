@@ -51,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         # a folder on the driver's disk is invisible to executors and lost with the driver
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
     local = tempfile.mkdtemp(prefix="driftline-ckpt-")

@@ -84,6 +84,9 @@ def test_no_local_checkpoint_fallback_on_a_cluster():
         def getCheckpointDir(self):
             return None
 
+    class _Executors(_SC):
+        master = "local-cluster[2,1,1024]"
+
     class _Conf:
         def get(self, key, default=None):
             return default
@@ -94,6 +97,9 @@ def test_no_local_checkpoint_fallback_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Spark())
+    _Spark.sparkContext = _Executors()
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Spark())
 
 
 def test_scratch_scope_deletes_its_folders_alone(spark, tmp_uri):
