@@ -18,11 +18,12 @@ sizes a and b with Jaccard similarity of at least 4/5 differ in at most D = (a +
   the size and Hamming bounds are verified on the sets and merged into components. Only pairs
   that are still in different components are then enumerated, filtered by the bounds inside the
   join, and verified. So every link between different components is tested.
-* *Crowded keys.* Where more than ``CROWD`` sets are left at a key, they share a passage without
-  being linked by it. All sets at such keys get keys of a second, finer layout: narrow bands and four
-  times D spare blocks, counted among themselves. Linked sets agree in that many more blocks, so
-  the D + 1 rarest still suffice, and the shared passage falls among the blocks left out: two sets
-  meet only where what is their own agrees. Crowded keys of the first layout are then not joined.
+* *Crowded sets.* A set whose keys would compare it with more than ``COMPARISONS`` others per shingle
+  shares a passage with many sets without being linked by it. Such sets get keys of a second, finer
+  layout: narrow bands and four times D spare blocks, counted among themselves. Linked sets agree in
+  that many more blocks, so the D + 1 rarest still suffice, and the shared passage falls among the
+  blocks left out: two sets meet only where what is their own agrees. Two crowded sets are compared
+  through these keys only, all other pairs through the first ones, at a bounded cost per set.
 
 Cases: null or wordless texts have the empty set and link with nothing (component_id is their own
 doc_id); fewer than five words make one shingle; rows that repeat doc_id and text are the same
@@ -49,7 +50,7 @@ BAND_RATIO = Fraction(8, 5)  # upper by lower size of a band, less than 1 / simi
 WORDS = 5
 FINE_RATIO = Fraction(11, 10)  # of the second layout: D follows the size closely
 CHUNK_ITEMS = 1 << 16  # shingles of sets whose keys are made at once
-CROWD = 32  # sets at a key beyond which the second layout takes over
+COMPARISONS = 10  # with other sets, per shingle, beyond which the second layout is the cheaper way
 PAST = 12  # keys looked back at to show a pair once
 SKETCH_WORDS = 16  # 64-bit words of the parity sketch that filters pairs
 SLOTS, FINE_SLOTS = 2, 8  # at least the bands that a set can show in
@@ -241,29 +242,32 @@ def _open_keys(hits: DataFrame, comp: DataFrame) -> DataFrame:
     return part.withColumn("main", F.max(F.struct("k", "c")).over(of_key)["c"]).select("key", "vertex", "c", "main", "left")
 
 
-def _pairs(open_: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Pairs (u, v) of different components that meet in a key and pass the bounds. The largest component of
-    a key is only the other side, so a group of copies that the hub has joined makes no pairs."""
+def _joined(rows: DataFrame, vertices: DataFrame, side: str, once: str) -> DataFrame:
+    """Pairs (u, v) of different components that meet in a key, pass the bounds and fulfil ``once``; ``side``
+    holds for the rows of u's side."""
     # a pair that meets in many keys shows in few of them: not where one of the PAST open keys
     # before, in key order, is common as well
     past = Window.partitionBy("vertex").orderBy("key").rowsBetween(-PAST, -1)
-    rows = open_.select("key", "vertex", "c", "main").withColumn("past", F.collect_list("key").over(past))
+    rows = rows.withColumn("past", F.collect_list("key").over(past))
     rows = materialize(rows.join(vertices.drop("doc_id"), "vertex"), "open")
-    light, every = rows.filter("c <> main").alias("a"), rows.alias("b")
-    return (light.join(every, F.expr("a.key = b.key AND a.c <> b.c AND (b.c = b.main OR a.vertex < b.vertex) AND "
-                                     + _similar("a", "b") + " AND NOT arrays_overlap(a.past, b.past)"))
+    return (rows.filter(side).alias("a").join(rows.alias("b"), F.expr(f"a.key = b.key AND a.c <> b.c AND ({once}) AND "
+                                                                      + _similar("a", "b") + " AND NOT arrays_overlap(a.past, b.past)"))
             .select(F.least("a.vertex", "b.vertex").alias("u"), F.greatest("a.vertex", "b.vertex").alias("v")))
 
 
 def open_pairs(hits: DataFrame, comp: DataFrame, vertices: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs that the hubs have not joined: through keys of few sets directly, through crowded keys by
-    the second layout. A linked pair either shares a key that is not crowded, or both its sets are
-    at crowded keys and share one of the second layout."""
+    """Pairs that the hubs have not joined: those of two crowded sets through keys of the second layout,
+    all others through the first."""
     open_ = materialize(_open_keys(hits, comp), "open_keys")
-    crowded = open_.filter(F.col("left") > CROWD).select("vertex").distinct()
+    load = open_.groupBy("vertex").agg(F.sum("left").alias("load")).join(vertices.select("vertex", "n"), "vertex")
+    crowded = materialize(load.filter(F.col("load") > COMPARISONS * F.col("n")).select("vertex", F.lit(True).alias("crowded")), "crowded")
+    marked = open_.join(crowded, "vertex", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    first = _joined(marked.select("key", "vertex", "c", "crowded"), vertices, "NOT crowded", "b.crowded OR a.vertex < b.vertex")
     fine = sets.select("vertex", "items").join(crowded, "vertex", "left_semi")
     fine = materialize(chosen_keys(fine.mapInArrow(_fine_keys, "key bigint, vertex bigint, spare int"), FINE_SLOTS), "fine")
-    return (_pairs(open_.filter(F.col("left") <= CROWD), vertices).union(_pairs(_open_keys(fine, comp), vertices))).distinct()
+    # the largest component of a key is only the other side, so a group that the hub has joined makes no pairs
+    second = _joined(_open_keys(fine, comp).select("key", "vertex", "c", "main"), vertices, "c <> main", "b.c = b.main OR a.vertex < b.vertex")
+    return first.union(second).distinct()
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:

@@ -325,8 +325,8 @@ def align_corpus(docs: DataFrame, byte_bpe: str | None = None, piece_bpe: str |
     held = first.filter("pair IS NOT NULL").select("chunk", "pair", "docs")
     counts = held.groupBy("pair").agg(F.sum("docs").alias("docs")).withColumn("a_id", F.expr(f"pair div {width}"))
     top = counts.groupBy("a_id").agg(F.max("docs").alias("top"))
-    counts = materialize(counts.join(top, "a_id").select("pair", "a_id", F.expr(f"pair % {width}").alias("b_id"), "docs",
-                                                         (F.col("docs") == F.col("top")).alias("best")), "pairs")
+    counts = counts.join(top, "a_id").select("pair", "a_id", F.expr(f"pair % {width}").alias("b_id"), "docs",
+                                             (F.col("docs") == F.col("top")).alias("best"))
     known = held.select(F.col("chunk").alias("of"), "pair").join(counts.select("pair", "docs", "best"), "pair")
     texts = first.filter("tkey IS NOT NULL").select("chunk", "tkey", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links")
     measured = texts.groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(_measure, _PASS2)

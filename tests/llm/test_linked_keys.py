@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from driftline.llm import jaccard_join as jj
 
@@ -74,8 +75,11 @@ def test_a_shared_template_does_not_make_all_pairs(spark, monkeypatch):
     assert counts[400] <= 400 and counts[400] <= 5 * max(counts[200], 20), counts
 
 
-def test_links_inside_a_crowd_are_found(spark, monkeypatch):
-    """Among 120 documents of one template, some are near copies of each other: brute force beside it."""
+@pytest.mark.parametrize("comparisons", [jj.COMPARISONS, 1, 0])
+def test_links_inside_a_crowd_are_found(spark, monkeypatch, comparisons):
+    """Among 120 documents of one template, some are near copies of each other: brute force beside it,
+    whether few or all sets count as crowded."""
+    monkeypatch.setattr(jj, "COMPARISONS", comparisons)
     rng = np.random.default_rng(4)
     docs = _template_group(120, 3, own=300)
     for i in range(0, 60, 2):  # every second one is followed by an edited copy
