@@ -9,6 +9,7 @@ from driftline.functions import columns as C
 from driftline.functions import hashing as H
 from driftline.operators import keys as K
 from driftline.operators import profile as P
+from driftline.operators.ecdf import prefix_min, value_statistics
 from driftline.operators.runlog import latest_version
 from driftline.plans.fixtures import (LINEITEM_NULLS_SQL, PEOPLE_SQL, lineitem_nulls, people)
 from driftline.plans.registry import query, round_doubles
@@ -542,3 +543,23 @@ def latest_versions(spark, sf_dir):
     """Newest version per name where versions are text: compared as numbers, so that 10 follows 9."""
     v = T(spark, sf_dir).orders.select(F.col("o_orderpriority").alias("name"), (F.col("o_custkey") % 1500).cast("string").alias("version"))
     return latest_version(v)
+
+
+# ----------------------------------------------------------------------------- ordered statistics per key of the data
+@query("quantiles_per_key", """SELECT user_id, count(value) AS n, count(DISTINCT value) AS n_distinct, round(quantile_cont(value, 0.25), 6) AS p25,
+       round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75, round(min(m.mode), 6) AS mode
+FROM events JOIN (SELECT user_id, value AS mode FROM events GROUP BY user_id, value
+                  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, value) = 1) m USING (user_id) GROUP BY user_id""", "profile")
+def quantiles_per_key(spark, sf_dir):
+    """Exact quartiles and mode for every user: as many keys as the data have, a hot one over many tasks."""
+    st = value_statistics(T(spark, sf_dir).events.select("user_id", "value"), ["user_id"])
+    return round_doubles(st.select("user_id", "n", "n_distinct", "p25", "p50", "p75", "mode"), 6)
+
+
+@query("running_minimum", """SELECT o_orderkey, round(min(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS lowest FROM orders""", "agg")
+def running_minimum(spark, sf_dir):
+    """Lowest order so far per priority, in date order: five keys, cut into as many segments as there are rows for."""
+    o = T(spark, sf_dir).orders.select("o_orderkey", "o_orderpriority", F.struct("o_orderdate", "o_orderkey").alias("at"), "o_totalprice")
+    low = prefix_min(o, ["o_orderpriority"], "at", "o_totalprice", "lowest", n_keys=None)
+    return low.select("o_orderkey", F.round("lowest", 4).alias("lowest"))
