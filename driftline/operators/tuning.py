@@ -83,9 +83,10 @@ def random_search(spark: SparkSession, df: DataFrame, indexer, assembler, label:
     training rows), refit the best on train + validation and report its test RMSE.
 
     The search is not adaptive, so every trial's settings are drawn first and up to
-    ``parallelism`` trials fit at once (concurrent Spark jobs from driver threads)."""
+    ``parallelism`` trials fit at once (concurrent Spark jobs from driver threads). The indexer is
+    fitted once for all trials, on train, and once more for the refit."""
     train, val, test = H.hash_split3(df, "l_orderkey")
-    train, val = train.cache(), val.cache()
+    _, [fit_on, score_on] = prepared([indexer, assembler], train, [val], [label])
     rng = random.Random(seed)
     settings = [sample_space(space, rng) for _ in range(n_trials)]
 
@@ -93,18 +94,15 @@ def random_search(spark: SparkSession, df: DataFrame, indexer, assembler, label:
         p = settings[t]
         rf = RandomForestRegressor(labelCol=label, maxDepth=int(p["maxDepth"]), numTrees=int(p["numTrees"]),
                                    maxBins=max_bins, seed=seed)
-        model = Pipeline(stages=[indexer.copy(), assembler.copy(), rf]).fit(train)  # own stages per thread
-        m = regression_metrics(model.transform(val), label, "prediction").first()
+        m = regression_metrics(rf.fit(fit_on).transform(score_on), label, "prediction").first()
         return (t, int(p["maxDepth"]), int(p["numTrees"]), float(m["rmse"]), float(m["r2"]))
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=trials_at_once(fit_on, parallelism)) as pool:
         rows = list(pool.map(trial, range(n_trials)))
     best = min(rows, key=lambda r: r[3])
     rf = RandomForestRegressor(labelCol=label, maxDepth=best[1], numTrees=best[2], maxBins=max_bins, seed=seed)
-    final = Pipeline(stages=[indexer, assembler, rf]).fit(train.unionByName(val))
-    test_rmse = float(regression_metrics(final.transform(test), label, "prediction").first()["rmse"])
-    train.unpersist()
-    val.unpersist()
+    _, [fit_on, score_on] = prepared([indexer, assembler], train.unionByName(val), [test], [label])
+    test_rmse = float(regression_metrics(rf.fit(fit_on).transform(score_on), label, "prediction").first()["rmse"])
     out = [(*r, r == best, test_rmse if r == best else None) for r in rows]
     return spark.createDataFrame(out, "trial int, max_depth int, num_trees int, val_rmse double, val_r2 double, "
                                       "is_best boolean, test_rmse double")
