@@ -275,9 +275,9 @@ def rf_classifier(spark, sf_dir):
     df, si, va, bins = _tree_frame(spark, sf_dir)
     df = df.withColumn("label", (F.col(LABEL) >= 50000).cast("double"))
     train, test = _split(df)
-    model = Pipeline(stages=[si, va, RandomForestClassifier(labelCol="label", maxBins=bins, numTrees=10, maxDepth=5,
-                                                            seed=42)]).fit(train)
-    pred = model.transform(test)
+    _, [train, test] = TU.prepared([si, va], train, [test], ["label"])
+    rf = RandomForestClassifier(labelCol="label", maxBins=bins, numTrees=10, maxDepth=5, seed=42)
+    pred = rf.fit(train).transform(test)
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(pred)
     return MD.confusion_metrics(pred, "label", "prediction").withColumn("area_under_roc", F.lit(auc))
 
