@@ -122,10 +122,15 @@ def zorder_key(df: DataFrame, cols: list[str], bits: int = 8) -> DataFrame:
     return df.withColumn("_z", reduce(lambda x, y: x.bitwiseOR(y), terms))
 
 
+ROWS_PER_FILE = 2_000_000  # a task sorts the rows of one file
+
+
 def clustered_rewrite(df: DataFrame, path: str, cols: list[str], n_files: int, mode: str = "overwrite") -> None:
     """OPTIMIZE ... ZORDER BY re-expressed: range-partition on the (Morton) key so each output
     file covers a narrow range of every clustering column; parquet min/max stats then skip
-    files for range predicates."""
+    files for range predicates. A table of more than ``n_files`` times ROWS_PER_FILE rows gets more
+    files, so that the memory of a task that sorts one does not grow with the table."""
+    n_files = max(n_files, -(-df.count() // ROWS_PER_FILE))
     keyed = zorder_key(df, cols).withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
     # the row hash breaks ties so one very frequent key can still be cut into several files
     (keyed.repartitionByRange(n_files, "_z", "_tie").sortWithinPartitions("_z").drop("_z", "_tie")
