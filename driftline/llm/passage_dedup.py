@@ -36,7 +36,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from driftline.llm.line_dedup import MIN_WORDS, Lines
 from driftline.llm.text import SPACE_BYTES, _powers, doc_key, mix, text_chunks, word_hashes
-from driftline.session import materialize
+from driftline.session import materialize, scratch, work_dir
 
 _SEEDS = (0x51ED270B, 0x2C1B3C6D)
 
@@ -162,16 +162,20 @@ def _same(a: str, b: str):
 
 def repeated_passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """(doc_id, _th, lo, hi): words [lo, hi) of stretches that lie in runs which occur earlier."""
+    spark = docs.sparkSession
     schema = "print bigint, c1 bigint, c2 bigint, doc_id bigint, _th bigint, lo int, hi int"
     src = docs.select(*doc_key(), "text")
-    every = materialize(src.mapInArrow(_positions(least), schema), "positions")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("id"), "_th", "lo")
     spot = F.xxhash64("doc_id", "_th", "lo")
-    again = every.groupBy("print").agg(F.min(spot).alias("a"), F.max(spot).alias("b"), F.min("c1").alias("k1"), F.max("c1").alias("k2"),
-                                       F.min("c2").alias("k3"), F.max("c2").alias("k4")).filter("a <> b")
-    # written first: a join of two plain shuffles splits hot keys, one above an aggregate does not
-    again = materialize(again.select("print", F.expr("k1 <> k2 OR k3 <> k4").alias("many")), "again")
-    found = materialize(every.join(again, "print"), "repeats")
+    repeats = work_dir(spark, "repeats")
+    with scratch(spark):  # most positions occur once; their table goes as soon as the repeated ones are written
+        every = materialize(src.mapInArrow(_positions(least), schema), "positions")
+        again = every.groupBy("print").agg(F.min(spot).alias("a"), F.max(spot).alias("b"), F.min("c1").alias("k1"), F.max("c1").alias("k2"),
+                                           F.min("c2").alias("k3"), F.max("c2").alias("k4")).filter("a <> b")
+        # written first: a join of two plain shuffles splits hot keys, one above an aggregate does not
+        again = materialize(again.select("print", F.expr("k1 <> k2 OR k3 <> k4").alias("many")), "again")
+        every.join(again, "print").write.parquet(repeats)
+    found = spark.read.parquet(repeats)
     kind = ["print", "c1", "c2"]
     # whole neighbourhoods
     first = materialize(found.groupBy(*kind).agg(F.min(place).alias("first"), F.max(place).alias("final"), F.first("many").alias("many")), "kinds")

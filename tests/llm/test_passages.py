@@ -1,5 +1,6 @@
 """Passage dedup against brute force over all windows of words, passages pasted mid-line included."""
 
+import os
 import random
 import re
 
@@ -85,3 +86,15 @@ def test_query_cuts_a_passage_pasted_mid_line(spark, tmp_uri):
     got = {r.doc_id: r for r in QUERIES["op2_line_dedup"](spark, tmp_uri).collect()}
     assert {i: r.words_deleted for i, r in got.items()} == {1: 0, 2: 51, 3: 0, 4: 0, 5: 54}
     assert got[2].n_chars == len("Another one | edge | other tail.") and got[2].lines_deleted == 1
+
+
+def test_table_of_all_positions_goes_before_the_result_is_read(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(pd, "materialize", lambda df, name="table", f=pd.materialize: made.append(f(df, name)) or made[-1])
+    run = " ".join(f"z{i}" for i in range(30))
+    pairs = [(1, f"a start {run}"), (2, f"{run} an end"), (3, " ".join(f"y{i}" for i in range(300)))]
+    check(spark, pairs, 12)
+    folders = {path.rsplit("/", 2)[-2].rsplit("-", 1)[0]: path.rsplit("/", 1)[0] for t in made for path in t.inputFiles()}
+    there = {name for name, path in folders.items() if os.path.exists(path.removeprefix("file:").replace("///", "/"))}
+    assert {"positions", "again", "kinds"} <= folders.keys() and "kinds" in there
+    assert not there & {"positions", "again"}
