@@ -15,8 +15,10 @@ sentence ends play no part, so a passage pasted into the middle of a line is fou
   these decide how far a match reaches. Overlapping windows chain up to the whole passage.
 * *Deletion.* The first occurrence, by (doc_id, text hash, word), stays; later ones are cut word for word.
 
-All counts are grouped aggregates over narrow rows; no pairs of positions are made, so a passage in
-a third of all documents is one group with partial aggregates.
+What occurs earlier is told by rank, over narrow rows sorted by hash and place; no pairs of positions are
+made. Hashes with more rows than half a task's share (estimated from a sample of the rows, which only decides
+how they are dealt out) are ranked in parts, then the firsts of the parts, so a passage in a third of
+all documents is spread over the tasks.
 
 Cases: null and wordless texts stay as they are; a null doc_id orders last; rows that repeat doc_id
 and text are the same document, get the same text and do not delete each other (different ids with
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -39,6 +41,8 @@ from driftline.llm.text import SPACE_BYTES, _powers, doc_key, mix, text_chunks,
 from driftline.session import materialize, scratch, work_dir
 
 _SEEDS = (0x51ED270B, 0x2C1B3C6D)
+SAMPLE = 1 / 64  # rows counted to find the frequent hashes
+FREQUENT = 32  # rows of the sample that a frequent hash has at least
 
 
 def _prefix(h: np.ndarray, seed: int) -> np.ndarray:
@@ -96,10 +100,21 @@ def _positions(least: int):
     return run
 
 
+def _new(t: pa.RecordBatch | pa.Table, *more: str) -> np.ndarray:
+    """Rows whose document (or a further column) is not that of the row before."""
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for v in (t["doc_id"].is_null(), t["doc_id"].fill_null(0), *(t[c] for c in ("_th", *more))):
+        v = np.asarray(v)
+        new[1:] |= v[1:] != v[:-1]
+    return new
+
+
 def _spelt(least: int):
     """Windows of the neighbourhoods in ``spots`` (lo, hi)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(pa.array(_new(b)))  # repeated rows of a document
             for row, end, data, off in text_chunks(b.column("text")):
                 h, first = word_hashes(data, off, lower=False)
                 p = [_prefix(h, s) for s in _SEEDS]
@@ -160,43 +175,118 @@ def _same(a: str, b: str):
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}._th") == F.col(f"{b}._th"))
 
 
+def _rank_in(*kind: str) -> Window:
+    """Rows of one kind in the order of the corpus: (doc_id, text hash, word); a null doc_id is last."""
+    return Window.partitionBy(*kind).orderBy(F.col("doc_id").asc_nulls_last(), "_th", "lo")
+
+
+def _tasks(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _frequent(rows: DataFrame, key: str) -> list[int]:
+    """Hashes with more rows than half of a task's share: about two per task at most."""
+    least = max(FREQUENT, rows.count() * SAMPLE / (2 * _tasks(rows)))
+    counts = rows.select(key).sample(SAMPLE, seed=1).groupBy(key).count()
+    return [r[0] for r in counts.filter(F.col("count") >= least).select(key).collect()]
+
+
+def _late_in_parts(rows: DataFrame, *kind: str) -> DataFrame:
+    """``rows`` with ``late`` (not at the first place of their kind): ranked in parts, then the first ones of all parts."""
+    part = F.pmod(F.xxhash64("doc_id", "_th"), F.lit(_tasks(rows)))
+    cut = rows.withColumn("part", part)
+    cut = cut.withColumn("rank", F.rank().over(_rank_in(*kind, "part")))
+    cut = cut.withColumn("part", F.when(F.col("rank") == 1, -1).otherwise(F.col("part")))
+    return cut.withColumn("late", (F.col("rank") > 1) | (F.rank().over(_rank_in(*kind, "part")) > 1)).drop("part", "rank")
+
+
+def _lists(owner: np.ndarray, docs: int, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=docs))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(v.astype(np.int32)) for v in (lo, hi)], names=["lo", "hi"]))
+
+
+def _gathered(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    t = pa.Table.from_batches(parts).combine_chunks()
+    new = _new(t)
+    doc, head, late = np.cumsum(new) - 1, np.flatnonzero(new), np.asarray(t["late"])
+    lo, hi = (np.asarray(t[c]).astype(np.int64) for c in ("lo", "hi"))
+    d, s, e = doc[late], lo[late], hi[late]
+    reach = np.maximum.accumulate((d << 32) + e) if len(d) else d
+    first = np.ones(len(d), bool)
+    first[1:] = (d[1:] << 32) + s[1:] > reach[:-1]
+    final = np.append(first[1:], True)[:len(d)]  # a stretch's last row
+    key = [t[c].combine_chunks().take(pa.array(head)) for c in ("doc_id", "_th")]
+    lists = _lists(d[first], len(head), s[first], reach[final] & 0xFFFFFFFF), _lists(doc[~late], len(head), lo[~late], hi[~late])
+    return pa.RecordBatch.from_arrays([*key, *lists], names=["doc_id", "_th", "runs", "spots"])
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, _th, lo, hi, late), ordered by document and lo -> one row per document: ``runs`` are its
+    late stretches, put together where they meet, ``spots`` its others."""
+    held: list[pa.RecordBatch] = []  # rows of a document that may go on in the next batch
+    for b in batches:
+        if b.num_rows:
+            b = b.filter(pa.array(_new(b, "lo")))  # repeated rows of a document
+            edge = np.flatnonzero(_new(b))[-1]
+            if held and (edge or _new(pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), b.slice(0, 1)]))[1]):
+                yield _gathered([*held, b.slice(0, edge)])
+                held = []
+            elif edge:
+                yield _gathered([b.slice(0, edge)])
+            held.append(b.slice(edge))
+    if held:
+        yield _gathered(held)
+
+
+def _documents(spans: DataFrame) -> DataFrame:
+    schema = "doc_id bigint, _th bigint, runs array<struct<lo:int,hi:int>>, spots array<struct<lo:int,hi:int>>"
+    cols = ["doc_id", "_th", "lo", "hi", "late"]
+    return spans.select(*cols).repartition("doc_id", "_th").sortWithinPartitions("doc_id", "_th", "lo").mapInArrow(_by_document, schema)
+
+
 def repeated_passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _th, lo, hi): words [lo, hi) of stretches that lie in runs which occur earlier."""
+    """(doc_id, _th, runs): per document with any, stretches [lo, hi) of words that lie in runs which occur earlier."""
     spark = docs.sparkSession
     schema = "print bigint, c1 bigint, c2 bigint, doc_id bigint, _th bigint, lo int, hi int"
     src = docs.select(*doc_key(), "text")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("id"), "_th", "lo")
-    spot = F.xxhash64("doc_id", "_th", "lo")
     repeats = work_dir(spark, "repeats")
     with scratch(spark):  # most positions occur once; their table goes as soon as the repeated ones are written
         every = materialize(src.mapInArrow(_positions(least), schema), "positions")
-        again = every.groupBy("print").agg(F.min(spot).alias("a"), F.max(spot).alias("b"), F.min("c1").alias("k1"), F.max("c1").alias("k2"),
-                                           F.min("c2").alias("k3"), F.max("c2").alias("k4")).filter("a <> b")
-        # written first: a join of two plain shuffles splits hot keys, one above an aggregate does not
-        again = materialize(again.select("print", F.expr("k1 <> k2 OR k3 <> k4").alias("many")), "again")
-        every.join(again, "print").write.parquet(repeats)
+        hot = _frequent(every, "print")
+        # one shuffle and one sort serve both windows: of a kind (whole neighbourhood) and of its fingerprint
+        kind = _rank_in("print", "c1", "c2")
+        again = (every.filter(~F.col("print").isin(hot)) if hot else every).repartition("print")
+        again = again.select("*", F.rank().over(kind).alias("rank"), F.row_number().over(kind).alias("row"))
+        kinds = F.count_if(F.col("row") == 1).over(Window.partitionBy("print"))
+        again = again.select("doc_id", "_th", "lo", "hi", (F.col("rank") > 1).alias("late"), (kinds > 1).alias("many"))
+        if hot:
+            often = every.filter(F.col("print").isin(hot))
+            differ = often.groupBy("print").agg(F.min("c1").alias("a"), F.max("c1").alias("b"), F.min("c2").alias("c"), F.max("c2").alias("d"))
+            differ = [r[0] for r in differ.filter("a <> b OR c <> d").select("print").collect()]
+            often = _late_in_parts(often, "print", "c1", "c2").withColumn("many", F.col("print").isin(differ))
+            again = again.unionByName(often.select(*again.columns))
+        # whole neighbourhoods, and one of each kind where a fingerprint has several
+        again = materialize(again.filter("late OR many").drop("many"), "again")
+        _documents(again).write.parquet(repeats)
     found = spark.read.parquet(repeats)
-    kind = ["print", "c1", "c2"]
-    # whole neighbourhoods
-    first = materialize(found.groupBy(*kind).agg(F.min(place).alias("first"), F.max(place).alias("final"), F.first("many").alias("many")), "kinds")
-    late = found.join(first.filter("first < final").select(*kind, "first"), kind).filter(place > F.col("first"))
-    whole = late.select("doc_id", "_th", "lo", "hi")
     # one of each kind, window by window
-    one = found.filter("many").join(first.filter("many").select(*kind, "first"), kind).filter(place == F.col("first"))
-    spots = one.groupBy("doc_id", "_th").agg(F.collect_set(F.struct("lo", "hi")).alias("spots"))
-    texts = src.alias("d").join(spots.alias("s"), _same("d", "s")).select("d.doc_id", "d._th", "d.text", "s.spots").dropDuplicates(["doc_id", "_th"])
-    windows = materialize(texts.mapInArrow(_spelt(least), "h1 bigint, h2 bigint, doc_id bigint, _th bigint, lo int"), "windows")
-    start = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("final")).filter("first < final")
-    start = materialize(start.select("h1", "h2", "first"), "starts")
-    later = windows.join(start, ["h1", "h2"]).filter(place > F.col("first"))
-    part = later.select("doc_id", "_th", "lo", (F.col("lo") + least).alias("hi"))
-    return whole.unionByName(part).distinct()
+    spots = found.filter("size(spots) > 0").select("doc_id", "_th", "spots")
+    texts = src.alias("d").join(spots.alias("s"), _same("d", "s")).select("d.doc_id", "d._th", "d.text", "s.spots")
+    windows = materialize(texts.mapInArrow(_spelt(least), "h1 bigint, h2 bigint, doc_id bigint, _th bigint, lo int"), "kinds")
+    hot = _frequent(windows, "h1")
+    part = windows.filter(~F.col("h1").isin(hot)) if hot else windows
+    part = part.withColumn("late", F.rank().over(_rank_in("h1", "h2")) > 1)
+    if hot:
+        part = part.unionByName(_late_in_parts(windows.filter(F.col("h1").isin(hot)), "h1", "h2"))
+    part = _documents(part.filter("late").withColumn("hi", F.col("lo") + least))
+    both = found.filter("size(runs) > 0").unionByName(part).groupBy("doc_id", "_th")
+    return both.agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def dedup_passages(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``docs`` as one struct ``_row`` with new_text, lines_deleted (lines of which every word
     goes) and words_deleted."""
-    runs = repeated_passages(docs, least).groupBy("doc_id", "_th").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    runs = repeated_passages(docs, least)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     rows = rows.select("_row", F.col("_row.doc_id").alias("doc_id"), F.xxhash64("_row.text").alias("_th"))
     both = rows.alias("d").join(runs.alias("r"), _same("d", "r"), "left").select("_row", "runs")

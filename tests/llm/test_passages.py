@@ -4,6 +4,8 @@ import os
 import random
 import re
 
+import pyarrow as pa
+
 from driftline.llm import passage_dedup as pd
 from driftline.llm.queries import QUERIES
 from test_pairs_and_lines import SCHEMA, SPACE_WORD, brute_lines, rows
@@ -98,3 +100,47 @@ def test_table_of_all_positions_goes_before_the_result_is_read(spark, monkeypatc
     there = {name for name, path in folders.items() if os.path.exists(path.removeprefix("file:").replace("///", "/"))}
     assert {"positions", "again", "kinds"} <= folders.keys() and "kinds" in there
     assert not there & {"positions", "again"}
+
+
+def test_repeats_are_told_by_one_shuffle_of_the_positions(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(pd, "materialize", lambda df, name="table", f=pd.materialize: made.append((name, df)) or f(df, name))
+    run = " ".join(f"z{i}" for i in range(30))
+    docs = spark.createDataFrame(rows([(1, f"a start {run}"), (2, f"{run} an end")]), SCHEMA)
+    plan = pd.dedup_passages(docs, 12)._jdf.queryExecution().optimizedPlan().toString()
+    assert [name for name, _ in made] == ["positions", "again", "kinds"]  # before: also the first windows, and repeats joined to every position
+    again = dict(made)["again"]._jdf.queryExecution().executedPlan().toString()
+    assert again.count("Exchange") == 1 and "Join" not in again and "Aggregate" not in again
+    assert plan.count("Join ") == 1  # texts with their runs
+
+
+def test_frequent_passages_are_ranked_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(pd, "SAMPLE", 1.0)
+    monkeypatch.setattr(pd, "FREQUENT", 3)
+    monkeypatch.setattr(pd, "_tasks", lambda rows: 1000)  # 3 rows make a hash frequent
+    cut = []
+    monkeypatch.setattr(pd, "_late_in_parts", lambda df, *kind, f=pd._late_in_parts: cut.append(kind) or f(df, *kind))
+    rng = random.Random(6)
+    own = iter(range(10**6))
+    text = lambda n: " ".join(f"w{next(own)}" for _ in range(n))
+    passage = text(40)
+    pairs = [(i, f"{text(rng.randint(0, 30))} {passage} {text(rng.randint(0, 30))}") for i in range(40)]
+    pairs += [(100 + i, pairs[0][1]) for i in range(20)] + pairs[:3] * 2 + [(None, pairs[5][1]), (None, pairs[5][1]), (60, f"{passage} {passage}")]
+    pairs += [(200 + i, text(60)) for i in range(10)]
+    check(spark, pairs, 12)
+    assert cut == [("print", "c1", "c2"), ("h1", "h2")]
+
+
+def test_spans_are_gathered_over_batches():
+    def row(i, th, lo, hi, late):
+        return {"doc_id": i, "_th": th, "lo": lo, "hi": hi, "late": late}
+
+    spans = [row(None, 1, 0, 9, True), row(None, 1, 0, 9, True), row(None, 1, 5, 12, True), row(None, 1, 13, 20, True), row(0, 1, 3, 8, False),
+             row(0, 1, 6, 30, True), row(0, 1, 8, 12, True), row(0, 1, 20, 31, True), row(0, 2, 1, 4, False), row(7, 2, 2, 3, True)]
+    schema = pa.schema([("doc_id", pa.int64()), ("_th", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("late", pa.bool_())])
+    want = [(None, 1, [(0, 12), (13, 20)], []), (0, 1, [(6, 31)], [(3, 8)]), (0, 2, [], [(1, 4)]), (7, 2, [(2, 3)], [])]
+    for size in (1, 2, 3, 4, 20):
+        parts = [pa.RecordBatch.from_pylist(spans[i:i + size], schema) for i in range(0, len(spans), size)]
+        got = [r for b in pd._by_document(iter(parts)) for r in b.to_pylist()]
+        assert [(r["doc_id"], r["_th"], *([(x["lo"], x["hi"]) for x in r[c]] for c in ("runs", "spots"))) for r in got] == want, size
+    assert not list(pd._by_document(iter([])))
