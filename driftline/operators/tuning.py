@@ -12,8 +12,7 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,7 +20,8 @@ from pyspark.sql import functions as F
 
 from driftline.functions import hashing as H
 from driftline.operators.models import regression_metrics
-from driftline.operators.trees import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+from driftline.operators.trees import (DecisionTreeClassifier, DecisionTreeRegressor, GBTClassifier, GBTRegressor,
+                                       RandomForestClassifier, RandomForestRegressor)
 from driftline.session import materialize_small, work_dir
 
 
